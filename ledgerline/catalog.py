@@ -40,3 +40,121 @@ def latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     summ = M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS))
     return summ.select("cik", "metric", "lq", "annualized", "ltm", "yoy",
                        F.col("end").alias("report_date"), "fy", "fp")
+
+
+def _flow_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_rows(_series(spark, sf_dir, M.FLOW_METRICS), M.WINDOW_ROWS)
+
+
+@query
+def quarterly_from_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every quarter value of the resolved flow series (revenue, EBITDA, net income)."""
+    s = _series(spark, sf_dir, M.FLOW_METRICS)
+    return s.select("cik", "metric", F.col("end").alias("period_end"), "form", "fy", "fp",
+                    F.col("val").cast("double").alias("quarter_val"))
+
+
+@query
+def latest_quarters_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 8 rows per company and flow metric, form tiers applied."""
+    return _flow_latest(spark, sf_dir).select(
+        "cik", "metric", F.col("rn").cast("int").alias("rn"), F.col("end").alias("period_end"),
+        "form", "fy", "fp", F.col("val").cast("double").alias("quarter_val"))
+
+
+@query
+def metric_ltm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing-twelve-month sum (newest 4 rows, NULL with fewer)."""
+    return M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "ltm")
+
+
+@query
+def metric_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth of the newest row over the 5th newest, signed prior."""
+    return M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "yoy")
+
+
+@query
+def metric_annualized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest quarter and newest quarter × 4."""
+    return M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "lq", "annualized")
+
+
+# --------------------------------------------------------------------------
+# Phase 2: tag / unit / scale resolution, combining, margins, stamps, audit
+# --------------------------------------------------------------------------
+@query
+def ebitda_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operating income ⋈ D&A on the period (both de-accumulated first)."""
+    return _series(spark, sf_dir, ["ebitda"]).select(
+        "cik", "tag", F.col("end").alias("period_end"), "form", "fy", "fp",
+        F.col("val").cast("double").alias("ebitda_val"))
+
+
+@query
+def margin_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EBITDA and net-income margins of the newest rows when periods align."""
+    summ = M.metric_summary(_series(spark, sf_dir, ["revenue", "ebitda", "net_income"]))
+    wide = M.company_wide(summ)
+    return wide.select("cik", M.aligned_margin("ebitda", "revenue").alias("ebitda_margin"),
+                       M.aligned_margin("net_income", "revenue").alias("net_income_margin"))
+
+
+@query
+def component_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cash and debt as per-period sums of the components present."""
+    s = _series(spark, sf_dir, ["cash", "debt"])
+    return s.select("cik", "metric", "tag", F.col("end").alias("period_end"), "form", "fy", "fp",
+                    F.col("val").cast("double").alias("val"))
+
+
+@query
+def tag_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue tag each company resolves to, and its row count."""
+    from ledgerline.operators.series import attach_metric_map, resolve_tags
+    mmap = S.metric_map(spark).where(F.col("metric") == "revenue")
+    chosen = resolve_tags(attach_metric_map(D.lineitem_facts(spark, sf_dir), mmap))
+    return chosen.groupBy("cik", "tag").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def unit_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: facts kept per metric, tag and allowed unit (other units drop out)."""
+    from ledgerline.operators.series import attach_metric_map
+    tagged = attach_metric_map(D.lineitem_facts(spark, sf_dir), S.metric_map(spark))
+    return tagged.groupBy("metric", "tag", "unit").agg(F.count(F.lit(1)).alias("n_facts"))
+
+
+@query
+def scale_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw fact entries (text value, text scale) → value × 10^scale."""
+    from ledgerline.sources.facts import normalise_entries
+    raw = D.lineitem_raw_entries(spark, sf_dir)
+    return normalise_entries(raw).select("l_orderkey", "l_linenumber", "val", "scale_applied")
+
+
+@query
+def report_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report date / fiscal year / period per company, with fallbacks."""
+    f = _fundamentals(spark, sf_dir)
+    return f.select("cik", "report_date", "fiscal_year", "fiscal_period")
+
+
+@query
+def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: one provenance row per company and metric with a chosen newest row."""
+    summ = M.metric_summary(_series(spark, sf_dir, [m for m, _ in M.AUDIT_METRICS] + ["operating_income"]))
+    fund = M.fundamentals_frame(D.supplier_companies(spark, sf_dir), summ, D.supplier_filing_dates(spark, sf_dir))
+    return M.audit_frame(summ, fund).drop("id")
+
+
+def _fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    all_metrics = sorted({r[0] for r in S.metric_map_rows()})
+    summ = M.metric_summary(_series(spark, sf_dir, all_metrics))
+    return M.fundamentals_frame(D.supplier_companies(spark, sf_dir), summ, D.supplier_filing_dates(spark, sf_dir))
+
+
+@query
+def fundamentals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole fundamentals row per company (all metrics, margins, stamps)."""
+    return _fundamentals(spark, sf_dir).drop("id")

@@ -39,16 +39,19 @@ ytd AS (
 fe AS (
   SELECT cik, 'us-gaap' AS namespace,
          CASE WHEN yr >= 1998 THEN 'RevenueFromContractWithCustomerExcludingAssessedTax' ELSE 'SalesRevenueNet' END AS tag,
-         'USD' AS unit, yr, q, revenue_ytd AS v, q AS qtrs FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'OperatingIncomeLoss', 'USD', yr, q, op_ytd, q FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'NetIncomeLoss', 'USD', yr, q, ni_ytd, q FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'DepreciationAndAmortization', 'USD', yr, q, da_ytd, q FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'CashAndCashEquivalentsAtCarryingValue', 'USD', yr, q, cash, NULL FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'ShortTermInvestments', 'USD', yr, q, sti, NULL FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'LongTermDebtNoncurrent', 'USD', yr, q, debt_nc, NULL FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'LongTermDebtCurrent', 'USD', yr, q, debt_c, NULL FROM ytd
-  UNION ALL SELECT cik, 'us-gaap', 'ShortTermBorrowings', 'USD', yr, q, borrow, NULL FROM ytd
-  UNION ALL SELECT cik, 'dei', 'EntityCommonStockSharesOutstanding', 'shares', yr, q, shares, NULL FROM ytd),
+         'USD' AS unit, yr, q, CAST(revenue_ytd AS DECIMAL(30,4)) AS v, q AS qtrs FROM ytd
+  UNION ALL SELECT cik, 'us-gaap',
+         CASE WHEN yr >= 1998 THEN 'RevenueFromContractWithCustomerExcludingAssessedTax' ELSE 'SalesRevenueNet' END,
+         'EUR', yr, q, CAST(CASE WHEN q = 4 THEN revenue_ytd * 0.9 END AS DECIMAL(30,4)), q FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'OperatingIncomeLoss', 'USD', yr, q, CAST(op_ytd AS DECIMAL(30,4)), q FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'NetIncomeLoss', 'USD', yr, q, CAST(ni_ytd AS DECIMAL(30,4)), q FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'DepreciationAndAmortization', 'USD', yr, q, CAST(da_ytd AS DECIMAL(30,4)), q FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'CashAndCashEquivalentsAtCarryingValue', 'USD', yr, q, CAST(cash AS DECIMAL(30,4)), NULL FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'ShortTermInvestments', 'USD', yr, q, CAST(sti AS DECIMAL(30,4)), NULL FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'LongTermDebtNoncurrent', 'USD', yr, q, CAST(debt_nc AS DECIMAL(30,4)), NULL FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'LongTermDebtCurrent', 'USD', yr, q, CAST(debt_c AS DECIMAL(30,4)), NULL FROM ytd
+  UNION ALL SELECT cik, 'us-gaap', 'ShortTermBorrowings', 'USD', yr, q, CAST(borrow AS DECIMAL(30,4)), NULL FROM ytd
+  UNION ALL SELECT cik, 'dei', 'EntityCommonStockSharesOutstanding', 'shares', yr, q, CAST(shares AS DECIMAL(30,4)), NULL FROM ytd),
 facts AS (
   SELECT cik, namespace, tag, unit,
          last_day(make_date(yr, q * 3, 1)) AS "end",
@@ -102,8 +105,9 @@ ebitda_join AS (
    AND a."end" IS NOT DISTINCT FROM b."end" AND a.form IS NOT DISTINCT FROM b.form
    AND a.fy IS NOT DISTINCT FROM b.fy AND a.fp IS NOT DISTINCT FROM b.fp),
 flow_series AS (
-  SELECT cik, metric, "end", form, fy, fp, val, pos, 0 AS pos2 FROM quarterly WHERE metric <> 'ebitda'
-  UNION ALL SELECT cik, metric, "end", form, fy, fp, val, pos, pos2 FROM ebitda_join),
+  SELECT cik, metric, tag, "end", form, fy, fp, val, pos, 0 AS pos2 FROM quarterly WHERE metric <> 'ebitda'
+  UNION ALL SELECT cik, metric, 'OperatingIncomeLoss+DepreciationAndAmortization', "end", form, fy, fp, val, pos, pos2
+  FROM ebitda_join),
 flow_tiered AS (
   SELECT *, CASE WHEN form = '10-Q' THEN 1 WHEN form = '10-K' THEN 2 ELSE 3 END AS ftier FROM flow_series
   QUALIFY ftier = min(CASE WHEN form = '10-Q' THEN 1 WHEN form = '10-K' THEN 2 ELSE 3 END)
@@ -137,3 +141,181 @@ ORACLES: dict[str, str] = {}
 ORACLES["latest_metrics"] = with_ctes(AF, REVENUE_SERIES) + """
 SELECT cik, metric, lq, annualized, ltm, yoy, report_date, fy, fp FROM flow_summary
 """
+
+
+ORACLES["quarterly_from_ytd"] = with_ctes(AF, REVENUE_SERIES) + """
+SELECT cik, metric, "end" AS period_end, form, fy, fp, CAST(val AS DOUBLE) AS quarter_val FROM flow_series
+"""
+
+ORACLES["latest_quarters_n"] = with_ctes(AF, REVENUE_SERIES) + """
+SELECT cik, metric, CAST(rn AS INTEGER) AS rn, "end" AS period_end, form, fy, fp, CAST(val AS DOUBLE) AS quarter_val
+FROM flow_ranked WHERE rn <= 8
+"""
+
+ORACLES["metric_ltm"] = with_ctes(AF, REVENUE_SERIES) + "SELECT cik, metric, ltm FROM flow_summary"
+ORACLES["metric_yoy"] = with_ctes(AF, REVENUE_SERIES) + "SELECT cik, metric, yoy FROM flow_summary"
+ORACLES["metric_annualized"] = with_ctes(AF, REVENUE_SERIES) + "SELECT cik, metric, lq, annualized FROM flow_summary"
+
+ORACLES["ebitda_composite"] = with_ctes(AF, REVENUE_SERIES) + """
+SELECT cik, 'OperatingIncomeLoss+DepreciationAndAmortization' AS tag, "end" AS period_end, form, fy, fp,
+       CAST(val AS DOUBLE) AS ebitda_val
+FROM ebitda_join
+"""
+
+MARGIN = """
+CASE WHEN {n}.cik IS NOT NULL AND {d}.cik IS NOT NULL
+      AND {n}."end" IS NOT DISTINCT FROM {d}."end" AND {n}.form IS NOT DISTINCT FROM {d}.form
+      AND {n}.fy IS NOT DISTINCT FROM {d}.fy AND {n}.fp IS NOT DISTINCT FROM {d}.fp
+      AND CAST({d}.val AS DOUBLE) > 0
+      AND abs(CAST({n}.val AS DOUBLE) / CAST({d}.val AS DOUBLE) * 100.0) <= 100
+     THEN CAST({n}.val AS DOUBLE) / CAST({d}.val AS DOUBLE) * 100.0 END"""
+
+NEWEST_FLOWS = """
+newest AS (SELECT * FROM flow_ranked WHERE rn = 1),
+flow_ciks AS (SELECT DISTINCT cik FROM newest),
+flow_wide AS (
+  SELECT c.cik,""" + MARGIN.format(n="e", d="r") + """ AS ebitda_margin,""" + MARGIN.format(n="ni", d="r") + """ AS net_income_margin
+  FROM flow_ciks c
+  LEFT JOIN newest r ON r.cik = c.cik AND r.metric = 'revenue'
+  LEFT JOIN newest e ON e.cik = c.cik AND e.metric = 'ebitda'
+  LEFT JOIN newest ni ON ni.cik = c.cik AND ni.metric = 'net_income')
+"""
+
+ORACLES["margin_aligned"] = with_ctes(AF, REVENUE_SERIES, NEWEST_FLOWS) + """
+SELECT cik, ebitda_margin, net_income_margin FROM flow_wide
+"""
+
+BALANCE = """
+bal_sum AS (
+  SELECT cik, 'cash' AS metric, 'CashAndCashEquivalentsAtCarryingValue(+ShortTermInvestments)' AS tag,
+         "end", form, fy, fp, SUM(val) AS val
+  FROM facts
+  WHERE namespace = 'us-gaap' AND unit = 'USD'
+    AND tag IN ('CashAndCashEquivalentsAtCarryingValue', 'ShortTermInvestments')
+    AND "end" IS NOT NULL AND form IS NOT NULL AND fy IS NOT NULL AND fp IS NOT NULL
+  GROUP BY cik, "end", form, fy, fp
+  UNION ALL
+  SELECT cik, 'debt', 'LongTermDebtNoncurrent+LongTermDebtCurrent+ShortTermBorrowings',
+         "end", form, fy, fp, SUM(val)
+  FROM facts
+  WHERE namespace = 'us-gaap' AND unit = 'USD'
+    AND tag IN ('LongTermDebtNoncurrent', 'LongTermDebtCurrent', 'ShortTermBorrowings')
+    AND "end" IS NOT NULL AND form IS NOT NULL AND fy IS NOT NULL AND fp IS NOT NULL
+  GROUP BY cik, "end", form, fy, fp),
+bal_all AS (
+  SELECT cik, metric, tag, 'USD' AS unit, "end", form, fy, fp, val, 0 AS scale_applied,
+         CAST(NULL AS BIGINT) AS pos, 'sum' AS kind FROM bal_sum
+  UNION ALL
+  SELECT cik, 'shares', tag, unit, "end", form, fy, fp, val, scale_applied, pos, 'raw'
+  FROM facts WHERE namespace = 'dei' AND tag = 'EntityCommonStockSharesOutstanding' AND unit = 'shares'
+  UNION ALL
+  SELECT cik, 'operating_income', tag, unit, "end", form, fy, fp, val, scale_applied, pos, 'raw'
+  FROM facts WHERE namespace = 'us-gaap' AND tag = 'OperatingIncomeLoss' AND unit = 'USD'),
+bal_tiered AS (
+  SELECT *, CASE WHEN form = '10-Q' THEN 1 WHEN form = '10-K' THEN 2 ELSE 3 END AS ftier FROM bal_all),
+bal_newest AS (
+  SELECT * FROM bal_tiered
+  QUALIFY ftier = min(ftier) OVER (PARTITION BY cik, metric)
+      AND row_number() OVER (PARTITION BY cik, metric ORDER BY ftier,
+            "end" DESC NULLS FIRST, form DESC NULLS FIRST,
+            CASE WHEN kind = 'sum' THEN fy END DESC NULLS FIRST,
+            CASE WHEN kind = 'sum' THEN fp END DESC NULLS FIRST, pos DESC NULLS FIRST) = 1)
+"""
+
+ORACLES["component_sum"] = with_ctes(AF, BALANCE) + """
+SELECT cik, metric, tag, "end" AS period_end, form, fy, fp, CAST(val AS DOUBLE) AS val FROM bal_sum
+"""
+
+ORACLES["tag_priority"] = with_ctes(AF, REVENUE_SERIES) + """
+SELECT cik, tag, count(*) AS n_rows FROM rev_raw GROUP BY cik, tag
+"""
+
+
+def _metric_map_values() -> str:
+    from ledgerline.schemas import metric_map_rows
+    rows = ",\n  ".join(f"('{r[0]}', '{r[3]}', '{r[4]}', '{r[5]}')" for r in metric_map_rows())
+    return f"mm(metric, namespace, tag, unit) AS (VALUES\n  {rows})"
+
+
+ORACLES["unit_filter"] = with_ctes(AF, _metric_map_values()) + """
+SELECT mm.metric, f.tag, f.unit, count(*) AS n_facts
+FROM facts f JOIN mm ON f.namespace = mm.namespace AND f.tag = mm.tag AND f.unit = mm.unit
+GROUP BY mm.metric, f.tag, f.unit
+"""
+
+ORACLES["scale_normalise"] = """
+WITH raw AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'n/a'
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS v,
+         CASE WHEN l_linenumber = 1 THEN '3' WHEN l_linenumber = 2 THEN 'x' WHEN l_linenumber = 3 THEN NULL
+              WHEN l_linenumber = 4 THEN '-2' ELSE CAST(l_linenumber - 5 AS VARCHAR) END AS s
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       TRY_CAST(v AS DOUBLE) * pow(10.0, COALESCE(TRY_CAST(s AS INTEGER), 0)) AS val,
+       CAST(COALESCE(TRY_CAST(s AS INTEGER), 0) AS INTEGER) AS scale_applied
+FROM raw WHERE TRY_CAST(v AS DOUBLE) IS NOT NULL
+"""
+
+STAMPS = """
+sup AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik FROM supplier),
+filing AS (SELECT lpad(CAST(l_suppkey AS VARCHAR), 10, '0') AS cik,
+                  max(CAST(CAST(l_shipdate AS DATE) AS VARCHAR)) AS newest_filing
+           FROM lineitem GROUP BY 1),
+stamp_cands AS (
+  SELECT cik, "end", fy, fp, CASE metric WHEN 'revenue' THEN 1 ELSE 2 END AS o
+  FROM newest WHERE metric IN ('revenue', 'net_income') AND "end" IS NOT NULL
+  UNION ALL
+  SELECT cik, "end", fy, fp, 3 FROM bal_newest WHERE metric = 'operating_income' AND "end" IS NOT NULL),
+stamp AS (SELECT * FROM stamp_cands QUALIFY row_number() OVER (PARTITION BY cik ORDER BY o) = 1),
+stamped AS (
+  SELECT s.cik,
+         COALESCE(CAST(st."end" AS VARCHAR), fl.newest_filing) AS report_date,
+         CAST(st.fy AS INTEGER) AS fiscal_year, st.fp AS fiscal_period
+  FROM sup s LEFT JOIN stamp st ON st.cik = s.cik LEFT JOIN filing fl ON fl.cik = s.cik)
+"""
+
+ORACLES["report_stamp"] = with_ctes(AF, REVENUE_SERIES, NEWEST_FLOWS, BALANCE, STAMPS) + """
+SELECT cik, report_date, fiscal_year, fiscal_period FROM stamped
+"""
+
+ORACLES["audit_rows"] = with_ctes(AF, REVENUE_SERIES, NEWEST_FLOWS, BALANCE, STAMPS) + """
+, audit_src AS (
+  SELECT cik, CASE metric WHEN 'revenue' THEN 'revenue_lq' WHEN 'ebitda' THEN 'ebitda_lq'
+                          ELSE 'net_income_lq' END AS metric,
+         CAST(val AS DOUBLE) AS value, tag AS source_tag, 'USD' AS unit,
+         CASE WHEN metric = 'ebitda' THEN 0 ELSE 0 END AS scale_applied, form, fy, fp
+  FROM newest
+  UNION ALL
+  SELECT cik, CASE metric WHEN 'cash' THEN 'cash_sti' WHEN 'debt' THEN 'total_debt'
+                          ELSE 'shares_outstanding' END,
+         CAST(val AS DOUBLE), tag, unit, scale_applied, form, fy, fp
+  FROM bal_newest WHERE metric IN ('cash', 'debt', 'shares'))
+SELECT a.cik, s.report_date, s.fiscal_year, s.fiscal_period, a.metric, a.value, a.source_tag, a.unit,
+       CAST(a.scale_applied AS INTEGER) AS scale_applied, a.form, CAST(a.fy AS INTEGER) AS fy, a.fp
+FROM audit_src a LEFT JOIN stamped s ON s.cik = a.cik
+"""
+
+ORACLES["fundamentals_table"] = with_ctes(AF, REVENUE_SERIES, NEWEST_FLOWS, BALANCE, STAMPS) + """
+SELECT st.cik, st.report_date, st.fiscal_year, st.fiscal_period,
+       rs.lq AS revenue_lq, rs.annualized AS revenue_annualized, rs.ltm AS revenue_ltm, rs.yoy AS revenue_yoy,
+       es.lq AS ebitda_lq, es.annualized AS ebitda_annualized, es.ltm AS ebitda_ltm, es.yoy AS ebitda_yoy,
+       fw.ebitda_margin,
+       ns.lq AS net_income_lq, ns.annualized AS net_income_annualized, ns.ltm AS net_income_ltm,
+       ns.yoy AS net_income_yoy, fw.net_income_margin,
+       CAST(NULL AS DOUBLE) AS gross_profit_lq, CAST(NULL AS DOUBLE) AS gross_margin,
+       CAST(NULL AS DOUBLE) AS operating_income_lq, CAST(NULL AS DOUBLE) AS operating_margin,
+       CAST(NULL AS DOUBLE) AS cfo_lq, CAST(NULL AS DOUBLE) AS capex_lq, CAST(NULL AS DOUBLE) AS fcf_lq,
+       CAST(bc.val AS DOUBLE) AS cash_sti, CAST(bd.val AS DOUBLE) AS total_debt,
+       CAST(bs.val AS DOUBLE) AS shares_outstanding,
+       CAST(NULL AS DOUBLE) AS stock_price, CAST(NULL AS DOUBLE) AS market_cap,
+       CAST(NULL AS DOUBLE) AS deferred_revenue
+FROM stamped st
+LEFT JOIN flow_summary rs ON rs.cik = st.cik AND rs.metric = 'revenue'
+LEFT JOIN flow_summary es ON es.cik = st.cik AND es.metric = 'ebitda'
+LEFT JOIN flow_summary ns ON ns.cik = st.cik AND ns.metric = 'net_income'
+LEFT JOIN flow_wide fw ON fw.cik = st.cik
+LEFT JOIN bal_newest bc ON bc.cik = st.cik AND bc.metric = 'cash'
+LEFT JOIN bal_newest bd ON bd.cik = st.cik AND bd.metric = 'debt'
+LEFT JOIN bal_newest bs ON bs.cik = st.cik AND bs.metric = 'shares'
+"""

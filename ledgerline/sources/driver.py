@@ -90,6 +90,8 @@ def lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     entries = F.array(
         entry(S.US_GAAP, rev_tag, "USD", F.col("revenue_ytd"), True),
+        # annual reports also carry a converted EUR figure, which no metric accepts
+        entry(S.US_GAAP, rev_tag, "EUR", F.when(F.col("q") == 4, F.col("revenue_ytd") * F.lit(0.9).cast("decimal(2,1)")), True),
         entry(S.US_GAAP, S.OPERATING_INCOME_TAG, "USD", F.col("op_income_ytd"), True),
         entry(S.US_GAAP, S.NET_INCOME_TAGS[0], "USD", F.col("net_income_ytd"), True),
         entry(S.US_GAAP, S.DA_TAG, "USD", F.col("da_ytd"), True),
@@ -112,3 +114,41 @@ def lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("scale_applied"),
         (F.col("yr") * 10 + F.col("q")).cast("bigint").alias("pos"),
     )
+
+
+def lineitem_raw_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw fact entries as landed text: value text and scale text per line item.
+
+    The scale text comes from the line number (``3``, ``x``, missing, ``-2``,
+    then small integers), so bad and missing scales occur; open lines with
+    flag ``N`` carry ``n/a`` as value and must drop out.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    scale = (F.when(ln == 1, F.lit("3")).when(ln == 2, F.lit("x")).when(ln == 3, F.lit(None).cast("string"))
+             .when(ln == 4, F.lit("-2")).otherwise((ln - 5).cast("string")))
+    val = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit("n/a")) \
+        .otherwise(F.col("l_extendedprice").cast(MONEY).cast("string"))
+    return li.select("l_orderkey", "l_linenumber", val.alias("val"), scale.alias("scale"))
+
+
+def supplier_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AC: supplier ⋈ nation ⋈ region in the ``companies`` shape (dimension tables are tiny)."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return j.select(
+        pad_cik(F.col("s_suppkey")).alias("cik"),
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+        F.col("s_name").alias("name"), F.col("n_name").alias("business_state"),
+        F.col("r_name").alias("state_incorp"), F.col("s_nationkey").cast("string").alias("sic"),
+        F.col("n_name").alias("sic_description"), F.lit("1231").alias("fiscal_year_end"),
+        F.lit(None).cast("double").alias("last_price"), F.lit(None).cast("double").alias("market_cap"))
+
+
+def supplier_filing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cik, filing_date) per supplier: its ship dates as ISO text."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(pad_cik(F.col("l_suppkey")).alias("cik"),
+                     F.col("l_shipdate").cast("date").cast("string").alias("filing_date"))
