@@ -158,3 +158,169 @@ def _fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fundamentals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole fundamentals row per company (all metrics, margins, stamps)."""
     return _fundamentals(spark, sf_dir).drop("id")
+
+
+# --------------------------------------------------------------------------
+# Phase 2: symbols, tickers, universe, filings
+# --------------------------------------------------------------------------
+def _directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.sources import symbols as Y
+    return Y.symbol_directory(D.nasdaq_listed(spark, sf_dir), D.other_listed(spark, sf_dir))
+
+
+def _ticker_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.sources import symbols as Y
+    return Y.ticker_map(D.ticker_map_entries(spark, sf_dir))
+
+
+@query
+def symbol_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both directories unioned, cleaned, first row per ticker."""
+    return _directory(spark, sf_dir).select("ticker", "exchange", "name", "etf", "test")
+
+
+@query
+def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directories ⟕ ticker map; no tests, no ETFs, three exchanges."""
+    from ledgerline.sources import symbols as Y
+    return Y.universe(_directory(spark, sf_dir), _ticker_map(spark, sf_dir),
+                      include_etfs=False, exchanges=["NASDAQ", "n", "A"])
+
+
+@query
+def ticker_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested tickers resolved to a CIK (last map entry wins)."""
+    from ledgerline.sources import symbols as Y
+    req = Y.tickers_from_text(D.requested_ticker_lines(spark, sf_dir))
+    found, _ = Y.resolve_tickers(req, _ticker_map(spark, sf_dir))
+    return found.select("ticker", "cik", F.col("pos").alias("first_pos"))
+
+
+@query
+def ticker_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 (anti): requested tickers without a CIK (warned and skipped)."""
+    from ledgerline.sources import symbols as Y
+    req = Y.tickers_from_text(D.requested_ticker_lines(spark, sf_dir))
+    _, missing = Y.resolve_tickers(req, _ticker_map(spark, sf_dir))
+    return missing.select("ticker", F.col("pos").alias("first_pos"))
+
+
+@query
+def ticker_map_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deduplicated ticker → CIK map."""
+    return _ticker_map(spark, sf_dir).select("ticker", "cik", "title")
+
+
+@query
+def latest_filing_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 10-Q, 10-K and S-1 link per company."""
+    from ledgerline.sources.submissions import latest_filing_links
+    return latest_filing_links(D.order_filings(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Phase 3: SQL-summary analytics and table maintenance
+# --------------------------------------------------------------------------
+@query
+def company_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: companies in the table."""
+    from ledgerline.operators import analytics as A
+    return A.company_count(D.customer_companies(spark, sf_dir))
+
+
+@query
+def coverage_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: row count and non-NULL share of six key columns."""
+    from ledgerline.operators import analytics as A
+    return A.coverage(D.order_fundamentals(spark, sf_dir))
+
+
+@query
+def null_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: NULL share of seven key columns."""
+    from ledgerline.operators import analytics as A
+    return A.null_ratios(D.order_fundamentals(spark, sf_dir))
+
+
+@query
+def rows_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows on the five newest report dates."""
+    from ledgerline.operators import analytics as A
+    return A.rows_per_date(D.order_fundamentals(spark, sf_dir))
+
+
+@query
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten rows with revenue and net income, with tickers."""
+    from ledgerline.operators import analytics as A
+    return A.sample_rows(D.order_fundamentals(spark, sf_dir), D.customer_companies(spark, sf_dir))
+
+
+@query
+def margin_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: EBITDA-margin buckets."""
+    from ledgerline.operators import analytics as A
+    return A.margin_histogram(D.order_fundamentals(spark, sf_dir))
+
+
+@query
+def margin_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 margins beyond ±100 with their latest 10-Q/10-K link."""
+    from ledgerline.operators import analytics as A
+    return A.margin_outliers(D.order_fundamentals(spark, sf_dir), D.customer_companies(spark, sf_dir),
+                             D.customer_filings(spark, sf_dir))
+
+
+@query
+def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each company's rows on its newest report date, with ticker."""
+    from ledgerline.operators import analytics as A
+    return A.latest_snapshot(D.order_fundamentals(spark, sf_dir), D.customer_companies(spark, sf_dir))
+
+
+def _company_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    c = D.customer_companies(spark, sf_dir)
+    target = c.where(F.col("sic_description").isin("AUTOMOBILE", "BUILDING", "FURNITURE"))
+    source = (c.where(F.col("sic_description").isin("FURNITURE", "HOUSEHOLD", "MACHINERY"))
+              .withColumn("name", F.upper("name")).withColumn("ticker", F.lower("ticker"))
+              .withColumn("business_state", F.concat(F.lit("X"), F.col("business_state")))
+              .withColumn("sic", F.lit("9999")))
+    return target, source
+
+
+@query
+def upsert_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: company upsert on cik (all columns replaced)."""
+    from ledgerline.operators.upsert import upsert
+    target, source = _company_halves(spark, sf_dir)
+    return upsert(target, source, S.COMPANIES_KEY)
+
+
+@query
+def upsert_company_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: company upsert replacing five columns only."""
+    from ledgerline.operators.upsert import upsert_columns
+    target, source = _company_halves(spark, sf_dir)
+    src = source.select("cik", "ticker", "name", "business_state", "last_price", "market_cap")
+    return upsert_columns(target, src, S.COMPANIES_KEY,
+                          ["ticker", "name", "business_state", "last_price", "market_cap"])
+
+
+@query
+def upsert_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: fundamentals upsert on (cik, report_date); the overlap year is replaced."""
+    from ledgerline.operators.upsert import upsert
+    f = D.order_fundamentals(spark, sf_dir)
+    target = f.where(F.col("report_date") < "1999-01-01")
+    source = (f.where(F.col("report_date") >= "1998-01-01")
+              .withColumn("revenue_lq", F.col("revenue_lq") * F.lit(2.0)))
+    return upsert(target, source, S.FUNDAMENTALS_KEY)
+
+
+@query
+def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: filings insert-ignore on (cik, filing_type, url)."""
+    from ledgerline.operators.upsert import insert_ignore as ins
+    links = D.customer_filings(spark, sf_dir)
+    target = links.where(F.col("filing_type") == "10-K")
+    return ins(target, links, S.FILINGS_KEY, required=["url"]).drop("id")

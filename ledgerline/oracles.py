@@ -319,3 +319,226 @@ LEFT JOIN bal_newest bc ON bc.cik = st.cik AND bc.metric = 'cash'
 LEFT JOIN bal_newest bd ON bd.cik = st.cik AND bd.metric = 'debt'
 LEFT JOIN bal_newest bs ON bs.cik = st.cik AND bs.metric = 'shares'
 """
+
+
+DIRECTORY = """
+nas AS (
+  SELECT upper(trim('S' || CAST(s_suppkey AS VARCHAR))) AS ticker, 'NASDAQ' AS exchange, s_name AS name,
+         s_acctbal < 0 AS etf, false AS test, 0 AS src, CAST(s_suppkey AS BIGINT) AS pos
+  FROM supplier),
+oth AS (
+  SELECT upper(trim('C' || CAST(c_custkey AS VARCHAR) || CASE WHEN c_mktsegment = 'MACHINERY' THEN '.W' ELSE '' END)) AS ticker,
+         CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'A' WHEN 'BUILDING' THEN 'N' WHEN 'FURNITURE' THEN 'P' ELSE 'Z' END AS exchange,
+         c_name AS name, c_acctbal < 0 AS etf, c_mktsegment = 'HOUSEHOLD' AS test, 1 AS src, CAST(c_custkey AS BIGINT) AS pos
+  FROM customer
+  UNION ALL
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR), 'N', s_name, false, false, 1, CAST(s_suppkey AS BIGINT) + 4294967296
+  FROM supplier WHERE s_acctbal > 9000),
+dir AS (
+  SELECT * FROM (SELECT * FROM nas UNION ALL SELECT * FROM oth)
+  WHERE ticker IS NOT NULL AND NOT regexp_matches(ticker, '[\\^~$.]')
+  QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY src, pos) = 1)
+"""
+
+TICKER_MAP = """
+tm_raw AS (
+  SELECT 'c' || CAST(c_custkey AS VARCHAR) AS ticker, CAST(c_custkey AS VARCHAR) AS cik_str, c_name AS title,
+         CAST(c_custkey AS BIGINT) AS pos
+  FROM customer WHERE c_acctbal >= 0
+  UNION ALL
+  SELECT ' S' || CAST(s_suppkey AS VARCHAR), CAST(s_suppkey + 100000000 AS VARCHAR), s_name,
+         CAST(s_suppkey AS BIGINT) + 4294967296 FROM supplier
+  UNION ALL
+  SELECT substring(n_name, 1, 2), CAST(n_nationkey + 900000000 AS VARCHAR), n_name,
+         CAST(n_nationkey AS BIGINT) + 8589934592 FROM nation),
+tm AS (
+  SELECT upper(trim(ticker)) AS ticker, lpad(trim(cik_str), 10, '0') AS cik, title, pos FROM tm_raw
+  WHERE upper(trim(ticker)) <> '' AND trim(cik_str) <> ''
+  QUALIFY row_number() OVER (PARTITION BY upper(trim(ticker)) ORDER BY pos DESC) = 1)
+"""
+
+REQUESTED = """
+req_lines AS (
+  SELECT CASE o_orderstatus WHEN 'F' THEN 'C' || CAST(o_custkey AS VARCHAR)
+                            WHEN 'O' THEN '  c' || CAST(o_custkey AS VARCHAR) || ' '
+                            ELSE '# C' || CAST(o_custkey AS VARCHAR) END AS line,
+         o_orderkey AS pos
+  FROM orders),
+req AS (
+  SELECT upper(trim(line)) AS ticker, min(pos) AS pos FROM req_lines
+  WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#')
+  GROUP BY 1)
+"""
+
+ORACLES["symbol_filter"] = with_ctes(DIRECTORY) + "SELECT ticker, exchange, name, etf, test FROM dir"
+
+ORACLES["universe"] = with_ctes(DIRECTORY, TICKER_MAP) + """
+SELECT d.ticker, tm.cik, d.exchange, d.name, d.etf, d.test
+FROM dir d LEFT JOIN tm ON tm.ticker = d.ticker
+WHERE NOT d.test AND NOT d.etf AND upper(d.exchange) IN ('NASDAQ', 'N', 'A')
+"""
+
+ORACLES["ticker_lookup"] = with_ctes(TICKER_MAP, REQUESTED) + """
+SELECT r.ticker, tm.cik, r.pos AS first_pos FROM req r JOIN tm ON tm.ticker = r.ticker
+"""
+
+ORACLES["ticker_missing"] = with_ctes(TICKER_MAP, REQUESTED) + """
+SELECT r.ticker, r.pos AS first_pos FROM req r WHERE NOT EXISTS (SELECT 1 FROM tm WHERE tm.ticker = r.ticker)
+"""
+
+ORACLES["ticker_map_table"] = with_ctes(TICKER_MAP) + "SELECT ticker, cik, title FROM tm"
+
+FILINGS = """
+ofl AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '10-K' WHEN '2-HIGH' THEN '10-Q'
+                              WHEN '3-MEDIUM' THEN 'S-1' ELSE '8-K' END AS form,
+         lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '-' || strftime(CAST(o_orderdate AS DATE), '%y') || '-'
+           || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS accession,
+         'd' || CAST(o_orderkey AS VARCHAR) || '.htm' AS document,
+         CAST(o_orderdate AS DATE) AS d, o_orderkey
+  FROM orders),
+links AS (
+  SELECT cik, form AS filing_type,
+         'https://www.sec.gov/Archives/edgar/data/' || CAST(CAST(cik AS BIGINT) AS VARCHAR) || '/'
+           || replace(accession, '-', '') || '/' || document AS url
+  FROM ofl WHERE form IN ('10-Q', '10-K', 'S-1')
+  QUALIFY row_number() OVER (PARTITION BY cik, form ORDER BY d DESC, o_orderkey DESC) = 1)
+"""
+
+ORACLES["latest_filing_url"] = with_ctes(FILINGS) + "SELECT cik, filing_type, url FROM links"
+
+
+HISTORY = """
+oh AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, CAST(o_orderdate AS DATE) AS d,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderstatus AS st, o_orderpriority AS pr
+  FROM orders),
+ohg AS (
+  SELECT cik, d, SUM(price) AS total,
+         SUM(CASE WHEN st = 'F' THEN price END) AS f_sum,
+         SUM(CASE WHEN st = 'O' THEN price END) AS o_sum,
+         SUM(CASE WHEN st = 'F' THEN price WHEN st = 'O' THEN -price END) AS fo,
+         SUM(CASE WHEN st = 'O' THEN price WHEN st = 'P' THEN -price END) AS op,
+         SUM(CASE WHEN pr IN ('1-URGENT', '2-HIGH') THEN price END) AS cash,
+         SUM(CASE WHEN pr = '5-LOW' THEN price END) AS debt,
+         SUM(CASE WHEN pr = '4-NOT SPECIFIED' THEN 1000 END) AS shares
+  FROM oh GROUP BY cik, d),
+hist AS (
+  SELECT cik, CAST(d AS VARCHAR) AS report_date, CAST(year(d) AS INTEGER) AS fiscal_year,
+         'Q' || CAST(quarter(d) AS VARCHAR) AS fiscal_period,
+         CAST(total AS DOUBLE) AS revenue_lq, CAST(f_sum AS DOUBLE) AS ebitda_lq,
+         CAST(o_sum AS DOUBLE) AS net_income_lq, CAST(cash AS DOUBLE) AS cash_sti,
+         CAST(debt AS DOUBLE) AS total_debt, CAST(shares AS DOUBLE) AS shares_outstanding,
+         300.0 * CAST(fo AS DOUBLE) / CAST(total AS DOUBLE) AS ebitda_margin,
+         300.0 * CAST(op AS DOUBLE) / CAST(total AS DOUBLE) AS net_income_margin,
+         CAST(NULL AS DOUBLE) AS market_cap, CAST(total AS DOUBLE) * 4.0 AS revenue_ltm
+  FROM ohg)
+"""
+
+CUSTOMER_COMPANIES = """
+comp AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, 'C' || CAST(c_custkey AS VARCHAR) AS ticker,
+         c_name AS name, CAST(c_nationkey AS VARCHAR) AS business_state, c_mktsegment AS state_incorp,
+         CAST(c_nationkey AS VARCHAR) AS sic, c_mktsegment AS sic_description, '1231' AS fiscal_year_end,
+         CAST(c_acctbal AS DOUBLE) AS last_price, CAST(NULL AS DOUBLE) AS market_cap
+  FROM customer)
+"""
+
+
+def _pct1(expr: str) -> str:
+    return (f"CASE WHEN count(*) > 0 THEN CAST((2000 * CAST({expr} AS BIGINT) + count(*)) // (2 * count(*)) "
+            f"AS DOUBLE) / 10.0 END")
+
+
+ORACLES["company_count"] = "SELECT count(*) AS companies FROM customer"
+
+ORACLES["coverage_pct"] = with_ctes(HISTORY) + "SELECT count(*) AS n, " + ", ".join(
+    f"{_pct1(f'count({c})')} AS {a}" for a, c in [
+        ("pct_rev_lq", "revenue_lq"), ("pct_ebitda_lq", "ebitda_lq"), ("pct_ni_lq", "net_income_lq"),
+        ("pct_cash_sti", "cash_sti"), ("pct_debt", "total_debt"), ("pct_shares", "shares_outstanding")]) + " FROM hist"
+
+ORACLES["null_pct"] = with_ctes(HISTORY) + "SELECT " + ", ".join(
+    f"{_pct1(f'count(*) FILTER (WHERE {c} IS NULL)')} AS {a}" for a, c in [
+        ("pct_null_report_date", "report_date"), ("pct_null_revenue_lq", "revenue_lq"),
+        ("pct_null_ebitda_lq", "ebitda_lq"), ("pct_null_net_income_lq", "net_income_lq"),
+        ("pct_null_cash_sti", "cash_sti"), ("pct_null_total_debt", "total_debt"),
+        ("pct_null_shares", "shares_outstanding")]) + " FROM hist"
+
+ORACLES["rows_per_date"] = with_ctes(HISTORY) + """
+SELECT report_date, count(*) AS "rows" FROM hist WHERE report_date IS NOT NULL
+GROUP BY report_date ORDER BY report_date DESC LIMIT 5
+"""
+
+ORACLES["sample_rows"] = with_ctes(HISTORY, CUSTOMER_COMPANIES) + """
+SELECT c.ticker, f.report_date, f.revenue_lq, f.net_income_lq
+FROM hist f JOIN comp c USING (cik)
+WHERE f.revenue_lq IS NOT NULL AND f.net_income_lq IS NOT NULL
+ORDER BY c.ticker, f.report_date LIMIT 10
+"""
+
+ORACLES["margin_histogram"] = with_ctes(HISTORY) + """
+, base AS (SELECT ebitda_margin AS m FROM hist WHERE ebitda_margin IS NOT NULL)
+SELECT CASE WHEN m < -100 THEN '<-100' WHEN m < -50 THEN '[-100,-50)' WHEN m < 0 THEN '[-50,0)'
+            WHEN m < 20 THEN '[0,20)' WHEN m < 40 THEN '[20,40)' WHEN m < 60 THEN '[40,60)'
+            WHEN m < 80 THEN '[60,80)' WHEN m <= 100 THEN '[80,100]' ELSE '>100' END AS bucket,
+       count(*) AS n
+FROM base GROUP BY 1 ORDER BY 1
+"""
+
+ORACLES["margin_outliers"] = with_ctes(HISTORY, CUSTOMER_COMPANIES, FILINGS) + """
+, fil AS (SELECT CAST(cik AS BIGINT) * 10 + CASE filing_type WHEN '10-Q' THEN 1 WHEN '10-K' THEN 2 ELSE 3 END AS id,
+                 cik, filing_type, url FROM links)
+SELECT c.ticker, f.report_date, f.ebitda_margin, f.net_income_margin,
+       (SELECT url FROM fil WHERE fil.cik = f.cik AND filing_type IN ('10-Q', '10-K') ORDER BY id DESC LIMIT 1) AS filing_url
+FROM hist f JOIN comp c USING (cik)
+WHERE (abs(f.ebitda_margin) > 100 OR abs(f.net_income_margin) > 100)
+ORDER BY abs(COALESCE(f.ebitda_margin, 0)) + abs(COALESCE(f.net_income_margin, 0)) DESC, c.ticker, f.report_date
+LIMIT 20
+"""
+
+ORACLES["snapshot_latest"] = with_ctes(HISTORY, CUSTOMER_COMPANIES) + """
+, latest AS (
+  SELECT f.* FROM (SELECT cik, max(report_date) AS mr FROM hist GROUP BY cik) j
+  JOIN hist f ON f.cik = j.cik AND f.report_date = j.mr)
+SELECT l.*, c.ticker FROM latest l JOIN comp c USING (cik) WHERE l.report_date IS NOT NULL
+"""
+
+HALVES = """
+tgt AS (SELECT * FROM comp WHERE sic_description IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')),
+src AS (SELECT cik, lower(ticker) AS ticker, upper(name) AS name, 'X' || business_state AS business_state,
+               state_incorp, '9999' AS sic, sic_description, fiscal_year_end, last_price, market_cap
+        FROM comp WHERE sic_description IN ('FURNITURE', 'HOUSEHOLD', 'MACHINERY'))
+"""
+
+ORACLES["upsert_company"] = with_ctes(CUSTOMER_COMPANIES, HALVES) + """
+SELECT * FROM tgt WHERE cik NOT IN (SELECT cik FROM src)
+UNION ALL SELECT * FROM src
+"""
+
+ORACLES["upsert_company_partial"] = with_ctes(CUSTOMER_COMPANIES, HALVES) + """
+SELECT COALESCE(t.cik, s.cik) AS cik,
+       CASE WHEN s.cik IS NOT NULL THEN s.ticker ELSE t.ticker END AS ticker,
+       CASE WHEN s.cik IS NOT NULL THEN s.name ELSE t.name END AS name,
+       CASE WHEN s.cik IS NOT NULL THEN s.business_state ELSE t.business_state END AS business_state,
+       t.state_incorp, t.sic, t.sic_description, t.fiscal_year_end,
+       CASE WHEN s.cik IS NOT NULL THEN s.last_price ELSE t.last_price END AS last_price,
+       CASE WHEN s.cik IS NOT NULL THEN s.market_cap ELSE t.market_cap END AS market_cap
+FROM tgt t FULL OUTER JOIN src s ON t.cik = s.cik
+"""
+
+ORACLES["upsert_period"] = with_ctes(HISTORY) + """
+, tgt AS (SELECT * FROM hist WHERE report_date < '1999-01-01'),
+src AS (SELECT * REPLACE (revenue_lq * 2.0 AS revenue_lq) FROM hist WHERE report_date >= '1998-01-01')
+SELECT * FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.cik = t.cik AND s.report_date = t.report_date)
+UNION ALL SELECT * FROM src
+"""
+
+ORACLES["insert_ignore"] = with_ctes(FILINGS) + """
+SELECT cik, filing_type, url FROM links WHERE filing_type = '10-K'
+UNION ALL
+SELECT cik, filing_type, url FROM links l
+WHERE url IS NOT NULL AND url <> ''
+  AND NOT EXISTS (SELECT 1 FROM links t WHERE t.filing_type = '10-K' AND t.cik = l.cik
+                  AND t.filing_type = l.filing_type AND t.url = l.url)
+"""

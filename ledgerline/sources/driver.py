@@ -152,3 +152,152 @@ def supplier_filing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(pad_cik(F.col("l_suppkey")).alias("cik"),
                      F.col("l_shipdate").cast("date").cast("string").alias("filing_date"))
+
+
+# --------------------------------------------------------------------------
+# AC: symbol directories, ticker map, requested tickers and filings
+# --------------------------------------------------------------------------
+def nasdaq_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as the NASDAQ-listed directory (negative balance = ETF)."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("Symbol"),
+        F.col("s_name").alias("Security Name"),
+        F.when(F.col("s_acctbal") < 0, "Y").otherwise("N").alias("ETF"),
+        F.lit("N").alias("Test Issue"),
+        F.col("s_suppkey").alias("pos"))
+
+
+def other_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as the other-listed directory, plus wealthy suppliers listed twice.
+
+    Segment decides the exchange code; machinery symbols carry a ``.W``
+    suffix (removed by the special-symbol filter); household rows are test issues.
+    """
+    c = table(spark, sf_dir, "customer")
+    seg = F.col("c_mktsegment")
+    cust = c.select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string"),
+                 F.when(seg == "MACHINERY", F.lit(".W")).otherwise(F.lit(""))).alias("ACT Symbol"),
+        F.col("c_name").alias("Security Name"),
+        F.when(seg == "AUTOMOBILE", "A").when(seg == "BUILDING", "N").when(seg == "FURNITURE", "P")
+         .otherwise("Z").alias("Exchange"),
+        F.when(F.col("c_acctbal") < 0, "Y").otherwise("N").alias("ETF"),
+        F.when(seg == "HOUSEHOLD", "Y").otherwise("N").alias("Test Issue"),
+        F.col("c_custkey").alias("pos"))
+    s = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 9000)
+    dup = s.select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ACT Symbol"),
+        F.col("s_name").alias("Security Name"), F.lit("N").alias("Exchange"),
+        F.lit("N").alias("ETF"), F.lit("N").alias("Test Issue"),
+        (F.col("s_suppkey") + F.lit(1 << 32)).alias("pos"))
+    return cust.unionByName(dup)
+
+
+def ticker_map_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticker-map entries in file order: customers with a non-negative balance,
+    then suppliers, then nations under a two-letter ticker (which collide, so
+    the later entry must win)."""
+    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    return (c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("ticker"),
+                     F.col("c_custkey").cast("string").alias("cik_str"), F.col("c_name").alias("title"),
+                     F.col("c_custkey").cast("bigint").alias("pos"))
+            .unionByName(s.select(F.concat(F.lit(" S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+                                  (F.col("s_suppkey") + 100000000).cast("string").alias("cik_str"),
+                                  F.col("s_name").alias("title"),
+                                  (F.col("s_suppkey") + F.lit(1 << 32)).alias("pos")))
+            .unionByName(n.select(F.substring("n_name", 1, 2).alias("ticker"),
+                                  (F.col("n_nationkey") + 900000000).cast("string").alias("cik_str"),
+                                  F.col("n_name").alias("title"),
+                                  (F.col("n_nationkey") + F.lit(1 << 33)).cast("bigint").alias("pos"))))
+
+
+def requested_ticker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a tickers file: one line per order in key order; pending orders are
+    comment lines, open orders are lower-case with padding."""
+    o = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    cust = F.col("o_custkey").cast("string")
+    line = (F.when(st == "F", F.concat(F.lit("C"), cust))
+            .when(st == "O", F.concat(F.lit("  c"), cust, F.lit(" ")))
+            .otherwise(F.concat(F.lit("# C"), cust)))
+    return o.select(line.alias("value"), F.col("o_orderkey").alias("pos"))
+
+
+def order_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as each customer's recent-filings list (newest first): priority → form."""
+    o = table(spark, sf_dir, "orders")
+    pr = F.col("o_orderpriority")
+    form = (F.when(pr == "1-URGENT", "10-K").when(pr == "2-HIGH", "10-Q").when(pr == "3-MEDIUM", "S-1")
+            .otherwise("8-K"))
+    d = F.col("o_orderdate").cast("date")
+    accession = F.concat(F.lpad(F.col("o_custkey").cast("string"), 10, "0"), F.lit("-"),
+                         F.date_format(d, "yy"), F.lit("-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))
+    # smaller pos = newer entry, as in the submissions arrays
+    pos = -(F.unix_date(d).cast("bigint") * F.lit(100000000) + F.col("o_orderkey"))
+    return o.select(pad_cik(F.col("o_custkey")).alias("cik"), pos.alias("pos"), form.alias("form"),
+                    accession.alias("accession"),
+                    F.concat(F.lit("d"), F.col("o_orderkey").cast("string"), F.lit(".htm")).alias("document"),
+                    d.cast("string").alias("filing_date"))
+
+
+# --------------------------------------------------------------------------
+# AH: fundamentals-shaped history from orders
+# --------------------------------------------------------------------------
+def customer_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in the ``companies`` shape."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        pad_cik(F.col("c_custkey")).alias("cik"),
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"),
+        F.col("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("business_state"),
+        F.col("c_mktsegment").alias("state_incorp"), F.col("c_nationkey").cast("string").alias("sic"),
+        F.col("c_mktsegment").alias("sic_description"), F.lit("1231").alias("fiscal_year_end"),
+        F.col("c_acctbal").cast("double").alias("last_price"),
+        F.lit(None).cast("double").alias("market_cap"))
+
+
+def order_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AH: one fundamentals row per (customer, order date).
+
+    Metrics are sums over that day's orders by status or priority, so a
+    metric is NULL when no order qualifies. Margins are left unguarded
+    (``300 × (F − O) / total`` and ``300 × (O − P) / total``) so that every
+    histogram bucket and the outlier query see data.
+    """
+    o = table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast(MONEY)
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    d = F.col("o_orderdate").cast("date")
+    g = (o.groupBy(pad_cik(F.col("o_custkey")).alias("cik"), d.alias("d"))
+         .agg(F.sum(price).alias("total"),
+              F.sum(F.when(st == "F", price)).alias("f_sum"),
+              F.sum(F.when(st == "O", price)).alias("o_sum"),
+              F.sum(F.when(st.isin("F", "O"), F.when(st == "F", price).otherwise(-price))).alias("fo"),
+              F.sum(F.when(st.isin("O", "P"), F.when(st == "O", price).otherwise(-price))).alias("op"),
+              F.sum(F.when(pr.isin("1-URGENT", "2-HIGH"), price)).alias("cash"),
+              F.sum(F.when(pr == "5-LOW", price)).alias("debt"),
+              F.sum(F.when(pr == "4-NOT SPECIFIED", F.lit(1000))).alias("shares")))
+    dbl = lambda c: F.col(c).cast("double")
+    return g.select(
+        "cik", F.col("d").cast("string").alias("report_date"),
+        F.year("d").alias("fiscal_year"),
+        F.concat(F.lit("Q"), F.quarter("d").cast("string")).alias("fiscal_period"),
+        dbl("total").alias("revenue_lq"), dbl("f_sum").alias("ebitda_lq"), dbl("o_sum").alias("net_income_lq"),
+        dbl("cash").alias("cash_sti"), dbl("debt").alias("total_debt"), dbl("shares").alias("shares_outstanding"),
+        (F.lit(300.0) * dbl("fo") / dbl("total")).alias("ebitda_margin"),
+        (F.lit(300.0) * dbl("op") / dbl("total")).alias("net_income_margin"),
+        F.lit(None).cast("double").alias("market_cap"),
+        (dbl("total") * F.lit(4.0)).alias("revenue_ltm"))
+
+
+def customer_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``filings`` table for customers: newest link per form, with ids in
+    insert order (company, then 10-Q, 10-K, S-1)."""
+    from ledgerline.sources.submissions import form_order, latest_filing_links
+    links = latest_filing_links(order_filings(spark, sf_dir))
+    return links.select(
+        (F.col("cik").cast("bigint") * 10 + form_order(F.col("filing_type"))).alias("id"),
+        "cik", "filing_type", "url")
