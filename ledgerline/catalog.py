@@ -324,3 +324,142 @@ def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = D.customer_filings(spark, sf_dir)
     target = links.where(F.col("filing_type") == "10-K")
     return ins(target, links, S.FILINGS_KEY, required=["url"]).drop("id")
+
+
+# --------------------------------------------------------------------------
+# Phase 4: text cells, feature selection, imputation, scaling, splits
+# --------------------------------------------------------------------------
+@query
+def parse_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Money cells ("$9,001.00", "null", "–")."""
+    from ledgerline.functions.cells import parse_money as pm
+    s = D.part_sheet(spark, sf_dir)
+    return s.select(F.col("Ticker").alias("ticker"), pm(F.col("Last Quarter Revenue")).alias("last_quarter_revenue"),
+                    pm(F.col("total debt")).alias("total_debt"), pm(F.col("Employee Count")).alias("employee_count"))
+
+
+@query
+def parse_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """percent cells to fractions (|v| > 2 read as percent)."""
+    from ledgerline.functions.cells import parse_percent as pp
+    s = D.part_sheet(spark, sf_dir)
+    return s.select(F.col("Ticker").alias("ticker"), pp(F.col("YoY Growth%")).alias("yoy_growth"),
+                    pp(F.col("EBITDA Margin")).alias("ebitda_margin"), pp(F.col("total debt")).alias("debt_as_percent"))
+
+
+@query
+def parse_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """generic cells (commas and ``$`` are not stripped)."""
+    from ledgerline.functions.cells import to_float
+    s = D.part_sheet(spark, sf_dir)
+    return s.select(F.col("Ticker").alias("ticker"), to_float(F.col(" revenue multiple ")).alias("revenue_multiple"),
+                    to_float(F.col("Employee Count")).alias("employee_count"),
+                    to_float(F.col("Last Quarter Revenue")).alias("revenue_as_float"))
+
+
+def _sheet_parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    from ledgerline.operators import features as X
+    df = X.with_target(X.normalise_headers(D.part_sheet(spark, sf_dir)))
+    cands = X.candidate_columns(df)
+    plan = X.parser_plan(df, cands)
+    return X.parse_columns(df, plan, [X.TICKER]), cands
+
+
+def _long_features(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(F.col("Ticker").alias("ticker"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols])).alias("s")
+    ).select("ticker", "s.feature", "s.value")
+
+
+@query
+def parse_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate column parsed by its name/`$` rule (long form)."""
+    parsed, cands = _sheet_parsed(spark, sf_dir)
+    return _long_features(parsed, cands)
+
+
+@query
+def valid_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of parsable cells per candidate column."""
+    from ledgerline.operators import features as X
+    parsed, cands = _sheet_parsed(spark, sf_dir)
+    return X.valid_ratios(parsed, cands)
+
+
+def _kept_columns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    from ledgerline.operators import features as X
+    parsed, cands = _sheet_parsed(spark, sf_dir)
+    n = parsed.count()
+    counts = parsed.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cands]).first()
+    return parsed, [c for c in cands if n and counts[c] / n >= X.VALID_RATIO]
+
+
+@query
+def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept columns with NULLs filled by the column median (long form)."""
+    from ledgerline.operators import features as X
+    parsed, kept = _kept_columns(spark, sf_dir)
+    return _long_features(X.impute(parsed, X.fit_medians(parsed, kept), kept), kept)
+
+
+@query
+def constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample std of each imputed column (≤ 1e-12 means constant, dropped)."""
+    from ledgerline.operators import features as X
+    parsed, kept = _kept_columns(spark, sf_dir)
+    stds = X.column_stddevs(X.impute(parsed, X.fit_medians(parsed, kept), kept), kept)
+    return stds.withColumn("is_constant", F.coalesce(F.col("std") <= X.CONSTANT_STD, F.lit(True)))
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.operators import analytics as A
+    return A.latest_snapshot(D.order_fundamentals(spark, sf_dir), D.customer_companies(spark, sf_dir))
+
+
+@query
+def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leakage-safe numeric columns of the snapshot, median-imputed
+    and standardised with population std (std 0 → 1)."""
+    from ledgerline.operators import features as X
+    snap = _snapshot(spark, sf_dir)
+    cols = X.leakage_safe_columns(snap)
+    med = X.fit_medians(snap, cols)
+    scaler = X.fit_scaler(snap, cols, med)
+    return X.standardize(snap.select("cik", "report_date", *cols), cols, med, scaler)
+
+
+@query
+def split_chronological(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Oldest 80 % of report rows → train, newest 20 % → val."""
+    from ledgerline.operators import features as X
+    h = D.order_fundamentals(spark, sf_dir).select("cik", "report_date")
+    return X.chronological_split(h, "report_date", ["cik"], 0.2)
+
+
+@query
+def ps_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """market cap (price × shares) ÷ LTM revenue, non-finite → NULL."""
+    from ledgerline.operators import features as X
+    h = D.order_fundamentals(spark, sf_dir).drop("market_cap")
+    c = D.customer_companies(spark, sf_dir).select("cik", F.col("last_price"))
+    j = h.join(c, "cik", "left").withColumn("market_cap", F.col("last_price") * F.col("shares_outstanding"))
+    return j.select("cik", "report_date", X.ps_ratio(j).alias("ps"))
+
+
+@query
+def teacher_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot ids with teacher predictions joined on the shared key columns."""
+    from ledgerline.operators import features as X
+    ids = _snapshot(spark, sf_dir).select("cik", "ticker", "report_date")
+    o = D.table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    teacher = (o.groupBy(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"))
+               .agg((F.max("o_totalprice") / F.lit(1000.0)).alias("pred")))
+    return X.join_teacher(ids, teacher)
+
+
+@query
+def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: seeded hash hold-out flag per row (no DuckDB twin of xxhash64: rows-only)."""
+    from ledgerline.operators import features as X
+    h = D.order_fundamentals(spark, sf_dir).select("cik", "report_date")
+    return X.hash_split(h, ["cik", "report_date"], 0.2, 42)

@@ -542,3 +542,139 @@ WHERE url IS NOT NULL AND url <> ''
   AND NOT EXISTS (SELECT 1 FROM links t WHERE t.filing_type = '10-K' AND t.cik = l.cik
                   AND t.filing_type = l.filing_type AND t.url = l.url)
 """
+
+
+SHEET = """
+sheet AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS ticker,
+         CASE WHEN p_size > 47 THEN 'N/A' ELSE CAST(p_size AS VARCHAR) || '.5' END AS c_target,
+         '$' || format('{:,.2f}', p_retailprice * 10) AS c_revenue,
+         CAST(p_size AS VARCHAR) || '%' AS c_yoy,
+         CASE WHEN p_type = 'PROMO' THEN '-' ELSE CAST(p_size - 25 AS VARCHAR) || '%' END AS c_margin,
+         CASE WHEN p_type = 'ECONOMY' THEN '–' ELSE CAST(p_size * 10 AS VARCHAR) END AS c_emp,
+         CASE WHEN p_type = 'SMALL' THEN 'null' ELSE '$' || format('{:,.2f}', p_retailprice * 2) END AS c_debt,
+         CAST(p_size + 1980 AS VARCHAR) AS c_ipo,
+         regexp_extract(p_brand, '#(\d+)', 1) AS c_brand,
+         '1' AS c_listed,
+         CASE WHEN p_size < 10 THEN CAST(p_size AS VARCHAR) ELSE 'N/A' END AS c_sparse
+  FROM part)
+"""
+
+MISSING = "('', 'N/A', 'NA', 'na', 'null', 'None', '–', '-')"
+
+
+def _money(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL OR trim({c}) IN {MISSING} THEN NULL "
+            f"ELSE TRY_CAST(trim(replace(replace({c}, '$', ''), ',', '')) AS DOUBLE) END")
+
+
+def _float(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL OR trim({c}) IN {MISSING} THEN NULL ELSE TRY_CAST(trim({c}) AS DOUBLE) END"
+
+
+def _pct(c: str) -> str:
+    v = f"TRY_CAST(trim(replace(regexp_replace(trim({c}), '%$', ''), ',', '')) AS DOUBLE)"
+    return (f"CASE WHEN {c} IS NULL OR trim({c}) IN {MISSING} THEN NULL "
+            f"WHEN abs({v}) > 2 THEN {v} / 100.0 ELSE {v} END")
+
+
+ORACLES["parse_money"] = with_ctes(SHEET) + f"""
+SELECT ticker, {_money('c_revenue')} AS last_quarter_revenue, {_money('c_debt')} AS total_debt,
+       {_money('c_emp')} AS employee_count FROM sheet
+"""
+
+ORACLES["parse_percent"] = with_ctes(SHEET) + f"""
+SELECT ticker, {_pct('c_yoy')} AS yoy_growth, {_pct('c_margin')} AS ebitda_margin,
+       {_pct('c_debt')} AS debt_as_percent FROM sheet
+"""
+
+ORACLES["parse_float"] = with_ctes(SHEET) + f"""
+SELECT ticker, {_float('c_target')} AS revenue_multiple, {_float('c_emp')} AS employee_count,
+       {_float('c_revenue')} AS revenue_as_float FROM sheet
+"""
+
+# name → (parsed expression); parser chosen by name hints / "$" presence
+SHEET_FEATURES = [
+    ("Last Quarter Revenue", _money("c_revenue")),
+    ("YoY Growth%", _pct("c_yoy")),
+    ("EBITDA Margin", _pct("c_margin")),
+    ("Employee Count", _float("c_emp")),
+    ("Total Debt", _money("c_debt")),
+    ("IPO Year", _float("c_ipo")),
+    ("Brand Rank", _float("c_brand")),
+    ("Listed", _float("c_listed")),
+    ("Sparse Metric", _float("c_sparse")),
+]
+
+PARSED = """
+parsed AS (
+  SELECT ticker, """ + ",\n         ".join(f'{e} AS "{n}"' for n, e in SHEET_FEATURES) + """
+  FROM sheet WHERE """ + _float("c_target") + """ IS NOT NULL),
+plong AS (
+  SELECT ticker, feature, value FROM parsed
+  UNPIVOT INCLUDE NULLS (value FOR feature IN (""" + ", ".join(f'"{n}"' for n, _ in SHEET_FEATURES) + """)))
+"""
+
+ORACLES["parse_dispatch"] = with_ctes(SHEET, PARSED) + "SELECT ticker, feature, CAST(value AS DOUBLE) AS value FROM plong"
+
+ORACLES["valid_ratio"] = with_ctes(SHEET, PARSED) + """
+SELECT feature, CAST(count(value) AS DOUBLE) / count(*) AS valid_ratio FROM plong GROUP BY feature
+"""
+
+KEPT = """
+kept AS (SELECT feature FROM plong GROUP BY feature HAVING CAST(count(value) AS DOUBLE) / count(*) >= 0.7),
+med AS (SELECT feature, median(value) AS m FROM plong GROUP BY feature),
+filled AS (
+  SELECT p.ticker, p.feature, COALESCE(p.value, m.m, 0.0) AS value
+  FROM plong p JOIN kept k ON k.feature = p.feature JOIN med m ON m.feature = p.feature)
+"""
+
+ORACLES["impute_median"] = with_ctes(SHEET, PARSED, KEPT) + "SELECT ticker, feature, CAST(value AS DOUBLE) AS value FROM filled"
+
+ORACLES["constant_columns"] = with_ctes(SHEET, PARSED, KEPT) + """
+SELECT feature, stddev_samp(value) AS std, COALESCE(stddev_samp(value) <= 1e-12, true) AS is_constant
+FROM filled GROUP BY feature
+"""
+
+SNAPSHOT = """
+latest AS (
+  SELECT f.* FROM (SELECT cik, max(report_date) AS mr FROM hist GROUP BY cik) j
+  JOIN hist f ON f.cik = j.cik AND f.report_date = j.mr),
+snap AS (SELECT l.*, c.ticker FROM latest l JOIN comp c USING (cik) WHERE l.report_date IS NOT NULL)
+"""
+
+STD_COLS = ["revenue_lq", "ebitda_lq", "net_income_lq", "cash_sti", "total_debt", "ebitda_margin",
+            "net_income_margin", "revenue_ltm"]
+
+ORACLES["standardize"] = with_ctes(HISTORY, CUSTOMER_COMPANIES, SNAPSHOT) + """
+, med AS (SELECT """ + ", ".join(f"median({c}) AS m_{c}" for c in STD_COLS) + """ FROM snap),
+filled AS (SELECT s.cik, s.report_date, """ + ", ".join(f"COALESCE(s.{c}, med.m_{c}, 0.0) AS {c}" for c in STD_COLS) + """
+           FROM snap s CROSS JOIN med),
+sc AS (SELECT """ + ", ".join(
+    f"avg({c}) AS mean_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS std_{c}"
+    for c in STD_COLS) + """ FROM filled)
+SELECT cik, report_date, """ + ", ".join(f"({c} - mean_{c}) / std_{c} AS {c}" for c in STD_COLS) + """
+FROM filled CROSS JOIN sc
+"""
+
+ORACLES["split_chronological"] = with_ctes(HISTORY) + """
+, d AS (SELECT cik, report_date FROM hist WHERE report_date IS NOT NULL)
+SELECT cik, report_date,
+       CASE WHEN row_number() OVER (ORDER BY report_date, cik) <= CAST(floor((SELECT count(*) FROM d) * 0.8) AS BIGINT)
+            THEN 'train' ELSE 'val' END AS split
+FROM d
+"""
+
+ORACLES["ps_ratio"] = with_ctes(HISTORY, CUSTOMER_COMPANIES) + """
+SELECT h.cik, h.report_date,
+       CASE WHEN isfinite(c.last_price * h.shares_outstanding / h.revenue_ltm)
+            THEN c.last_price * h.shares_outstanding / h.revenue_ltm END AS ps
+FROM hist h LEFT JOIN comp c ON c.cik = h.cik
+"""
+
+ORACLES["teacher_join"] = with_ctes(HISTORY, CUSTOMER_COMPANIES, SNAPSHOT) + """
+, teacher AS (SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, max(o_totalprice) / 1000.0 AS pred
+              FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+SELECT s.cik, s.ticker, s.report_date, t.pred AS teacher_pred
+FROM snap s LEFT JOIN teacher t ON t.ticker = s.ticker
+"""

@@ -301,3 +301,33 @@ def customer_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select(
         (F.col("cik").cast("bigint") * 10 + form_order(F.col("filing_type"))).alias("id"),
         "cik", "filing_type", "url")
+
+
+# --------------------------------------------------------------------------
+# AT: spreadsheet text cells from part
+# --------------------------------------------------------------------------
+def part_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a spreadsheet export: every cell is text (money with ``$`` and
+    thousands commas, percents with ``%``, missing tokens by part type),
+    including identifier, excluded, leaky, sparse and constant columns."""
+    p = table(spark, sf_dir, "part")
+    size, ty, price = F.col("p_size"), F.col("p_type"), F.col("p_retailprice")
+    s = lambda c: c.cast("string")
+    return p.select(
+        F.concat(F.lit("P"), s(F.col("p_partkey"))).alias("Ticker"),
+        F.col("p_name").alias("Company"),
+        F.when(size > 47, F.lit("N/A")).otherwise(F.concat(s(size), F.lit(".5"))).alias(" revenue multiple "),
+        F.concat(F.lit("$"), F.format_number(price * 10, 2)).alias("Last Quarter Revenue"),
+        F.concat(s(size), F.lit("%")).alias("YoY Growth%"),
+        F.when(ty == "PROMO", F.lit("-")).otherwise(F.concat(s(size - 25), F.lit("%"))).alias("EBITDA Margin"),
+        F.when(ty == "ECONOMY", F.lit("–")).otherwise(s(size * 10)).alias("Employee Count"),
+        F.when(ty == "SMALL", F.lit("null")).otherwise(F.concat(F.lit("$"), F.format_number(price * 2, 2)))
+         .alias("total debt"),
+        s(size + 1980).alias("IPO Year"),
+        F.regexp_extract(F.col("p_brand"), r"#(\d+)", 1).alias("Brand Rank"),
+        ty.alias("Headquarters"),
+        F.concat(F.lit("$"), F.format_number(price * 1000, 2)).alias("Market Cap"),
+        s(size).alias("EV/Revenue Ratio"),
+        F.lit("1").alias("Listed"),
+        F.when(size < 10, s(size)).otherwise(F.lit("N/A")).alias("Sparse Metric"),
+    )
