@@ -463,3 +463,118 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators import features as X
     h = D.order_fundamentals(spark, sf_dir).select("cik", "report_date")
     return X.hash_split(h, ["cik", "report_date"], 0.2, 42)
+
+
+# --------------------------------------------------------------------------
+# Phase 5: evaluation tables and models
+# --------------------------------------------------------------------------
+_KEYS = ["l_orderkey", "l_linenumber"]
+_FEATURES = ["f_price", "f_discount", "f_tax", "f_line", "f_month"]
+
+
+@query
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAE, RMSE, R², median/p90/p95 AE, safe MAPE, n."""
+    from ledgerline.operators.evaluation import regression_metrics as rm
+    return rm(D.labelled_lines(spark, sf_dir))
+
+
+@query
+def residual_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """30-bin residual histogram."""
+    from ledgerline.operators.evaluation import residual_histogram as rh
+    return rh(D.labelled_lines(spark, sf_dir))
+
+
+@query
+def top_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15 largest absolute errors with their keys."""
+    from ledgerline.operators.evaluation import top_errors as te
+    return te(D.labelled_lines(spark, sf_dir), _KEYS)
+
+
+@query
+def clip_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentile-clipped point sizes of the price column."""
+    from ledgerline.operators.evaluation import clip_scale as cs
+    return cs(D.labelled_lines(spark, sf_dir).select(*_KEYS, "f_price"), "f_price")
+
+
+@query
+def kd_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distillation loss (α = 0.7) with a partly missing label and teacher."""
+    from ledgerline.operators.evaluation import kd_loss as kd
+    return kd(D.labelled_lines(spark, sf_dir), "predicted", "y_kd", "teacher")
+
+
+@query
+def ensemble_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row mean ± population std over five member predictions."""
+    from ledgerline.operators.evaluation import ensemble_stats as es
+    d = D.labelled_lines(spark, sf_dir)
+    return es(d, [f"m{i}" for i in range(5)]).select(*_KEYS, "pred_mean", "pred_std")
+
+
+@query
+def sorted_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out rows ranked by actual (ties by key)."""
+    from ledgerline.operators.evaluation import sorted_parity as sp
+    d = D.labelled_lines(spark, sf_dir).where(F.col("holdout"))
+    return sp(d, _KEYS)
+
+
+def _ml_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.operators.features import hash_split
+    return hash_split(D.labelled_lines(spark, sf_dir), _KEYS, 0.2, 42)
+
+
+@query
+def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4/M8: fit boosted trees on the train split, score the hold-out rows."""
+    from ledgerline.operators import models as ML
+    d = _ml_data(spark, sf_dir)
+    fit = ML.train_model(d.where(~F.col("is_test")), _FEATURES, "label",
+                         {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3})
+    return ML.predict(fit, d.where(F.col("is_test"))).select(*_KEYS, "label", "prediction")
+
+
+@query
+def gbt_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded random search, 3 folds from a key hash, mean CV MAE per trial."""
+    from ledgerline.operators import models as ML
+    d = _ml_data(spark, sf_dir).where(~F.col("is_test"))
+    cands = [dict(c, n_estimators=min(c["n_estimators"], 10)) for c in ML.sample_space(3, 42)]
+    _, means = ML.tune(d, _FEATURES, _KEYS, "label", cands, folds=3, seed=42, parallelism=3)
+    return means
+
+
+@query
+def gbt_bagging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three bootstrap members (Poisson weights), mean ± std on hold-out rows."""
+    from ledgerline.operators import models as ML
+    d = _ml_data(spark, sf_dir)
+    fits = ML.train_ensemble(d.where(~F.col("is_test")), _FEATURES, _KEYS, "label",
+                             {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1}, members=3)
+    return ML.predict_ensemble(fits, d.where(F.col("is_test"))).select(*_KEYS, "label", "pred_mean", "pred_std")
+
+
+@query
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean importance over three members, top 20."""
+    from ledgerline.operators import models as ML
+    d = _ml_data(spark, sf_dir).where(~F.col("is_test"))
+    fits = ML.train_ensemble(d, _FEATURES, _KEYS, "label",
+                             {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1}, members=3)
+    return ML.feature_importance(spark, fits)
+
+
+@query
+def distil_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Student fitted on the blended label with a validation indicator;
+    hold-out predictions."""
+    from ledgerline.operators import models as ML
+    d = ML.distillation_target(_ml_data(spark, sf_dir), "y_kd", "teacher")
+    train = d.where(~F.col("is_test")).withColumn("is_val", F.col("holdout"))
+    fit, _ = ML.validation_curve(train, _FEATURES, "kd_label", "is_val",
+                                 {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1})
+    return ML.predict(fit, d.where(F.col("is_test"))).select(*_KEYS, "kd_label", "prediction")

@@ -678,3 +678,74 @@ ORACLES["teacher_join"] = with_ctes(HISTORY, CUSTOMER_COMPANIES, SNAPSHOT) + """
 SELECT s.cik, s.ticker, s.report_date, t.pred AS teacher_pred
 FROM snap s LEFT JOIN teacher t ON t.ticker = s.ticker
 """
+
+
+LABELLED = """
+lab AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DECIMAL(18,2)) AS actual,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.00050 AS DECIMAL(6,5)) AS predicted,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+         CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.00040 AS DECIMAL(6,5)) END AS teacher,
+         CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) END AS y_kd,
+         l_shipdate >= TIMESTAMP '2001-01-01' AS holdout, l_extendedprice AS f_price
+  FROM lineitem)
+"""
+
+ORACLES["regression_metrics"] = with_ctes(LABELLED) + """
+, e AS (SELECT actual, predicted - actual AS err, CAST(actual AS DOUBLE) AS yd FROM lab),
+a AS (SELECT CAST(sum(abs(err)) AS DOUBLE) / count(*) AS mae,
+             sqrt(CAST(sum(err * err) AS DOUBLE) / count(*)) AS rmse,
+             CAST(sum(err * err) AS DOUBLE) AS sse, var_pop(yd) * count(*) AS sst,
+             quantile_cont(CAST(abs(err) AS DOUBLE), 0.5) AS median_ae,
+             quantile_cont(CAST(abs(err) AS DOUBLE), 0.9) AS p90_ae,
+             quantile_cont(CAST(abs(err) AS DOUBLE), 0.95) AS p95_ae,
+             avg(CASE WHEN abs(yd) >= 1e-8 THEN CAST(abs(err) AS DOUBLE) / abs(yd) END) * 100.0 AS mape_percent,
+             count(*) AS n_test
+      FROM e)
+SELECT mae, rmse, CASE WHEN sst > 0 THEN 1.0 - sse / sst END AS r2, median_ae, p90_ae, p95_ae, mape_percent, n_test FROM a
+"""
+
+ORACLES["residual_histogram"] = with_ctes(LABELLED) + """
+, r AS (SELECT CAST(predicted AS DOUBLE) - CAST(actual AS DOUBLE) AS r FROM lab),
+g AS (SELECT min(r) AS lo, max(r) AS hi FROM r),
+b AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((r - lo) / (hi - lo) * 30) AS BIGINT) + 1, 30) END AS bin,
+             lo, hi FROM r CROSS JOIN g)
+SELECT CAST(bin AS INTEGER) AS bin, lo + (hi - lo) * (bin - 1) / 30 AS lo_edge, lo + (hi - lo) * bin / 30 AS hi_edge,
+       count(*) AS n
+FROM b GROUP BY bin, lo, hi
+"""
+
+ORACLES["top_errors"] = with_ctes(LABELLED) + """
+SELECT l_orderkey, l_linenumber, CAST(actual AS DOUBLE) AS actual, CAST(predicted AS DOUBLE) AS predicted,
+       abs(CAST(predicted AS DOUBLE) - CAST(actual AS DOUBLE)) AS abs_err
+FROM lab ORDER BY abs_err DESC, l_orderkey, l_linenumber LIMIT 15
+"""
+
+ORACLES["clip_scale"] = with_ctes(LABELLED) + """
+, q AS (SELECT quantile_cont(f_price, 0.05) AS lo, quantile_cont(f_price, 0.95) AS hi FROM lab)
+SELECT l_orderkey, l_linenumber, f_price,
+       CASE WHEN hi - lo <= 1e-12 THEN 40.0
+            ELSE 20.0 + 100.0 * least(greatest((f_price - lo) / (hi - lo), 0.0), 1.0) END AS size
+FROM lab CROSS JOIN q
+"""
+
+ORACLES["kd_loss"] = with_ctes(LABELLED) + """
+, a AS (SELECT avg(abs(CAST(predicted AS DOUBLE) - CAST(y_kd AS DOUBLE))) AS l1,
+               avg(pow(CAST(predicted AS DOUBLE) - CAST(teacher AS DOUBLE), 2)) AS mse FROM lab)
+SELECT l1, mse, CASE WHEN l1 IS NOT NULL AND mse IS NOT NULL THEN 0.7 * l1 + 0.30000000000000004 * mse
+                     ELSE COALESCE(l1, mse) END AS loss FROM a
+"""
+
+_M = [f"CAST(price * CAST({r} AS DECIMAL(6,5)) AS DOUBLE)" for r in ["0.00040", "0.00045", "0.00050", "0.00055", "0.00060"]]
+ORACLES["ensemble_stats"] = with_ctes(LABELLED) + """
+, m AS (SELECT l_orderkey, l_linenumber, (""" + " + ".join(_M) + """) / 5.0 AS pred_mean, """ + ", ".join(
+    f"{e} AS m{i}" for i, e in enumerate(_M)) + """ FROM lab)
+SELECT l_orderkey, l_linenumber, pred_mean,
+       sqrt((""" + " + ".join(f"pow(m{i} - pred_mean, 2)" for i in range(5)) + """) / 5.0) AS pred_std FROM m
+"""
+
+ORACLES["sorted_parity"] = with_ctes(LABELLED) + """
+SELECT l_orderkey, l_linenumber, CAST(actual AS DOUBLE) AS actual, CAST(predicted AS DOUBLE) AS predicted,
+       row_number() OVER (ORDER BY CAST(actual AS DOUBLE), l_orderkey, l_linenumber, CAST(predicted AS DOUBLE)) AS rank
+FROM lab WHERE holdout
+"""
