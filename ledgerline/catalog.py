@@ -27,8 +27,7 @@ def query(fn: QueryFn) -> QueryFn:
 
 
 def _series(spark: SparkSession, sf_dir: str, metrics: list[str]) -> DataFrame:
-    mmap = S.metric_map(spark).where(F.col("metric").isin(metrics))
-    return resolve_series(D.lineitem_facts(spark, sf_dir), mmap)
+    return resolve_series(D.lineitem_facts(spark, sf_dir), S.metric_map(spark, metrics), S.map_kinds(metrics))
 
 
 # --------------------------------------------------------------------------

@@ -128,43 +128,64 @@ def _finish(df: DataFrame, kind: str, keys: dict[str, Column]) -> DataFrame:
     return df.withColumns(keys).withColumn("kind", F.lit(kind)).select(*SERIES_COLUMNS)
 
 
-def resolve_series(facts: DataFrame, mmap: DataFrame) -> DataFrame:
+def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool]] | None = None,
+                   checkpoint: bool = True) -> DataFrame:
     """All metrics of all companies as resolved series (tag choice, W1, combining).
 
     Output: ``SERIES_COLUMNS``; ``kind`` tells which recency order applies.
+    ``kinds`` — the (combine, quarterly) pairs present in ``mmap`` — lets the
+    plan skip branches that cannot produce rows (see ``schemas.map_kinds``).
     """
+    kinds = kinds if kinds is not None else {("first", True), ("first", False), ("sum", False), ("join", True)}
+    combines = {c for c, _ in kinds}
     chosen = resolve_tags(attach_metric_map(facts, mmap))
     # W1 only where the metric is a flow (revenue, EBITDA inputs, net income).
-    q = chosen.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val")))
-
-    first = q.where(F.col("combine") == "first")
-    first_q = _finish(first.where(F.col("quarterly")), "quarterly", order_keys("quarterly"))
-    first_r = _finish(first.where(~F.col("quarterly")), "raw", order_keys("raw"))
-
-    # Sum of present components per period; NULL period keys drop out.
-    comp = q.where(F.col("combine") == "sum")
-    keys = ["end", "form", "fy", "fp"]
-    summed = (comp.where(F.col("end").isNotNull() & F.col("form").isNotNull()
-                         & F.col("fy").isNotNull() & F.col("fp").isNotNull())
-              .groupBy("cik", "metric", *keys)
-              .agg(F.sum("val").alias("val"), F.max("out_tag").alias("tag"))
-              .withColumns({"unit": F.lit("USD"), "qtrs": F.lit(None).cast("int"),
-                            "scale_applied": F.lit(0)}))
-    summed = _finish(summed, "sum", order_keys("sum"))
-
-    # EBITDA composite: inner join of the two inputs on the period; NULL keys match.
-    joined = join_on_period(q.where((F.col("combine") == "join") & (F.col("priority") == 1)),
-                            q.where((F.col("combine") == "join") & (F.col("priority") == 2)),
-                            extra_keys=["cik", "metric"])
-    joined = joined.select(
-        "cik", "metric", "end", "form", "fy", "fp",
-        (F.coalesce(F.col("val_a"), F.lit(0)) + F.coalesce(F.col("val_b"), F.lit(0))).alias("val"),
-        F.col("out_tag_a").alias("tag"), F.lit("USD").alias("unit"),
-        F.lit(None).cast("int").alias("qtrs"), F.lit(0).alias("scale_applied"),
-        F.col("pos_a").alias("pos"), F.col("pos_b").alias("pos2"))
-    joined = _finish(joined, "join", order_keys("join", F.col("pos"), F.col("pos2")))
-
-    return first_q.unionByName(first_r).unionByName(summed).unionByName(joined)
+    has_flow = any(qf for _, qf in kinds)
+    q = chosen.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val"))) \
+        if has_flow else chosen
+    if checkpoint and len(combines) + (("first", True) in kinds and ("first", False) in kinds) > 1:
+        # Several branches read the de-accumulated facts: write them once to the
+        # shared checkpoint folder instead of recomputing the upstream per branch.
+        from ledgerline.session import cut_lineage
+        q = cut_lineage(q)
+    parts: list[DataFrame] = []
+
+    if "first" in combines:
+        first = q.where(F.col("combine") == "first")
+        if ("first", True) in kinds:
+            parts.append(_finish(first.where(F.col("quarterly")), "quarterly", order_keys("quarterly")))
+        if ("first", False) in kinds:
+            parts.append(_finish(first.where(~F.col("quarterly")), "raw", order_keys("raw")))
+
+    if "sum" in combines:
+        # Sum of present components per period; NULL period keys drop out.
+        comp = q.where(F.col("combine") == "sum")
+        keys = ["end", "form", "fy", "fp"]
+        summed = (comp.where(F.col("end").isNotNull() & F.col("form").isNotNull()
+                             & F.col("fy").isNotNull() & F.col("fp").isNotNull())
+                  .groupBy("cik", "metric", *keys)
+                  .agg(F.sum("val").alias("val"), F.max("out_tag").alias("tag"))
+                  .withColumns({"unit": F.lit("USD"), "qtrs": F.lit(None).cast("int"),
+                                "scale_applied": F.lit(0)}))
+        parts.append(_finish(summed, "sum", order_keys("sum")))
+
+    if "join" in combines:
+        # EBITDA composite: inner join of the two inputs on the period; NULL keys match.
+        joined = join_on_period(q.where((F.col("combine") == "join") & (F.col("priority") == 1)),
+                                q.where((F.col("combine") == "join") & (F.col("priority") == 2)),
+                                extra_keys=["cik", "metric"])
+        joined = joined.select(
+            "cik", "metric", "end", "form", "fy", "fp",
+            (F.coalesce(F.col("val_a"), F.lit(0)) + F.coalesce(F.col("val_b"), F.lit(0))).alias("val"),
+            F.col("out_tag_a").alias("tag"), F.lit("USD").alias("unit"),
+            F.lit(None).cast("int").alias("qtrs"), F.lit(0).alias("scale_applied"),
+            F.col("pos_a").alias("pos"), F.col("pos_b").alias("pos2"))
+        parts.append(_finish(joined, "join", order_keys("join", F.col("pos"), F.col("pos2"))))
+
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def join_on_period(a: DataFrame, b: DataFrame, extra_keys: list[str] | None = None,

@@ -554,7 +554,7 @@ sheet AS (
          CASE WHEN p_type = 'ECONOMY' THEN '–' ELSE CAST(p_size * 10 AS VARCHAR) END AS c_emp,
          CASE WHEN p_type = 'SMALL' THEN 'null' ELSE '$' || format('{:,.2f}', p_retailprice * 2) END AS c_debt,
          CAST(p_size + 1980 AS VARCHAR) AS c_ipo,
-         regexp_extract(p_brand, '#(\d+)', 1) AS c_brand,
+         regexp_extract(p_brand, '#([0-9]+)', 1) AS c_brand,
          '1' AS c_listed,
          CASE WHEN p_size < 10 THEN CAST(p_size AS VARCHAR) ELSE 'N/A' END AS c_sparse
   FROM part)

@@ -88,8 +88,15 @@ def metric_map_rows() -> list[tuple]:
     return rows
 
 
-def metric_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(metric_map_rows(), METRIC_MAP_SCHEMA)
+def metric_map(spark: SparkSession, metrics: list[str] | None = None) -> DataFrame:
+    """The metric map as a broadcastable frame (optionally only some metrics)."""
+    rows = [r for r in metric_map_rows() if metrics is None or r[0] in metrics]
+    return spark.createDataFrame(rows, METRIC_MAP_SCHEMA)
+
+
+def map_kinds(metrics: list[str] | None = None) -> set[tuple[str, bool]]:
+    """(combine, quarterly) pairs used by the selected metrics (decided on the driver)."""
+    return {(r[6], r[7]) for r in metric_map_rows() if metrics is None or r[0] in metrics}
 
 
 # ---------------------------------------------------------------------------

@@ -34,39 +34,47 @@ def quarter_end(year: Column, quarter: Column) -> Column:
     return F.last_day(F.make_date(year, quarter * 3, F.lit(1)))
 
 
+def _cents(c: Column) -> Column:
+    """Exact integer hundredths of a two-decimal value (sums stay in 64-bit integers)."""
+    # rint (Math.rint) instead of round: round() on DOUBLE goes through BigDecimal per row
+    return F.rint(c * 100).cast("bigint")
+
+
 def supplier_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (supplier, year, quarter) with exact period sums.
 
     flows (made year-to-date later): revenue, operating income, net income, D&A
     instants (point in time): cash, short-term investments, debt parts, shares
     An instant component exists only in quarters that have qualifying lines,
-    so components are naturally sparse.
+    so components are naturally sparse. Sums run over integer cents (and
+    1e-4 units for products) and become DECIMAL only after aggregation.
     """
     li = table(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice").cast(MONEY)
-    qty = F.col("l_quantity").cast(MONEY)
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    flag = F.col("l_returnflag")
-    status = F.col("l_linestatus")
-    return (li.select(
-                pad_cik(F.col("l_suppkey")).alias("cik"),
-                F.year("l_shipdate").alias("yr"), F.quarter("l_shipdate").alias("q"),
-                price.alias("price"), qty.alias("qty"), disc.alias("disc"), tax.alias("tax"),
-                flag.alias("flag"), status.alias("status"))
-            .groupBy("cik", "yr", "q")
-            .agg(F.sum("price").alias("revenue"),
-                 F.sum(F.when(F.col("flag") == "R", -F.col("price")).otherwise(F.col("price"))).alias("op_income"),
-                 F.sum(F.when(F.col("flag") == "A", F.col("price"))
-                       .when(F.col("flag") == "R", -F.col("price"))
-                       .otherwise(F.lit(0).cast(MONEY))).alias("net_income"),
-                 F.sum("qty").alias("da"),
-                 F.sum(F.when(F.col("status") == "F", F.col("price") * (1 - F.col("disc")))).alias("cash"),
-                 F.sum(F.when(F.col("tax") >= 0.06, F.col("price") * F.col("tax"))).alias("sti"),
-                 F.sum(F.when(F.col("disc") >= 0.09, F.col("price") * F.col("disc"))).alias("debt_nc"),
-                 F.sum(F.when(F.col("disc") <= 0.01, F.col("price") * F.col("disc"))).alias("debt_c"),
-                 F.sum(F.when(F.col("flag") == "R", F.col("qty"))).alias("borrow"),
-                 F.count(F.lit(1)).alias("shares")))
+    price, qty = _cents(F.col("l_extendedprice")), _cents(F.col("l_quantity"))
+    disc, tax = _cents(F.col("l_discount")), _cents(F.col("l_tax"))
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    zero = F.lit(0).cast("bigint")
+    g = (li.groupBy(F.col("l_suppkey").alias("supp"), F.year("l_shipdate").alias("yr"),
+                    F.quarter("l_shipdate").alias("q"))
+         .agg(F.sum(price).alias("revenue"),
+              F.sum(F.when(flag == "R", -price).otherwise(price)).alias("op_income"),
+              F.sum(F.when(flag == "A", price).when(flag == "R", -price).otherwise(zero)).alias("net_income"),
+              F.sum(qty).alias("da"),
+              F.sum(F.when(status == "F", price * (F.lit(100) - disc))).alias("cash"),
+              F.sum(F.when(tax >= 6, price * tax)).alias("sti"),
+              F.sum(F.when(disc >= 9, price * disc)).alias("debt_nc"),
+              F.sum(F.when(disc <= 1, price * disc)).alias("debt_c"),
+              F.sum(F.when(flag == "R", qty)).alias("borrow"),
+              F.count(F.lit(1)).alias("shares")))
+    cents = lambda c: (F.col(c).cast("decimal(20,0)") / F.lit(100)).cast(VAL)
+    bp = lambda c: (F.col(c).cast("decimal(20,0)") / F.lit(10000)).cast(VAL)
+    return g.select(
+        pad_cik(F.col("supp")).alias("cik"), "yr", "q",
+        cents("revenue").alias("revenue"), cents("op_income").alias("op_income"),
+        cents("net_income").alias("net_income"), cents("da").alias("da"),
+        bp("cash").alias("cash"), bp("sti").alias("sti"), bp("debt_nc").alias("debt_nc"),
+        bp("debt_c").alias("debt_c"), cents("borrow").alias("borrow"),
+        F.col("shares").cast(VAL).alias("shares"))
 
 
 def lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
