@@ -138,16 +138,19 @@ def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool
     """
     kinds = kinds if kinds is not None else {("first", True), ("first", False), ("sum", False), ("join", True)}
     combines = {c for c, _ in kinds}
-    chosen = resolve_tags(attach_metric_map(facts, mmap))
+    tagged = attach_metric_map(facts, mmap)
+    if checkpoint:
+        # The tag choice reads the tagged facts twice (winner aggregate + semi-join)
+        # and every combine branch reads them again: write this small subset of
+        # the facts (only metric-map tags) once to the shared checkpoint folder so
+        # the raw input is scanned once and the job restarts from here on failure.
+        from ledgerline.session import cut_lineage
+        tagged = cut_lineage(tagged, "tagged-facts")
+    chosen = resolve_tags(tagged)
     # W1 only where the metric is a flow (revenue, EBITDA inputs, net income).
     has_flow = any(qf for _, qf in kinds)
     q = chosen.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val"))) \
         if has_flow else chosen
-    if checkpoint and len(combines) + (("first", True) in kinds and ("first", False) in kinds) > 1:
-        # Several branches read the de-accumulated facts: write them once to the
-        # shared checkpoint folder instead of recomputing the upstream per branch.
-        from ledgerline.session import cut_lineage
-        q = cut_lineage(q)
     parts: list[DataFrame] = []
 
     if "first" in combines:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,12 +60,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` once as a Parquet table under the shared
+    checkpoint folder and reading it back.
+
+    Unlike ``Dataset.checkpoint()`` (which computes the plan a second time to
+    write it unless cached) this computes once; the result survives executor
+    loss because it lives on the shared file system, and downstream stages
+    get a columnar, pruneable scan.
+    """
+    spark = df.sparkSession
+    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def share(df: DataFrame) -> DataFrame:
+    """Persist a frame that feeds several branches of one plan (memory, spilling
+    to disk). Lineage is kept, so a lost executor's blocks are recomputed."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

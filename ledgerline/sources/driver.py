@@ -23,6 +23,7 @@ from ledgerline import schemas as S
 from ledgerline.functions.scalars import pad_cik
 
 MONEY = "decimal(18,2)"
+MONEY_SUM = "decimal(28,2)"
 VAL = "decimal(30,4)"
 
 
@@ -273,24 +274,24 @@ def order_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     Metrics are sums over that day's orders by status or priority, so a
     metric is NULL when no order qualifies. Margins are left unguarded
     (``300 × (F − O) / total`` and ``300 × (O − P) / total``) so that every
-    histogram bucket and the outlier query see data.
+    histogram bucket and the outlier query see data. Sums run over integer cents.
     """
     o = table(spark, sf_dir, "orders")
-    price = F.col("o_totalprice").cast(MONEY)
+    price = _cents(F.col("o_totalprice"))
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    d = F.col("o_orderdate").cast("date")
-    g = (o.groupBy(pad_cik(F.col("o_custkey")).alias("cik"), d.alias("d"))
+    g = (o.groupBy(F.col("o_custkey").alias("cust"), F.col("o_orderdate").cast("date").alias("d"))
          .agg(F.sum(price).alias("total"),
               F.sum(F.when(st == "F", price)).alias("f_sum"),
               F.sum(F.when(st == "O", price)).alias("o_sum"),
-              F.sum(F.when(st.isin("F", "O"), F.when(st == "F", price).otherwise(-price))).alias("fo"),
-              F.sum(F.when(st.isin("O", "P"), F.when(st == "O", price).otherwise(-price))).alias("op"),
+              F.sum(F.when(st == "F", price).when(st == "O", -price)).alias("fo"),
+              F.sum(F.when(st == "O", price).when(st == "P", -price)).alias("op"),
               F.sum(F.when(pr.isin("1-URGENT", "2-HIGH"), price)).alias("cash"),
               F.sum(F.when(pr == "5-LOW", price)).alias("debt"),
-              F.sum(F.when(pr == "4-NOT SPECIFIED", F.lit(1000))).alias("shares")))
-    dbl = lambda c: F.col(c).cast("double")
+              F.sum(F.when(pr == "4-NOT SPECIFIED", F.lit(100000))).alias("shares")))
+    # cents → exact DECIMAL → DOUBLE (the same value an exact decimal sum gives)
+    dbl = lambda c: (F.col(c).cast("decimal(20,0)") / F.lit(100)).cast(MONEY_SUM).cast("double")
     return g.select(
-        "cik", F.col("d").cast("string").alias("report_date"),
+        pad_cik(F.col("cust")).alias("cik"), F.col("d").cast("string").alias("report_date"),
         F.year("d").alias("fiscal_year"),
         F.concat(F.lit("Q"), F.quarter("d").cast("string")).alias("fiscal_period"),
         dbl("total").alias("revenue_lq"), dbl("f_sum").alias("ebitda_lq"), dbl("o_sum").alias("net_income_lq"),
