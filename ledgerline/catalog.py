@@ -204,6 +204,16 @@ def ticker_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.select("ticker", F.col("pos").alias("first_pos"))
 
 
+@query
+def raw_facts_last4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: the last four entries per company, concept and unit (the raw-facts store)."""
+    from ledgerline.sources.facts import last_entries
+    f = D.lineitem_facts(spark, sf_dir).where(F.col("namespace") == S.US_GAAP)
+    return last_entries(f, 4).select(
+        "cik", F.col("tag").alias("concept"), "unit", F.col("end").cast("string").alias("end"), "fy", "fp",
+        "form", F.col("val").cast("double").alias("val"), F.lit("null").alias("dims"))
+
+
 @query
 def ticker_map_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deduplicated ticker → CIK map."""
@@ -577,3 +587,16 @@ def distil_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit, _ = ML.validation_curve(train, _FEATURES, "kd_label", "is_val",
                                  {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1})
     return ML.predict(fit, d.where(F.col("is_test"))).select(*_KEYS, "kd_label", "prediction")
+
+
+@query
+def ticker_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11/O4/M1 (batch): stored-median feature rows for requested tickers
+    (upper/trim match, first sheet row per ticker; no match → NULL features)."""
+    from ledgerline.operators import features as X
+    sheet = D.part_sheet(spark, sf_dir)
+    med, names, plan = X.fit_features(sheet)
+    feats = X.apply_features(sheet, med, names, plan, with_label=False)
+    li = D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    req = li.select(F.concat(F.lit(" p"), F.col("l_partkey").cast("string")).alias("ticker")).distinct()
+    return X.lookup_rows(feats, req)

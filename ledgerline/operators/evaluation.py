@@ -19,18 +19,18 @@ def _d(c: str | Column) -> Column:
 
 def regression_metrics(df: DataFrame, y: str = "actual", p: str = "predicted") -> DataFrame:
     """M8: MAE, RMSE, R², median / p90 / p95 absolute error, safe MAPE, n (one row)."""
-    err = F.col(p) - F.col(y)
-    abs_err = F.abs(err)
     yd = _d(y)
+    err = _d(p) - yd
+    abs_err = F.abs(err)
     n = F.count(F.lit(1))
-    pct = F.percentile(_d(abs_err), F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
+    pct = F.percentile(abs_err, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
     agg = df.agg(
-        (F.sum(abs_err).cast("double") / n).alias("mae"),
-        F.sqrt(F.sum(err * err).cast("double") / n).alias("rmse"),
-        F.sum(err * err).cast("double").alias("sse"),
+        (F.sum(abs_err) / n).alias("mae"),
+        F.sqrt(F.sum(err * err) / n).alias("rmse"),
+        F.sum(err * err).alias("sse"),
         (F.var_pop(yd) * n).alias("sst"),
         pct.alias("q"),
-        (F.avg(F.when(F.abs(yd) >= MAPE_EPS, _d(abs_err) / F.abs(yd))) * F.lit(100.0)).alias("mape_percent"),
+        (F.avg(F.when(F.abs(yd) >= MAPE_EPS, abs_err / F.abs(yd))) * F.lit(100.0)).alias("mape_percent"),
         n.alias("n_test"),
     )
     return agg.select(

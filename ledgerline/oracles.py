@@ -682,31 +682,28 @@ FROM snap s LEFT JOIN teacher t ON t.ticker = s.ticker
 
 LABELLED = """
 lab AS (
-  SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DECIMAL(18,2)) AS actual,
-         CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.00050 AS DECIMAL(6,5)) AS predicted,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
-         CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.00040 AS DECIMAL(6,5)) END AS teacher,
-         CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) END AS y_kd,
+  SELECT l_orderkey, l_linenumber, l_quantity AS actual, l_extendedprice * 0.0005 AS predicted,
+         l_extendedprice AS price,
+         CASE WHEN l_linestatus = 'F' THEN l_extendedprice * 0.0004 END AS teacher,
+         CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS y_kd,
          l_shipdate >= TIMESTAMP '2001-01-01' AS holdout, l_extendedprice AS f_price
   FROM lineitem)
 """
 
 ORACLES["regression_metrics"] = with_ctes(LABELLED) + """
-, e AS (SELECT actual, predicted - actual AS err, CAST(actual AS DOUBLE) AS yd FROM lab),
-a AS (SELECT CAST(sum(abs(err)) AS DOUBLE) / count(*) AS mae,
-             sqrt(CAST(sum(err * err) AS DOUBLE) / count(*)) AS rmse,
-             CAST(sum(err * err) AS DOUBLE) AS sse, var_pop(yd) * count(*) AS sst,
-             quantile_cont(CAST(abs(err) AS DOUBLE), 0.5) AS median_ae,
-             quantile_cont(CAST(abs(err) AS DOUBLE), 0.9) AS p90_ae,
-             quantile_cont(CAST(abs(err) AS DOUBLE), 0.95) AS p95_ae,
-             avg(CASE WHEN abs(yd) >= 1e-8 THEN CAST(abs(err) AS DOUBLE) / abs(yd) END) * 100.0 AS mape_percent,
+, e AS (SELECT actual AS yd, predicted - actual AS err FROM lab),
+a AS (SELECT sum(abs(err)) / count(*) AS mae, sqrt(sum(err * err) / count(*)) AS rmse,
+             sum(err * err) AS sse, var_pop(yd) * count(*) AS sst,
+             quantile_cont(abs(err), 0.5) AS median_ae, quantile_cont(abs(err), 0.9) AS p90_ae,
+             quantile_cont(abs(err), 0.95) AS p95_ae,
+             avg(CASE WHEN abs(yd) >= 1e-8 THEN abs(err) / abs(yd) END) * 100.0 AS mape_percent,
              count(*) AS n_test
       FROM e)
 SELECT mae, rmse, CASE WHEN sst > 0 THEN 1.0 - sse / sst END AS r2, median_ae, p90_ae, p95_ae, mape_percent, n_test FROM a
 """
 
 ORACLES["residual_histogram"] = with_ctes(LABELLED) + """
-, r AS (SELECT CAST(predicted AS DOUBLE) - CAST(actual AS DOUBLE) AS r FROM lab),
+, r AS (SELECT predicted - actual AS r FROM lab),
 g AS (SELECT min(r) AS lo, max(r) AS hi FROM r),
 b AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((r - lo) / (hi - lo) * 30) AS BIGINT) + 1, 30) END AS bin,
              lo, hi FROM r CROSS JOIN g)
@@ -716,8 +713,7 @@ FROM b GROUP BY bin, lo, hi
 """
 
 ORACLES["top_errors"] = with_ctes(LABELLED) + """
-SELECT l_orderkey, l_linenumber, CAST(actual AS DOUBLE) AS actual, CAST(predicted AS DOUBLE) AS predicted,
-       abs(CAST(predicted AS DOUBLE) - CAST(actual AS DOUBLE)) AS abs_err
+SELECT l_orderkey, l_linenumber, actual, predicted, abs(predicted - actual) AS abs_err
 FROM lab ORDER BY abs_err DESC, l_orderkey, l_linenumber LIMIT 15
 """
 
@@ -730,13 +726,12 @@ FROM lab CROSS JOIN q
 """
 
 ORACLES["kd_loss"] = with_ctes(LABELLED) + """
-, a AS (SELECT avg(abs(CAST(predicted AS DOUBLE) - CAST(y_kd AS DOUBLE))) AS l1,
-               avg(pow(CAST(predicted AS DOUBLE) - CAST(teacher AS DOUBLE), 2)) AS mse FROM lab)
+, a AS (SELECT avg(abs(predicted - y_kd)) AS l1, avg(pow(predicted - teacher, 2)) AS mse FROM lab)
 SELECT l1, mse, CASE WHEN l1 IS NOT NULL AND mse IS NOT NULL THEN 0.7 * l1 + 0.30000000000000004 * mse
                      ELSE COALESCE(l1, mse) END AS loss FROM a
 """
 
-_M = [f"CAST(price * CAST({r} AS DECIMAL(6,5)) AS DOUBLE)" for r in ["0.00040", "0.00045", "0.00050", "0.00055", "0.00060"]]
+_M = [f"price * CAST({r} AS DOUBLE)" for r in ["0.0004", "0.00045", "0.0005", "0.00055", "0.0006"]]
 ORACLES["ensemble_stats"] = with_ctes(LABELLED) + """
 , m AS (SELECT l_orderkey, l_linenumber, (""" + " + ".join(_M) + """) / 5.0 AS pred_mean, """ + ", ".join(
     f"{e} AS m{i}" for i, e in enumerate(_M)) + """ FROM lab)
@@ -745,7 +740,33 @@ SELECT l_orderkey, l_linenumber, pred_mean,
 """
 
 ORACLES["sorted_parity"] = with_ctes(LABELLED) + """
-SELECT l_orderkey, l_linenumber, CAST(actual AS DOUBLE) AS actual, CAST(predicted AS DOUBLE) AS predicted,
-       row_number() OVER (ORDER BY CAST(actual AS DOUBLE), l_orderkey, l_linenumber, CAST(predicted AS DOUBLE)) AS rank
+SELECT l_orderkey, l_linenumber, actual, predicted,
+       row_number() OVER (ORDER BY actual, l_orderkey, l_linenumber, predicted) AS rank
 FROM lab WHERE holdout
 """
+
+
+ORACLES["raw_facts_last4"] = with_ctes(AF) + """
+SELECT cik, tag AS concept, unit, CAST("end" AS VARCHAR) AS "end", fy, fp, form, CAST(val AS DOUBLE) AS val,
+       'null' AS dims
+FROM facts WHERE namespace = 'us-gaap'
+QUALIFY row_number() OVER (PARTITION BY cik, tag, unit ORDER BY pos DESC) <= 4
+"""
+
+
+# The fitted feature set on this sheet: "Listed" is constant and "Sparse Metric"
+# is under the 70 % valid bar, so these seven survive (M1 rules).
+SURVIVORS = ["Last Quarter Revenue", "YoY Growth%", "EBITDA Margin", "Employee Count", "Total Debt",
+             "IPO Year", "Brand Rank"]
+
+ORACLES["ticker_features"] = with_ctes(SHEET, PARSED) + """
+, med AS (SELECT feature, median(value) AS m FROM plong GROUP BY feature),
+allrows AS (SELECT ticker, """ + ", ".join(f'{e} AS "{n}"' for n, e in SHEET_FEATURES if n in SURVIVORS) + """ FROM sheet),
+feats AS (
+  SELECT ticker, """ + ",\n         ".join(
+    f"""COALESCE("{n}", (SELECT m FROM med WHERE feature = '{n}'), 0.0) AS "{n}__num\"""" for n in SURVIVORS) + """
+  FROM allrows),
+req AS (SELECT DISTINCT ' p' || CAST(l_partkey AS VARCHAR) AS ticker FROM lineitem WHERE l_returnflag = 'R')
+SELECT r.ticker, """ + ", ".join(f'f."{n}__num"' for n in SURVIVORS) + """
+FROM req r LEFT JOIN feats f ON upper(trim(f.ticker)) = upper(trim(r.ticker))
+"""

@@ -65,14 +65,15 @@ def train_and_report(spark: SparkSession, sheet: DataFrame, out_dir: str, test_s
 
 
 def score_tickers(spark: SparkSession, sheet: DataFrame, requests: DataFrame, model_dir: str,
-                  names: list[str], plan: dict[str, str]) -> DataFrame:
+                  names: list[str], plan: dict[str, str], members: int) -> DataFrame:
     """J11 + M7 (batch): look up each requested ticker's row, apply the stored
     medians, predict with every member, return mean ± std."""
     medians = spark.read.parquet(os.path.join(model_dir, "medians"))
+    missing = sorted(set(names) - set(medians.columns))
+    if missing:  # O4: the stored feature set must be reproducible from the sheet
+        raise ValueError(f"feature columns missing from the stored statistics: {missing}")
     feats = X.apply_features(sheet, medians, names, plan, with_label=False)
     rows = X.lookup_rows(feats, requests)
-    members = sorted(os.listdir(os.path.join(model_dir, "models"))) if os.path.isdir(
-        os.path.join(model_dir, "models")) else []
-    fits = [ML.FitResult(PipelineModel.load(os.path.join(model_dir, "models", m)),
-                         [c.strip() + X.FEATURE_SUFFIX for c in names]) for m in members]
+    fits = [ML.FitResult(PipelineModel.load(os.path.join(model_dir, "models", f"member_{i}")),
+                         [c.strip() + X.FEATURE_SUFFIX for c in names]) for i in range(members)]
     return ML.predict_ensemble(fits, rows)

@@ -345,24 +345,24 @@ def part_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # AL: labelled predictions from lineitem
 # --------------------------------------------------------------------------
-MEMBER_RATES = ["0.00040", "0.00045", "0.00050", "0.00055", "0.00060"]
+MEMBER_RATES = [0.0004, 0.00045, 0.0005, 0.00055, 0.0006]
 
 
 def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with an actual value (quantity), a deterministic linear
     prediction (price × 0.0005), five member predictions, a teacher
     prediction (finished lines only), a supervised label that is missing for
-    returned lines, a chronological hold-out flag and model features."""
+    returned lines, a chronological hold-out flag and model features.
+    Each value is one DOUBLE product, identical in any IEEE engine."""
     li = table(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice").cast(MONEY)
-    rate = lambda r: F.lit(r).cast("decimal(6,5)")
+    price = F.col("l_extendedprice")
     return li.select(
         "l_orderkey", "l_linenumber",
-        F.col("l_quantity").cast(MONEY).alias("actual"),
-        (price * rate("0.00050")).alias("predicted"),
-        *[(price * rate(r)).alias(f"m{i}") for i, r in enumerate(MEMBER_RATES)],
-        F.when(F.col("l_linestatus") == "F", price * rate("0.00040")).alias("teacher"),
-        F.when(F.col("l_returnflag") != "R", F.col("l_quantity").cast(MONEY)).alias("y_kd"),
+        F.col("l_quantity").alias("actual"),
+        (price * F.lit(0.0005)).alias("predicted"),
+        *[(price * F.lit(r)).alias(f"m{i}") for i, r in enumerate(MEMBER_RATES)],
+        F.when(F.col("l_linestatus") == "F", price * F.lit(0.0004)).alias("teacher"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("y_kd"),
         (F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz")).alias("holdout"),
         F.col("l_extendedprice").alias("f_price"), F.col("l_discount").alias("f_discount"),
         F.col("l_tax").alias("f_tax"), F.col("l_linenumber").cast("double").alias("f_line"),

@@ -87,12 +87,21 @@ def facts_frame(docs: DataFrame) -> DataFrame:
     )
 
 
-def raw_facts(docs: DataFrame, last_n: int = 4) -> DataFrame:
-    """K9 source: the last ``n`` entries per (company, concept, unit), us-gaap only."""
+def last_entries(entries: DataFrame, n: int = 4) -> DataFrame:
+    """K9: the last ``n`` entries (by position) per (company, concept, unit).
+
+    ``row_number() <= n`` is planned as a WindowGroupLimit, so each map task
+    ships at most ``n`` rows per key however many entries a concept has.
+    """
     from pyspark.sql import Window
-    e = explode_entries(docs).where(F.col("namespace") == "us-gaap")
     w = Window.partitionBy("cik", "tag", "unit").orderBy(F.col("pos").desc())
-    return (e.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= last_n)
-            .select("cik", F.col("tag").alias("concept"), "unit", "end", try_int("fy").alias("fy"), "fp",
+    return entries.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= n).drop("__rk")
+
+
+def raw_facts(docs: DataFrame, last_n: int = 4) -> DataFrame:
+    """K9 source: the last ``n`` entries per (company, concept, unit), us-gaap only,
+    in the ``facts_raw`` shape (insert-ignore on its unique key is left to the caller)."""
+    e = last_entries(explode_entries(docs).where(F.col("namespace") == "us-gaap"), last_n)
+    return e.select("cik", F.col("tag").alias("concept"), "unit", "end", try_int("fy").alias("fy"), "fp",
                     "form", py_float(F.col("val")).alias("val"),
-                    F.coalesce(F.col("dimensional"), F.lit("null")).alias("dims")))
+                    F.coalesce(F.col("dimensional"), F.lit("null")).alias("dims"))

@@ -80,3 +80,35 @@ def test_entry_and_registry(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "lq" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_streaming_landing(spark):
+    from ledgerline.streaming import landing
+    tmp = tempfile.mkdtemp(prefix="ll-stream-")
+    _landing(tmp)
+    land = os.path.join(tmp, "landing")
+    os.makedirs(land)
+    os.replace(os.path.join(tmp, "facts.json"), os.path.join(land, "batch1.json"))
+    store = os.path.join(tmp, "store")
+    q = landing.start(spark, land, os.path.join(tmp, "subs.json"), os.path.join(tmp, "tickers.json"), store,
+                      checkpoint=os.path.join(tmp, "ckpt"), multi_line=False)
+    q.awaitTermination(300)
+    f = P.read_current(spark, store, "fundamentals")
+    assert f is not None and f.count() == 2
+
+
+def test_train_and_report(spark, sf_dir):
+    from ledgerline.plans import training as T
+    from ledgerline.sources import driver as D
+    out = tempfile.mkdtemp(prefix="ll-train-")
+    rep = T.train_and_report(spark, D.part_sheet(spark, sf_dir), out, ensemble=2)
+    assert rep["feature_count"] >= 3 and rep["metrics"]["n_test"] > 0
+    assert rep["metrics"]["mae"] >= 0
+    from ledgerline.operators import features as X
+    sheet = D.part_sheet(spark, sf_dir)
+    med, names, plan = X.fit_features(X.with_target(X.normalise_headers(sheet)))
+    req = spark.createDataFrame([(" p1 ",), ("nope",)], "ticker string")
+    # score with the stored members (feature names come from the fitted report)
+    scored = T.score_tickers(spark, sheet, req, out, [n.removesuffix(X.FEATURE_SUFFIX) for n in rep["feature_names"]],
+                             rep["parsers"], 2).collect()
+    assert len(scored) == 2
