@@ -430,8 +430,8 @@ hist AS (
          CAST(total AS DOUBLE) AS revenue_lq, CAST(f_sum AS DOUBLE) AS ebitda_lq,
          CAST(o_sum AS DOUBLE) AS net_income_lq, CAST(cash AS DOUBLE) AS cash_sti,
          CAST(debt AS DOUBLE) AS total_debt, CAST(shares AS DOUBLE) AS shares_outstanding,
-         300.0 * CAST(fo AS DOUBLE) / CAST(total AS DOUBLE) AS ebitda_margin,
-         300.0 * CAST(op AS DOUBLE) / CAST(total AS DOUBLE) AS net_income_margin,
+         CAST(fo AS DOUBLE) / 2000.0 AS ebitda_margin,
+         CAST(op AS DOUBLE) / 2000.0 AS net_income_margin,
          CAST(NULL AS DOUBLE) AS market_cap, CAST(total AS DOUBLE) * 4.0 AS revenue_ltm
   FROM ohg)
 """

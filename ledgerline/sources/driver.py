@@ -272,9 +272,10 @@ def order_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AH: one fundamentals row per (customer, order date).
 
     Metrics are sums over that day's orders by status or priority, so a
-    metric is NULL when no order qualifies. Margins are left unguarded
-    (``300 × (F − O) / total`` and ``300 × (O − P) / total``) so that every
-    histogram bucket and the outlier query see data. Sums run over integer cents.
+    metric is NULL when no order qualifies. Margins are unguarded signed
+    order values in units of 2,000 (``(F − O) / 2000``, ``(O − P) / 2000``) so
+    that all nine histogram buckets and the outlier query see data. Sums run
+    over integer cents.
     """
     o = table(spark, sf_dir, "orders")
     price = _cents(F.col("o_totalprice"))
@@ -296,8 +297,8 @@ def order_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Q"), F.quarter("d").cast("string")).alias("fiscal_period"),
         dbl("total").alias("revenue_lq"), dbl("f_sum").alias("ebitda_lq"), dbl("o_sum").alias("net_income_lq"),
         dbl("cash").alias("cash_sti"), dbl("debt").alias("total_debt"), dbl("shares").alias("shares_outstanding"),
-        (F.lit(300.0) * dbl("fo") / dbl("total")).alias("ebitda_margin"),
-        (F.lit(300.0) * dbl("op") / dbl("total")).alias("net_income_margin"),
+        (dbl("fo") / F.lit(2000.0)).alias("ebitda_margin"),
+        (dbl("op") / F.lit(2000.0)).alias("net_income_margin"),
         F.lit(None).cast("double").alias("market_cap"),
         (dbl("total") * F.lit(4.0)).alias("revenue_ltm"))
 
