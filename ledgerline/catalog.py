@@ -142,7 +142,10 @@ def report_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: one provenance row per company and metric with a chosen newest row."""
-    summ = M.metric_summary(_series(spark, sf_dir, [m for m, _ in M.AUDIT_METRICS] + ["operating_income"]))
+    from ledgerline.session import cut_lineage
+    # the summary feeds both the stamps and the audit rows: computed once
+    summ = cut_lineage(M.metric_summary(_series(spark, sf_dir, [m for m, _ in M.AUDIT_METRICS] + ["operating_income"])),
+                       "summary")
     fund = M.fundamentals_frame(D.supplier_companies(spark, sf_dir), summ, D.supplier_filing_dates(spark, sf_dir))
     return M.audit_frame(summ, fund).drop("id")
 

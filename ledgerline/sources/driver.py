@@ -157,10 +157,13 @@ def supplier_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_filing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(cik, filing_date) per supplier: its ship dates as ISO text."""
+    """(cik, filing_date) per supplier: its newest ship date as ISO text.
+
+    Pre-aggregated on the raw key so padding and formatting run once per supplier."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(pad_cik(F.col("l_suppkey")).alias("cik"),
-                     F.col("l_shipdate").cast("date").cast("string").alias("filing_date"))
+    newest = li.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("d"))
+    return newest.select(pad_cik(F.col("l_suppkey")).alias("cik"),
+                         F.col("d").cast("date").cast("string").alias("filing_date"))
 
 
 # --------------------------------------------------------------------------

@@ -70,3 +70,23 @@ def test_kd_loss_cases(spark):
     assert kd_loss(df, "s", None, "t").first().loss == 4.0
     nn = spark.createDataFrame([(1.0, None, None)], "s double, y double, t double")
     assert kd_loss(nn, "s", "y", "t").first().loss is None
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from ledgerline.operators.evaluation import exact_quantiles
+    vals = [float(x) for x in np.random.default_rng(3).normal(size=997)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double").repartition(5)
+    got = exact_quantiles(df, "x", [0.0, 0.05, 0.5, 0.9, 0.95, 1.0])
+    want = np.quantile(np.array(vals), [0.0, 0.05, 0.5, 0.9, 0.95, 1.0])
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
+def test_global_rank_dense(spark):
+    from ledgerline.operators.features import global_rank
+    df = spark.range(500).withColumn("k", (F.col("id") * 7919) % 500).repartition(6)
+    r = global_rank(df, [F.col("k"), F.col("id")], "rk")
+    got = [(x.k, x.rk) for x in r.orderBy("rk").collect()]
+    assert [rk for _, rk in got] == list(range(1, 501))
+    assert [k for k, _ in got] == sorted(k for k, _ in got)
