@@ -31,7 +31,9 @@ def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> lis
 
     from ledgerline.session import cut_lineage
     v = df.select(_d(col).alias("__v")).where(F.col("__v").isNotNull())
-    s = cut_lineage(v.orderBy("__v").withColumn("__pid", F.spark_partition_id()), "sorted")
+    # a hash tie-break lets the range partitioner split a value that repeats a lot
+    v = v.withColumn("__tb", F.xxhash64(F.monotonically_increasing_id()))
+    s = cut_lineage(v.orderBy("__v", "__tb").withColumn("__pid", F.spark_partition_id()), "sorted")
     counts = sorted((r["__pid"], r["n"]) for r in s.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
     n = sum(c for _, c in counts)
     if n == 0:
@@ -45,7 +47,7 @@ def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> lis
                 where[r] = (pid, r - start + 1)
         start += c
     pids = sorted({p for p, _ in where.values()})
-    w = Window.partitionBy("__pid").orderBy("__v")
+    w = Window.partitionBy("__pid").orderBy("__v", "__tb")
     local = s.where(F.col("__pid").isin(pids)).withColumn("__rn", F.row_number().over(w))
     cond = F.lit(False)
     for p_, rn in where.values():

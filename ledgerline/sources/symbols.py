@@ -2,13 +2,14 @@
 (S1–S3, S8, S9, P2–P4, F9, F10, J1, J6, O1, A11).
 
 Positions (``pos``) carry the input order where the reference's rule
-depends on it ("last wins", "first wins"); dedupes are windows over the
-ticker, never a driver-side loop.
+depends on it ("last wins", "first wins"); dedupes are partial aggregates
+(``min_by``/``max_by`` on the position), never a window over the ticker or
+a driver-side loop.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +42,10 @@ def ticker_map(entries: DataFrame) -> DataFrame:
                        F.col("title"), F.col("pos"))
     t = t.where((F.col("ticker") != "") & F.col("ticker").isNotNull()
                 & (F.col("cik_raw") != "") & F.col("cik_raw").isNotNull())
-    w = Window.partitionBy("ticker").orderBy(F.col("pos").desc())
-    return (t.withColumn("rk", F.row_number().over(w)).where(F.col("rk") == 1)
-            .select("ticker", pad_cik(F.col("cik_raw")).alias("cik"), "title", "pos"))
+    # last wins, as a partial aggregate (a ticker listed many times never lands whole in one task)
+    last = t.groupBy("ticker").agg(F.max_by(F.struct("cik_raw", "title", "pos"), "pos").alias("r"))
+    return last.select("ticker", pad_cik(F.col("r.cik_raw")).alias("cik"), F.col("r.title").alias("title"),
+                       F.col("r.pos").alias("pos"))
 
 
 def read_symbol_directory(spark: SparkSession, path: str) -> DataFrame:
@@ -71,8 +73,9 @@ def symbol_directory(nasdaq: DataFrame, other: DataFrame) -> DataFrame:
     the first row per ticker (NASDAQ-listed rows before other-listed)."""
     u = normalise_nasdaq_listed(nasdaq).unionByName(normalise_other_listed(other))
     u = u.where(F.col("ticker").isNotNull() & ~F.col("ticker").rlike(SPECIAL_SYMBOL_RE))
-    w = Window.partitionBy("ticker").orderBy("src", "pos")
-    return u.withColumn("rk", F.row_number().over(w)).where(F.col("rk") == 1).drop("rk")
+    cols = [c for c in u.columns if c != "ticker"]
+    first = u.groupBy("ticker").agg(F.min_by(F.struct(*cols), F.struct("src", "pos")).alias("r"))
+    return first.select("ticker", *[F.col("r")[c].alias(c) for c in cols])
 
 
 def universe(directory: DataFrame, tmap: DataFrame, include_etfs: bool = False,
