@@ -603,3 +603,10 @@ def ticker_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
     req = li.select(F.concat(F.lit(" p"), F.col("l_partkey").cast("string")).alias("ticker")).distinct()
     return X.lookup_rows(feats, req)
+
+
+@query
+def metric_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 opt-in: calendar LTM / YoY addressed by (fiscal year, quarter), not by row position."""
+    from ledgerline.operators.series import calendar_summary
+    return calendar_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "lq", "ltm", "yoy")

@@ -61,13 +61,16 @@ def quarter_window() -> Window:
             .orderBy(F.col("end").asc_nulls_last(), F.col("pos").asc_nulls_last()))
 
 
-def to_quarterly_col(w: Window | None = None) -> Column:
+def to_quarterly_col(w: Window | None = None, strict_qtrs: bool = False) -> Column:
     """Year-to-date value → quarter value (W1), as a column expression.
 
     Inside (form, fiscal year) ordered by end date, subtract the previous
     row's raw value when the rows are adjacent: previous ``qtrs`` equals
     ``qtrs - 1``, else ``fp`` is the successor in Q1→Q2→Q3→Q4. Otherwise the
     value is kept. Only one previous row is needed, so ``lag(1)`` is exact.
+    ``strict_qtrs`` keeps a row whose ``qtrs`` is 1 as it is (the documented
+    intent); by default a one-quarter row still falls back to ``fp`` adjacency,
+    as the reference code does (quirk Q2).
     """
     w = w or quarter_window()
     fp_order = F.array(*[F.lit(x) for x in S.FP_ORDER])
@@ -79,6 +82,8 @@ def to_quarterly_col(w: Window | None = None) -> Column:
     by_qtrs = q.isNotNull() & prev_q.isNotNull() & (prev_q == q - 1)
     by_fp = (fp_idx > 0) & (prev_fp_idx > 0) & (prev_fp_idx == fp_idx - 1)
     adjacent = F.coalesce(by_qtrs, F.lit(False)) | F.coalesce(by_fp, F.lit(False))
+    if strict_qtrs:
+        adjacent = adjacent & ~F.coalesce(q == 1, F.lit(False))
     return (F.when(F.col("val").isNull(), F.col("val"))
             .when(adjacent & prev_val.isNotNull(), F.col("val") - prev_val)
             .otherwise(F.col("val")))
@@ -236,6 +241,34 @@ def latest_rows(series: DataFrame, n: int, keys: list[str] | None = None) -> Dat
     return ranked.withColumn("top_tier", top_tier).where(F.col("ftier") == F.col("top_tier")).drop("top_tier")
 
 
+def calendar_summary(series: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Opt-in calendar LTM / YoY (quirk Q1, ``mode='calendar'``).
+
+    The positional rule takes "the last 4 rows" and "the 5th row from the
+    end", which skip missing quarters. Here quarters are addressed by
+    (fiscal year, Q1..Q4): LTM sums the four fiscal quarters ending at the
+    newest quarterly row and needs all four; YoY compares the newest row with
+    the same ``fp`` one fiscal year earlier. Only ``10-Q``/``Qn`` rows take
+    part. One aggregate per key, no self-join.
+    """
+    keys = keys or ["cik", "metric"]
+    fp_idx = F.array_position(F.array(*[F.lit(x) for x in S.FP_ORDER]), F.col("fp"))
+    q = (series.where((F.col("form") == S.QUARTERLY_FORM) & (fp_idx > 0) & F.col("fy").isNotNull())
+         .withColumn("qi", F.col("fy") * 4 + fp_idx - 1))
+    newest = F.max("qi").over(Window.partitionBy(*keys))
+    q = q.withColumn("top", newest)
+    v = F.col("val").cast("double")
+    agg = q.groupBy(*keys).agg(
+        F.max(F.when(F.col("qi") == F.col("top"), v)).alias("lq"),
+        F.count_distinct(F.when(F.col("qi") > F.col("top") - 4, F.col("qi"))).alias("n4"),
+        F.sum(F.when(F.col("qi") > F.col("top") - 4, F.col("val"))).cast("double").alias("sum4"),
+        F.max(F.when(F.col("qi") == F.col("top") - 4, v)).alias("prior"))
+    return agg.select(
+        *keys, "lq", (F.col("lq") * F.lit(4.0)).alias("annualized"),
+        F.when(F.col("n4") == 4, F.col("sum4")).alias("ltm"),
+        F.when(F.col("prior") != 0, (F.col("lq") - F.col("prior")) / F.col("prior") * F.lit(100.0)).alias("yoy"))
+
+
 def series_summary(latest: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """LQ, annualized, LTM and YoY from the ranked latest rows.
 

@@ -770,3 +770,19 @@ req AS (SELECT DISTINCT ' p' || CAST(l_partkey AS VARCHAR) AS ticker FROM lineit
 SELECT r.ticker, """ + ", ".join(f'f."{n}__num"' for n in SURVIVORS) + """
 FROM req r LEFT JOIN feats f ON upper(trim(f.ticker)) = upper(trim(r.ticker))
 """
+
+
+ORACLES["metric_calendar"] = with_ctes(AF, REVENUE_SERIES) + """
+, cq AS (
+  SELECT cik, metric, val, fy * 4 + """ + FP_IDX.format(c="fp") + """ - 1 AS qi FROM flow_series
+  WHERE form = '10-Q' AND """ + FP_IDX.format(c="fp") + """ > 0 AND fy IS NOT NULL),
+ct AS (SELECT *, max(qi) OVER (PARTITION BY cik, metric) AS top FROM cq)
+SELECT cik, metric,
+       max(CASE WHEN qi = top THEN CAST(val AS DOUBLE) END) AS lq,
+       CASE WHEN count(DISTINCT CASE WHEN qi > top - 4 THEN qi END) = 4
+            THEN CAST(sum(CASE WHEN qi > top - 4 THEN val END) AS DOUBLE) END AS ltm,
+       CASE WHEN max(CASE WHEN qi = top - 4 THEN CAST(val AS DOUBLE) END) <> 0 THEN
+            (max(CASE WHEN qi = top THEN CAST(val AS DOUBLE) END) - max(CASE WHEN qi = top - 4 THEN CAST(val AS DOUBLE) END))
+            / max(CASE WHEN qi = top - 4 THEN CAST(val AS DOUBLE) END) * 100.0 END AS yoy
+FROM ct GROUP BY cik, metric
+"""

@@ -79,9 +79,3 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
 
-
-def share(df: DataFrame) -> DataFrame:
-    """Persist a frame that feeds several branches of one plan (memory, spilling
-    to disk). Lineage is kept, so a lost executor's blocks are recomputed."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

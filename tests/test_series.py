@@ -160,3 +160,25 @@ def test_repartition_invariance(spark):
     for n in (1, 7):
         again = sorted(M.metric_summary(resolve_series(f.repartition(n), S.metric_map(spark))).collect())
         assert again == base
+
+
+def test_strict_qtrs_flag(spark):
+    from ledgerline.operators.series import to_quarterly_col
+    df = spark.createDataFrame(
+        [("1", "revenue", "t", "10-Q", 2023, "2023-03-31", 0, 1, "Q1", 10.0),
+         ("1", "revenue", "t", "10-Q", 2023, "2023-06-30", 1, 1, "Q2", 12.0)],
+        "cik string, metric string, tag string, form string, fy int, end string, pos long, qtrs int, fp string, val double")
+    parity = [r.v for r in df.select(to_quarterly_col().alias("v")).orderBy("v").collect()]
+    strict = [r.v for r in df.select(to_quarterly_col(strict_qtrs=True).alias("v")).orderBy("v").collect()]
+    assert sorted(parity) == [2.0, 10.0] and sorted(strict) == [10.0, 12.0]
+
+
+def test_calendar_mode_skips_gaps(spark):
+    from ledgerline.operators.series import calendar_summary
+    # quarters 2022Q1..Q3 and 2023Q1, Q3 (2023Q2 missing); values already quarterly
+    rows = [("2022-03-31", 1, 2022, "Q1"), ("2022-06-30", 2, 2022, "Q2"), ("2022-09-30", 3, 2022, "Q3"),
+            ("2023-03-31", 5, 2023, "Q1"), ("2023-09-30", 6, 2023, "Q3")]
+    df = spark.createDataFrame([("1", "revenue", "10-Q", fy, fp, float(v)) for _, v, fy, fp in rows],
+                               "cik string, metric string, form string, fy int, fp string, val double")
+    r = one(calendar_summary(df))
+    assert (r.lq, r.ltm, r.yoy) == (6.0, None, 100.0)  # LTM needs 4 quarters; YoY vs 2022Q3 = 3
