@@ -146,9 +146,10 @@ def ensemble_stats(df: DataFrame, members: list[str]) -> DataFrame:
     for m in ms[1:]:
         mean = mean + m
     mean = mean / F.lit(float(k))
-    dev = F.pow(ms[0] - F.col("pred_mean"), 2)
+    sq = lambda m: (m - F.col("pred_mean")) * (m - F.col("pred_mean"))  # noqa: E731 (x·x, not pow)
+    dev = sq(ms[0])
     for m in ms[1:]:
-        dev = dev + F.pow(m - F.col("pred_mean"), 2)
+        dev = dev + sq(m)
     return df.withColumn("pred_mean", mean).withColumn("pred_std", F.sqrt(dev / F.lit(float(k))))
 
 

@@ -736,7 +736,7 @@ ORACLES["ensemble_stats"] = with_ctes(LABELLED) + """
 , m AS (SELECT l_orderkey, l_linenumber, (""" + " + ".join(_M) + """) / 5.0 AS pred_mean, """ + ", ".join(
     f"{e} AS m{i}" for i, e in enumerate(_M)) + """ FROM lab)
 SELECT l_orderkey, l_linenumber, pred_mean,
-       sqrt((""" + " + ".join(f"pow(m{i} - pred_mean, 2)" for i in range(5)) + """) / 5.0) AS pred_std FROM m
+       sqrt((""" + " + ".join(f"(m{i} - pred_mean) * (m{i} - pred_mean)" for i in range(5)) + """) / 5.0) AS pred_std FROM m
 """
 
 ORACLES["sorted_parity"] = with_ctes(LABELLED) + """
