@@ -93,10 +93,10 @@ def regression_metrics(df: DataFrame, y: str = "actual", p: str = "predicted") -
 def residual_histogram(df: DataFrame, y: str = "actual", p: str = "predicted", bins: int = 30) -> DataFrame:
     """Equal-width histogram of residuals (pred − actual), right edge of the last bin closed.
 
-    The 1-row min/max is broadcast (a proven size bound)."""
+    The range is one aggregate row, applied as literals."""
     r = df.select((_d(p) - _d(y)).alias("r"))
-    rng = r.agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
-    j = r.crossJoin(F.broadcast(rng))
+    lo, hi = r.agg(F.min("r"), F.max("r")).first()  # one row: the range
+    j = r.withColumns({"lo": F.lit(lo).cast("double"), "hi": F.lit(hi).cast("double")})
     b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("r") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)) + 1, F.lit(bins)))
     h = j.groupBy(b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))

@@ -111,13 +111,18 @@ def fit_medians(parsed: DataFrame, columns: list[str], exact: bool = True) -> Da
     return parsed.agg(*[agg(c).cast("double").alias(c) for c in columns])
 
 
+def _one_row(stats: DataFrame) -> dict:
+    """The single row of a fitted-statistics table (one row: a proven bound)."""
+    r = stats.first()
+    return r.asDict() if r is not None else {}
+
+
 def impute(parsed: DataFrame, medians: DataFrame, columns: list[str], default: float = 0.0) -> DataFrame:
-    """fill NULLs with the fitted medians (a one-row stats table, cross-joined)."""
-    stats = medians.select(*[F.col(f"`{c}`").alias(f"__m_{i}") for i, c in enumerate(columns)])
-    j = parsed.crossJoin(F.broadcast(stats))  # one row: a proven size bound
-    out = [F.coalesce(F.col(f"`{c}`"), F.col(f"__m_{i}"), F.lit(default)).alias(c) for i, c in enumerate(columns)]
+    """fill NULLs with the fitted medians (applied as literals from the one-row table)."""
+    m = _one_row(medians)
+    out = [F.coalesce(F.col(f"`{c}`"), F.lit(m.get(c)).cast("double"), F.lit(default)).alias(c) for c in columns]
     keep = [F.col(f"`{c}`") for c in parsed.columns if c not in columns]
-    return j.select(*keep, *out)
+    return parsed.select(*keep, *out)
 
 
 def column_stddevs(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -189,12 +194,12 @@ def fit_scaler(df: DataFrame, columns: list[str], medians: DataFrame) -> DataFra
 
 
 def standardize(df: DataFrame, columns: list[str], medians: DataFrame, scaler: DataFrame) -> DataFrame:
-    """``(coalesce(x, median) - mean) / std`` with fitted one-row tables."""
+    """``(coalesce(x, median) - mean) / std`` with the fitted one-row tables as literals."""
     filled = impute(df, medians, columns)
-    j = filled.crossJoin(F.broadcast(scaler))
+    sc = _one_row(scaler)
     keep = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    return j.select(*keep, *[((F.col(f"`{c}`") - F.col(f"mean__{c}")) / F.col(f"std__{c}")).alias(c)
-                             for c in columns])
+    return filled.select(*keep, *[((F.col(f"`{c}`") - F.lit(sc[f"mean__{c}"])) / F.lit(sc[f"std__{c}"])).alias(c)
+                                  for c in columns])
 
 
 def ps_ratio(df: DataFrame) -> Column:
