@@ -44,19 +44,38 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        v = spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - some sessions refuse core keys
+        v = None
+    if not v:
+        try:
+            v = spark.sparkContext.getConf().get(key, None)
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            v = None
+    return v or None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared file system and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only when it is unset (local tests) a scratch folder is created, once per
+    process; core settings cannot be changed at runtime, so it is remembered here.
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    d = _conf(spark, "spark.checkpoint.dir")
     if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+        d = _LOCAL_FALLBACK.get("dir") or _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - Spark Connect: RDD checkpoints are not used there
+        pass
     return d
 
 
