@@ -401,8 +401,8 @@ def valid_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _kept_columns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     from ledgerline.operators import features as X
     parsed, cands = _sheet_parsed(spark, sf_dir)
-    n = parsed.count()
-    counts = parsed.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cands]).first()
+    counts = parsed.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(c) for c in cands]).first()
+    n = counts["__n"]
     return parsed, [c for c in cands if n and counts[c] / n >= X.VALID_RATIO]
 
 

@@ -144,8 +144,8 @@ def fit_features(sheet: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]
     cands = candidate_columns(df)
     plan = parser_plan(df, cands)
     parsed = parse_columns(df, plan, [TICKER, "rev_multiple"])
-    n = parsed.count()
-    stats = parsed.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cands]).first()
+    stats = parsed.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(c) for c in cands]).first()
+    n = stats["__n"]
     kept = [c for c in cands if n > 0 and stats[c] / n >= VALID_RATIO]
     medians = fit_medians(parsed, kept)
     filled = impute(parsed, medians, kept)
