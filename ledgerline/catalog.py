@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.operators import metrics as M
-from ledgerline.operators.series import latest_rows, resolve_series
+from ledgerline.operators.series import latest_series, resolve_series, series_summary
 from ledgerline.sources import driver as D
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,22 +27,32 @@ def query(fn: QueryFn) -> QueryFn:
 
 
 def _series(spark: SparkSession, sf_dir: str, metrics: list[str]) -> DataFrame:
+    """Full resolved series (every row of the winning tag/tier)."""
     return resolve_series(D.lineitem_facts(spark, sf_dir), S.metric_map(spark, metrics), S.map_kinds(metrics))
 
 
+def _latest(spark: SparkSession, sf_dir: str, metrics: list[str], n: int = M.WINDOW_ROWS) -> DataFrame:
+    """Newest ``n`` rows per (company, metric), tag choice folded into the ranking."""
+    return latest_series(D.lineitem_facts(spark, sf_dir), S.metric_map(spark, metrics), n, S.map_kinds(metrics))
+
+
+def _summary(spark: SparkSession, sf_dir: str, metrics: list[str]) -> DataFrame:
+    return series_summary(_latest(spark, sf_dir, metrics))
+
+
 # --------------------------------------------------------------------------
 # Phase 1: year-to-date → quarter → latest rows → LQ / annualized / LTM / YoY
 # --------------------------------------------------------------------------
 @query
 def latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: LQ, annualized, LTM, YoY and stamp per supplier and flow metric."""
-    summ = M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS))
+    summ = _summary(spark, sf_dir, M.FLOW_METRICS)
     return summ.select("cik", "metric", "lq", "annualized", "ltm", "yoy",
                        F.col("end").alias("report_date"), "fy", "fp")
 
 
 def _flow_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_rows(_series(spark, sf_dir, M.FLOW_METRICS), M.WINDOW_ROWS)
+    return _latest(spark, sf_dir, M.FLOW_METRICS)
 
 
 @query
@@ -64,19 +74,19 @@ def latest_quarters_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def metric_ltm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing-twelve-month sum (newest 4 rows, NULL with fewer)."""
-    return M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "ltm")
+    return _summary(spark, sf_dir, M.FLOW_METRICS).select("cik", "metric", "ltm")
 
 
 @query
 def metric_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Growth of the newest row over the 5th newest, signed prior."""
-    return M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "yoy")
+    return _summary(spark, sf_dir, M.FLOW_METRICS).select("cik", "metric", "yoy")
 
 
 @query
 def metric_annualized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest quarter and newest quarter × 4."""
-    return M.metric_summary(_series(spark, sf_dir, M.FLOW_METRICS)).select("cik", "metric", "lq", "annualized")
+    return _summary(spark, sf_dir, M.FLOW_METRICS).select("cik", "metric", "lq", "annualized")
 
 
 # --------------------------------------------------------------------------
@@ -93,8 +103,7 @@ def ebitda_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def margin_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EBITDA and net-income margins of the newest rows when periods align."""
-    summ = M.metric_summary(_series(spark, sf_dir, ["revenue", "ebitda", "net_income"]))
-    wide = M.company_wide(summ)
+    wide = M.company_wide(_summary(spark, sf_dir, ["revenue", "ebitda", "net_income"]))
     return wide.select("cik", M.aligned_margin("ebitda", "revenue").alias("ebitda_margin"),
                        M.aligned_margin("net_income", "revenue").alias("net_income_margin"))
 
@@ -144,15 +153,14 @@ def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: one provenance row per company and metric with a chosen newest row."""
     from ledgerline.session import cut_lineage
     # the summary feeds both the stamps and the audit rows: computed once
-    summ = cut_lineage(M.metric_summary(_series(spark, sf_dir, [m for m, _ in M.AUDIT_METRICS] + ["operating_income"])),
-                       "summary")
+    summ = cut_lineage(_summary(spark, sf_dir, [m for m, _ in M.AUDIT_METRICS] + ["operating_income"]), "summary")
     fund = M.fundamentals_frame(D.supplier_companies(spark, sf_dir), summ, D.supplier_filing_dates(spark, sf_dir))
     return M.audit_frame(summ, fund).drop("id")
 
 
 def _fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_metrics = sorted({r[0] for r in S.metric_map_rows()})
-    summ = M.metric_summary(_series(spark, sf_dir, all_metrics))
+    summ = _summary(spark, sf_dir, all_metrics)
     return M.fundamentals_frame(D.supplier_companies(spark, sf_dir), summ, D.supplier_filing_dates(spark, sf_dir))
 
 

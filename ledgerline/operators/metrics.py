@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.functions.scalars import safe_ratio_pct
-from ledgerline.operators.series import latest_rows, series_summary
+from ledgerline.operators.series import latest_rows, latest_series, series_summary
 
 FLOW_METRICS = ["revenue", "ebitda", "net_income"]
 BALANCE_METRICS = {"cash": "cash_sti", "debt": "total_debt", "shares": "shares_outstanding",
@@ -30,6 +30,11 @@ def metric_summary(series: DataFrame, n: int = WINDOW_ROWS) -> DataFrame:
     return series_summary(latest_rows(series, n))
 
 
+def facts_summary(facts: DataFrame, mmap: DataFrame, kinds: set | None = None, n: int = WINDOW_ROWS) -> DataFrame:
+    """``metric_summary`` straight from the fact frame (tag choice folded into the top-n)."""
+    return series_summary(latest_series(facts, mmap, n, kinds))
+
+
 def _pick(metric: str) -> Column:
     fields = ["lq", "annualized", "ltm", "yoy", "end", "form", "fy", "fp", "tag", "unit", "scale_applied"]
     return F.max(F.when(F.col("metric") == metric, F.struct(*fields))).alias(metric)

@@ -196,6 +196,76 @@ def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool
     return out
 
 
+def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
+                  kinds: set[tuple[str, bool]] | None = None) -> DataFrame:
+    """The newest ``n`` rows of every (company, metric) with the tag/tier choice
+    folded into the recency ranking (W2 + J2 in one window).
+
+    Each candidate tag is de-accumulated on its own key, combining happens
+    per tier, and the window orders by (tier·priority rank, valid period,
+    form tier, recency). The winning tag/tier and form tier are the first
+    row's, so keeping the top-n rows that share them equals "choose the tag,
+    then take the newest n" -- without a winner aggregate, a semi-join or any
+    exchange keyed on the company; the top-n is computed map-side.
+    A tier whose component rows all lack a period key still wins (and yields
+    nothing), as in the reference. Same output as
+    ``latest_rows(resolve_series(...), n)``.
+    """
+    kinds = kinds if kinds is not None else {("first", True), ("first", False), ("sum", False), ("join", True)}
+    combines = {c for c, _ in kinds}
+    t = attach_metric_map(facts, mmap).withColumn("rank_key", _rank_key())
+    has_flow = any(qf for _, qf in kinds)
+    q = t.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val"))) \
+        if has_flow else t
+    cols = SERIES_COLUMNS + ["rank_key", "valid"]
+    parts: list[DataFrame] = []
+
+    def fin(df: DataFrame, kind: str, keys: dict[str, Column]) -> DataFrame:
+        return df.withColumns(keys).withColumn("kind", F.lit(kind)).select(*cols)
+
+    if "first" in combines:
+        first = q.where(F.col("combine") == "first").withColumn("valid", F.lit(True))
+        if ("first", True) in kinds:
+            parts.append(fin(first.where(F.col("quarterly")), "quarterly", order_keys("quarterly")))
+        if ("first", False) in kinds:
+            parts.append(fin(first.where(~F.col("quarterly")), "raw", order_keys("raw")))
+    if "sum" in combines:
+        period = ["end", "form", "fy", "fp"]
+        valid = F.col("end").isNotNull() & F.col("form").isNotNull() & F.col("fy").isNotNull() & F.col("fp").isNotNull()
+        summed = (q.where(F.col("combine") == "sum").withColumn("valid", valid)
+                  .groupBy("cik", "metric", "rank_key", "valid", *period)
+                  .agg(F.sum("val").alias("val"), F.max("out_tag").alias("tag"))
+                  .withColumns({"unit": F.lit("USD"), "qtrs": F.lit(None).cast("int"), "scale_applied": F.lit(0)}))
+        parts.append(fin(summed, "sum", order_keys("sum")))
+    if "join" in combines:
+        jq = q.where(F.col("combine") == "join")
+        joined = join_on_period(jq.where(F.col("priority") == 1), jq.where(F.col("priority") == 2),
+                                extra_keys=["cik", "metric", "rank_key"])
+        joined = joined.select(
+            "cik", "metric", "rank_key", F.lit(True).alias("valid"), "end", "form", "fy", "fp",
+            (F.coalesce(F.col("val_a"), F.lit(0)) + F.coalesce(F.col("val_b"), F.lit(0))).alias("val"),
+            F.col("out_tag_a").alias("tag"), F.lit("USD").alias("unit"),
+            F.lit(None).cast("int").alias("qtrs"), F.lit(0).alias("scale_applied"),
+            F.col("pos_a").alias("pos"), F.col("pos_b").alias("pos2"))
+        parts.append(fin(joined, "join", order_keys("join", F.col("pos"), F.col("pos2"))))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+
+    keys = ["cik", "metric"]
+    w = (Window.partitionBy(*keys)
+         .orderBy(F.col("rank_key").asc(), F.col("valid").desc(), F.col("ftier").asc(),
+                  *[F.col(f"k{i}").desc_nulls_first() for i in range(1, 7)]))
+    ranked = (u.withColumn("ftier", form_tier()).withColumn("rn", F.row_number().over(w))
+              .where(F.col("rn") <= n))
+    best = F.min(F.struct(F.col("rank_key"), (~F.col("valid")).alias("invalid"), F.col("ftier"))) \
+        .over(Window.partitionBy(*keys))
+    kept = (ranked.withColumn("__best", best)
+            .where((F.col("rank_key") == F.col("__best.rank_key")) & F.col("valid")
+                   & (F.col("ftier") == F.col("__best.ftier"))))
+    return kept.drop("__best", "rank_key", "valid")
+
+
 def join_on_period(a: DataFrame, b: DataFrame, extra_keys: list[str] | None = None,
                    cols: list[str] | None = None) -> DataFrame:
     """Inner join on (end, form, fy, fp) where NULL matches NULL; suffixes _a/_b.

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.operators import metrics as M
 from ledgerline.operators import upsert as U
-from ledgerline.operators.series import resolve_series
 from ledgerline.session import cut_lineage
 from ledgerline.sources import facts as FA
 from ledgerline.sources import submissions as SU
@@ -56,7 +55,7 @@ def build_tables(spark: SparkSession, facts_docs: DataFrame, submissions: DataFr
 
     facts = facts.join(ciks.select("cik"), "cik", "left_semi")
     # one row per (company, metric); it feeds the fundamentals row and the audit rows
-    summary = cut_lineage(M.metric_summary(resolve_series(facts, S.metric_map(spark))), "summary")
+    summary = cut_lineage(M.facts_summary(facts, S.metric_map(spark)), "summary")
     filings_long = SU.recent_filings(subs).join(ciks.select("cik"), "cik", "left_semi")
     filing_dates = filings_long.select("cik", "filing_date")
 

@@ -182,3 +182,31 @@ def test_calendar_mode_skips_gaps(spark):
                                "cik string, metric string, form string, fy int, fp string, val double")
     r = one(calendar_summary(df))
     assert (r.lq, r.ltm, r.yoy) == (6.0, None, 100.0)  # LTM needs 4 quarters; YoY vs 2022Q3 = 3
+
+
+def test_fast_path_equals_resolve_then_rank(spark):
+    """latest_series (tag choice inside the top-n) == latest_rows(resolve_series(...))."""
+    from ledgerline.operators.series import latest_rows, latest_series
+    docs = [
+        doc(1, {REV: entries(("2019-03-31", 5, "10-Q", 2019, "Q1", 1)),
+                "Revenues": entries(*[(f"{2000 + i}-03-31", 100 + i, "10-Q", 2000 + i, "Q1", 1) for i in range(12)]),
+                S.OPERATING_INCOME_TAG: entries(("2023-03-31", 10, "10-Q", 2023, "Q1", 1),
+                                                ("2023-06-30", 25, "10-Q", 2023, "Q2", 2)),
+                S.DA_TAG: entries(("2023-03-31", 1, "10-Q", 2023, "Q1", 1)),
+                S.CASH_COMPONENT_TAGS[0]: entries(("2023-06-30", 6, "10-Q", None, "Q2")),  # NULL fy only
+                S.DEFERRED_TOTAL_TAG: entries(("2023-03-31", 9, "10-K", 2023, "FY"))}),
+        doc(2, {S.EBITDA_DIRECT_TAG: entries(("2010-03-31", 1, "10-Q", 2010, "Q1", 1)),
+                S.OPERATING_INCOME_TAG: entries(("2023-03-31", 10, "10-Q", 2023, "Q1", 1)),
+                S.DA_TAG: entries(("2023-03-31", 1, "10-Q", 2023, "Q1", 1)),
+                S.DEFERRED_LEGACY_TAGS[0]: entries(("2023-03-31", 3, "10-Q", 2023, "Q1"),
+                                                   ("2022-12-31", 2, "10-K", 2022, "FY")),
+                S.DEFERRED_TOTAL_TAG: entries(("2023-03-31", 100, "10-Q", 2023, "Q1"))},
+            extra_ns={"dei": {S.SHARES_DEI_TAG: {"units": {"shares": entries(("2023-03-31", 50, "8-K", 2023, "Q1"))}}}}),
+    ]
+    f = facts_frame(facts_doc(spark, docs[0])).unionByName(facts_frame(facts_doc(spark, docs[1])))
+    mm = S.metric_map(spark)
+    cols = ["cik", "metric", "rn", "val", "end", "form", "fy", "fp", "tag"]
+    slow = sorted(tuple(r) for r in latest_rows(resolve_series(f, mm, checkpoint=False), 8).select(*cols).collect())
+    fast = sorted(tuple(r) for r in latest_series(f, mm, 8).select(*cols).collect())
+    assert fast == slow
+    assert not any(r[1] == "cash" for r in fast)  # the NULL-fy cash tier wins and yields nothing
