@@ -1,7 +1,6 @@
 """Margins (FIXTURES F-4), stamps and the fundamentals row."""
 
 from helpers import doc, entries, facts_doc
-from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.functions.scalars import safe_ratio_pct
