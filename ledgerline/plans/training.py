@@ -77,3 +77,29 @@ def score_tickers(spark: SparkSession, sheet: DataFrame, requests: DataFrame, mo
     fits = [ML.FitResult(PipelineModel.load(os.path.join(model_dir, "models", f"member_{i}")),
                          [c.strip() + X.FEATURE_SUFFIX for c in names]) for i in range(members)]
     return ML.predict_ensemble(fits, rows)
+
+
+def prepare_supervised(train: DataFrame, others: dict[str, DataFrame] | None = None,
+                       teacher: DataFrame | None = None, require_ps: bool = False) -> dict:
+    """M3: leakage-safe feature frames for a model trained on a company snapshot.
+
+    Feature columns are the numeric, non-leaky columns (P11); medians and the
+    scaler are fitted on ``train`` only and applied to every frame (fix of
+    Q19). Each frame keeps ``cik``/``ticker``/``report_date``, gets the
+    teacher prediction when given (J10) and the price/sales target (F14).
+    With ``require_ps`` an all-NULL target raises (fix of Q6).
+    """
+    cols = X.leakage_safe_columns(train)
+    medians = X.fit_medians(train, cols)
+    scaler = X.fit_scaler(train, cols, medians)
+    ids = [c for c in ("cik", "ticker", "report_date") if c in train.columns]
+    out = {"features": cols, "medians": medians, "scaler": scaler}
+    for name, df in {"train": train, **(others or {})}.items():
+        base = df.withColumn("ps_target", X.ps_ratio(df))
+        scaled = X.standardize(base.select(*ids, "ps_target", *cols), cols, medians, scaler)
+        if teacher is not None:
+            scaled = X.join_teacher(scaled, teacher)
+        out[name] = scaled
+    if require_ps and out["train"].where(F.col("ps_target").isNotNull()).isEmpty():
+        raise ValueError("price/sales target is NULL for every training row (no prices joined)")
+    return out

@@ -83,3 +83,27 @@ def test_ps_ratio_and_teacher(spark):
     t = spark.createDataFrame([("A", float("nan")), ("B", 3.0)], "ticker string, pred double")
     got = sorted((r.ticker, r.teacher_pred) for r in X.join_teacher(ids, t).collect())
     assert got == [("A", None), ("B", 3.0)]
+
+
+def test_prepare_supervised_fits_on_train_only(spark):
+    import pytest
+
+    from ledgerline.plans.training import prepare_supervised
+    rows = [("1", "A", "2020-01-01", 10.0, None, 5.0, 100.0), ("2", "B", "2020-02-01", 20.0, 7.0, None, 200.0),
+            ("3", "C", "2020-03-01", 30.0, 9.0, 1.0, 300.0)]
+    schema = "cik string, ticker string, report_date string, revenue_lq double, ebitda_lq double, " \
+             "market_cap double, revenue_ltm double"
+    train = spark.createDataFrame(rows, schema)
+    val = spark.createDataFrame([("4", "D", "2021-01-01", 1000.0, None, None, 50.0)], schema)
+    teacher = spark.createDataFrame([("A", 1.5), ("D", float("inf"))], "ticker string, pred double")
+    out = prepare_supervised(train, {"val": val}, teacher)
+    assert out["features"] == ["revenue_lq", "ebitda_lq", "revenue_ltm"]  # market_cap is leaky
+    tr = {r.ticker: r for r in out["train"].collect()}
+    assert abs(sum(r.revenue_lq for r in tr.values())) < 1e-12          # centred on train
+    v = out["val"].collect()[0]
+    assert v.ebitda_lq == (8.0 - 8.0) / ((2.0 / 3.0) ** 0.5)           # train median 8 imputed, train std
+    assert v.teacher_pred is None and tr["A"].teacher_pred == 1.5
+    assert tr["A"].ps_target == 5.0 / 100.0
+    none = spark.createDataFrame([("1", "A", "2020-01-01", 10.0, 1.0, None, 100.0)], schema)
+    with pytest.raises(ValueError):
+        prepare_supervised(none, require_ps=True)
