@@ -213,22 +213,25 @@ def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
     """
     kinds = kinds if kinds is not None else {("first", True), ("first", False), ("sum", False), ("join", True)}
     combines = {c for c, _ in kinds}
-    t = attach_metric_map(facts, mmap).withColumn("rank_key", _rank_key())
+    t = attach_metric_map(facts, mmap)
     has_flow = any(qf for _, qf in kinds)
-    q = t.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val"))) \
-        if has_flow else t
+    val = F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val")) if has_flow else F.col("val")
+    q = t.select(*[c for c in t.columns if c != "val"], val.alias("val"), _rank_key().alias("rank_key"))
     cols = SERIES_COLUMNS + ["rank_key", "valid"]
     parts: list[DataFrame] = []
 
-    def fin(df: DataFrame, kind: str, keys: dict[str, Column]) -> DataFrame:
-        return df.withColumns(keys).withColumn("kind", F.lit(kind)).select(*cols)
+    def fin(df: DataFrame, kind: str, keys: dict[str, Column], extra: dict[str, Column] | None = None) -> DataFrame:
+        # one projection per branch (each DataFrame call re-analyses the plan)
+        computed = {**keys, "kind": F.lit(kind), **(extra or {})}
+        return df.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in cols])
 
     if "first" in combines:
-        first = q.where(F.col("combine") == "first").withColumn("valid", F.lit(True))
+        first = q.where(F.col("combine") == "first")
+        valid = {"valid": F.lit(True)}
         if ("first", True) in kinds:
-            parts.append(fin(first.where(F.col("quarterly")), "quarterly", order_keys("quarterly")))
+            parts.append(fin(first.where(F.col("quarterly")), "quarterly", order_keys("quarterly"), valid))
         if ("first", False) in kinds:
-            parts.append(fin(first.where(~F.col("quarterly")), "raw", order_keys("raw")))
+            parts.append(fin(first.where(~F.col("quarterly")), "raw", order_keys("raw"), valid))
     if "sum" in combines:
         period = ["end", "form", "fy", "fp"]
         valid = F.col("end").isNotNull() & F.col("form").isNotNull() & F.col("fy").isNotNull() & F.col("fp").isNotNull()
@@ -254,16 +257,16 @@ def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
 
     keys = ["cik", "metric"]
     w = (Window.partitionBy(*keys)
-         .orderBy(F.col("rank_key").asc(), F.col("valid").desc(), F.col("ftier").asc(),
+         .orderBy(F.col("rank_key").asc(), F.col("valid").desc(), form_tier().asc(),
                   *[F.col(f"k{i}").desc_nulls_first() for i in range(1, 7)]))
-    ranked = (u.withColumn("ftier", form_tier()).withColumn("rn", F.row_number().over(w))
-              .where(F.col("rn") <= n))
+    ranked = u.select("*", form_tier().alias("ftier"), F.row_number().over(w).alias("rn")).where(F.col("rn") <= n)
     best = F.min(F.struct(F.col("rank_key"), (~F.col("valid")).alias("invalid"), F.col("ftier"))) \
         .over(Window.partitionBy(*keys))
-    kept = (ranked.withColumn("__best", best)
+    out_cols = [c for c in ranked.columns if c not in ("rank_key", "valid")]
+    return (ranked.select("*", best.alias("__best"))
             .where((F.col("rank_key") == F.col("__best.rank_key")) & F.col("valid")
-                   & (F.col("ftier") == F.col("__best.ftier"))))
-    return kept.drop("__best", "rank_key", "valid")
+                   & (F.col("ftier") == F.col("__best.ftier")))
+            .select(*out_cols))
 
 
 def join_on_period(a: DataFrame, b: DataFrame, extra_keys: list[str] | None = None,
