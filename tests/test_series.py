@@ -210,3 +210,23 @@ def test_fast_path_equals_resolve_then_rank(spark):
     fast = sorted(tuple(r) for r in latest_series(f, mm, 8).select(*cols).collect())
     assert fast == slow
     assert not any(r[1] == "cash" for r in fast)  # the NULL-fy cash tier wins and yields nothing
+
+
+def test_raw_facts_last_four_and_dims(spark):
+    from ledgerline.sources.facts import raw_facts
+    es = [{"end": f"2020-0{i}-28", "val": i, "form": "10-Q", "fy": 2020, "fp": "Q1"} for i in range(1, 7)]
+    es[5]["dimensional"] = True
+    d = {"cik": 3, "facts": {"us-gaap": {"Revenues": {"units": {"USD": es}}},
+                             "dei": {S.SHARES_DEI_TAG: {"units": {"shares": es[:2]}}}}}
+    got = raw_facts(facts_doc(spark, d)).orderBy("end").collect()
+    assert [r.val for r in got] == [3.0, 4.0, 5.0, 6.0]  # last four entries, us-gaap only
+    assert got[-1].dims == "true" and got[0].dims == "null"
+
+
+def test_dimensional_text_variants(spark):
+    from ledgerline.sources.facts import is_nondimensional
+    rows = [(None, None, True), ("{}", None, True), ('{"a": 1}', None, False), (None, "false", True),
+            (None, "0", True), (None, "[]", True), (None, "true", False), (None, "1", False), (" { } ", None, True)]
+    df = spark.createDataFrame([(a, b) for a, b, _ in rows], "segment string, dimensional string")
+    got = [r.k for r in df.select(is_nondimensional(F.col("segment"), F.col("dimensional")).alias("k")).collect()]
+    assert got == [k for _, _, k in rows]
