@@ -89,6 +89,59 @@ def to_quarterly_col(w: Window | None = None, strict_qtrs: bool = False) -> Colu
             .otherwise(F.col("val")))
 
 
+def _w1_value(prev_val: Column, prev_q: Column, prev_fp: Column) -> Column:
+    fp_order = F.array(*[F.lit(x) for x in S.FP_ORDER])
+    fp_idx = F.coalesce(F.array_position(fp_order, F.col("fp")), F.lit(0))
+    prev_fp_idx = F.coalesce(F.array_position(fp_order, prev_fp), F.lit(0))
+    q = F.col("qtrs")
+    by_qtrs = q.isNotNull() & prev_q.isNotNull() & (prev_q == q - 1)
+    by_fp = (fp_idx > 0) & (prev_fp_idx > 0) & (prev_fp_idx == fp_idx - 1)
+    adjacent = F.coalesce(by_qtrs, F.lit(False)) | F.coalesce(by_fp, F.lit(False))
+    return (F.when(F.col("val").isNull(), F.col("val"))
+            .when(adjacent & prev_val.isNotNull(), F.col("val") - prev_val)
+            .otherwise(F.col("val")))
+
+
+QUARTER_GROUP = ["cik", "metric", "tag", "form", "fy"]
+
+
+def to_quarterly_ranged(series: DataFrame) -> DataFrame:
+    """W1 for inputs where one (company, metric, tag, form, fiscal year) group may be huge.
+
+    The window form needs each group in one task. Here rows are range-sorted
+    by (group, end, pos) over many partitions and written once (so partition
+    ids are stable); ``lag`` runs inside each partition's chunk of a group, and
+    the first row of a partition takes its predecessor from the last row of
+    the previous non-empty partition (one row per partition, broadcast).
+    Same result as ``to_quarterly``; a group may span any number of tasks.
+    """
+    from ledgerline.session import cut_lineage
+    g = QUARTER_GROUP
+    order = [F.col("end").asc_nulls_last(), F.col("pos").asc_nulls_last()]
+    srt = cut_lineage(series.orderBy(*[F.col(c) for c in g], *order)
+                      .withColumn("__pid", F.spark_partition_id()), "w1-sorted")
+    w = Window.partitionBy("__pid", *g).orderBy(*order)
+    chunk = srt.select("*", F.lag("val").over(w).alias("__pv"), F.lag("qtrs").over(w).alias("__pq"),
+                       F.lag("fp").over(w).alias("__pf"), F.row_number().over(w).alias("__rn"))
+    key = F.struct(*[F.col(c) for c in g], F.col("end").isNull(), F.col("end"), F.col("pos").isNull(), F.col("pos"))
+    last = srt.groupBy("__pid").agg(F.max_by(F.struct(*[F.col(c) for c in g], "val", "qtrs", "fp"), key).alias("__l"))
+    prev = last.select("__pid", F.lag("__l").over(Window.orderBy("__pid")).alias("__p"))  # one row per partition
+    j = chunk.join(F.broadcast(prev), "__pid", "left")
+    same = F.lit(True)
+    for c in g:
+        same = same & F.col(c).eqNullSafe(F.col("__p")[c])
+    carry = (F.col("__rn") == 1) & F.col("__p").isNotNull() & same
+    pv = F.when(carry, F.col("__p")["val"]).otherwise(F.col("__pv"))
+    pq = F.when(carry, F.col("__p")["qtrs"]).otherwise(F.col("__pq"))
+    pf = F.when(carry, F.col("__p")["fp"]).otherwise(F.col("__pf"))
+    return j.select(*[F.col(c) for c in series.columns if c != "val"], _w1_value(pv, pq, pf).alias("val"))
+
+
+def _ranged_w1(t: DataFrame) -> DataFrame:
+    """Skew-proof W1 on the flow rows of a tagged frame; other rows pass through."""
+    return to_quarterly_ranged(t.where(F.col("quarterly"))).unionByName(t.where(~F.col("quarterly")))
+
+
 def to_quarterly(series: DataFrame) -> DataFrame:
     """W1 over a series frame with columns cik, metric, tag, form, fy, end, pos, qtrs, fp, val."""
     return series.withColumn("val", to_quarterly_col())
@@ -134,7 +187,7 @@ def _finish(df: DataFrame, kind: str, keys: dict[str, Column]) -> DataFrame:
 
 
 def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool]] | None = None,
-                   checkpoint: bool = True) -> DataFrame:
+                   checkpoint: bool = True, ranged_lag: bool = False) -> DataFrame:
     """All metrics of all companies as resolved series (tag choice, W1, combining).
 
     Output: ``SERIES_COLUMNS``; ``kind`` tells which recency order applies.
@@ -154,8 +207,12 @@ def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool
     chosen = resolve_tags(tagged)
     # W1 only where the metric is a flow (revenue, EBITDA inputs, net income).
     has_flow = any(qf for _, qf in kinds)
-    q = chosen.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val"))) \
-        if has_flow else chosen
+    if has_flow and ranged_lag:
+        q = _ranged_w1(chosen)
+    elif has_flow:
+        q = chosen.withColumn("val", F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val")))
+    else:
+        q = chosen
     parts: list[DataFrame] = []
 
     if "first" in combines:
@@ -197,7 +254,7 @@ def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool
 
 
 def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
-                  kinds: set[tuple[str, bool]] | None = None) -> DataFrame:
+                  kinds: set[tuple[str, bool]] | None = None, ranged_lag: bool = False) -> DataFrame:
     """The newest ``n`` rows of every (company, metric) with the tag/tier choice
     folded into the recency ranking (W2 + J2 in one window).
 
@@ -209,13 +266,18 @@ def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
     exchange keyed on the company; the top-n is computed map-side.
     A tier whose component rows all lack a period key still wins (and yields
     nothing), as in the reference. Same output as
-    ``latest_rows(resolve_series(...), n)``.
+    ``latest_rows(resolve_series(...), n)``. ``ranged_lag`` de-accumulates with
+    ``to_quarterly_ranged`` (for inputs where one group may be huge).
     """
     kinds = kinds if kinds is not None else {("first", True), ("first", False), ("sum", False), ("join", True)}
     combines = {c for c, _ in kinds}
     t = attach_metric_map(facts, mmap)
     has_flow = any(qf for _, qf in kinds)
-    val = F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val")) if has_flow else F.col("val")
+    if has_flow and ranged_lag:
+        t = _ranged_w1(t)
+        val = F.col("val")
+    else:
+        val = F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val")) if has_flow else F.col("val")
     q = t.select(*[c for c in t.columns if c != "val"], val.alias("val"), _rank_key().alias("rank_key"))
     cols = SERIES_COLUMNS + ["rank_key", "valid"]
     parts: list[DataFrame] = []

@@ -230,3 +230,49 @@ def test_dimensional_text_variants(spark):
     df = spark.createDataFrame([(a, b) for a, b, _ in rows], "segment string, dimensional string")
     got = [r.k for r in df.select(is_nondimensional(F.col("segment"), F.col("dimensional")).alias("k")).collect()]
     assert got == [k for _, _, k in rows]
+
+
+def test_ranged_lag_equals_window_with_a_hot_group(spark):
+    """to_quarterly_ranged == to_quarterly when one group spans many partitions."""
+    import random as _r
+
+    from ledgerline.operators.series import to_quarterly, to_quarterly_ranged
+    rnd = _r.Random(7)
+    rows = []
+    for i in range(3000):  # one hot group: same company/metric/tag/form/fy
+        rows.append(("hot", "revenue", "t", "10-Q", 2020, f"2020-{1 + i % 12:02d}-{1 + i % 28:02d}", i,
+                     rnd.choice([None, 1, 2, 3]), rnd.choice(["Q1", "Q2", "Q3", None]), float(rnd.randint(-50, 50))))
+    for c in range(40):  # many small groups, some with NULL fy
+        for q in range(1, 4):
+            rows.append((f"c{c}", "revenue", "t", "10-Q", None if c % 5 == 0 else 2021, f"2021-0{3 * q}-28", q,
+                         q, f"Q{q}", float(q * 10 + c)))
+    df = spark.createDataFrame(rows, "cik string, metric string, tag string, form string, fy int, end string, "
+                                     "pos long, qtrs int, fp string, val double").repartition(9)
+    df = df.withColumn("end", F.col("end").cast("date"))
+    key = ["cik", "pos"]
+    a = sorted((r.cik, r.pos, r.val) for r in to_quarterly(df).select(*key, "val").collect())
+    # without coalescing, the 3,000-row group spreads over several range partitions, so the
+    # partition-boundary carry is exercised (AQE would merge this small input into one)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        b = sorted((r.cik, r.pos, r.val) for r in to_quarterly_ranged(df.repartition(16)).select(*key, "val").collect())
+    finally:
+        spark.conf.set(conf, old)
+    assert a == b
+
+
+def test_ranged_lag_option_in_series_paths(spark, sf_dir):
+    from ledgerline.operators.series import latest_series
+    from ledgerline.sources import driver as D
+    f = D.lineitem_facts(spark, sf_dir)
+    mm = S.metric_map(spark)
+    cols = ["cik", "metric", "rn", "val", "end", "tag"]
+    base = sorted(tuple(r) for r in latest_series(f, mm, 8).select(*cols).collect())
+    ranged = sorted(tuple(r) for r in latest_series(f, mm, 8, ranged_lag=True).select(*cols).collect())
+    assert base == ranged
+    full = sorted(tuple(r) for r in resolve_series(f, mm, checkpoint=False, ranged_lag=True)
+                  .select("cik", "metric", "val", "end").collect())
+    full0 = sorted(tuple(r) for r in resolve_series(f, mm, checkpoint=False).select("cik", "metric", "val", "end").collect())
+    assert full == full0
