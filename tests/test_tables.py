@@ -90,3 +90,22 @@ def test_global_rank_dense(spark):
     got = [(x.k, x.rk) for x in r.orderBy("rk").collect()]
     assert [rk for _, rk in got] == list(range(1, 501))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
+
+
+def test_exports_and_table_listing(spark):
+    import os
+    import tempfile
+
+    from ledgerline.operators.analytics import table_listing
+    from ledgerline.plans.summary import export_parquet, export_universe
+    tmp = tempfile.mkdtemp(prefix="ll-export-")
+    f = spark.createDataFrame([("1", "2020", 1.0)], SCHEMA)
+    export_parquet(f, os.path.join(tmp, "fundamentals.parquet"))
+    assert spark.read.parquet(os.path.join(tmp, "fundamentals.parquet")).collect() == f.collect()
+    u = spark.createDataFrame([("AAA", "0000000001", "NASDAQ")], "ticker string, cik string, exchange string")
+    export_universe(u, os.path.join(tmp, "universe.json"))
+    assert spark.read.json(os.path.join(tmp, "universe.json")).select("ticker", "cik", "exchange").collect() == u.collect()
+    f.createOrReplaceTempView("zz_fundamentals")
+    u.createOrReplaceTempView("aa_universe")
+    names = [r.table_name for r in table_listing(spark).collect()]
+    assert names.index("aa_universe") < names.index("zz_fundamentals")
