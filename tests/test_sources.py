@@ -50,6 +50,7 @@ def test_ticker_map(spark):
     tm = SY.ticker_map(SY.read_ticker_map_json(spark, p))
     assert rows(tm, "ticker", "cik", order=["ticker"]) == [
         ("ABC", "0000000001"), ("LONG", "12345678901"), ("XY", "0000000004")]
+    assert [r.ticker for r in SY.all_tickers(tm).collect()] == ["ABC", "LONG", "XY"]  # S9: ALL, sorted
 
 
 def test_symbol_directories_and_universe(spark):
