@@ -9,6 +9,8 @@ serving uses the training medians (the reference recomputes them).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,10 +113,19 @@ def fit_medians(parsed: DataFrame, columns: list[str], exact: bool = True) -> Da
     return parsed.agg(*[agg(c).cast("double").alias(c) for c in columns])
 
 
+_FITTED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def _one_row(stats: DataFrame) -> dict:
-    """The single row of a fitted-statistics table (one row: a proven bound)."""
-    r = stats.first()
-    return r.asDict() if r is not None else {}
+    """The single row of a fitted-statistics table (one row: a proven bound).
+
+    Fetched once per DataFrame object: a fitted table is immutable, so
+    re-applying it (scaler fit, then transform) does not recompute it.
+    """
+    if stats not in _FITTED:
+        r = stats.first()
+        _FITTED[stats] = r.asDict() if r is not None else {}
+    return _FITTED[stats]
 
 
 def impute(parsed: DataFrame, medians: DataFrame, columns: list[str], default: float = 0.0) -> DataFrame:
