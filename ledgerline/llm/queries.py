@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import quality, simhash
+from ledgerline.llm import decontamination, quality, simhash
 from ledgerline.llm.common import table
 
 
@@ -16,13 +16,40 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")])
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("n_item").cast("long").alias("n_item"),
+                        F.col("n_shared").cast("long").alias("n_shared"),
+                        (F.col("n_shared") / F.col("n_item")).alias("containment"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = "list_filter(regexp_split_to_array(lower({t}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_GRAMS = """CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"""
+
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH items AS (
+    SELECT item_id, t, {_GRAMS} AS grams FROM (SELECT DISTINCT item_id, text AS t, {_WORDS.format(t="text")} AS w FROM benchmark)
+), docs AS (
+    SELECT doc_id, t, {_GRAMS} AS grams FROM (SELECT DISTINCT doc_id, text AS t, {_WORDS.format(t="text")} AS w FROM documents)
+), found AS (
+    SELECT d.doc_id, d.t AS dt, i.item_id, i.t AS it, any_value(len(i.grams)) AS n_item, count(*) AS n_shared
+    FROM (SELECT doc_id, t, unnest(grams) AS g FROM docs) d
+    JOIN (SELECT item_id, t, grams, unnest(grams) AS g FROM items) i ON d.g = i.g
+    GROUP BY d.doc_id, d.t, i.item_id, i.t
+)
+SELECT doc_id, item_id, n_item::BIGINT AS n_item, n_shared::BIGINT AS n_shared, n_shared / n_item AS containment
+FROM found WHERE n_shared * 10 >= n_item * 8
+""",
+}
