@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, quality, simhash
+from ledgerline.llm import decontamination, mixing, quality, simhash
 from ledgerline.llm.common import table
 
 
@@ -16,6 +16,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")])
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("mix")
+    return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        "doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"),
+        (m["copies"] * m["size"]).alias("taken"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("n_item").cast("long").alias("n_item"),
@@ -29,6 +36,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_mix_sources": op2_mix_sources,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
