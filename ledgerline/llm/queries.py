@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, mixing, quality, simhash
+from ledgerline.llm import decontamination, mixing, quality, ring, simhash
 from ledgerline.llm.common import table
 
 
@@ -30,6 +30,13 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
+def op6_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("placed")
+    return ring.assign(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        "doc_id", p["size"].alias("size"), p["text_crc32"].alias("text_crc32"), F.lit("rows").alias("law"),
+        p["shard"].alias("shard"), p["slot"].alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +45,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op6_hash_ring_shards": op6_hash_ring_shards,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
