@@ -135,12 +135,14 @@ def label(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
 
 
 def posterior(votes: Column, model: dict) -> Column:
-    """P(good | votes) for rules that are independent given the class."""
-    logit = F.lit(math.log(model["prior"] / (1 - model["prior"])))
-    for j, (on_good, on_bad) in enumerate(zip(model["on_good"], model["on_bad"], strict=True)):
-        v = F.get(votes, F.lit(j))
-        logit = logit + (F.when(v == 1, F.lit(math.log(on_good / (1 - on_bad))))
-                         .when(v == -1, F.lit(math.log((1 - on_good) / on_bad))).otherwise(F.lit(0.0)))
+    """P(good | votes) for rules that are independent given the class.
+
+    The accuracies go in as arrays, so that every EM step runs the same generated code.
+    """
+    good = F.array(*[F.lit(math.log(g / (1 - b))) for g, b in zip(model["on_good"], model["on_bad"], strict=True)])
+    bad = F.array(*[F.lit(math.log((1 - g) / b)) for g, b in zip(model["on_good"], model["on_bad"], strict=True)])
+    each = F.transform(votes, lambda v, j: F.when(v == 1, F.get(good, j)).when(v == -1, F.get(bad, j)).otherwise(F.lit(0.0)))
+    logit = F.aggregate(each, F.lit(math.log(model["prior"] / (1 - model["prior"]))), lambda a, x: a + x)
     return 1 / (1 + F.exp(-logit))
 
 
@@ -159,20 +161,21 @@ def fit(votes: DataFrame, n_rules: int, tolerance: float = TOLERANCE, max_steps:
     model = {"prior": 0.8, "on_good": [ON_GOOD[0] / sum(ON_GOOD)] * n_rules,
              "on_bad": [ON_BAD[0] / sum(ON_BAD)] * n_rules, "steps": 0}
     for step in range(1, max_steps + 1):
-        p, n = posterior(F.col("votes"), model), F.col("n").cast("double")
-        v = [F.get(F.col("votes"), F.lit(j)) for j in range(n_rules)]
-        total = lambda when, x, name: F.sum(F.when(when, x).otherwise(F.lit(0.0))).alias(name)
-        row = patterns.agg(
-            F.sum(n).alias("n"), F.sum(n * p).alias("good"),
-            *[c for j in range(n_rules) for c in (
-                total(v[j] == 1, n * p, f"gg{j}"), total(v[j] != 0, n * p, f"g{j}"),
-                total(v[j] == -1, n * (1 - p), f"bb{j}"), total(v[j] != 0, n * (1 - p), f"b{j}"))]).first()
-        if not row["n"]:
+        # a vote 0 that always says good stands for the row itself
+        each = patterns.select("n", posterior(F.col("votes"), model).alias("p"),
+                               F.posexplode(F.concat(F.array(F.lit(1).cast("tinyint")), F.col("votes"))).alias("j", "v"))
+        rows = {r["j"]: r for r in each.where("v <> 0").groupBy("j").agg(
+            F.sum(F.expr("n * p")).alias("g"), F.sum(F.expr("n * (1 - p)")).alias("b"),
+            F.sum(F.expr("CASE WHEN v = 1 THEN n * p ELSE 0D END")).alias("gg"),
+            F.sum(F.expr("CASE WHEN v = -1 THEN n * (1 - p) ELSE 0D END")).alias("bb")).collect()}
+        if 0 not in rows:
             return model
-        prior = min(0.99, max(0.01, (row["good"] + 8.0) / (row["n"] + 10.0)))
-        on_good = [min(0.999, max(0.55, (row[f"gg{j}"] + ON_GOOD[0]) / (row[f"g{j}"] + sum(ON_GOOD)))) for j in range(n_rules)]
-        on_bad = [min(0.99, max(2 * (1 - on_good[j]), 0.01, (row[f"bb{j}"] + ON_BAD[0]) / (row[f"b{j}"] + sum(ON_BAD))))
-                  for j in range(n_rules)]
+        none = {"g": 0.0, "b": 0.0, "gg": 0.0, "bb": 0.0}
+        total, rules = rows[0], [rows.get(j + 1, none) for j in range(n_rules)]
+        prior = min(0.99, max(0.01, (total["g"] + 8.0) / (total["g"] + total["b"] + 10.0)))
+        on_good = [min(0.999, max(0.55, (r["gg"] + ON_GOOD[0]) / (r["g"] + sum(ON_GOOD)))) for r in rules]
+        on_bad = [min(0.99, max(2 * (1 - on_good[j]), 0.01, (r["bb"] + ON_BAD[0]) / (r["b"] + sum(ON_BAD))))
+                  for j, r in enumerate(rules)]
         old = [model["prior"], *model["on_good"], *model["on_bad"]]
         model = {"prior": prior, "on_good": on_good, "on_bad": on_bad, "steps": step}
         if max(abs(x - y) for x, y in zip([prior, *on_good, *on_bad], old, strict=True)) < tolerance:
