@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, mixing, quality, ring, simhash
+from ledgerline.llm import decontamination, mixing, quality, ring, simhash, token_counts
 from ledgerline.llm.common import table
 
 
@@ -37,6 +37,17 @@ def op6_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         p["shard"].alias("shard"), p["slot"].alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: Tokenizer of the token-count query: a file of the installed ``public_tokenizers`` package.
+TOKENIZER = "byte_bpe_50k.json"
+TOKEN_LIMIT = 1024
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+    d = token_counts.count(table(spark, sf_dir, "documents"), tokenizer or str(public_tokenizers.path(TOKENIZER)))
+    return d.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +57,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_hash_ring_shards": op6_hash_ring_shards,
+    "op7_token_counts": op7_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
