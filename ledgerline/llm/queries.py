@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, mixing, quality, ring, simhash, token_counts
+from ledgerline.llm import decontamination, disclosure, mixing, quality, ring, simhash, token_counts
 from ledgerline.llm.common import table
 
 
@@ -30,6 +30,14 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
+def op5_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = disclosure.find(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    p = F.col("private")
+    n = lambda kind: F.size(F.filter(p["base"], lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return d.select("doc_id", *[n(k) for k in disclosure.KINDS], F.sha2(disclosure.written(p["base"]), 256).alias("base_sha256"),
+                    disclosure.written(F.concat(p["base"], p["terms"])).alias("spans"))
+
+
 def op6_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("placed")
     return ring.assign(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
@@ -56,6 +64,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_disclosure": op5_disclosure,
     "op6_hash_ring_shards": op6_hash_ring_shards,
     "op7_token_counts": op7_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
