@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, disclosure, mixing, quality, ring, simhash, token_counts
+from ledgerline.llm import decontamination, disclosure, language_mix, mixing, quality, ring, simhash, token_counts
 from ledgerline.llm.common import table
 
 
@@ -56,6 +56,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return d.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    d = language_mix.predict(docs.withColumn("held_out", F.coalesce(fold == 0, F.lit(False))).drop("lang"),
+                             docs.where(fold != 0), carry=["doc_id", "held_out"])
+    m = F.col("mixture")
+    return d.select("doc_id", "held_out", m["lang"].alias("lang_pred"), m["score"].alias("score"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -67,6 +76,7 @@ QUERIES = {
     "op5_disclosure": op5_disclosure,
     "op6_hash_ring_shards": op6_hash_ring_shards,
     "op7_token_counts": op7_token_counts,
+    "op8_language_mixture": op8_language_mixture,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
