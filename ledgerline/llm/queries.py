@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, disclosure, language_mix, mixing, quality, ring, simhash, token_counts
+from ledgerline.llm import decontamination, disclosure, language_mix, mixing, page_diff, quality, ring, simhash, token_counts
 from ledgerline.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = page_diff.main_text(table(spark, sf_dir, "pages"))
+    return d.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
@@ -78,6 +83,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_language_mixture": op8_language_mixture,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_page_difference": op10_page_difference,
 }
 
 _WORDS = "list_filter(regexp_split_to_array(lower({t}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
