@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, disclosure, language_mix, mixing, page_diff, quality, ring, simhash, token_counts
+from ledgerline.llm import decontamination, disclosure, language_mix, mixing, page_diff, quality, ring, simhash, token_counts, tool_calls
 from ledgerline.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = tool_calls.as_tool_messages(table(spark, sf_dir, "conversations"))
+    return tool_calls.linked(messages, tool_calls.SCHEMAS).withColumnRenamed("conv", "conv_id")
+
+
 def op5_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = disclosure.find(table(spark, sf_dir, "documents"), carry=["doc_id"])
     p = F.col("private")
@@ -78,6 +83,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_tool_calls": op4_tool_calls,
     "op5_disclosure": op5_disclosure,
     "op6_hash_ring_shards": op6_hash_ring_shards,
     "op7_token_counts": op7_token_counts,
