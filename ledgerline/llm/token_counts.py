@@ -16,10 +16,9 @@ nearly all of its rows, never enter it; the rare ones do, by an ordinary
 shuffled join. Nothing but the ``HOT`` rows reaches the driver.
 
 Special strings inside a text are one token each and split the text, as the
-library does by default. White space between a non-space and a space followed
-by a non-space is a boundary of pre-tokens whatever stands around it, so
-texts are cut there first and each distinct chunk is split once a task by the
-library's own pre-tokenizer.
+library does by default. Texts are split by the byte-level pattern; texts with
+one of the few control characters on which libraries disagree are split by the
+tokenizer itself.
 
 Defined results: null text is empty and has no tokens; rows that repeat (same
 id and text) give a row each; null ids are kept; an empty table gives an empty
@@ -28,12 +27,12 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,51 +43,45 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 #: Pre-tokens, the most frequent ones, that are summed where the texts are read (at most so many).
 HOT = 200_000
-#: Chunks whose split a task remembers; beyond, it starts anew.
+#: Distinct pre-tokens that a task gathers before it hands them on.
 MEMORY = 400_000
+#: Fixed value: the pre-tokenization pattern of the byte-level BPE.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ODD_SPACE = "[\x00\x1c-\x1f\x85\u180e\u200b\ufeff]"
+#: Marks a special string; no pre-token has white space after a letter.
+MARK = "special: "
 
 
-def splitter(tokenizer) -> Callable[[str], Counter]:
-    """A function from a text to its pre-token frequencies, specials (marked by a NUL) included."""
+def splitter(tokenizer) -> Callable[[str], list[str]]:
+    """A function from a text to its pre-tokens, in order; specials come marked."""
     pre = tokenizer.pre_tokenizer.pre_tokenize_str
     specials = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-    cut = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
-    seen: dict[str, list] = {}
-
-    def pieces(chunk: str) -> list[tuple]:
-        if len(seen) > MEMORY:
-            seen.clear()
-        got = seen[chunk] = list(Counter(p for p, _ in pre(chunk)).items())
-        return got
-
-    def plain(text: str, out: Counter) -> None:
-        chunks = text.split(" ")
-        for chunk in set(chunks):
-            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-                for p, _ in pre(text):  # white space runs: no safe cut, split the whole text
-                    out[p] += 1
-                return
-        for chunk, n in [(chunks[0], 1), *((" " + c, n) for c, n in Counter(chunks[1:]).items())]:
-            got = seen.get(chunk)
-            for p, k in pieces(chunk) if got is None else got:
-                out[p] += n * k
-
-    def split(text: str) -> Counter:
-        out: Counter = Counter()
+    cut = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
+    findall, odd = regex.compile(PATTERN).findall, regex.compile(ODD_SPACE).search
+
+    def plain(text: str) -> list[str]:
+        if odd(text):  # the libraries differ in what they take for white space: ask the tokenizer
+            return [text[a:b] for _, (a, b) in pre(text)]
+        return findall(text)
+
+    def split(text: str) -> list[str]:
         if cut is None or not any(s in text for s in specials):
-            if text:
-                plain(text, out)
-            return out
+            return plain(text)
+        out: list[str] = []
         for k, part in enumerate(cut.split(text)):
             if k % 2:
-                out["\x00" + part] += 1  # byte-level pre-tokens never hold a NUL
+                out.append(MARK + part)
             elif part:
-                plain(part, out)
+                out += plain(part)
         return out
 
     return split
 
 
+def pieces(tokenizer, pretoken: str) -> int:
+    return 1 if pretoken.startswith(MARK) else len(tokenizer.encode(pretoken, add_special_tokens=False).ids)
+
+
 def _frequent(vocabulary: DataFrame, most: int) -> DataFrame:
     """At most ``most`` rows: those above a frequency, which a histogram of at most 512 steps gives (no sort)."""
     step = F.floor(F.log2("n") * 8)
@@ -120,7 +113,7 @@ def count(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
-                    total.update(split(t))
+                    total.update(split(t))  # counts the list
                 if len(total) > MEMORY:
                     yield out()
                     total.clear()
@@ -130,10 +123,9 @@ def count(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     vocabulary = texts.mapInArrow(distinct, "p string, n long").groupBy("p").agg(F.sum("n").alias("n"))
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer().model
+        t = tokenizer()
         for b in batches:
-            ps = b.column("p").to_pylist()
-            k = [1 if p[:1] == "\x00" else len(model.tokenize(p)) for p in ps]
+            k = [pieces(t, p) for p in b.column("p").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("p"), b.column("n"), pa.array(k, pa.int64())], names=["p", "n", "k"])
 
     vocabulary = stage_table(vocabulary.mapInArrow(sized, "p string, n long, k long"), "pieces")
@@ -146,7 +138,7 @@ def count(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             rows, ps, ns, ids = [], [], [], []
             for k, t in enumerate(b.column("t").to_pylist()):
                 s = 0
-                for p, n in split(t).items() if t else ():
+                for p, n in Counter(split(t)).items() if t else ():
                     v = get(p)
                     if v is None:
                         rows.append(k)
