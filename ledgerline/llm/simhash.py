@@ -113,7 +113,8 @@ def _levels(distinct: DataFrame, leaf_rows: int) -> tuple[int, list[int]]:
 
 def _forest(home: np.ndarray, visiting: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of a leaf, as edges of a spanning forest; visitors meet the leaf's own, not each other."""
-    fps = np.concatenate([home, visiting])
+    fps = np.concatenate([home, visiting]).view(np.uint64)  # bitwise_count of a signed number is that of its absolute value
+    home = fps[:len(home)]
     root = np.arange(len(fps))
     step = max(1, BLOCK_CELLS // max(1, len(fps)))
     for lo in range(0, len(home), step):
@@ -130,7 +131,7 @@ def _forest(home: np.ndarray, visiting: np.ndarray, radius: int) -> tuple[np.nda
             while (root != root[root]).any():
                 root = root[root]
     child = np.nonzero(root != np.arange(len(fps)))[0]
-    return fps[child], fps[root[child]]
+    return fps[child].view(np.int64), fps[root[child]].view(np.int64)
 
 
 def links(distinct: DataFrame, radius: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
