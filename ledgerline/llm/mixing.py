@@ -51,7 +51,7 @@ BUCKET_ROWS = 50_000
 
 
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int = RESERVE) -> np.ndarray:
-    """How many documents of each size to take so that the sizes sum to ``budget`` or just below."""
+    """How many documents of each size to take so that the sizes sum to ``budget`` or come nearest to it."""
     order = np.argsort(-sizes, kind="stable")
     s, n = sizes[order].astype(np.int64), counts[order].astype(np.int64)
     total = int((s * n).sum())
@@ -66,21 +66,24 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int
         take[i] += k
         rest -= k * int(s[i])
     # bounded knapsack: by[j] is the piece (a size, 1, 2, 4 .. times) that first reached the sum j
-    by = np.full(rest + 1, -1, dtype=np.int32)
+    free = (s > 0) & (take < n)
+    top = rest + min(int(s[free].max(initial=0)), reserve)  # a sum just above may be nearer
+    by = np.full(top + 1, -1, dtype=np.int32)
     by[0], pieces = 0, [(0, 0)]
-    for i in np.nonzero((s > 0) & (s <= rest) & (take < n))[0]:
-        left, times = min(int(n[i] - take[i]), rest // int(s[i])), 1
+    for i in np.nonzero(free & (s <= top))[0]:
+        left, times = min(int(n[i] - take[i]), top // int(s[i])), 1
         while left > 0 and by[rest] < 0:
             k = min(times, left)
             w = k * int(s[i])
-            if w <= rest:
-                new = w + np.nonzero((by[w:] < 0) & (by[:rest + 1 - w] >= 0))[0]
+            if w <= top:
+                new = w + np.nonzero((by[w:] < 0) & (by[:top + 1 - w] >= 0))[0]
                 by[new] = len(pieces)
                 pieces.append((i, k))
             left, times = left - k, times * 2
         if by[rest] >= 0:
             break
-    j = int(np.nonzero(by >= 0)[0][-1])
+    sums = np.nonzero(by >= 0)[0]
+    j = int(sums[np.abs(sums - rest).argmin()])
     while j:
         i, k = pieces[by[j]]
         take[i] += k
@@ -137,8 +140,8 @@ def mix(docs: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id",
     some = stage_table(plan.where("pick > 0 AND pick < n").select(F.col("source").alias("s2"), F.col("size").alias("z2"), "pick"), "partial")
     # hash buckets in hash order, more of them for larger tables
     n_rows = lengths.agg(F.sum("n")).first()[0] or 0
-    bits = min(24, max(0, math.ceil(math.log2(max(1, n_rows) / BUCKET_ROWS))))
-    bucket = lambda c: F.shiftrightunsigned(c, 64 - bits) if bits else F.lit(0).cast("long")
+    bits = min(24, max(1, math.ceil(math.log2(max(1, n_rows) / BUCKET_ROWS))))
+    bucket = lambda c: F.shiftrightunsigned(c, 64 - bits)
     hint = _bounded(some)
     r = rows.join(hint(some), F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2"))).withColumn("b", bucket(F.col("h")))
     before = F.sum("c").over(Window.partitionBy("s2", "z2").orderBy("b")) - F.col("c")
