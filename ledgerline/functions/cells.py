@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerline.functions.scalars import finite_or_null, strip
+
 ColumnOrName = Column | str
 
 # Cell texts read as missing (the en dash is U+2013).
@@ -28,7 +30,7 @@ def _c(x: ColumnOrName) -> Column:
 def is_missing(c: ColumnOrName) -> Column:
     """NULL, or trimmed text in the missing-token list (F2)."""
     x = _c(c).cast("string")
-    return x.isNull() | F.trim(x).isin(MISSING_TOKENS)
+    return x.isNull() | strip(x).isin(MISSING_TOKENS)
 
 
 def _strip_digit_underscores(t: Column) -> Column:
@@ -37,14 +39,14 @@ def _strip_digit_underscores(t: Column) -> Column:
 
 def py_float_parsed(c: ColumnOrName) -> Column:
     """TRUE when Python's ``float()`` would accept the text (non-finite included)."""
-    t = _strip_digit_underscores(F.trim(_c(c).cast("string")))
+    t = _strip_digit_underscores(strip(c))
     return F.coalesce(t.rlike(_NUMBER_RE) | F.lower(t).isin(_NON_FINITE), F.lit(False))
 
 
 def py_float(c: ColumnOrName) -> Column:
     """Finite number per Python's ``float()`` text rule, else NULL."""
-    t = _strip_digit_underscores(F.trim(_c(c).cast("string")))
-    return F.when(t.rlike(_NUMBER_RE), t.try_cast("double"))
+    t = _strip_digit_underscores(strip(c))
+    return finite_or_null(F.when(t.rlike(_NUMBER_RE), t.try_cast("double")))
 
 
 def parse_money(c: ColumnOrName) -> Column:
@@ -55,7 +57,7 @@ def parse_money(c: ColumnOrName) -> Column:
 
 def parse_percent(c: ColumnOrName) -> Column:
     """Percent cell → fraction: strip one trailing ``%`` and commas; |v| > 2 is read as percent."""
-    x = F.trim(_c(c).cast("string"))
+    x = strip(c)
     v = py_float(F.regexp_replace(F.regexp_replace(x, "%$", ""), ",", ""))
     return F.when(~is_missing(_c(c)), F.when(F.abs(v) > 2, v / F.lit(100.0)).otherwise(v))
 

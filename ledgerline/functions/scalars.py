@@ -12,17 +12,27 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Fixed value: the characters that Python's ``str.strip`` removes.
+STRIPPED = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+            "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip(c: ColumnOrName) -> Column:
+    """Text without white space at either end, as Python strips it (Spark's ``trim`` removes spaces only)."""
+    return F.btrim(_c(c).cast("string"), F.lit(STRIPPED))
+
+
 def pad_cik(c: ColumnOrName) -> Column:
     """Trim and left-pad with zeros to 10 characters; never truncates.
 
     Plain ``lpad`` would cut longer values, so it is only applied when short.
     """
-    t = F.trim(_c(c).cast("string"))
+    t = strip(c)
     return F.when(F.length(t) < 10, F.lpad(t, 10, "0")).otherwise(t)
 
 
 def upper_trim(c: ColumnOrName) -> Column:
-    return F.upper(F.trim(_c(c)))
+    return F.upper(strip(c))
 
 
 def yes_flag(c: ColumnOrName) -> Column:
@@ -42,14 +52,9 @@ def try_int(c: ColumnOrName) -> Column:
     return F.coalesce(x.try_cast("int"), x.try_cast("double").try_cast("int"))
 
 
-def scale_factor(scale: ColumnOrName) -> Column:
-    """``10 ** scale`` with a bad or missing scale read as 0."""
-    s = F.coalesce(_c(scale).try_cast("int"), F.lit(0))
-    return F.pow(F.lit(10.0), s)
-
-
 def scale_int(scale: ColumnOrName) -> Column:
-    return F.coalesce(_c(scale).try_cast("int"), F.lit(0))
+    """The power of ten of a value: integral text or number (``3``, ``3.0``); bad or missing is 0."""
+    return F.coalesce(try_int(scale), F.lit(0))
 
 
 def filing_url(cik: ColumnOrName, accession: ColumnOrName, document: ColumnOrName) -> Column:
@@ -71,9 +76,3 @@ def safe_ratio_pct(num: ColumnOrName, den: ColumnOrName, limit: float = 100.0) -
     m = F.when(d > 0, n / d * F.lit(100.0))
     return F.when(F.abs(m) <= F.lit(limit), m)
 
-
-def signed_growth_pct(cur: ColumnOrName, prior: ColumnOrName) -> Column:
-    """``(cur - prior) / prior * 100`` over a signed prior; NULL when prior is 0 or NULL."""
-    c = _c(cur).cast("double")
-    p = _c(prior).cast("double")
-    return F.when(p != 0, (c - p) / p * F.lit(100.0))

@@ -4,6 +4,8 @@ M8–M10). One aggregate pass per metric set; per-row work stays columnar.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,57 +19,102 @@ def _d(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+#: Distinct values between two sketch bounds that are fetched to read the ranks; wider bands are sketched again.
+BAND_VALUES = 20_000
+
+
 def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> list[float | None]:
-    """Exact linearly interpolated quantiles from a distributed sort.
+    """Exact linearly interpolated quantiles of one column (see ``exact_quantile_table``)."""
+    return exact_quantile_table(df.select(_d(col).alias("v")), {"v": probs})["v"]
+
+
+def exact_quantile_table(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """Exact linearly interpolated quantiles of several columns, without sorting any.
 
-    ``percentile`` would merge a value→count map of the whole column in one
-    final task. Here the column is range-sorted once (written to the shared
-    checkpoint folder), per-partition counts (one row per partition) locate
-    the wanted ranks, and only the partitions holding them are ranked; at
-    most 2·len(probs) values reach the driver.
+    A sketch brackets every wanted rank; one aggregate counts the rows below
+    each bracket and inside it (so a bracket that misses is seen and widened);
+    the distinct values inside, with their counts, give the exact order
+    statistics. A bracket with more than ``BAND_VALUES`` distinct values is
+    sketched again inside. NULLs are left out.
     Rule: position ``p·(n−1)``, ``lo + (hi − lo)·frac`` (numpy "linear").
     """
-    from pyspark.sql import Window
-
-    from ledgerline.session import cut_lineage
-    v = df.select(_d(col).alias("__v")).where(F.col("__v").isNotNull())
-    # a hash tie-break lets the range partitioner split a value that repeats a lot
-    v = v.withColumn("__tb", F.xxhash64(F.monotonically_increasing_id()))
-    s = cut_lineage(v.orderBy("__v", "__tb").withColumn("__pid", F.spark_partition_id()), "sorted")
-    counts = sorted((r["__pid"], r["n"]) for r in s.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    n = sum(c for _, c in counts)
-    if n == 0:
-        return [None for _ in probs]
-    pos = [q * (n - 1) for q in probs]
-    ranks = sorted({int(x) for x in pos} | {min(int(x) + 1, n - 1) for x in pos})  # 0-based
-    where, start = {}, 0
-    for pid, c in counts:
-        for r in ranks:
-            if start <= r < start + c:
-                where[r] = (pid, r - start + 1)
-        start += c
-    pids = sorted({p for p, _ in where.values()})
-    w = Window.partitionBy("__pid").orderBy("__v", "__tb")
-    local = s.where(F.col("__pid").isin(pids)).withColumn("__rn", F.row_number().over(w))
-    cond = F.lit(False)
-    for p_, rn in where.values():
-        cond = cond | ((F.col("__pid") == p_) & (F.col("__rn") == rn))
-    got_rows = {(r["__pid"], r["__rn"]): r["__v"] for r in local.where(cond).collect()}
-    got = {r: got_rows[where[r]] for r in ranks}
-    out = []
-    for x in pos:
-        lo, frac = int(x), x - int(x)
-        a, b = got[lo], got[min(lo + 1, n - 1)]
-        out.append(a if frac == 0 else a + (b - a) * frac)
+    cols = [c for c, ps in wanted.items() if ps]
+    if not cols:
+        return {c: [] for c in wanted}
+    q = lambda c: F.col(f"`{c}`").cast("double")
+    sizes = df.agg(*[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.struct(F.min(q(c)), F.max(q(c))).alias(f"r{i}") for i, c in enumerate(cols)]).first()
+    # open brackets: (column, rank) -> [low, high, rows below low]
+    todo = {}
+    for i, c in enumerate(cols):
+        for p in wanted[c] if sizes[f"n{i}"] else ():
+            x = p * (sizes[f"n{i}"] - 1)
+            for r in {int(x), min(int(x) + 1, sizes[f"n{i}"] - 1)}:
+                todo[c, r] = [sizes[f"r{i}"][0], sizes[f"r{i}"][1], 0, sizes[f"n{i}"]]
+    found: dict[tuple[str, int], float] = {}
+    while todo:
+        spans = sorted({(c, lo, hi) for (c, _), (lo, hi, _, _) in todo.items()})
+        inside = lambda c, lo, hi: q(c).between(F.lit(lo), F.lit(hi))
+        distinct = df.agg(*[F.approx_count_distinct(F.when(inside(*s), q(s[0]))).alias(f"d{k}") for k, s in enumerate(spans)]).first()
+        small = [s for k, s in enumerate(spans) if s[1] == s[2] or distinct[f"d{k}"] <= BAND_VALUES]
+        if small:
+            each = F.array(*[F.when(inside(*s), F.struct(F.lit(k).alias("k"), q(s[0]).alias("v"))) for k, s in enumerate(small)])
+            band = df.select(F.explode(F.array_compact(each)).alias("x")).groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("n"))
+            at: dict[int, list] = {}
+            for r in band.orderBy("k", "v").collect():
+                at.setdefault(r["k"], []).append((r["v"], r["n"]))
+            for (c, rank), (lo, hi, below, _) in list(todo.items()):
+                if (c, lo, hi) in small:
+                    for v, n in at[small.index((c, lo, hi))]:
+                        below += n
+                        if below > rank:
+                            found[c, rank] = v
+                            break
+                    del todo[c, rank]
+        if todo:
+            keys = list(todo)
+            near = []
+            for c, rank in keys:
+                lo, hi, below, n = todo[c, rank]
+                share = (rank - below) / max(1, n - 1)
+                near.append(F.percentile_approx(F.when(inside(c, lo, hi), q(c)), [max(0.0, share - 5e-4), min(1.0, share + 5e-4)], 20000))
+            got = df.agg(*[x.alias(f"b{k}") for k, x in enumerate(near)]).first()
+            cut = {k: tuple(got[f"b{i}"]) for i, k in enumerate(keys)}
+            seen = df.agg(*[x for i, (c, _) in enumerate(keys) for x in (
+                F.count_if(q(c) < F.lit(cut[keys[i]][0])).alias(f"l{i}"), F.count_if(inside(c, *cut[keys[i]])).alias(f"i{i}"))]).first()
+            for i, k in enumerate(keys):
+                lo, hi, below, n = todo[k]
+                a, b = cut[k]
+                if seen[f"l{i}"] > k[1]:  # the rank lies below the new bracket
+                    a, b, new = lo, a, (below, seen[f"l{i}"] + seen[f"i{i}"] - below)
+                elif seen[f"l{i}"] + seen[f"i{i}"] <= k[1]:  # above it
+                    a, b = b, hi
+                    new = tuple(df.agg(F.count_if(q(k[0]) < F.lit(a)), F.count_if(inside(k[0], a, b))).first())
+                else:
+                    new = (seen[f"l{i}"], seen[f"i{i}"])
+                if (a, b) == (lo, hi):  # the sketch can't narrow it: halve the values
+                    mid = lo + (hi - lo) / 2
+                    low = df.agg(F.count_if(q(k[0]) <= F.lit(mid))).first()[0]
+                    a, b, new = (lo, mid, (below, low - below)) if low > k[1] else (math.nextafter(mid, hi), hi, (low, n - (low - below)))
+                todo[k] = [a, b, *new]
+    out: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in wanted.items()}
+    for i, c in enumerate(cols):
+        for j, p in enumerate(wanted[c]):
+            if sizes[f"n{i}"]:
+                x = p * (sizes[f"n{i}"] - 1)
+                a, b, frac = found[c, int(x)], found[c, min(int(x) + 1, sizes[f"n{i}"] - 1)], x - int(x)
+                out[c][j] = a if frac == 0 else a + (b - a) * frac
     return out
 
 
 def regression_metrics(df: DataFrame, y: str = "actual", p: str = "predicted") -> DataFrame:
     """M8: MAE, RMSE, R², median / p90 / p95 absolute error, safe MAPE, n (one row).
 
-    Sums are one aggregate pass; the three error quantiles are exact and come
-    from a distributed sort (``exact_quantiles``), never from one task.
+    Rows without an actual or a predicted value are left out of every figure.
+    Sums are one aggregate pass; the three error quantiles are exact
+    (``exact_quantiles``), without a sort and never from one task.
     """
+    df = df.where(_d(y).isNotNull() & _d(p).isNotNull())
     yd = _d(y)
     err = _d(p) - yd
     abs_err = F.abs(err)
@@ -93,17 +140,18 @@ def regression_metrics(df: DataFrame, y: str = "actual", p: str = "predicted") -
 def residual_histogram(df: DataFrame, y: str = "actual", p: str = "predicted", bins: int = 30) -> DataFrame:
     """Equal-width histogram of residuals (pred − actual), right edge of the last bin closed.
 
-    The range is one aggregate row, applied as literals."""
-    r = df.select((_d(p) - _d(y)).alias("r"))
+    Always ``bins`` rows, empty bins included; no residuals, no rows. A range
+    of one value counts in the first bin. The range is one aggregate row,
+    applied as literals."""
+    r = df.select((_d(p) - _d(y)).alias("r")).where(F.col("r").isNotNull())
     lo, hi = r.agg(F.min("r"), F.max("r")).first()  # one row: the range
-    j = r.withColumns({"lo": F.lit(lo).cast("double"), "hi": F.lit(hi).cast("double")})
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
-        F.least(F.floor((F.col("r") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)) + 1, F.lit(bins)))
-    h = j.groupBy(b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-    width = F.col("hi") - F.col("lo")
-    return h.select("bin",
-                    (F.col("lo") + width * (F.col("bin") - 1) / F.lit(bins)).alias("lo_edge"),
-                    (F.col("lo") + width * F.col("bin") / F.lit(bins)).alias("hi_edge"), "n")
+    lo_, width = F.lit(lo).cast("double"), F.lit(hi).cast("double") - F.lit(lo).cast("double")
+    b = F.when(width == 0, F.lit(1)).otherwise(F.least(F.floor((F.col("r") - lo_) / width * F.lit(bins)) + 1, F.lit(bins)))
+    h = r.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(1, bins + 1 if lo is not None else 1).select(F.col("id").cast("int").alias("bin"))
+    return every.join(F.broadcast(h), "bin", "left").select(
+        "bin", (lo_ + width * (F.col("bin") - 1) / F.lit(bins)).alias("lo_edge"),
+        (lo_ + width * F.col("bin") / F.lit(bins)).alias("hi_edge"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def top_errors(df: DataFrame, keys: list[str], y: str = "actual", p: str = "predicted", k: int = 15) -> DataFrame:

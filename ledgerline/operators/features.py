@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.cells import PARSERS, parser_kind, to_float
-from ledgerline.functions.scalars import finite_or_null, upper_trim
+from ledgerline.functions.scalars import finite_or_null, strip, upper_trim
 
 # Valuation words that leak the target (case-insensitive substrings).
 LEAKY_KEYWORDS = [
@@ -102,15 +102,16 @@ def _long(one_row: DataFrame, columns: list[str], key: str, value: str) -> DataF
     ])).alias("s")).select("s.*")
 
 
-def fit_medians(parsed: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
-    """One-row table of column medians (exact, interpolated; or approximate).
+def fit_medians(parsed: DataFrame, columns: list[str]) -> DataFrame:
+    """One-row table of exact, interpolated column medians.
 
-    Exact ``median`` holds a value→count map per column; for columns with
-    billions of distinct values pass ``exact=False`` (``percentile_approx``).
+    All columns together, by bracketing (``evaluation.exact_quantile_table``):
+    no column is sorted or held in one task.
     """
-    agg = (lambda c: F.median(F.col(f"`{c}`"))) if exact else (
-        lambda c: F.percentile_approx(F.col(f"`{c}`"), 0.5, 10000))
-    return parsed.agg(*[agg(c).cast("double").alias(c) for c in columns])
+    from ledgerline.operators.evaluation import exact_quantile_table
+    m = exact_quantile_table(parsed, {c: [0.5] for c in columns})
+    one = parsed.sparkSession.range(1)
+    return one.select(*[F.lit(m[c][0]).cast("double").alias(c) for c in columns])
 
 
 _FITTED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
@@ -168,12 +169,12 @@ def fit_features(sheet: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]
 
 
 def apply_features(sheet: DataFrame, medians: DataFrame, names: list[str], plan: dict[str, str],
-                   with_label: bool = True) -> DataFrame:
-    """M1 (apply): parse, impute with the stored medians, rename to ``<name>__num``."""
+                   with_label: bool = True, carry: list[str] | None = None) -> DataFrame:
+    """M1 (apply): parse, impute with the stored medians, rename to ``<name>__num``; ``carry`` columns stay as they are."""
     df = normalise_headers(sheet)
     if with_label:
         df = with_target(df)
-    keep = [TICKER] + (["rev_multiple"] if with_label else [])
+    keep = [TICKER] + (["rev_multiple"] if with_label else []) + (carry or [])
     parsed = parse_columns(df, {c: plan[c] for c in names}, keep)
     filled = impute(parsed, medians, names)
     return filled.select(*[F.col(f"`{k}`") for k in keep],
@@ -252,16 +253,24 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataF
     return j.withColumn(name, F.row_number().over(w) + F.col("__off")).drop("__pid", "__off")
 
 
+#: Text dates that are read besides the standard form.
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "d MMM yyyy", "MMM d, yyyy")
+
+
 def chronological_split(df: DataFrame, date_col: str, key_cols: list[str], val_frac: float = 0.2) -> DataFrame:
-    """Drop NULL dates, order by date, the first ``int(n·(1−frac))`` rows are train.
+    """Drop missing dates, order by date, the first ``int(n·(1−frac))`` rows are train.
 
-    Rows sharing a date are ordered by ``key_cols`` (the reference's order
-    there is unspecified).
+    Text dates are parsed first (``DATE_FORMATS``); text that is no date
+    counts as present, so it stays and sorts last. Rows sharing a date are
+    ordered by ``key_cols`` (the reference's order there is unspecified).
     """
     d = df.where(F.col(date_col).isNotNull())
-    n = d.count()
-    cut = int(n * (1.0 - val_frac))
-    r = global_rank(d, [F.col(date_col)] + [F.col(k) for k in key_cols], "__rk")
+    when = F.col(date_col)
+    if isinstance(df.schema[date_col].dataType, T.StringType):
+        text = strip(when)
+        when = F.coalesce(text.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS])
+    r = global_rank(d, [when.asc_nulls_last()] + [F.col(k) for k in key_cols], "__rk")
+    cut = int(d.count() * (1.0 - val_frac))
     return r.withColumn("split", F.when(F.col("__rk") <= cut, F.lit("train")).otherwise(F.lit("val"))).drop("__rk")
 
 

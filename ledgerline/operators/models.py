@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.evaluation import KD_ALPHA
 
-# Default boosted-tree settings and the tuning space.
+# Settings without any parameters (the boosting library's own), what given parameters are filled
+# up with, and the tuning space.
+UNTUNED = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "subsample": 1.0}
 DEFAULTS = {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 3, "subsample": 1.0}
 SPACE = {"n_estimators": (200, 2000, 100), "learning_rate": (0.01, 0.3), "max_depth": (2, 6),
          "subsample": (0.6, 1.0)}
@@ -35,15 +37,13 @@ class FitResult:
 
 
 def gbt(params: dict | None = None, seed: int = 42, label: str = "label", weight: str | None = None,
-        validation: str | None = None) -> GBTRegressor:
-    p = dict(DEFAULTS, **(params or {}))
+        ) -> GBTRegressor:
+    p = dict(DEFAULTS, **params) if params else UNTUNED
     g = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                      maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
                      maxDepth=int(p["max_depth"]), subsamplingRate=float(p["subsample"]), seed=seed)
     if weight:
         g.setWeightCol(weight)
-    if validation:
-        g.setValidationIndicatorCol(validation)
     return g
 
 
@@ -63,18 +63,19 @@ def fold_column(df: DataFrame, keys: list[str], k: int, seed: int) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64(*[F.col(c) for c in keys], F.lit(seed)), F.lit(k)).cast("int"))
 
 
-def sample_space(trials: int, seed: int = 42) -> list[dict]:
+def sample_space(trials: int, seed: int = 42, space: dict | None = None) -> list[dict]:
     """A seeded random sample of the tuning space (the reference uses a TPE sampler)."""
+    space = SPACE if space is None else dict(SPACE, **space)
     rnd = random.Random(seed)
-    lo_n, hi_n, step = SPACE["n_estimators"]
+    lo_n, hi_n, step = space["n_estimators"]
     out = []
     for _ in range(trials):
-        lr_lo, lr_hi = SPACE["learning_rate"]
+        lr_lo, lr_hi = space["learning_rate"]
         out.append({
             "n_estimators": rnd.randrange(lo_n, hi_n + 1, step),
             "learning_rate": math.exp(rnd.uniform(math.log(lr_lo), math.log(lr_hi))),
-            "max_depth": rnd.randint(*SPACE["max_depth"]),
-            "subsample": rnd.uniform(*SPACE["subsample"]),
+            "max_depth": rnd.randint(*space["max_depth"]),
+            "subsample": rnd.uniform(*space["subsample"]),
         })
     return out
 
@@ -164,10 +165,16 @@ def distillation_target(df: DataFrame, y: str, teacher: str, alpha: float = KD_A
 
 def validation_curve(df: DataFrame, features: list[str], label: str, indicator: str,
                      params: dict | None = None, seed: int = 42) -> tuple[FitResult, list[float]]:
-    """Fit with a validation indicator (early stop) and return the per-iteration
-    validation error of the fitted trees."""
+    """Fit every iteration on the rows without the indicator, score each by the mean absolute
+    error on the rows with it, and keep the model up to the best iteration; returns it and the whole curve.
+
+    Boosting adds trees one after another from a fixed seed, so a fit of the best length has the same trees."""
+    train, val = df.where(~F.col(indicator)), df.where(F.col(indicator))
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    model = Pipeline(stages=[asm, gbt(params, seed, label, validation=indicator)]).fit(df)
-    val = asm.transform(df.where(F.col(indicator)))
-    losses = model.stages[-1].evaluateEachIteration(val, "squared")
-    return FitResult(model, features), list(losses)
+    model = Pipeline(stages=[asm, gbt(params, seed, label)]).fit(train)
+    losses = list(model.stages[-1].evaluateEachIteration(asm.transform(val), "absolute"))
+    best = min(range(len(losses)), key=lambda i: losses[i]) + 1
+    if best < len(losses):
+        full = dict(DEFAULTS, **params) if params else UNTUNED
+        model = Pipeline(stages=[asm, gbt(dict(full, n_estimators=best), seed, label)]).fit(train)
+    return FitResult(model, features), losses

@@ -25,10 +25,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str | Column | None) -
         has_null = has_null | F.col(k).isNull()
     keyed, unkeyed = df.where(~has_null), df.where(has_null)
     if order is None or not cols:
-        deduped = keyed.dropDuplicates(keys)
+        # no order given: the greatest row by its columns, so the survivor never depends on the run
+        best = F.max(F.struct(*cols)) if cols else F.lit(None)
+        deduped = keyed.groupBy(*keys).agg(best.alias("__r")).select(*keys, *[F.col("__r")[c].alias(c) for c in cols])
     else:
         o = F.col(order) if isinstance(order, str) else order
-        deduped = (keyed.groupBy(*keys).agg(F.max_by(F.struct(*cols), o).alias("__r"))
+        deduped = (keyed.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(o.alias("o"), *cols)).alias("__r"))
                    .select(*keys, *[F.col("__r")[c].alias(c) for c in cols]))
     return deduped.select(*df.columns).unionByName(unkeyed)
 
@@ -64,25 +66,22 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str], update
     return j.select(*out)
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str],
-                  required: list[str] | None = None) -> DataFrame:
-    """K4: append source rows whose key is not present yet (duplicates in the source
-    collapse to one); rows with an empty required field are skipped."""
+def new_rows(target: DataFrame, source: DataFrame, keys: list[str], required: list[str] | None = None) -> DataFrame:
+    """K4: the source rows to insert: key not present yet, the least row of each key
+    (by its columns in order); rows with an empty required field are skipped."""
     src = source
     for c in required or []:
         src = src.where(F.col(c).isNotNull() & (F.col(c) != ""))
-    new = src.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(new.select(*target.columns))
+    rest = [c for c in src.columns if c not in keys]
+    one = src.groupBy(*keys).agg(*([F.min(F.struct(*rest)).alias("__r")] if rest else [F.count(F.lit(1)).alias("__n")]))
+    one = one.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+    return one.join(target.select(*keys), keys, "left_anti").select(*target.columns)
 
 
-def with_ids(df: DataFrame, start_after: int, order: list[str | Column]) -> DataFrame:
-    """Synthesise monotone ids in ``order`` for newly inserted rows.
-
-    A window without partition would move every row to one task; instead
-    ids come from ``zipWithIndex``-like numbering by a range-partitioned
-    sort (``monotonically_increasing_id`` is increasing, not dense).
-    """
-    return (df.orderBy(*order).withColumn("id", F.monotonically_increasing_id() + F.lit(start_after + 1)))
+def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str],
+                  required: list[str] | None = None) -> DataFrame:
+    """K4: ``target`` and the new rows of ``source``."""
+    return target.unionByName(new_rows(target, source, keys, required))
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,7 +99,3 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
-
-def append_table(df: DataFrame, path: str) -> None:
-    """K5: append-only tables (the audit trail)."""
-    df.write.mode("append").parquet(path)

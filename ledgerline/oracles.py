@@ -706,10 +706,11 @@ ORACLES["residual_histogram"] = with_ctes(LABELLED) + """
 , r AS (SELECT predicted - actual AS r FROM lab),
 g AS (SELECT min(r) AS lo, max(r) AS hi FROM r),
 b AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((r - lo) / (hi - lo) * 30) AS BIGINT) + 1, 30) END AS bin,
-             lo, hi FROM r CROSS JOIN g)
-SELECT CAST(bin AS INTEGER) AS bin, lo + (hi - lo) * (bin - 1) / 30 AS lo_edge, lo + (hi - lo) * bin / 30 AS hi_edge,
-       count(*) AS n
-FROM b GROUP BY bin, lo, hi
+             lo, hi FROM r CROSS JOIN g),
+h AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(i AS INTEGER) AS bin, lo + (hi - lo) * (i - 1) / 30 AS lo_edge, lo + (hi - lo) * i / 30 AS hi_edge,
+       COALESCE(n, 0) AS n
+FROM range(1, 31) t(i) CROSS JOIN g LEFT JOIN h ON h.bin = t.i
 """
 
 ORACLES["top_errors"] = with_ctes(LABELLED) + """

@@ -47,13 +47,11 @@ def build_tables(spark: SparkSession, facts_docs: DataFrame, submissions: DataFr
     # Several tickers on one CIK: the last processed one names the company (Q12).
     tick = wanted.groupBy("cik").agg(F.max_by("ticker", "pos").alias("ticker"))
 
-    facts = FA.facts_frame(facts_docs)
-    subs = submissions.withColumn("cik", F.col("cik"))
-    sub_ciks = SU.company_metadata(subs).select("cik")
-    have_both, _ = SU.companies_with_both(facts.select("cik"), sub_ciks)
+    subs = submissions
+    have_both, _ = SU.companies_with_both(FA.document_ciks(facts_docs), SU.company_metadata(subs).select("cik"))
     ciks = tick.join(have_both, "cik", "left_semi")
 
-    facts = facts.join(ciks.select("cik"), "cik", "left_semi")
+    facts = FA.facts_frame(facts_docs).join(ciks.select("cik"), "cik", "left_semi")
     # one row per (company, metric); it feeds the fundamentals row and the audit rows
     summary = cut_lineage(M.facts_summary(facts, S.metric_map(spark)), "summary")
     filings_long = SU.recent_filings(subs).join(ciks.select("cik"), "cik", "left_semi")
@@ -77,6 +75,11 @@ def build_tables(spark: SparkSession, facts_docs: DataFrame, submissions: DataFr
             "filings": filings}
 
 
+def skipped_companies(facts_docs: DataFrame, submissions: DataFrame) -> DataFrame:
+    """Companies left out because one of the two documents is absent (for the run's report)."""
+    return SU.companies_with_both(FA.document_ciks(facts_docs), SU.company_metadata(submissions).select("cik"))[1]
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

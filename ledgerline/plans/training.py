@@ -32,8 +32,7 @@ def train_and_report(spark: SparkSession, sheet: DataFrame, out_dir: str, test_s
     df = X.hash_split(X.with_target(X.normalise_headers(sheet)), [X.TICKER], test_size, seed)
     train_raw = df.where(~F.col("is_test"))
     medians, names, plan = X.fit_features(train_raw)          # stats from train rows only
-    feats = X.apply_features(df, medians, names, plan).join(
-        df.select(X.TICKER, "is_test").dropDuplicates([X.TICKER]), X.TICKER)
+    feats = X.apply_features(df, medians, names, plan, carry=["is_test"])
     cols = [c.strip() + X.FEATURE_SUFFIX for c in names]
     train, test = feats.where(~F.col("is_test")), feats.where(F.col("is_test"))
 
@@ -56,7 +55,7 @@ def train_and_report(spark: SparkSession, sheet: DataFrame, out_dir: str, test_s
         "timestamp": datetime.now(timezone.utc).isoformat(),
         "tuned": tune_trials > 0, "trials": tune_trials, "cv_folds": cv_folds if tune_trials else 0,
         "ensemble": ensemble > 1, "ensemble_size": ensemble,
-        "feature_count": len(cols), "feature_names": cols[:50], "parsers": plan, "params": params,
+        "feature_count": len(cols), "feature_names": cols, "parsers": plan, "params": params,
         "metrics": metrics,
     }
     spark.createDataFrame([(json.dumps(report, default=str),)], "report string") \
@@ -69,9 +68,10 @@ def score_tickers(spark: SparkSession, sheet: DataFrame, requests: DataFrame, mo
     """J11 + M7 (batch): look up each requested ticker's row, apply the stored
     medians, predict with every member, return mean ± std."""
     medians = spark.read.parquet(os.path.join(model_dir, "medians"))
-    missing = sorted(set(names) - set(medians.columns))
+    have = set(X.normalise_headers(sheet).columns)
+    missing = sorted(set(names) - have)
     if missing:  # O4: the stored feature set must be reproducible from the sheet
-        raise ValueError(f"feature columns missing from the stored statistics: {missing}")
+        raise ValueError(f"feature columns missing from the sheet: {missing}")
     feats = X.apply_features(sheet, medians, names, plan, with_label=False)
     rows = X.lookup_rows(feats, requests)
     fits = [ML.FitResult(PipelineModel.load(os.path.join(model_dir, "models", f"member_{i}")),

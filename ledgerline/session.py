@@ -64,11 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared file system and is used as is.
-    Only when it is unset (local tests) a scratch folder is created, once per
-    process; core settings cannot be changed at runtime, so it is remembered here.
+    Where it is unset, a session with a local master gets a scratch folder, once
+    per process, and any other master is refused; core settings cannot be changed at runtime, so it is remembered here.
     """
     d = _conf(spark, "spark.checkpoint.dir")
     if not d:
+        master = _conf(spark, "spark.master") or ""
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all machines share")
         d = _LOCAL_FALLBACK.get("dir") or _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
     try:
         sc = spark.sparkContext

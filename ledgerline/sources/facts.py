@@ -48,6 +48,11 @@ def parse_company_facts(docs: DataFrame, text_col: str = "value") -> DataFrame:
     return docs.select(F.from_json(F.col(text_col), COMPANY_FACTS_SCHEMA).alias("d")).select("d.*")
 
 
+def document_ciks(docs: DataFrame) -> DataFrame:
+    """The companies that have a facts document, with or without any usable fact."""
+    return docs.select(pad_cik(F.col("cik")).alias("cik")).where("cik IS NOT NULL").distinct()
+
+
 def is_nondimensional(segment: Column, dimensional: Column) -> Column:
     """Keep unless ``segment`` is a non-empty object or ``dimensional`` is truthy."""
     seg = F.trim(segment)

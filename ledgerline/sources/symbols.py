@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalars import pad_cik, upper_trim, yes_flag
+from ledgerline.functions.scalars import pad_cik, strip, upper_trim, yes_flag
 
 TICKER_MAP_SCHEMA = T.MapType(T.StringType(), T.StructType([
     T.StructField("ticker", T.StringType(), True),
@@ -104,7 +104,7 @@ def universe(directory: DataFrame, tmap: DataFrame, include_etfs: bool = False,
 def tickers_from_text(lines: DataFrame, text_col: str = "value", pos_col: str = "pos") -> DataFrame:
     """Requested tickers from lines/comma lists: trim, skip blanks and ``#``
     lines, upper-case, keep the first position of each ticker."""
-    t = lines.select(F.trim(F.col(text_col)).alias("t"), F.col(pos_col).alias("pos"))
+    t = lines.select(strip(F.col(text_col)).alias("t"), F.col(pos_col).alias("pos"))
     t = t.where((F.col("t") != "") & ~F.col("t").startswith("#"))
     return t.groupBy(F.upper("t").alias("ticker")).agg(F.min("pos").alias("pos"))
 
@@ -133,6 +133,3 @@ def all_tickers(tmap: DataFrame) -> DataFrame:
     """``ALL`` — every mapped ticker, sorted."""
     return tmap.select("ticker", "cik").orderBy("ticker")
 
-
-def upper_list(values: list[str]) -> Column:
-    return F.array(*[F.lit(v.upper()) for v in values])
