@@ -18,7 +18,7 @@ def test_cells_strip_like_python_and_stay_finite(spark):
 
     def want(t, drop=""):
         try:
-            v = float("".join(c for c in t if c not in drop))
+            v = float("".join(c for c in t if c not in drop).strip())
         except ValueError:
             return None
         return v if np.isfinite(v) else None
