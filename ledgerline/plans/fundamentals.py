@@ -8,14 +8,20 @@ One lineage keyed by company replaces the reference's per-company loop:
     summary → audit rows                    (K5)
     submissions → metadata, filing links    (S6, S7, W11)
 
-``build_tables`` is pure; ``apply_to_store`` merges the result into the
-previous table versions (upsert / insert-ignore / append) and writes new
-version folders, so a failed run never damages the version being read.
+``build_tables`` is pure; ``apply_to_store`` merges the result into the store
+(upsert / insert-ignore / append). Data go to folders with unique names; one
+small manifest, written last, names the folders that make up every table, so
+the four tables change together and a failed run leaves only folders that
+nobody reads. Keyed tables lie in hash buckets of the company and only touched
+buckets are rewritten; filings and audit rows are appended. The manifest also
+keeps the last batch of every stream, so a replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,54 +92,90 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    """Newest complete version folder (``v000001`` …) of a table, or None."""
-    fs, p = _fs(spark, table_dir)
-    if not fs.exists(p):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-    for n in reversed(names):
-        if fs.exists(_fs(spark, os.path.join(table_dir, n, "_SUCCESS"))[1]):
-            return n
-    return None
+#: Hash buckets of a keyed table; a store keeps the number it was made with.
+BUCKETS = 16
+_BUCKET = "store_bucket"
+
+
+def read_manifest(spark: SparkSession, store: str) -> dict:
+    """The newest manifest of a store (``version`` 0 and no tables when there is none)."""
+    fs, p = _fs(spark, os.path.join(store, "manifests"))
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    versions = [int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit()]
+    if not versions:
+        return {"version": 0, "buckets": BUCKETS, "tables": {}, "streams": {}}
+    path = os.path.join(store, "manifests", f"{max(versions)}.json")
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def _write_manifest(spark: SparkSession, store: str, manifest: dict) -> None:
+    """Put the manifest in place by a rename, which fails if the version is taken."""
+    folder = os.path.join(store, "manifests")
+    fs, p = _fs(spark, folder)
+    fs.mkdirs(p)
+    tmp, final = _fs(spark, os.path.join(folder, f".{uuid.uuid4().hex}"))[1], _fs(spark, os.path.join(folder, f"{manifest['version']}.json"))[1]
+    out = fs.create(tmp, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(tmp, final):
+        raise RuntimeError(f"store version {manifest['version']} was written by someone else")
+
+
+def _read_paths(spark: SparkSession, store: str, paths: list[str]) -> DataFrame | None:
+    return spark.read.parquet(*[os.path.join(store, x) for x in paths]) if paths else None
 
 
 def read_current(spark: SparkSession, store: str, table: str) -> DataFrame | None:
-    v = current_version(spark, os.path.join(store, table))
-    return spark.read.parquet(os.path.join(store, table, v)) if v else None
+    """The current rows of a table, or None before the first load."""
+    return _read_paths(spark, store, sorted(read_manifest(spark, store)["tables"].get(table, {}).values()))
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64("cik"), F.lit(buckets)).cast("int"))
 
 
-def apply_to_store(spark: SparkSession, new: dict[str, DataFrame], store: str) -> dict[str, str]:
-    """Merge new rows into the current versions and write the next versions.
+def apply_to_store(spark: SparkSession, new: dict[str, DataFrame], store: str, stream: str | None = None,
+                   batch_id: int | None = None) -> dict[str, str]:
+    """Merge new rows into the store; returns the folder written for each table.
 
     companies: upsert on cik (K1) · fundamentals: upsert on (cik, report_date)
     (K3; NULL dates never conflict) · filings: insert-ignore (K4) · audit:
-    append (K5). Returns the written paths.
+    append (K5). A ``batch_id`` that ``stream`` has already brought writes nothing.
     """
-    out = {}
+    manifest = read_manifest(spark, store)
+    if stream is not None and batch_id <= manifest["streams"].get(stream, -1):
+        return {}
+    out, tables = {}, {t: dict(x) for t, x in manifest["tables"].items()}
     for table, df in new.items():
-        cur = read_current(spark, store, table)
-        if cur is None:
-            merged = df
-        elif table == "companies":
-            merged = U.upsert(cur, df, S.COMPANIES_KEY)
-        elif table == "fundamentals":
-            merged = U.upsert(cur, df.select(*cur.columns), S.FUNDAMENTALS_KEY)
-        elif table == "filings":
-            merged = U.insert_ignore(cur, df, S.FILINGS_KEY, required=["url"])
+        parts = tables.setdefault(table, {})
+        folder = os.path.join("data", table, uuid.uuid4().hex)
+        path = os.path.join(store, folder)
+        if table in ("companies", "fundamentals"):
+            keys = S.COMPANIES_KEY if table == "companies" else S.FUNDAMENTALS_KEY
+            df = cut_lineage(_bucketed(df, manifest["buckets"]), table)
+            touched = sorted(str(r[0]) for r in df.select(_BUCKET).distinct().collect())  # one row a bucket at most
+            cur = _read_paths(spark, store, [parts[b] for b in touched if b in parts])
+            df = df.drop(_BUCKET)
+            merged = df if cur is None else U.upsert(cur, df.select(*cur.columns), keys)
+            U.write_table(_bucketed(merged, manifest["buckets"]), path, partition_by=[_BUCKET])
+            parts |= {b: os.path.join(folder, f"{_BUCKET}={b}") for b in touched}
         else:
-            merged = cur.unionByName(df, allowMissingColumns=True)
-        prev = current_version(spark, os.path.join(store, table))
-        nxt = "v%06d" % (int(prev[1:]) + 1 if prev else 1)
-        path = os.path.join(store, table, nxt)
-        U.write_table(merged, path)
+            if table == "filings":
+                cur = _read_paths(spark, store, sorted(parts.values()))
+                df = U.new_rows(df.limit(0) if cur is None else cur, df, S.FILINGS_KEY, required=["url"])
+            U.write_table(df, path)
+            parts[f"{manifest['version'] + 1:012d}"] = folder
         out[table] = path
+    streams = dict(manifest["streams"], **({stream: batch_id} if stream is not None else {}))
+    _write_manifest(spark, store, dict(manifest, version=manifest["version"] + 1, tables=tables, streams=streams))
     return out
 
 
 def run(spark: SparkSession, facts_path: str, submissions_path: str, ticker_map_path: str, store: str,
-        tickers: str | None = None, tickers_file: str | None = None, batch_id: int = 0) -> dict[str, str]:
+        tickers: str | None = None, tickers_file: str | None = None, batch_id: int | None = None) -> dict[str, str]:
     """Read landed files, build, merge and write (the ETL entry point)."""
+    if batch_id is None:
+        batch_id = read_manifest(spark, store)["version"] + 1
     tmap = SY.ticker_map(SY.read_ticker_map_json(spark, ticker_map_path))
     requested = None
     if tickers and tickers.strip().upper() != "ALL":

@@ -2,9 +2,8 @@
 
 Newly landed company-facts documents are picked up by a file stream; every
 micro-batch runs the same all-company plan on just the companies in that
-batch and merges into the table store (upserts are idempotent, so a batch
-replayed after a failure leaves the same tables; the audit trail appends
-and carries the batch id). Progress lives under the shared checkpoint folder.
+batch and merges into the table store (the store keeps the last batch of each
+stream, so a batch replayed after a failure changes nothing). Progress lives under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -37,7 +36,7 @@ def start(spark: SparkSession, landing_dir: str, submissions_path: str, ticker_m
         tmap = ticker_map(read_ticker_map_json(spark, ticker_map_path))
         subs = read_submissions(spark, submissions_path, multi_line)
         new = build_tables(spark, batch, subs, tmap, batch_id=int(batch_id))
-        apply_to_store(spark, new, store)
+        apply_to_store(spark, new, store, stream=ckpt, batch_id=int(batch_id))
 
     w = facts_stream(spark, landing_dir, multi_line).writeStream.foreachBatch(merge_batch) \
         .option("checkpointLocation", ckpt)

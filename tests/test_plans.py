@@ -75,6 +75,58 @@ def test_end_to_end(spark):
     assert out["coverage"].first().pct_rev_lq == 50.0
 
 
+def test_store_survives_a_crash_and_a_replay(spark, monkeypatch):
+    tmp = tempfile.mkdtemp(prefix="ll-store-")
+    _landing(tmp)
+    store = os.path.join(tmp, "store")
+    from ledgerline.sources import facts as FA, submissions as SU, symbols as SY
+    docs = FA.read_company_facts(spark, os.path.join(tmp, "facts.json"), multi_line=False)
+    subs = SU.read_submissions(spark, os.path.join(tmp, "subs.json"), multi_line=False)
+    new = P.build_tables(spark, docs, subs, SY.ticker_map(SY.read_ticker_map_json(spark, os.path.join(tmp, "tickers.json"))))
+    assert [r.cik for r in P.skipped_companies(docs, subs).collect()] == ["0000000003"]
+
+    write, calls = P.U.write_table, []
+
+    def failing(df, path, **k):
+        calls.append(path)
+        if len(calls) == 3:
+            df.limit(1).write.parquet(path)  # a partial folder
+            raise OSError("lost")
+        write(df, path, **k)
+
+    monkeypatch.setattr(P.U, "write_table", failing)
+    try:
+        P.apply_to_store(spark, new, store, "s", 0)
+        raise AssertionError("must fail")
+    except OSError:
+        pass
+    assert P.read_current(spark, store, "companies") is None  # nothing of the failed run is seen
+    monkeypatch.setattr(P.U, "write_table", write)
+    first = P.apply_to_store(spark, new, store, "s", 0)
+    assert P.apply_to_store(spark, new, store, "s", 0) == {}  # a replayed batch
+    assert P.read_current(spark, store, "fundamentals_audit").count() == 3
+    P.apply_to_store(spark, new, store, "s", 1)
+    kept = P.read_manifest(spark, store)["tables"]["fundamentals_audit"].values()
+    assert len(kept) == 2 and any(first["fundamentals_audit"].endswith(k) for k in kept)  # appended, not rewritten
+    assert P.read_current(spark, store, "filings").count() == 2 and P.read_current(spark, store, "companies").count() == 2
+
+
+def test_a_company_without_facts_has_a_row(spark):
+    tmp = tempfile.mkdtemp(prefix="ll-nofacts-")
+    _write_lines(os.path.join(tmp, "f.json"), [{"cik": 1, "facts": {"us-gaap": {}}}])
+    _write_lines(os.path.join(tmp, "s.json"), [{"cik": "1", "name": "One", "filings": {"recent": {
+        "form": ["10-Q"], "accessionNumber": ["a-1"], "primaryDocument": ["q.htm"], "filingDate": ["2023-11-01"]}}}])
+    with open(os.path.join(tmp, "t.json"), "w") as fh:
+        json.dump({"0": {"ticker": "one", "cik_str": 1, "title": "One"}}, fh)
+    from ledgerline.sources import facts as FA, submissions as SU, symbols as SY
+    new = P.build_tables(spark, FA.read_company_facts(spark, os.path.join(tmp, "f.json"), multi_line=False),
+                         SU.read_submissions(spark, os.path.join(tmp, "s.json"), multi_line=False),
+                         SY.ticker_map(SY.read_ticker_map_json(spark, os.path.join(tmp, "t.json"))))
+    assert [(r.cik, r.ticker) for r in new["companies"].collect()] == [("0000000001", "ONE")]
+    f = new["fundamentals"].collect()
+    assert len(f) == 1 and f[0].revenue_lq is None and f[0].report_date == "2023-11-01"
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
