@@ -6,12 +6,15 @@ Nothing here starts a job: the functions only build expressions, except
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import cut_lineage
+from ledgerline.session import scratch_table_path
 
 #: White space that separates words: \x20 and \x09-\x0D, nothing else.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -80,6 +83,32 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_RECORD: ContextVar[list[str] | None] = ContextVar("record", default=None)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the paths of the tables that ``stage_table`` writes inside the block."""
+    paths: list[str] = []
+    token = _RECORD.set(paths)
+    try:
+        yield paths
+    finally:
+        _RECORD.reset(token)
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write once under ``spark.checkpoint.dir`` and read back; survives lost executors."""
-    return cut_lineage(df, name)
+    spark = df.sparkSession
+    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    if (paths := _RECORD.get()) is not None:
+        paths.append(path)
+    return spark.read.parquet(path)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``stage_table`` that nothing reads any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
