@@ -382,21 +382,32 @@ def calendar_summary(series: DataFrame, keys: list[str] | None = None) -> DataFr
     The positional rule takes "the last 4 rows" and "the 5th row from the
     end", which skip missing quarters. Here quarters are addressed by
     (fiscal year, Q1..Q4): LTM sums the four fiscal quarters ending at the
-    newest quarterly row and needs all four; YoY compares the newest row with
-    the same ``fp`` one fiscal year earlier. Only ``10-Q``/``Qn`` rows take
-    part. One aggregate per key, no self-join.
+    newest quarter and needs all four; YoY compares the newest quarter with
+    the same one a fiscal year earlier. A quarter that was filed several times
+    counts once, by its newest row (latest period end, then position). The
+    fourth quarter is rarely filed: it is the annual value less the three
+    quarters of that year. The first aggregate leaves one row a quarter, so
+    the window over a (company, metric) sees quarters, never raw rows.
     """
     keys = keys or ["cik", "metric"]
     fp_idx = F.array_position(F.array(*[F.lit(x) for x in S.FP_ORDER]), F.col("fp"))
-    q = (series.where((F.col("form") == S.QUARTERLY_FORM) & (fp_idx > 0) & F.col("fy").isNotNull())
-         .withColumn("qi", F.col("fy") * 4 + fp_idx - 1))
-    newest = F.max("qi").over(Window.partitionBy(*keys))
-    q = q.withColumn("top", newest)
+    slot = (F.when((F.col("form") == S.QUARTERLY_FORM) & (fp_idx > 0), fp_idx)
+            .when((F.col("form") == S.ANNUAL_FORM) & (F.col("fp") == "FY"), F.lit(5)))
+    newest = F.struct(*[F.col(c) for c in ("end", "pos", "val") if c in series.columns])
+    q = series.withColumn("slot", slot).where(F.col("slot").isNotNull() & F.col("fy").isNotNull() & F.col("val").isNotNull())
+    one = q.groupBy(*keys, "fy", "slot").agg(F.max_by("val", newest).alias("val"))
+    year = one.groupBy(*keys, "fy").agg(*[F.max(F.when(F.col("slot") == i, F.col("val"))).alias(f"v{i}") for i in range(1, 6)])
+    q4 = F.coalesce(F.col("v4"), F.col("v5") - F.col("v1") - F.col("v2") - F.col("v3"))
+    quarters = year.select(*keys, F.explode(F.array(*[
+        F.struct((F.col("fy") * 4 + i - 1).alias("qi"), (q4 if i == 4 else F.col(f"v{i}")).alias("val")) for i in range(1, 5)])).alias("x"))
+    quarters = quarters.select(*keys, "x.*").where("val IS NOT NULL")
+    quarters = quarters.withColumn("top", F.max("qi").over(Window.partitionBy(*keys)))
     v = F.col("val").cast("double")
-    agg = q.groupBy(*keys).agg(
+    recent = F.col("qi") > F.col("top") - 4
+    agg = quarters.groupBy(*keys).agg(
         F.max(F.when(F.col("qi") == F.col("top"), v)).alias("lq"),
-        F.count_distinct(F.when(F.col("qi") > F.col("top") - 4, F.col("qi"))).alias("n4"),
-        F.sum(F.when(F.col("qi") > F.col("top") - 4, F.col("val"))).cast("double").alias("sum4"),
+        F.count_if(recent).alias("n4"),
+        F.sum(F.when(recent, F.col("val"))).cast("double").alias("sum4"),
         F.max(F.when(F.col("qi") == F.col("top") - 4, v)).alias("prior"))
     return agg.select(
         *keys, "lq", (F.col("lq") * F.lit(4.0)).alias("annualized"),

@@ -773,17 +773,29 @@ FROM req r LEFT JOIN feats f ON upper(trim(f.ticker)) = upper(trim(r.ticker))
 """
 
 
+# One row a quarter (the newest filed), the fourth quarter from the year where it wasn't filed.
 ORACLES["metric_calendar"] = with_ctes(AF, REVENUE_SERIES) + """
-, cq AS (
-  SELECT cik, metric, val, fy * 4 + """ + FP_IDX.format(c="fp") + """ - 1 AS qi FROM flow_series
-  WHERE form = '10-Q' AND """ + FP_IDX.format(c="fp") + """ > 0 AND fy IS NOT NULL),
-ct AS (SELECT *, max(qi) OVER (PARTITION BY cik, metric) AS top FROM cq)
-SELECT cik, metric,
-       max(CASE WHEN qi = top THEN CAST(val AS DOUBLE) END) AS lq,
-       CASE WHEN count(DISTINCT CASE WHEN qi > top - 4 THEN qi END) = 4
-            THEN CAST(sum(CASE WHEN qi > top - 4 THEN val END) AS DOUBLE) END AS ltm,
-       CASE WHEN max(CASE WHEN qi = top - 4 THEN CAST(val AS DOUBLE) END) <> 0 THEN
-            (max(CASE WHEN qi = top THEN CAST(val AS DOUBLE) END) - max(CASE WHEN qi = top - 4 THEN CAST(val AS DOUBLE) END))
-            / max(CASE WHEN qi = top - 4 THEN CAST(val AS DOUBLE) END) * 100.0 END AS yoy
-FROM ct GROUP BY cik, metric
+, filed AS (
+  SELECT cik, metric, fy, CASE WHEN form = '10-Q' THEN fp ELSE 'FY' END AS part, val, "end", pos FROM flow_series
+  WHERE fy IS NOT NULL AND val IS NOT NULL
+    AND ((form = '10-Q' AND fp IN ('Q1', 'Q2', 'Q3', 'Q4')) OR (form = '10-K' AND fp = 'FY'))
+  QUALIFY row_number() OVER (PARTITION BY cik, metric, fy, part
+                             ORDER BY "end" DESC NULLS LAST, pos DESC NULLS LAST, val DESC) = 1),
+derived AS (
+  SELECT y.cik, y.metric, y.fy, 'Q4' AS part, y.val - q.s AS val
+  FROM filed y JOIN (SELECT cik, metric, fy, sum(val) AS s, count(*) AS n FROM filed
+                     WHERE part IN ('Q1', 'Q2', 'Q3') GROUP BY cik, metric, fy) q USING (cik, metric, fy)
+  WHERE y.part = 'FY' AND q.n = 3
+    AND NOT EXISTS (SELECT 1 FROM filed f WHERE f.cik = y.cik AND f.metric = y.metric AND f.fy = y.fy AND f.part = 'Q4')),
+quarters AS (
+  SELECT cik, metric, val, fy * 4 + CAST(substr(part, 2) AS INTEGER) - 1 AS qi
+  FROM (SELECT cik, metric, fy, part, val FROM filed WHERE part <> 'FY' UNION ALL SELECT * FROM derived)),
+newest AS (SELECT cik, metric, max(qi) AS top FROM quarters GROUP BY cik, metric)
+SELECT n.cik, n.metric, CAST(a.val AS DOUBLE) AS lq,
+       (SELECT CASE WHEN count(*) = 4 THEN CAST(sum(q.val) AS DOUBLE) END FROM quarters q
+        WHERE q.cik = n.cik AND q.metric = n.metric AND q.qi > n.top - 4) AS ltm,
+       CASE WHEN CAST(p.val AS DOUBLE) <> 0
+            THEN (CAST(a.val AS DOUBLE) - CAST(p.val AS DOUBLE)) / CAST(p.val AS DOUBLE) * 100.0 END AS yoy
+FROM newest n JOIN quarters a ON a.cik = n.cik AND a.metric = n.metric AND a.qi = n.top
+LEFT JOIN quarters p ON p.cik = n.cik AND p.metric = n.metric AND p.qi = n.top - 4
 """

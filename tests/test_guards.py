@@ -105,3 +105,15 @@ def test_shared_folder_is_asked_for_off_local_masters(monkeypatch):
     with pytest.raises(ValueError, match="checkpoint"):
         session.ensure_checkpoint_dir(Fake("spark://host:7077"))
     assert session.ensure_checkpoint_dir(Fake("local[2]"))
+
+
+def test_calendar_quarters_count_once_and_q4_is_derived(spark):
+    from ledgerline.operators.series import calendar_summary
+    rows = [("c", "m", "2023-03-31", "10-Q", 2023, "Q1", 10.0, 0), ("c", "m", "2023-06-30", "10-Q", 2023, "Q2", 10.0, 1),
+            ("c", "m", "2023-09-30", "10-Q", 2023, "Q3", 10.0, 2), ("c", "m", "2022-09-30", "10-Q", 2023, "Q3", 99.0, 3),
+            ("c", "m", "2023-12-31", "10-K", 2023, "FY", 42.0, 4), ("c", "m", "2022-12-31", "10-K", 2022, "FY", 1.0, 5),
+            ("d", "m", "2023-12-31", "10-K", 2023, "FY", 42.0, 0), ("d", "m", "2023-09-30", "10-Q", 2023, "Q3", 7.0, 1)]
+    df = spark.createDataFrame(rows, "cik string, metric string, end string, form string, fy int, fp string, val double, pos long")
+    r = {x["cik"]: x for x in calendar_summary(df).collect()}
+    assert (r["c"]["lq"], r["c"]["ltm"]) == (12.0, 42.0)
+    assert (r["d"]["lq"], r["d"]["ltm"], r["d"]["yoy"]) == (7.0, None, None)
