@@ -157,7 +157,8 @@ def revealing_terms(d: DataFrame, generalise: float = GENERALISE, remove: float
     hint = _bounded(n_pairs)
     terms = pairs.select("term").distinct()
     all_terms = d.select(F.explode(F.array_distinct(F.transform(words(F.col("t")), _term))).alias("term"))
-    n_t = all_terms.join(hint(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # counted for all terms first: common words are in nearly every document, and a join before the count would make a row of each
+    n_t = all_terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(hint(terms), "term")
     entities = d.select(F.explode(F.array_distinct(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], F.lower(x["value"]))))).alias("entity"))
     n_e = entities.join(hint(pairs.select("entity").distinct()), "entity").groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     n = d.count()
