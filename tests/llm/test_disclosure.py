@@ -30,7 +30,7 @@ SENTENCES = ["yesterday {} wrote about {} to the board", "nobody but {} knows wh
 
 def fixture(make):
     """An address that always stands near 'Zanzibaros' and often near 'harbourmaster'; both words are seen near nothing else."""
-    rows = [(i, s.format("Zanzibaros", "boss@firm.example.org") + f" note {w}") for i, (s, w) in enumerate(zip(SENTENCES, "abcde"))]
+    rows = [(i, s.format("Zanzibaros", "boss@firm.example.org") + f" number {w}") for i, (s, w) in enumerate(zip(SENTENCES, "abcde"))]
     rows += [(100 + i, f"plain words about nothing, the board and the money number {i}") for i in range(60)]
     return rows
 
