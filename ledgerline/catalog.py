@@ -471,9 +471,9 @@ def teacher_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot ids with teacher predictions joined on the shared key columns."""
     from ledgerline.operators import features as X
     ids = _snapshot(spark, sf_dir).select("cik", "ticker", "report_date")
-    o = D.table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    teacher = (o.groupBy(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"))
-               .agg((F.max("o_totalprice") / F.lit(1000.0)).alias("pred")))
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))  # customers without one have no prediction
+    teacher = (D.table(spark, sf_dir, "orders").groupBy(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"))
+               .agg((F.max(urgent) / F.lit(1000.0)).alias("pred")))
     return X.join_teacher(ids, teacher)
 
 
@@ -609,7 +609,7 @@ def ticker_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheet = D.part_sheet(spark, sf_dir)
     med, names, plan = X.fit_features(sheet)
     feats = X.apply_features(sheet, med, names, plan, with_label=False)
-    li = D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    li = D.table(spark, sf_dir, "lineitem")
     req = li.select(F.concat(F.lit(" p"), F.col("l_partkey").cast("string")).alias("ticker")).distinct()
     return X.lookup_rows(feats, req)
 

@@ -767,7 +767,7 @@ feats AS (
   SELECT ticker, """ + ",\n         ".join(
     f"""COALESCE("{n}", (SELECT m FROM med WHERE feature = '{n}'), 0.0) AS "{n}__num\"""" for n in SURVIVORS) + """
   FROM allrows),
-req AS (SELECT DISTINCT ' p' || CAST(l_partkey AS VARCHAR) AS ticker FROM lineitem WHERE l_returnflag = 'R')
+req AS (SELECT DISTINCT ' p' || CAST(l_partkey AS VARCHAR) AS ticker FROM lineitem)
 SELECT r.ticker, """ + ", ".join(f'f."{n}__num"' for n in SURVIVORS) + """
 FROM req r LEFT JOIN feats f ON upper(trim(f.ticker)) = upper(trim(r.ticker))
 """

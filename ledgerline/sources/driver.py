@@ -197,9 +197,10 @@ def other_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, "Y").otherwise("N").alias("ETF"),
         F.when(seg == "HOUSEHOLD", "Y").otherwise("N").alias("Test Issue"),
         F.col("c_custkey").alias("pos"))
-    s = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 9000)
-    dup = s.select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ACT Symbol"),
+    # suppliers with a smaller balance come under special symbols, which the directory filter drops
+    dup = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string"),
+                 F.when(F.col("s_acctbal") > 9000, F.lit("")).otherwise(F.lit(".W"))).alias("ACT Symbol"),
         F.col("s_name").alias("Security Name"), F.lit("N").alias("Exchange"),
         F.lit("N").alias("ETF"), F.lit("N").alias("Test Issue"),
         (F.col("s_suppkey") + F.lit(1 << 32)).alias("pos"))
@@ -207,14 +208,14 @@ def other_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ticker_map_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticker-map entries in file order: customers with a non-negative balance,
-    then suppliers, then nations under a two-letter ticker (which collide, so
+    """Ticker-map entries in file order: customers (those with a negative balance
+    have a blank CIK, which the map drops), then suppliers, then nations under a two-letter ticker (which collide, so
     the later entry must win)."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    c = table(spark, sf_dir, "customer")
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     return (c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("ticker"),
-                     F.col("c_custkey").cast("string").alias("cik_str"), F.col("c_name").alias("title"),
+                     F.when(F.col("c_acctbal") >= 0, F.col("c_custkey").cast("string")).otherwise(F.lit(" ")).alias("cik_str"), F.col("c_name").alias("title"),
                      F.col("c_custkey").cast("bigint").alias("pos"))
             .unionByName(s.select(F.concat(F.lit(" S"), F.col("s_suppkey").cast("string")).alias("ticker"),
                                   (F.col("s_suppkey") + 100000000).cast("string").alias("cik_str"),
