@@ -6,16 +6,18 @@ scripts, comments) go. Each page is then paired with its nearest pages by URL
 path within the host, the lines of the two are aligned by longest common
 subsequence, and lines that both have are template and deleted.
 
-Two things are kept from the difference. Lines inside an ``article`` or
-``main`` element are the article by the page's own word, and two articles may
-quote the same passage, so these lines stay. A neighbour that shares nearly
-all open lines is a copy of the page, not evidence of a template, so the next
-nearest is taken; if all of the ``REACH`` pages on either side are copies the lines stay. A page with an
-``article`` (else ``main``) is reduced to it.
+A page with an ``article`` (else ``main``) is reduced to it, and its lines are
+compared like those of any page. Two articles may quote the same passage, so
+there a line goes only if all of the nearest neighbours that aren't copies,
+``SEVERAL`` at least, have it at the same place in the structure (path of
+tags). Elsewhere the nearest such neighbour decides. A neighbour that shares
+nearly all lines is a copy of the page, not evidence of a template, so the
+next nearest is taken; if all of the ``REACH`` pages on either side are copies
+the lines stay. A neighbour is seen with all its lines, in its article or not.
 
 Scale: pages are read once. Neighbours come from a distributed sort of (host,
-path), so a host with a third of all pages splits like any other; only pages
-with open lines, and their neighbours, are joined with their lines. A pair is
+path), so a host with a third of all pages splits like any other; pairs are
+joined with 64-bit hashes of their lines, not with the lines. A pair is
 aligned in one task: the memory is that of two pages.
 
 Defined results: null or empty html gives an empty text; a null or broken URL
@@ -27,7 +29,9 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+import zlib
+from collections.abc import Hashable, Iterator, Sequence
+from hashlib import blake2b
 from html import unescape
 
 import pandas as pd
@@ -35,6 +39,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.llm.common import col, stage_table
 from ledgerline.operators.features import global_rank
@@ -64,6 +69,10 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 COPY = 0.9
 #: Pages before and after in URL order that may be the nearest one.
 REACH = 3
+#: Neighbours that must share a line of an article before it goes.
+SEVERAL = 3
+#: Rows of the table of deletions up to which it is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 100_000
 #: Bits of alignment state that are kept at once.
 STATE_BITS = 1 << 28
 
@@ -91,7 +100,12 @@ def _outside(tag: str, attributes: str, in_article: bool) -> bool:
 
 def blocks(html: str) -> list[tuple[str, int]]:
     """The page's lines in order with their place: 2 in an article, 1 in a main element, 0 elsewhere."""
-    out: list[tuple[str, int]] = []
+    return [(line, place) for line, place, _ in placed_blocks(html)]
+
+
+def placed_blocks(html: str) -> list[tuple[str, int, int]]:
+    """The lines of ``blocks`` and the checksum of their path of tags."""
+    out: list[tuple[str, int, int]] = []
     stack: list[tuple[str, bool, int]] = []  # tag, outside, place
     text: list[str] = []
     at, outside, place = 0, False, 0
@@ -100,7 +114,7 @@ def blocks(html: str) -> list[tuple[str, int]]:
         line = " ".join(unescape("".join(text)).split())
         text.clear()
         if line:
-            out.append((line, place))
+            out.append((line, place, zlib.crc32("/".join(s[0] for s in stack).encode())))
 
     def pop_to(k: int) -> None:
         nonlocal outside, place
@@ -155,24 +169,30 @@ def blocks(html: str) -> list[tuple[str, int]]:
     return out
 
 
+def _inner(places: Sequence[int]) -> int:
+    """The place from which on lines may be the article."""
+    return max(places, default=0)
+
+
 def candidate_lines(html: str | None) -> tuple[list[str], bool]:
-    """The lines that may be the article, and whether they are open to the difference."""
+    """The lines that may be the article, and whether the page leaves open which they are."""
     found = blocks(html or "")
-    for place in (2, 1):
-        inner = [line for line, p in found if p >= place]
-        if inner:
-            return inner, False
-    return [line for line, _ in found], True
+    inner = _inner([p for _, p in found])
+    return [line for line, p in found if p >= inner], not inner
 
 
-def _masks(b: list[str]) -> dict[str, int]:
-    masks: dict[str, int] = {}
+def _hash(line: str) -> int:
+    return int.from_bytes(blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _masks(b: Sequence[Hashable]) -> dict[Hashable, int]:
+    masks: dict[Hashable, int] = {}
     for j, line in enumerate(b):
         masks[line] = masks.get(line, 0) | 1 << j
     return masks
 
 
-def _rows(a: list[str], b: list[str], keep: bool) -> list[int]:
+def _rows(a: Sequence[Hashable], b: Sequence[Hashable], keep: bool) -> list[int]:
     """Bit-parallel alignment state after each line of ``a`` (only the last if not ``keep``): zero bits count matches."""
     full, masks = (1 << len(b)) - 1, _masks(b)
     v, rows = full, []
@@ -185,7 +205,7 @@ def _rows(a: list[str], b: list[str], keep: bool) -> list[int]:
     return rows if keep else [v]
 
 
-def _lengths(a: list[str], b: list[str]) -> list[int]:
+def _lengths(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[int]:
     """Longest common subsequence of ``a`` with every prefix of ``b``."""
     v, out, n = _rows(a, b, False)[0], [0], 0
     for bit in bin(v | 1 << len(b))[:2:-1]:
@@ -194,7 +214,7 @@ def _lengths(a: list[str], b: list[str]) -> list[int]:
     return out
 
 
-def common(a: list[str], b: list[str]) -> list[bool]:
+def common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[bool]:
     """For each line of ``a``: is it in a longest common subsequence with ``b``?"""
     lo = 0
     while lo < min(len(a), len(b)) and a[lo] == b[lo]:
@@ -206,7 +226,7 @@ def common(a: list[str], b: list[str]) -> list[bool]:
     return [True] * lo + _common(mid_a, mid_b) + [True] * hi
 
 
-def _common(a: list[str], b: list[str]) -> list[bool]:
+def _common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[bool]:
     if not a or not b:
         return [False] * len(a)
     if len(a) > 1 and len(a) * len(b) > STATE_BITS:  # in two halves, where the best alignment crosses
@@ -229,50 +249,94 @@ def _common(a: list[str], b: list[str]) -> list[bool]:
     return out
 
 
-def difference(lines: list[str], others: list[list[str]]) -> list[str]:
-    """``lines`` without those shared with the nearest of ``others`` that isn't a copy."""
-    for other in others:
-        shared = common(lines, other)
-        size = sum(len(x) for x in lines)
-        if sum(len(x) for x, s in zip(lines, shared, strict=True) if s) < COPY * size:
-            return [x for x, s in zip(lines, shared, strict=True) if not s]
-    return lines
+def _shared(a: list[Hashable], b: list[Hashable]) -> list[bool]:
+    return [False] * len(a) if set(a).isdisjoint(b) else common(a, b)
+
+
+def is_copy(shared: list[bool], chars: list[int]) -> bool:
+    """Is the neighbour with the ``shared`` lines a copy of the page?"""
+    return sum(n for n, s in zip(chars, shared, strict=True) if s) >= COPY * sum(chars)
+
+
+def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For pairs: is the neighbour a copy, and which lines of the page does it share (at the same place if marked)?"""
+    for b in batches:
+        copies, masks = [], []
+        for is_open, h, at, chars, h2, at2 in zip(b["open"], b["h"], b["at"], b["chars"], b["h2"], b["at2"], strict=True):
+            h, h2 = h.tolist(), h2.tolist()
+            shared = _shared(h, h2)
+            copies.append(is_copy(shared, chars.tolist()))
+            if not is_open and not copies[-1] and any(shared):
+                shared = _shared(list(zip(h, at.tolist(), strict=True)), list(zip(h2, at2.tolist(), strict=True)))
+            masks.append(shared)
+        yield b[["row", "rank"]].assign(copy=copies, shared=masks)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text): one row a row of ``pages``."""
     kind = pages.select(col(id_col)).schema[0].dataType.simpleString()
+    types = {"lines": pa.list_(pa.string()), "open": pa.bool_(), "h": pa.list_(pa.int64()), "at": pa.list_(pa.int64()),
+             "mine": pa.list_(pa.bool_()), "chars": pa.list_(pa.int32())}
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [candidate_lines(h) for h in b.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array([x for x, _ in got], pa.list_(pa.string())),
-                                              pa.array([bool(x) and o for x, o in got], pa.bool_())], names=["id", "url", "lines", "open"])
+            out: dict[str, list] = {k: [] for k in types}
+            for html in b.column("html").to_pylist():
+                found = placed_blocks(html or "")
+                inner = _inner([p for _, p, _ in found])
+                out["lines"].append([line for line, p, _ in found if p >= inner])
+                out["open"].append(not inner)
+                out["h"].append([_hash(line) for line, _, _ in found])
+                out["at"].append([at for _, _, at in found])
+                out["mine"].append([p >= inner for _, p, _ in found])
+                out["chars"].append([len(line) for line, _, _ in found])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), *[pa.array(out[k], t) for k, t in types.items()]],
+                                             names=["id", "url", *types])
 
     p = pages.select(col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"))
-    p = p.mapInArrow(parsed, f"id {kind}, url string, lines array<string>, open boolean")
-    p = stage_table(p.withColumn("row", F.monotonically_increasing_id()), "lines")
+    p = p.mapInArrow(parsed, f"id {kind}, url string, lines array<string>, open boolean, h array<long>, at array<long>, mine array<boolean>, chars array<int>")
     url = F.coalesce("url", F.lit(""))
-    keys = p.select("row", "open", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)).alias("host"),
-                    F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"))
-    told = p.where(~F.col("open")).select("id", "url", F.array_join("lines", "\n").alias("text"))
-    if not p.where("open").limit(1).count():
-        return told
-    ranked = stage_table(global_rank(keys.where("host <> ''"), [F.col("host"), F.col("path"), F.col("row")], "g"), "order")
-    # the pages next to an open page in the order of its host, the one with the longer common path first
-    near = ranked.where("open").select("row", "host", "path", F.explode(F.array(*[F.col("g") + k for k in range(-REACH, REACH + 1) if k])).alias("g2"))
-    other = ranked.select(F.col("g").alias("g2"), F.col("host").alias("h2"), F.col("path").alias("p2"), F.col("row").alias("r2"))
+    p = stage_table(p.withColumn("row", F.monotonically_increasing_id())
+                    .withColumn("host", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)))
+                    .withColumn("path", F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)), "lines")
+    contents = p.where("host <> '' AND size(lines) > 0").select("row", "host", "path", "open", "h", "at", "mine", "chars")
+    drops = stage_table(_template(contents), "drops")
+    d = drops.select(F.col("row").alias("r2"), "drop")
+    n = drops.count()
+    j = p.select("id", "url", "lines", "row")
+    if n:
+        j = j.join(F.broadcast(d) if n <= BROADCAST_ROWS else d, F.col("row") == F.col("r2"), "left")
+        left = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.get(F.col("drop"), i)))
+    else:
+        left = F.col("lines")
+    return j.select("id", "url", F.array_join(left, "\n").alias("text"))
+
+
+def _template(contents: DataFrame) -> DataFrame:
+    """(row, drop): the lines to delete, as a flag for each candidate line, of pages that have any."""
+    ranked = stage_table(global_rank(contents.select("row", "host", "path"), [F.col("host"), F.col("path"), F.col("row")], "g"), "order")
+    near = stage_table(_pairs(ranked, ranked, contents, 1, REACH), "pairs").where("NOT copy")
+    near = near.withColumn("k", F.row_number().over(Window.partitionBy("row").orderBy("rank"))).where(F.col("k") <= 2 * REACH)
+    masks = near.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "shared"))).alias("masks"))  # 2 x REACH at most
+    both = lambda a, x: F.zip_with(a, x["shared"], lambda u, v: u & v)
+    masks = masks.join(contents.select(F.col("row").alias("r2"), "open"), F.col("row") == F.col("r2"))
+    drop = F.when(F.col("open"), F.get("masks", F.lit(0))["shared"]).when(
+        F.size("masks") >= SEVERAL, F.aggregate("masks", F.get("masks", F.lit(0))["shared"], both))
+    return masks.select("row", drop.alias("drop")).where(F.exists("drop", lambda x: x))
+
+
+def _pairs(todo: DataFrame, ranked: DataFrame, contents: DataFrame, nearest: int, farthest: int) -> DataFrame:
+    """(row, rank, copy, shared) of the pages of ``todo`` and those ``nearest`` to ``farthest`` away in the order of their host."""
+    steps = F.transform(F.sequence(F.lit(nearest), F.lit(farthest)), lambda k: F.array(-k, k))
+    near = todo.select("row", "host", "path", F.explode(F.flatten(steps)).alias("k"), "g").withColumn("g2", F.col("g") + F.col("k"))
+    other = ranked.select(F.col("g").alias("g2"), F.col("host").alias("host2"), F.col("path").alias("p2"), F.col("row").alias("r2"))
+    # the one with the longer common path first
     depth = F.size(F.split("path", "/")) + F.size(F.split("p2", "/"))
     same = F.aggregate(F.zip_with(F.split("path", "/"), F.split("p2", "/"), lambda a, b: a.eqNullSafe(b)), F.struct(F.lit(True).alias("on"), F.lit(0).alias("n")),
                        lambda a, x: F.struct((a["on"] & x).alias("on"), (a["n"] + F.when(a["on"] & x, 1).otherwise(0)).alias("n")))["n"]
-    near = near.join(other, "g2").where("host = h2").select("row", "r2", F.struct((-same).alias("away"), depth.alias("depth"), "g2").alias("rank"))
-    near = near.join(p.select(F.col("row").alias("r2"), F.col("lines").alias("theirs")), "r2")
-    near = near.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("rank", "theirs"))).alias("others"))  # 2 x REACH rows at most
-    j = p.where("open").join(near, "row", "left").select("id", "url", "lines", F.transform("others", lambda x: x["theirs"]).alias("others"))
-
-    def diffed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts = ["\n".join(difference(list(x), [] if o is None else [list(y) for y in o])) for x, o in zip(b["lines"], b["others"], strict=True)]
-            yield b[["id", "url"]].assign(text=texts)
-
-    return told.unionByName(j.mapInPandas(diffed, f"id {kind}, url string, text string"))
+    rank = F.struct((-same).alias("away"), depth.alias("depth"), F.col("g2").cast("long").alias("g2"))
+    near = near.join(other, "g2").where("host = host2").select("row", "r2", rank.alias("rank"))
+    mine = lambda c: F.filter(c, lambda x, i: F.get(F.col("mine"), i)).alias(c)
+    near = near.join(contents.select("row", "open", mine("h"), mine("at"), mine("chars")), "row")
+    near = near.join(contents.select(F.col("row").alias("r2"), F.col("h").alias("h2"), F.col("at").alias("at2")), "r2").drop("r2")
+    return near.mapInPandas(_judged, "row long, rank struct<away:int,depth:int,g2:long>, copy boolean, shared array<boolean>")

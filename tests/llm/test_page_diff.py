@@ -56,3 +56,23 @@ def test_given_pages(spark, sf_dir):
         inner = r["html"][r["html"].index("<article>") + 9:r["html"].index("</article>")]
         parts = (" ".join(unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:p|h1)>", inner.replace("<br>", " ")))
         assert got[r["page_id"]] == "\n".join(x for x in parts if x)
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["id"]: r["text"] for r in P.main_text(df).collect()}
+
+
+def test_template_inside_articles(spark):
+    """Unmarked lists go; a passage that some neighbours quote, or all at another place, stays."""
+    share = "<ul><li>Send to a friend</li><li>More of this</li></ul>"
+    quote = lambda i: "<p>a quoted passage</p>" if i in (3, 4) else ""
+    motto = lambda i: "<p>motto</p>" if i == 2 else "<h2>motto</h2>"
+    rows = [(i, f"http://h.example.org/a/{i}", f"<article><h1>title {i}</h1>{quote(i)}{motto(i)}<p>text {i}</p>{share}</article>") for i in range(8)]
+    rows += [(20 + i, f"http://m.example.org/a/{i}", f"<main><div>Home</div><p>text {i}</p></main>") for i in range(5)]
+    rows += [(40 + i, f"http://two.example.org/a/{i}", f"<article><p>same</p><p>text {i}</p></article>") for i in range(2)]
+    got = texts(spark, rows)
+    assert got[3] == "title 3\na quoted passage\nmotto\ntext 3" and got[2] == "title 2\nmotto\ntext 2"
+    assert all("friend" not in got[i] and "More" not in got[i] and f"text {i}" in got[i] for i in range(8))
+    assert [got[20 + i] for i in range(5)] == [f"text {i}" for i in range(5)]
+    assert got[40] == "same\ntext 0"  # one neighbour is not several
