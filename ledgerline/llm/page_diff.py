@@ -12,13 +12,17 @@ there a line goes only if all of the nearest neighbours that aren't copies,
 ``SEVERAL`` at least, have it at the same place in the structure (path of
 tags). Elsewhere the nearest such neighbour decides. A neighbour that shares
 nearly all lines is a copy of the page, not evidence of a template, so the
-next nearest is taken; if all of the ``REACH`` pages on either side are copies
-the lines stay. A neighbour is seen with all its lines, in its article or not.
+next nearest is taken. Pages of equal lines within a host are folded first, so
+neighbours differ. A page that finds too few in the ``REACH`` before and after
+it goes on in rounds, each twice as far as the one before, until it has them
+or its host has no more; without any the lines stay. A neighbour is seen with
+all its lines, in its article or not.
 
 Scale: pages are read once. Neighbours come from a distributed sort of (host,
 path), so a host with a third of all pages splits like any other; pairs are
 joined with 64-bit hashes of their lines, not with the lines. A pair is
-aligned in one task: the memory is that of two pages.
+aligned in one task: the memory is that of two pages. Rounds are a written
+table each, as many as the logarithm of the longest way to a partner.
 
 Defined results: null or empty html gives an empty text; a null or broken URL
 has an empty host and no neighbour; pages that repeat are copies of each
@@ -67,7 +71,7 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: A neighbour that shares at least this part of the open characters is a copy.
 COPY = 0.9
-#: Pages before and after in URL order that may be the nearest one.
+#: Pages before and after in URL order that are looked at in the first round.
 REACH = 3
 #: Neighbours that must share a line of an article before it goes.
 SEVERAL = 3
@@ -275,7 +279,7 @@ def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text): one row a row of ``pages``."""
     kind = pages.select(col(id_col)).schema[0].dataType.simpleString()
-    types = {"lines": pa.list_(pa.string()), "open": pa.bool_(), "h": pa.list_(pa.int64()), "at": pa.list_(pa.int64()),
+    types = {"key": pa.string(), "lines": pa.list_(pa.string()), "open": pa.bool_(), "h": pa.list_(pa.int64()), "at": pa.list_(pa.int64()),
              "mine": pa.list_(pa.bool_()), "chars": pa.list_(pa.int32())}
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,6 +290,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 inner = _inner([p for _, p, _ in found])
                 out["lines"].append([line for line, p, _ in found if p >= inner])
                 out["open"].append(not inner)
+                out["key"].append(blake2b("\n".join([str(not inner), *out["lines"][-1]]).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest())
                 out["h"].append([_hash(line) for line, _, _ in found])
                 out["at"].append([at for _, _, at in found])
                 out["mine"].append([p >= inner for _, p, _ in found])
@@ -294,18 +299,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                                              names=["id", "url", *types])
 
     p = pages.select(col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"))
-    p = p.mapInArrow(parsed, f"id {kind}, url string, lines array<string>, open boolean, h array<long>, at array<long>, mine array<boolean>, chars array<int>")
+    p = p.mapInArrow(parsed, f"id {kind}, url string, key string, lines array<string>, open boolean, h array<long>, at array<long>, mine array<boolean>, chars array<int>")
     url = F.coalesce("url", F.lit(""))
     p = stage_table(p.withColumn("row", F.monotonically_increasing_id())
                     .withColumn("host", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)))
                     .withColumn("path", F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)), "lines")
-    contents = p.where("host <> '' AND size(lines) > 0").select("row", "host", "path", "open", "h", "at", "mine", "chars")
+    known = p.where("host <> '' AND size(lines) > 0")
+    firsts = known.groupBy("host", "key").agg(F.min(F.struct("path", "row")).alias("first")).select(F.col("first.row").alias("row"))
+    contents = stage_table(known.join(firsts, "row").select("row", "host", "key", "path", "open", "h", "at", "mine", "chars"), "contents")
     drops = stage_table(_template(contents), "drops")
-    d = drops.select(F.col("row").alias("r2"), "drop")
+    d = drops.select(F.col("host").alias("host2"), F.col("key").alias("key2"), "drop")
     n = drops.count()
-    j = p.select("id", "url", "lines", "row")
+    j = p.select("id", "url", "lines", "host", "key")
     if n:
-        j = j.join(F.broadcast(d) if n <= BROADCAST_ROWS else d, F.col("row") == F.col("r2"), "left")
+        j = j.join(F.broadcast(d) if n <= BROADCAST_ROWS else d, (F.col("host") == F.col("host2")) & (F.col("key") == F.col("key2")), "left")
         left = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.get(F.col("drop"), i)))
     else:
         left = F.col("lines")
@@ -313,20 +320,30 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 
 def _template(contents: DataFrame) -> DataFrame:
-    """(row, drop): the lines to delete, as a flag for each candidate line, of pages that have any."""
-    ranked = stage_table(global_rank(contents.select("row", "host", "path"), [F.col("host"), F.col("path"), F.col("row")], "g"), "order")
-    near = stage_table(_pairs(ranked, ranked, contents, 1, REACH), "pairs").where("NOT copy")
-    near = near.withColumn("k", F.row_number().over(Window.partitionBy("row").orderBy("rank"))).where(F.col("k") <= 2 * REACH)
-    masks = near.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "shared"))).alias("masks"))  # 2 x REACH at most
+    """(host, key, drop): the lines to delete, as a flag for each candidate line, of contents that have any."""
+    ranked = stage_table(global_rank(contents.select("row", "host", "path", "open"), [F.col("host"), F.col("path"), F.col("row")], "g"), "order")
+    todo, nearest, width, found = ranked, 1, REACH, None
+    while True:
+        pairs = stage_table(_pairs(todo, ranked, contents, nearest, nearest + width - 1), "pairs")
+        now = pairs.where("NOT copy").select("row", F.struct(F.lit(nearest).alias("from"), "rank").alias("rank"), "shared")
+        found = now if found is None else found.unionByName(now)
+        have = found.groupBy("row").agg(F.count(F.lit(1)).alias("n"))
+        short = F.coalesce("n", F.lit(0)) < F.when(F.col("open"), 1).otherwise(SEVERAL)
+        todo = stage_table(todo.join(pairs.select("row").distinct(), "row").join(have, "row", "left").where(short).drop("n"), "todo")
+        if not todo.limit(1).count():
+            break
+        nearest, width = nearest + width, 2 * width
+    found = found.withColumn("k", F.row_number().over(Window.partitionBy("row").orderBy("rank"))).where(F.col("k") <= 2 * REACH)
+    masks = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "shared"))).alias("masks"))  # 2 x REACH at most
     both = lambda a, x: F.zip_with(a, x["shared"], lambda u, v: u & v)
-    masks = masks.join(contents.select(F.col("row").alias("r2"), "open"), F.col("row") == F.col("r2"))
+    masks = contents.select("row", "host", "key", "open").join(masks, "row")
     drop = F.when(F.col("open"), F.get("masks", F.lit(0))["shared"]).when(
         F.size("masks") >= SEVERAL, F.aggregate("masks", F.get("masks", F.lit(0))["shared"], both))
-    return masks.select("row", drop.alias("drop")).where(F.exists("drop", lambda x: x))
+    return masks.select("host", "key", drop.alias("drop")).where(F.exists("drop", lambda x: x))
 
 
 def _pairs(todo: DataFrame, ranked: DataFrame, contents: DataFrame, nearest: int, farthest: int) -> DataFrame:
-    """(row, rank, copy, shared) of the pages of ``todo`` and those ``nearest`` to ``farthest`` away in the order of their host."""
+    """(row, rank, copy, shared) of the contents of ``todo`` and those ``nearest`` to ``farthest`` away in the order of their host."""
     steps = F.transform(F.sequence(F.lit(nearest), F.lit(farthest)), lambda k: F.array(-k, k))
     near = todo.select("row", "host", "path", F.explode(F.flatten(steps)).alias("k"), "g").withColumn("g2", F.col("g") + F.col("k"))
     other = ranked.select(F.col("g").alias("g2"), F.col("host").alias("host2"), F.col("path").alias("p2"), F.col("row").alias("r2"))

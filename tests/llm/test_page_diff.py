@@ -76,3 +76,14 @@ def test_template_inside_articles(spark):
     assert all("friend" not in got[i] and "More" not in got[i] and f"text {i}" in got[i] for i in range(8))
     assert [got[20 + i] for i in range(5)] == [f"text {i}" for i in range(5)]
     assert got[40] == "same\ntext 0"  # one neighbour is not several
+
+
+def test_partners_beyond_copies(spark):
+    """Equal pages under many addresses, and pages that hold another one whole, don't hide the template."""
+    page = lambda *own: "<div>Home</div><div>Prices</div>" + "".join(f"<p>{x}</p>" for x in own) + "<div>Imprint</div>"
+    rows = [(100 * k + i, f"http://h.example.org/a/{k}/print/{i}?s={i}", page(f"text {k}", f"more of {k}")) for k in range(3) for i in range(20)]
+    log = [f"entry {k}" for k in range(30)]
+    rows += [(1000 + k, f"http://log.example.org/a/{k:02}", page(*log[:k + 1])) for k in range(30)] + [(2000, "http://log.example.org/z", page("last"))]
+    got = texts(spark, rows)
+    assert all(got[100 * k + i] == f"text {k}\nmore of {k}" for k in range(3) for i in range(20))
+    assert got[1000] == "entry 0" and got[2000] == "last"
