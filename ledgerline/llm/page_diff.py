@@ -10,9 +10,10 @@ A page with an ``article`` (else ``main``) is reduced to it, and its lines are
 compared like those of any page. Two articles may quote the same passage, so
 there a line goes only if all of the nearest neighbours that aren't copies,
 ``SEVERAL`` at least, have it at the same place in the structure (path of
-tags). Elsewhere the nearest such neighbour decides. A neighbour that shares
-nearly all lines is a copy of the page, not evidence of a template, so the
-next nearest is taken. Pages of equal lines within a host are folded first, so
+tags). Elsewhere the nearest such neighbour decides. A neighbour is a copy, not
+evidence of a template, if it leaves no line of the page or nearly none of
+those lines that no third page of the host has; then the next nearest is
+taken. However long the template is, it has no weight there. Pages of equal lines within a host are folded first, so
 neighbours differ. A page that finds too few in the ``REACH`` before and after
 it goes on in rounds, each twice as far as the one before, until it has them
 or its host has no more; without any the lines stay. A neighbour is seen with
@@ -69,7 +70,7 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
                  r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-#: A neighbour that shares at least this part of the open characters is a copy.
+#: A neighbour that shares at least this part of the characters that no third page has is a copy.
 COPY = 0.9
 #: Pages before and after in URL order that are looked at in the first round.
 REACH = 3
@@ -257,19 +258,27 @@ def _shared(a: list[Hashable], b: list[Hashable]) -> list[bool]:
     return [False] * len(a) if set(a).isdisjoint(b) else common(a, b)
 
 
-def is_copy(shared: list[bool], chars: list[int]) -> bool:
-    """Is the neighbour with the ``shared`` lines a copy of the page?"""
-    return sum(n for n, s in zip(chars, shared, strict=True) if s) >= COPY * sum(chars)
+def is_copy(h: list[int], shared: list[bool], chars: list[int], one: set[int], two: set[int], two_only: bool) -> bool:
+    """Is the neighbour with the ``shared`` lines a copy of the page?
+
+    ``one`` and ``two`` are the lines that one and two contents of the host have, ``two_only`` is a host of two contents.
+    """
+    if all(shared):
+        return True
+    own = [(n, s) for x, n, s in zip(h, chars, shared, strict=True) if x in one or s and x in two]
+    size = sum(n for n, _ in own)
+    return not two_only and size > 0 and sum(n for n, s in own if s) >= COPY * size
 
 
 def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For pairs: is the neighbour a copy, and which lines of the page does it share (at the same place if marked)?"""
     for b in batches:
         copies, masks = [], []
-        for is_open, h, at, chars, h2, at2 in zip(b["open"], b["h"], b["at"], b["chars"], b["h2"], b["at2"], strict=True):
+        for is_open, h, at, chars, one, two, two_only, h2, at2 in zip(
+                *[b[c] for c in ("open", "h", "at", "chars", "one", "two", "two_only", "h2", "at2")], strict=True):
             h, h2 = h.tolist(), h2.tolist()
             shared = _shared(h, h2)
-            copies.append(is_copy(shared, chars.tolist()))
+            copies.append(is_copy(h, shared, chars.tolist(), set(one.tolist()), set(two.tolist()), two_only))
             if not is_open and not copies[-1] and any(shared):
                 shared = _shared(list(zip(h, at.tolist(), strict=True)), list(zip(h2, at2.tolist(), strict=True)))
             masks.append(shared)
@@ -319,12 +328,28 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     return j.select("id", "url", F.array_join(left, "\n").alias("text"))
 
 
+def _own(contents: DataFrame) -> DataFrame:
+    """The candidate lines of each content, and which of its lines one (``one``) or two (``two``) contents of the host have."""
+    lines = contents.select("host", "row", F.explode(F.array_distinct("h")).alias("x"))
+    held = lines.groupBy("host", "x").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("a"), F.max("row").alias("b")).where("n <= 2")
+    rare = held.select("n", "x", F.explode(F.array_distinct(F.array("a", "b"))).alias("row")).groupBy("row").agg(
+        F.collect_list(F.when(F.col("n") == 1, F.col("x"))).alias("one"), F.collect_list(F.when(F.col("n") == 2, F.col("x"))).alias("two"))
+    twos = contents.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("a"), F.max("row").alias("b")).where("n = 2")
+    twos = twos.select(F.explode(F.array("a", "b")).alias("row"), F.lit(True).alias("two_only"))
+    mine = lambda c: F.filter(c, lambda x, i: F.get(F.col("mine"), i)).alias(c)
+    none = F.array().cast("array<long>")
+    return contents.select("row", "open", mine("h"), mine("at"), mine("chars")).join(rare, "row", "left").join(twos, "row", "left").select(
+        "row", "open", "h", "at", "chars", F.coalesce("one", none).alias("one"), F.coalesce("two", none).alias("two"),
+        F.coalesce("two_only", F.lit(False)).alias("two_only"))
+
+
 def _template(contents: DataFrame) -> DataFrame:
     """(host, key, drop): the lines to delete, as a flag for each candidate line, of contents that have any."""
+    own = stage_table(_own(contents), "own")
     ranked = stage_table(global_rank(contents.select("row", "host", "path", "open"), [F.col("host"), F.col("path"), F.col("row")], "g"), "order")
     todo, nearest, width, found = ranked, 1, REACH, None
     while True:
-        pairs = stage_table(_pairs(todo, ranked, contents, nearest, nearest + width - 1), "pairs")
+        pairs = stage_table(_pairs(todo, ranked, own, contents, nearest, nearest + width - 1), "pairs")
         now = pairs.where("NOT copy").select("row", F.struct(F.lit(nearest).alias("from"), "rank").alias("rank"), "shared")
         found = now if found is None else found.unionByName(now)
         have = found.groupBy("row").agg(F.count(F.lit(1)).alias("n"))
@@ -342,7 +367,7 @@ def _template(contents: DataFrame) -> DataFrame:
     return masks.select("host", "key", drop.alias("drop")).where(F.exists("drop", lambda x: x))
 
 
-def _pairs(todo: DataFrame, ranked: DataFrame, contents: DataFrame, nearest: int, farthest: int) -> DataFrame:
+def _pairs(todo: DataFrame, ranked: DataFrame, own: DataFrame, contents: DataFrame, nearest: int, farthest: int) -> DataFrame:
     """(row, rank, copy, shared) of the contents of ``todo`` and those ``nearest`` to ``farthest`` away in the order of their host."""
     steps = F.transform(F.sequence(F.lit(nearest), F.lit(farthest)), lambda k: F.array(-k, k))
     near = todo.select("row", "host", "path", F.explode(F.flatten(steps)).alias("k"), "g").withColumn("g2", F.col("g") + F.col("k"))
@@ -353,7 +378,6 @@ def _pairs(todo: DataFrame, ranked: DataFrame, contents: DataFrame, nearest: int
                        lambda a, x: F.struct((a["on"] & x).alias("on"), (a["n"] + F.when(a["on"] & x, 1).otherwise(0)).alias("n")))["n"]
     rank = F.struct((-same).alias("away"), depth.alias("depth"), F.col("g2").cast("long").alias("g2"))
     near = near.join(other, "g2").where("host = host2").select("row", "r2", rank.alias("rank"))
-    mine = lambda c: F.filter(c, lambda x, i: F.get(F.col("mine"), i)).alias(c)
-    near = near.join(contents.select("row", "open", mine("h"), mine("at"), mine("chars")), "row")
+    near = near.join(own, "row")
     near = near.join(contents.select(F.col("row").alias("r2"), F.col("h").alias("h2"), F.col("at").alias("at2")), "r2").drop("r2")
     return near.mapInPandas(_judged, "row long, rank struct<away:int,depth:int,g2:long>, copy boolean, shared array<boolean>")

@@ -87,3 +87,15 @@ def test_partners_beyond_copies(spark):
     got = texts(spark, rows)
     assert all(got[100 * k + i] == f"text {k}\nmore of {k}" for k in range(3) for i in range(20))
     assert got[1000] == "entry 0" and got[2000] == "last"
+
+
+def test_a_heavy_template_is_no_copy(spark):
+    menu = "".join(f"<div>menu entry number {k:03} of the whole site</div>" for k in range(40))
+    rows = [(i, f"http://h.example.org/a/{i}", f"{menu}<p>t{i}</p>") for i in range(6)]
+    rows += [(10 + i, f"http://two.example.org/a/{i}", f"{menu}<p>t{i}</p>") for i in range(2)]
+    body = "".join(f"<p>sentence {k} of a copied text</p>" for k in range(20))
+    rows += [(20 + i, f"http://h.example.org/a/c{i}", f"{menu}{body}<p>edit {i}</p>") for i in range(2)]
+    got = texts(spark, rows)
+    assert all(got[i] == f"t{i}" for i in range(6)) and got[10] == "t0" and got[11] == "t1"
+    for i in range(2):  # an edited copy of one page is none of its template
+        assert got[20 + i].split("\n") == [f"sentence {k} of a copied text" for k in range(20)] + [f"edit {i}"]
