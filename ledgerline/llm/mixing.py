@@ -5,8 +5,9 @@ Every source gets a share of the total size by weight, capped at
 target is whole passes over it plus a remaining budget below its size. The
 remaining budget is fitted on the source's table of document lengths: the same
 share of every length first, then long lengths while they fit, and the last
-few words by bounded-knapsack dynamic programming over the lengths left. The
-result says how many documents of each length to take; the ones with the
+few words by bounded-knapsack dynamic programming over the lengths left; where
+documents are longer than these few words, the programme gets ``LONG_RESERVE``
+words or the longest document. The result says how many documents of each length to take; the ones with the
 lowest seeded hash are taken.
 
 Scale: documents are counted by (source, length) with a partial aggregate; a
@@ -44,6 +45,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 WEIGHTS, MAX_REPEATS, SEED = (5, 2, 1), 3, 17
 #: Words that are left to the dynamic programme after the proportional and the greedy share.
 RESERVE = 20_000
+#: The same for sources with longer documents than RESERVE (a table of 4 bytes a word and at most twice as long).
+LONG_RESERVE = 2_000_000
 #: Rows of a group table (about 60 bytes a row) up to which it is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 100_000
 #: Rows aimed at in one hash bucket of one (source, length).
@@ -51,7 +54,8 @@ BUCKET_ROWS = 50_000
 
 
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int = RESERVE) -> np.ndarray:
-    """How many documents of each size to take so that the sizes sum to ``budget`` or come nearest to it."""
+    """How many documents of each size to take so that the sizes sum to ``budget`` or come nearest to it,
+    given the proportional share and, beyond the last ``reserve`` words, the long lengths first."""
     order = np.argsort(-sizes, kind="stable")
     s, n = sizes[order].astype(np.int64), counts[order].astype(np.int64)
     total = int((s * n).sum())
@@ -59,6 +63,9 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int
         return counts.astype(np.int64)
     take = (n * (budget / total)).astype(np.int64)
     rest = budget - int((s * take).sum())
+    longest = int(s[take < n].max(initial=0))
+    if longest > reserve:
+        reserve = max(LONG_RESERVE, longest)
     for i in np.nonzero((s > 0) & (take < n))[0]:
         if rest <= reserve:
             break
@@ -67,7 +74,7 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int
         rest -= k * int(s[i])
     # bounded knapsack: by[j] is the piece (a size, 1, 2, 4 .. times) that first reached the sum j
     free = (s > 0) & (take < n)
-    top = rest + min(int(s[free].max(initial=0)), reserve)  # a sum just above may be nearer
+    top = rest + min(int(s[free].max(initial=0)), rest)  # a sum above may be nearer, but none beyond twice the rest
     by = np.full(top + 1, -1, dtype=np.int32)
     by[0], pieces = 0, [(0, 0)]
     for i in np.nonzero(free & (s <= top))[0]:

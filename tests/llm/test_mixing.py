@@ -20,6 +20,21 @@ def test_budget_is_fitted_as_well_as_brute_force():
         assert abs(int((take * sizes).sum()) - budget) == min(abs(x - budget) for x in sums)
 
 
+def test_documents_longer_than_the_reserve():
+    fit = lambda sizes, counts, budget: int((mixing.fit_budget(np.array(sizes), np.array(counts), budget) * sizes).sum())
+    assert fit([100_000], [1], 75_000) == 100_000 and fit([100_000], [1], 45_000) == 0
+    assert fit([100_000], [3], 260_000) == 300_000
+    assert fit([100_000, 70_000, 55_000], [1, 1, 1], 125_000) == 125_000
+    rnd = random.Random(5)
+    for _ in range(40):
+        sizes = np.array(rnd.sample(range(mixing.RESERVE + 1, 15 * mixing.RESERVE), 4))
+        counts = np.array([rnd.randint(1, 2) for _ in sizes])
+        budget = rnd.randint(0, int((sizes * counts).sum()))
+        start = (counts * (budget / (sizes * counts).sum())).astype(int)
+        sums = (int((np.array(t) * sizes).sum()) for t in product(*[range(a, c + 1) for a, c in zip(start, counts, strict=True)]))
+        assert abs(fit(sizes, counts, budget) - budget) == min(abs(x - budget) for x in sums)
+
+
 def taken(docs, **options):
     r = mixing.mix(docs, carry=["doc_id", "source"], **options).select("doc_id", "source", "mix.*").collect()
     out = {}
