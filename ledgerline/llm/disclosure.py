@@ -3,25 +3,27 @@
 Base spans: e-mail addresses, IP addresses, payment cards and phone numbers,
 leftmost and non-overlapping within a kind, found in the whole text.
 
-Information-theoretic sanitisation: every protected value (an entity) has an
-information content IC(e) = -log2 p(e). A term that appears around it tells
+Information-theoretic sanitisation: every protected value has an information
+content IC(e) = -log2 p(e). A term that shares documents with it tells
 PMI(t; e) = log2 p(t, e) / (p(t) p(e)) bits about it, all probabilities being
 shares of the corpus' documents; PMI / IC is the part of the entity's
 information that the term gives away, 1 when the term appears nowhere else. In
 documents that hold the entity, terms that give away ``GENERALISE`` of it or
-more are generalised and those at ``REMOVE`` or more are removed. Evidence
-must come from ``SUPPORT`` different contexts at least, so that copies of one
-passage, or a word used once, prove nothing.
-
-Native: DataFrame functions only. Scale: base spans need no shuffle. Only
-terms within ``NEAR`` words of a span are counted with entities, so pairs are
-linear in the spans, and counts are partial aggregates; document frequencies
-are counted for the terms that have support, in one more pass over all texts
-and only if there are any. No row is dropped and no group is collected, but
-the terms of one document.
+more are generalised and those at ``REMOVE`` or more are removed. Besides the
+value itself, all values of a person (local part of an address) and of a
+domain are an entity each. Low counts are estimated low: half a text more has
+the term, and the part is discounted by n/(n + 1) for n shared texts, so a
+single text proves nothing and two may. Texts of equal words count once.
+
+Native: DataFrame functions only. Scale: base spans need no shuffle. Terms are
+counted over the documents once, and only if two different texts share an
+entity; documents with such entities are joined, on the row, with their terms
+that are rare enough to reach ``GENERALISE``, a row of many entities in parts
+of ``PART_ENTITIES``. Counts are partial aggregates. No row is dropped and no
+group is collected, but the terms of one document.
 
 Defined results: null text is empty; rows that repeat are judged alike and
-count as documents; null ids are kept; an empty table gives an empty result;
+count as one document; null ids are kept; an empty table gives an empty result;
 extra columns are carried through.
 """
 
@@ -41,9 +43,10 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-NEAR, SIDE_CHARS, SUPPORT = 10, 160, 3
 GENERALISE, REMOVE = 0.5, 0.8
 PUNCTUATION = ".,;:!?()[]{}<>\"'`…«»„“”‘’*_|/\\-"
+#: Entities of one row that are joined together.
+PART_ENTITIES = 64
 #: Rows of a term table (about 60 bytes a row) up to which it is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 100_000
 
@@ -123,49 +126,57 @@ def _term(word: Column) -> Column:
     return F.btrim(F.lower(word), F.lit(PUNCTUATION))
 
 
-def _contexts(d: DataFrame) -> DataFrame:
-    """(row, entity, ctx, term): terms within ``NEAR`` words of a base span, once a document and entity."""
-    s = d.select("row", "t", F.explode("spans").alias("x"))
-    left = F.substring(F.col("t"), F.greatest(F.lit(1), F.col("x.s") - SIDE_CHARS + 1), F.least(F.lit(SIDE_CHARS), F.col("x.s")))
-    right = F.substring(F.col("t"), F.col("x.e") + 1, F.lit(SIDE_CHARS))
-    # a side that fills its characters may start or end inside a word, which goes
-    whole_left = let(words(left), lambda w: F.when(F.col("x.s") > SIDE_CHARS, F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(w))
-    whole_right = let(words(right), lambda w: F.when(F.length(right) == SIDE_CHARS, F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(w))
-    near = F.concat(let(whole_left, lambda w: F.slice(w, F.greatest(F.size(w) - (NEAR - 1), F.lit(1)), F.lit(NEAR))),
-                    F.slice(whole_right, F.lit(1), F.lit(NEAR)))
-    s = s.select("row", F.concat_ws(":", "x.kind", F.lower(F.col("x.value"))).alias("entity"), F.xxhash64(near).alias("ctx"),
-                 F.array_distinct(F.filter(F.transform(near, _term), lambda w: (F.length(w) >= 3) & w.rlike(r"^\p{L}[\p{L}'’-]*$"))).alias("terms"))
-    s = s.select("row", "entity", "ctx", F.explode("terms").alias("term"))
-    return s.groupBy("row", "entity", "term").agg(F.min("ctx").alias("ctx"))
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.transform(words(text), _term), lambda w: F.length(w) >= 3))
+
+
+def _entities(spans: Column) -> Column:
+    """The names of the protected values: each value, and the person and the domain of an address."""
+    def names(x: Column) -> Column:
+        value = F.lower(x["value"])
+        name = lambda kind, v: F.concat_ws(":", F.lit(kind) if isinstance(kind, str) else kind, v)
+        return F.when(x["kind"] == "email", F.array(name("email", value), name("person", F.substring_index(value, "@", 1)),
+                                                    name("domain", F.substring_index(value, "@", -1)))).otherwise(
+            F.array(name(x["kind"], F.when(x["kind"].isin("card", "phone"), _digits(value)).otherwise(value))))
+
+    return F.array_distinct(F.flatten(F.transform(spans, names)))
 
 
 def _bounded(n: int):
     return F.broadcast if n <= BROADCAST_ROWS else (lambda df: df)
 
 
-def revealing_terms(d: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame | None:
-    """(entity, term, removed): terms that give away ``generalise`` of an entity or more; None if no term has support.
+def revealing_terms(d: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame | None:
+    """(entity, term, removed): terms that give away ``generalise`` of an entity or more; None if no two texts share an entity.
 
     ``d`` has ``row``, ``t`` and the base ``spans`` of all documents.
     """
-    seen = _contexts(d).groupBy("entity", "term", "ctx").agg(F.count(F.lit(1)).alias("n"))
-    pairs = stage_table(seen.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("contexts"))
-                        .where(F.col("contexts") >= support), "pairs")
-    n_pairs = pairs.count()
-    if not n_pairs:
+    own = stage_table(d.select("row", F.md5(F.lower(F.array_join(words(F.col("t")), " "))).alias("text"), _entities(F.col("spans")).alias("names")), "texts")
+    again = stage_table(own.groupBy("text").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("text", "first"), "repeated")
+    copies = stage_table(own.join(_bounded(again.count())(again), "text").where("row <> first").select("row"), "copies")
+    n_copies = copies.count()
+    once = lambda df: df.join(_bounded(n_copies)(copies), "row", "left_anti")
+    n = own.count() - n_copies
+    mine = once(own).select("row", F.ceil(F.size("names") / PART_ENTITIES).cast("int").alias("parts"), F.explode("names").alias("entity"))
+    n_e = stage_table(mine.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where((F.col("n_e") > 1) & (F.col("n_e") < n)), "entities")
+    n_entities, most = n_e.agg(F.count(F.lit(1)), F.max("n_e")).first()
+    if not n_entities:
         return None
-    hint = _bounded(n_pairs)
-    terms = pairs.select("term").distinct()
-    all_terms = d.select(F.explode(F.array_distinct(F.transform(words(F.col("t")), _term))).alias("term"))
+    # an entity of n_e texts needs a term of no more than this many
+    reach = lambda e: F.pow(F.lit(float(n)), 1 - generalise) * F.pow(e.cast("double"), F.lit(generalise))
+    mine = stage_table(mine.join(_bounded(n_entities)(n_e), "entity"), "shared")
+    rows = stage_table(mine.select("row", "parts").distinct(), "rows")
     # counted for all terms first: common words are in nearly every document, and a join before the count would make a row of each
-    n_t = all_terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(hint(terms), "term")
-    entities = d.select(F.explode(F.array_distinct(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], F.lower(x["value"]))))).alias("entity"))
-    n_e = entities.join(hint(pairs.select("entity").distinct()), "entity").groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    n = d.count()
-    p = pairs.join(n_t, "term").join(n_e, "entity")
-    told = F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e")))
+    n_t = once(d).select(F.explode(_terms(F.col("t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n_t = n_t.where((F.col("n_t") > 1) & (F.col("n_t") <= reach(F.lit(most))) & F.col("term").rlike(r"^\p{L}[\p{L}'’-]*$"))
+    here = d.select("row", "t").join(_bounded(rows.count())(rows), "row").select("row", "parts", F.explode(_terms(F.col("t"))).alias("term"))
+    here = here.join(stage_table(n_t, "terms"), "term").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    mine = mine.withColumn("part", F.pmod(F.xxhash64("entity"), F.col("parts").cast("long")).cast("int")).drop("parts")
+    pairs = mine.join(here.drop("parts"), ["row", "part"]).where(F.col("n_t") + 0.5 <= reach(F.col("n_e")))
+    p = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_te")).where("n_te > 1")
+    told = F.log2(F.col("n_te") * F.lit(float(n)) / ((F.col("n_t") + 0.5) * F.col("n_e")))
     whole = F.log2(F.lit(float(n)) / F.col("n_e"))
-    p = p.withColumn("share", F.when(whole > 0, told / whole)).where(F.col("share") >= generalise)
+    p = p.withColumn("share", told / whole * F.col("n_te") / (F.col("n_te") + 1)).where(F.col("share") >= generalise)
     return stage_table(p.select("entity", "term", (F.col("share") >= remove).alias("removed")), "revealing")
 
 
@@ -187,7 +198,7 @@ def find(docs: DataFrame, carry: list[str] | None = None, text_col: str = "text"
     if told is None:
         return d.select(*[col(c) for c in carry], F.struct(col(t).alias("text"), col(spans).alias("base"), none.alias("terms"),
                                                           F.array().cast("array<string>").alias("removed")).alias(name))
-    mine = seen.select("row", F.explode("spans").alias("x")).select("row", F.concat_ws(":", "x.kind", F.lower(F.col("x.value"))).alias("entity")).distinct()
+    mine = seen.select("row", F.explode(_entities(F.col("spans"))).alias("entity"))
     hit = mine.join(_bounded(told.count())(told), "entity").groupBy(F.col("row").alias("r2")).agg(
         F.collect_set("term").alias("hit"), F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("gone"))
     hit = stage_table(hit, "hit_rows")

@@ -65,6 +65,21 @@ def test_copies_prove_nothing(make):
     assert all(not r["private"]["terms"] for r in find(make(rows)).values())
 
 
+def test_far_terms_pooled_values_and_low_counts(make):
+    """A name in the heading and an address in the footer; two different texts suffice, one text under two spellings doesn't."""
+    filler = " plain words" * 60
+    page = lambda name, i, value: f"{name} heads page p{i}x{filler} footer {value}"
+    rows = [(1, page("Zanzibaros", 1, "boss@firm.example.org")), (2, page("Zanzibaros", 2, "boss@firm.example.org")),
+            (3, page("Quirinalda", 3, "ann@a.example.org")), (4, page("Quirinalda", 4, "ann@b.example.net")),
+            (5, page("Ultramontus", 5, "joe@joint.example.org")), (6, page("Ultramontus", 6, "sue@joint.example.org")),
+            (7, page("Onceonly", 7, "once@one.example.org")), (8, page("ONCEONLY ", 7, "once@one.example.org"))]
+    rows += [(100 + i, f"heads page footer number {i}{filler}") for i in range(300)]
+    got = find(make(rows))
+    terms = {i: [x["value"] for x in got[i]["private"]["terms"]] for i, _ in rows}
+    assert [terms[i] for i in range(1, 9)] == [["Zanzibaros"]] * 2 + [["Quirinalda"]] * 2 + [["Ultramontus"]] * 2 + [[], []]
+    assert not any(terms[i] for i, _ in rows[8:]) and got[1]["clean"].startswith("[NAME] heads")
+
+
 def test_edges(make):
     docs = make([(1, None), (2, ""), (None, "x@y.zz"), (2, ""), (4, "call +1 (017) 555-7713 or 4111 1111 1111 1111")]).selectExpr("*", "1 AS t", "2 AS spans", "3 AS `__row`")
     got = find(docs)
