@@ -562,9 +562,9 @@ def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbt_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded random search, 3 folds from a key hash, mean CV MAE per trial."""
     from ledgerline.operators import models as ML
-    d = _ml_data(spark, sf_dir).where(~F.col("is_test"))
-    # a space of small models: the full one (200 to 2000 trees) takes hours on the driver's box
-    cands = ML.sample_space(3, 42, {"n_estimators": (5, 20, 5)})
+    from ledgerline.session import cut_lineage
+    d = cut_lineage(_ml_data(spark, sf_dir).where(~F.col("is_test")))  # written once, read by every fit
+    cands = ML.sample_space(3, 42)
     _, means = ML.tune(d, _FEATURES, _KEYS, "label", cands, folds=3, seed=42, parallelism=3)
     return means
 

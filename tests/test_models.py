@@ -60,3 +60,13 @@ def test_gbt_learns_a_known_signal_and_bagging_spreads(spark):
                              {"n_estimators": 10, "max_depth": 2, "learning_rate": 0.3}, members=3)
     ens = ML.predict_ensemble(fits, test).collect()
     assert all(r.pred_std >= 0 for r in ens) and any(r.pred_std > 0 for r in ens)
+
+
+def test_tune_query_searches_the_operators_space(spark, sf_dir, monkeypatch):
+    from ledgerline.catalog import gbt_tune
+    from ledgerline.operators import models as ML
+    seen = []
+    monkeypatch.setattr(ML, "tune", lambda d, f, k, label, candidates, **o: (seen.extend(candidates), (None, d))[1])
+    gbt_tune(spark, sf_dir)
+    lo, hi, step = ML.SPACE["n_estimators"]
+    assert len(seen) == 3 and all(lo <= c["n_estimators"] <= hi and (c["n_estimators"] - lo) % step == 0 for c in seen)
