@@ -101,8 +101,8 @@ def contained(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with the columns of ``docs``."""
-    bad = contained(docs, bench, id_col, text_col, **options).select(F.col("doc").alias("d2"), F.col("dkey").alias("k2")).distinct()
-    bad = stage_table(bad, "contaminated")
-    (key,) = fresh(docs, "dkey")
+    key, b = fresh(docs, "dkey", "bad")
+    bad = contained(docs, bench, id_col, text_col, **options).select(F.struct(F.col("doc").alias("doc"), F.col("dkey").alias("dkey")).alias(b))
+    bad = stage_table(bad.distinct(), "contaminated")
     d = docs.withColumn(key, F.xxhash64(col(text_col), F.lit(SEED)))
-    return d.join(_bounded(bad)(bad), col(id_col).eqNullSafe(F.col("d2")) & (col(key) == F.col("k2")), "left_anti").select(*[col(c) for c in docs.columns])
+    return d.join(_bounded(bad)(bad), col(id_col).eqNullSafe(col(b)["doc"]) & (col(key) == col(b)["dkey"]), "left_anti").select(*[col(c) for c in docs.columns])

@@ -188,7 +188,7 @@ def _quoted(terms: Column) -> Column:
 def find(docs: DataFrame, carry: list[str] | None = None, text_col: str = "text", **thresholds) -> DataFrame:
     """``carry`` (default: all columns) plus a struct ``private``: ``text``, ``base`` spans, ``terms`` spans and ``removed`` terms."""
     carry = docs.columns if carry is None else carry
-    row, t, spans, out = fresh(docs, "row", "t", "spans", "private")
+    row, t, spans, out, mark = fresh(docs, "row", "t", "spans", "private", "mark")
     d = stage_table(docs.select(*[col(c) for c in carry], F.coalesce(col(text_col), F.lit("")).alias(t), base_spans(col(text_col)).alias(spans))
                     .withColumn(row, F.monotonically_increasing_id()), "spans")
     seen = d.select(col(row).alias("row"), col(t).alias("t"), col(spans).alias("spans"))
@@ -199,14 +199,15 @@ def find(docs: DataFrame, carry: list[str] | None = None, text_col: str = "text"
         return d.select(*[col(c) for c in carry], F.struct(col(t).alias("text"), col(spans).alias("base"), none.alias("terms"),
                                                           F.array().cast("array<string>").alias("removed")).alias(name))
     mine = seen.select("row", F.explode(_entities(F.col("spans"))).alias("entity"))
-    hit = mine.join(_bounded(told.count())(told), "entity").groupBy(F.col("row").alias("r2")).agg(
+    hit = mine.join(_bounded(told.count())(told), "entity").groupBy("row").agg(
         F.collect_set("term").alias("hit"), F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("gone"))
-    hit = stage_table(hit, "hit_rows")
-    j = d.join(_bounded(hit.count())(hit), col(row) == F.col("r2"), "left")
+    hit = stage_table(hit.select(F.struct("row", "hit", "gone").alias(mark)), "hit_rows")
+    j = d.join(_bounded(hit.count())(hit), col(row) == col(mark)["row"], "left")
+    hits = col(mark)["hit"]
     free = lambda x: ~F.exists(col(spans), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    terms = F.when(F.col("hit").isNull(), none).otherwise(F.filter(located(col(t), _quoted(F.col("hit")), TERM), free))
+    terms = F.when(hits.isNull(), none).otherwise(F.filter(located(col(t), _quoted(hits), TERM), free))
     return j.select(*[col(c) for c in carry], F.struct(col(t).alias("text"), col(spans).alias("base"), terms.alias("terms"),
-                                                      F.coalesce("gone", F.array().cast("array<string>")).alias("removed")).alias(name))
+                                                      F.coalesce(col(mark)["gone"], F.array().cast("array<string>")).alias("removed")).alias(name))
 
 
 def sanitised(private: Column) -> Column:

@@ -91,7 +91,7 @@ def assign(docs: DataFrame, carry: list[str] | None = None, id_col: str = "doc_i
     """``carry`` (default: all columns) plus a struct ``placed``: size, text_crc32, shard and slot (gapless in the shard)."""
     spark = docs.sparkSession
     carry = docs.columns if carry is None else carry
-    me, row = fresh(docs, "placed", "row")
+    me, row, s = fresh(docs, "placed", "row", "spot")
     d = stage_table(docs.select(*[col(c) for c in carry], F.struct(
         (utf8_bytes(col(text_col)) + 8).alias("size"),
         F.crc32(F.coalesce(col(text_col), F.lit("")).cast("binary")).alias("crc"),
@@ -115,11 +115,11 @@ def assign(docs: DataFrame, carry: list[str] | None = None, id_col: str = "doc_i
     seg = spark.range(1).select(F.inline(F.from_json(F.lit(text), "array<struct<lo:long,hi:long,shard:int,base:long,s0:int,s1:int>>")))
     seg = seg.select("lo", "hi", "shard", "base", F.explode(F.sequence("s0", "s1")).alias("at"))
     spot = (ranked.join(F.broadcast(seg), "at").where("g BETWEEN lo AND hi")
-            .select(F.col("row").alias("r2"), F.struct("shard", (F.col("base") + F.col("g") - F.col("lo")).alias("slot")).alias("spot")))
-    j = d.join(spot, col(row) == F.col("r2"))
+            .select(F.struct("row", "shard", (F.col("base") + F.col("g") - F.col("lo")).alias("slot")).alias(s)))
+    j = d.join(spot, col(row) == col(s)["row"])
     return j.select(*[col(c) for c in carry], F.struct(
-        col(me)["size"].alias("size"), col(me)["crc"].alias("text_crc32"), F.col("spot")["shard"].alias("shard"),
-        F.col("spot")["slot"].alias("slot")).alias("placed" if "placed" not in carry else me))
+        col(me)["size"].alias("size"), col(me)["crc"].alias("text_crc32"), col(s)["shard"].alias("shard"),
+        col(s)["slot"].alias("slot")).alias("placed" if "placed" not in carry else me))
 
 
 def _with_slots(runs: list[dict], starts: list[tuple[int, int]]) -> list[dict]:
