@@ -83,6 +83,24 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def bundle(names: list[str]) -> Column:
+    """The columns ``names`` as one struct with field names of our own, so that no name of theirs meets one of ours."""
+    return F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(names)], F.lit(True).alias("z"))
+
+
+def unbundle(struct: Column, names: list[str]) -> list[Column]:
+    """The columns that ``bundle`` packed, under their own names."""
+    return [struct[f"c{i}"].alias(c) for i, c in enumerate(names)]
+
+
+def own_name(stem: str, names: list[str]) -> str:
+    """``stem``, or with underscores before it where ``names`` (compared without case) have it."""
+    taken = {c.lower() for c in names}
+    while stem.lower() in taken:
+        stem = "_" + stem
+    return stem
+
+
 _RECORD: ContextVar[list[str] | None] = ContextVar("record", default=None)
 
 
