@@ -553,52 +553,49 @@ def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4/M8: fit boosted trees on the train split, score the hold-out rows."""
     from ledgerline.operators import models as ML
     d = _ml_data(spark, sf_dir)
-    fit = ML.train_model(d.where(~F.col("is_test")), _FEATURES, "label",
-                         {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3})
+    fit = ML.train_model(d.where(~F.col("is_test")), _FEATURES, "label", ML.DEFAULTS)
     return ML.predict(fit, d.where(F.col("is_test"))).select(*_KEYS, "label", "prediction")
 
 
+#: Trials, folds and ensemble members of the recorded run.
+TRIALS, FOLDS, MEMBERS = 10, 5, 5
+
+
 @query
 def gbt_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded random search, 3 folds from a key hash, mean CV MAE per trial."""
+    """Seeded search of the whole space by successive halving; fold mean of every scored setting."""
     from ledgerline.operators import models as ML
-    from ledgerline.session import cut_lineage
-    d = cut_lineage(_ml_data(spark, sf_dir).where(~F.col("is_test")))  # written once, read by every fit
-    cands = ML.sample_space(3, 42)
-    _, means = ML.tune(d, _FEATURES, _KEYS, "label", cands, folds=3, seed=42, parallelism=3)
-    return means
+    from ledgerline.operators.tuning import tune
+    d = _ml_data(spark, sf_dir).where(~F.col("is_test"))
+    return tune(d, _FEATURES, _KEYS, "label", ML.sample_space(TRIALS, 42), FOLDS, 42)[1]
 
 
 @query
 def gbt_bagging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three bootstrap members (Poisson weights), mean ± std on hold-out rows."""
+    """Five bootstrap members (Poisson weights), mean ± std on hold-out rows."""
     from ledgerline.operators import models as ML
     d = _ml_data(spark, sf_dir)
-    fits = ML.train_ensemble(d.where(~F.col("is_test")), _FEATURES, _KEYS, "label",
-                             {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1}, members=3)
+    fits = ML.train_ensemble(d.where(~F.col("is_test")), _FEATURES, _KEYS, "label", ML.DEFAULTS, MEMBERS)
     return ML.predict_ensemble(fits, d.where(F.col("is_test"))).select(*_KEYS, "label", "pred_mean", "pred_std")
 
 
 @query
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean importance over three members, top 20."""
+    """Mean importance over five members, top 20."""
     from ledgerline.operators import models as ML
     d = _ml_data(spark, sf_dir).where(~F.col("is_test"))
-    fits = ML.train_ensemble(d, _FEATURES, _KEYS, "label",
-                             {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1}, members=3)
+    fits = ML.train_ensemble(d, _FEATURES, _KEYS, "label", ML.DEFAULTS, MEMBERS)
     return ML.feature_importance(spark, fits)
 
 
 @query
 def distil_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Student fitted on the blended label with a validation indicator;
-    hold-out predictions."""
-    from ledgerline.operators import models as ML
-    d = ML.distillation_target(_ml_data(spark, sf_dir), "y_kd", "teacher")
-    train = d.where(~F.col("is_test")).withColumn("is_val", F.col("holdout"))
-    fit, _ = ML.validation_curve(train, _FEATURES, "kd_label", "is_val",
-                                 {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1})
-    return ML.predict(fit, d.where(F.col("is_test"))).select(*_KEYS, "kd_label", "prediction")
+    """Student boosted on the mixed loss, the best round chosen on the validation rows;
+    hold-out predictions beside the label and the teacher."""
+    from ledgerline.operators.distillation import fit_student, predict_student
+    d = _ml_data(spark, sf_dir)
+    fit = fit_student(d.where(~F.col("is_test")), _FEATURES, "y_kd", "teacher", "holdout")
+    return predict_student(fit, d.where(F.col("is_test"))).select(*_KEYS, "y_kd", "teacher", "prediction")
 
 
 @query

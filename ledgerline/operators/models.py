@@ -1,4 +1,4 @@
-"""Boosted-tree regression with Spark ML.
+"""Boosted-tree regression with Spark ML.
 
 Training is distributed by Spark ML; nothing is collected except the
 small fitted models. Randomness is keyed: folds and bootstrap weights come
@@ -11,16 +11,17 @@ from __future__ import annotations
 import math
 import random
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.evaluation import KD_ALPHA
+from ledgerline.session import cut_lineage
 
 # Settings without any parameters (the boosting library's own), what given parameters are filled
 # up with, and the tuning space.
@@ -80,32 +81,6 @@ def sample_space(trials: int, seed: int = 42, space: dict | None = None) -> list
     return out
 
 
-def tune(df: DataFrame, features: list[str], keys: list[str], label: str = "label",
-         candidates: list[dict] | None = None, folds: int = 5, seed: int = 42,
-         parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """K-fold MAE per candidate (folds from a key hash); returns the best and all means."""
-    candidates = candidates or sample_space(10, seed)
-    data = fold_column(df, keys, folds, seed)
-    asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    est = gbt(None, seed, label)
-    grid = []
-    for c in candidates:
-        b = ParamGridBuilder()
-        b.baseOn({est.maxIter: int(c["n_estimators"]), est.stepSize: float(c["learning_rate"]),
-                  est.maxDepth: int(c["max_depth"]), est.subsamplingRate: float(c["subsample"])})
-        grid.extend(b.build())
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mae")
-    cv = CrossValidator(estimator=Pipeline(stages=[asm, est]), estimatorParamMaps=grid, evaluator=ev,
-                        foldCol="fold", parallelism=parallelism, seed=seed)
-    m = cv.fit(data)
-    rows = [(i, int(c["n_estimators"]), float(c["learning_rate"]), int(c["max_depth"]), float(c["subsample"]),
-             float(mae)) for i, (c, mae) in enumerate(zip(candidates, m.avgMetrics))]
-    means = df.sparkSession.createDataFrame(
-        rows, "trial int, n_estimators int, learning_rate double, max_depth int, subsample double, cv_mae double")
-    best = candidates[min(range(len(candidates)), key=lambda i: m.avgMetrics[i])]
-    return best, means
-
-
 def poisson_weight(keys: list[str], seed: int) -> F.Column:
     """Bootstrap multiplicity ~ Poisson(1) from a key hash (stable under repartition).
 
@@ -124,13 +99,21 @@ def poisson_weight(keys: list[str], seed: int) -> F.Column:
 
 def train_ensemble(df: DataFrame, features: list[str], keys: list[str], label: str = "label",
                    params: dict | None = None, members: int = 5, seed: int = 42,
-                   bootstrap: bool = True) -> list[FitResult]:
-    """M6: bagging; member i uses seed + i and its own Poisson(1) row weights."""
-    out = []
-    for i in range(members):
-        d = df.withColumn("__w", poisson_weight(keys, seed + i)) if bootstrap else df
-        out.append(train_model(d, features, label, params, seed + i, "__w" if bootstrap else None))
-    return out
+                   bootstrap: bool = True, parallelism: int | None = None) -> list[FitResult]:
+    """M6: bagging; member i uses seed + i and its own Poisson(1) row weights.
+
+    Features and weights are written once; the members are fitted at the same
+    time (``parallelism`` of them, all by default), so the short jobs of one
+    fill the cores that the others leave idle."""
+    weights = {f"__w{i}": poisson_weight(keys, seed + i) for i in range(members)} if bootstrap else {}
+    d = cut_lineage(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*features, label])],
+                              *[w.alias(c) for c, w in weights.items()]), "ensemble")
+
+    def fit(i: int) -> FitResult:
+        return train_model(d, features, label, params, seed + i, f"__w{i}" if bootstrap else None)
+
+    with ThreadPool(parallelism or members) as pool:
+        return pool.map(inheritable_thread_target(df.sparkSession)(fit), range(members))
 
 
 def predict_ensemble(fits: list[FitResult], df: DataFrame) -> DataFrame:

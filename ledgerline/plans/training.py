@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import evaluation as E
 from ledgerline.operators import features as X
 from ledgerline.operators import models as ML
+from ledgerline.operators.tuning import tune
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
@@ -38,8 +39,7 @@ def train_and_report(spark: SparkSession, sheet: DataFrame, out_dir: str, test_s
 
     params = None
     if tune_trials > 0:
-        params, _ = ML.tune(train, cols, [X.TICKER], "rev_multiple", ML.sample_space(tune_trials, seed),
-                            folds=cv_folds, seed=seed)
+        params, _ = tune(train, cols, [X.TICKER], "rev_multiple", ML.sample_space(tune_trials, seed), cv_folds, seed)
     if ensemble > 1:
         fits = ML.train_ensemble(train, cols, [X.TICKER], "rev_multiple", params, ensemble, seed, bootstrap)
         scored = ML.predict_ensemble(fits, test).withColumnRenamed("pred_mean", "prediction")
