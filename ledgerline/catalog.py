@@ -400,25 +400,28 @@ def parse_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def valid_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of parsable cells per candidate column."""
+    """Share of parsable cells per candidate column, from the one-scan profile."""
     from ledgerline.operators import features as X
-    parsed, cands = _sheet_parsed(spark, sf_dir)
-    return X.valid_ratios(parsed, cands)
+    df = X.with_target(X.normalise_headers(D.part_sheet(spark, sf_dir)))
+    seen = X.profile(df, X.candidate_columns(df))
+    return spark.createDataFrame([(c, p.valid_ratio) for c, p in seen.items()], "feature string, valid_ratio double")
 
 
-def _kept_columns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+def _kept_columns(spark: SparkSession, sf_dir: str):
+    """(parsed columns that are valid often enough, written once; their names; the profile of all candidates)."""
     from ledgerline.operators import features as X
-    parsed, cands = _sheet_parsed(spark, sf_dir)
-    counts = parsed.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(c) for c in cands]).first()
-    n = counts["__n"]
-    return parsed, [c for c in cands if n and counts[c] / n >= X.VALID_RATIO]
+    from ledgerline.session import cut_lineage
+    df = X.with_target(X.normalise_headers(D.part_sheet(spark, sf_dir)))
+    seen = X.profile(df, X.candidate_columns(df))
+    kept = [c for c, p in seen.items() if p.valid_ratio >= X.VALID_RATIO]
+    return cut_lineage(X.parse_columns(df, {c: seen[c].kind for c in kept}, [X.TICKER]), "parsed"), kept, seen
 
 
 @query
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept columns with NULLs filled by the column median (long form)."""
     from ledgerline.operators import features as X
-    parsed, kept = _kept_columns(spark, sf_dir)
+    parsed, kept, _ = _kept_columns(spark, sf_dir)
     return _long_features(X.impute(parsed, X.fit_medians(parsed, kept), kept), kept)
 
 
@@ -426,8 +429,10 @@ def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 def constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample std of each imputed column (≤ 1e-12 means constant, dropped)."""
     from ledgerline.operators import features as X
-    parsed, kept = _kept_columns(spark, sf_dir)
-    stds = X.column_stddevs(X.impute(parsed, X.fit_medians(parsed, kept), kept), kept)
+    parsed, kept, seen = _kept_columns(spark, sf_dir)
+    fill = X.fit_medians(parsed, kept).first()
+    rows = [(c, seen[c].imputed_std(fill[c])) for c in kept]  # a row a column
+    stds = spark.createDataFrame(rows, "feature string, std double")
     return stds.withColumn("is_constant", F.coalesce(F.col("std") <= X.CONSTANT_STD, F.lit(True)))
 
 

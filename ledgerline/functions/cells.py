@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import finite_or_null, strip
+from ledgerline.functions.scalars import bound, strip
 
 ColumnOrName = Column | str
 
@@ -23,18 +23,17 @@ _NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _NON_FINITE = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan"]
 
 
-def _c(x: ColumnOrName) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def _missing(stripped: Column) -> Column:
+    return stripped.isNull() | stripped.isin(MISSING_TOKENS)
 
 
 def is_missing(c: ColumnOrName) -> Column:
     """NULL, or trimmed text in the missing-token list (F2)."""
-    x = _c(c).cast("string")
-    return x.isNull() | strip(x).isin(MISSING_TOKENS)
+    return _missing(strip(c))
 
 
 def _strip_digit_underscores(t: Column) -> Column:
-    return F.regexp_replace(t, r"(?<=\d)_(?=\d)", "")
+    return F.when(t.contains("_"), F.regexp_replace(t, r"(?<=\d)_(?=\d)", "")).otherwise(t)
 
 
 def py_float_parsed(c: ColumnOrName) -> Column:
@@ -43,29 +42,32 @@ def py_float_parsed(c: ColumnOrName) -> Column:
     return F.coalesce(t.rlike(_NUMBER_RE) | F.lower(t).isin(_NON_FINITE), F.lit(False))
 
 
+def _number(stripped: Column) -> Column:
+    """Finite number per the float rule, else NULL; a number too large for a double is NULL too."""
+    cast = bound(_strip_digit_underscores(stripped), lambda t: F.when(t.rlike(_NUMBER_RE), t).try_cast("double"))
+    return F.get(F.filter(F.array(cast), lambda v: F.abs(v) < F.lit(float("inf"))), F.lit(0))
+
+
 def py_float(c: ColumnOrName) -> Column:
     """Finite number per Python's ``float()`` text rule, else NULL."""
-    t = _strip_digit_underscores(strip(c))
-    return finite_or_null(F.when(t.rlike(_NUMBER_RE), t.try_cast("double")))
+    return bound(strip(c), _number)
 
 
 def parse_money(c: ColumnOrName) -> Column:
     """Money cell: strip ``$`` and ``,``, then the float rule."""
-    x = _c(c).cast("string")
-    return F.when(~is_missing(x), py_float(F.regexp_replace(x, r"[$,]", "")))
+    return bound(strip(c), lambda x: F.when(~_missing(x), py_float(F.translate(x, "$,", ""))))
 
 
 def parse_percent(c: ColumnOrName) -> Column:
     """Percent cell → fraction: strip one trailing ``%`` and commas; |v| > 2 is read as percent."""
-    x = strip(c)
-    v = py_float(F.regexp_replace(F.regexp_replace(x, "%$", ""), ",", ""))
-    return F.when(~is_missing(_c(c)), F.when(F.abs(v) > 2, v / F.lit(100.0)).otherwise(v))
+    number = lambda x: py_float(F.translate(F.when(x.endswith("%"), F.left(x, F.length(x) - 1)).otherwise(x), ",", ""))
+    share = lambda x: bound(number(x), lambda v: F.when(F.abs(v) > 2, v / F.lit(100.0)).otherwise(v))
+    return bound(strip(c), lambda x: F.when(~_missing(x), share(x)))
 
 
 def to_float(c: ColumnOrName) -> Column:
     """Generic cell: trim + float rule; commas are not stripped."""
-    x = _c(c).cast("string")
-    return F.when(~is_missing(x), py_float(x))
+    return bound(strip(c), lambda x: F.when(~_missing(x), _number(x)))
 
 
 # Name hints choosing the parser of a column.

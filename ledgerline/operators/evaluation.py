@@ -4,8 +4,6 @@ M8–M10). One aggregate pass per metric set; per-row work stays columnar.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +17,10 @@ def _d(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-#: Distinct values between two sketch bounds that are fetched to read the ranks; wider bands are sketched again.
-BAND_VALUES = 20_000
+#: Relative rank error of the sketches is one over this.
+ACCURACY = 10_000
+#: Rows between two sketch bounds that the exact pass may hold as distinct values; wider bands are sketched again.
+BAND_ROWS = 1_000_000
 
 
 def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> list[float | None]:
@@ -29,81 +29,66 @@ def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float]) -> lis
 
 
 def exact_quantile_table(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
-    """Exact linearly interpolated quantiles of several columns, without sorting any.
-
-    A sketch brackets every wanted rank; one aggregate counts the rows below
-    each bracket and inside it (so a bracket that misses is seen and widened);
-    the distinct values inside, with their counts, give the exact order
-    statistics. A bracket with more than ``BAND_VALUES`` distinct values is
-    sketched again inside. NULLs are left out.
-    Rule: position ``p·(n−1)``, ``lo + (hi − lo)·frac`` (numpy "linear").
+    """Exact linearly interpolated quantiles of several columns in two scans, without sorting any.
+
+    The first scan counts each column and brackets every wanted rank by a
+    mergeable quantile sketch. The second clamps the column to each bracket,
+    which leaves the rank where it is, and reads the order statistics
+    there; distinct values are held inside brackets only, some ``4 / ACCURACY``
+    of the rows. Counts beside each bracket prove it (one that misses is opened
+    to the whole column). Brackets of more than ``BAND_ROWS`` rows are
+    sketched again before, so tables above 2.5 * 10^9 rows take two more scans.
+    NULLs are left out. Rule: position ``p·(n−1)``, ``lo + (hi − lo)·frac`` (numpy "linear").
     """
     cols = [c for c, ps in wanted.items() if ps]
+    out: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in wanted.items()}
     if not cols:
-        return {c: [] for c in wanted}
+        return out
     q = lambda c: F.col(f"`{c}`").cast("double")
-    sizes = df.agg(*[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.struct(F.min(q(c)), F.max(q(c))).alias(f"r{i}") for i, c in enumerate(cols)]).first()
-    # open brackets: (column, rank) -> [low, high, rows below low]
-    todo = {}
-    for i, c in enumerate(cols):
-        for p in wanted[c] if sizes[f"n{i}"] else ():
-            x = p * (sizes[f"n{i}"] - 1)
-            for r in {int(x), min(int(x) + 1, sizes[f"n{i}"] - 1)}:
-                todo[c, r] = [sizes[f"r{i}"][0], sizes[f"r{i}"][1], 0, sizes[f"n{i}"]]
-    found: dict[tuple[str, int], float] = {}
-    while todo:
-        spans = sorted({(c, lo, hi) for (c, _), (lo, hi, _, _) in todo.items()})
-        inside = lambda c, lo, hi: q(c).between(F.lit(lo), F.lit(hi))
-        distinct = df.agg(*[F.approx_count_distinct(F.when(inside(*s), q(s[0]))).alias(f"d{k}") for k, s in enumerate(spans)]).first()
-        small = [s for k, s in enumerate(spans) if s[1] == s[2] or distinct[f"d{k}"] <= BAND_VALUES]
-        if small:
-            each = F.array(*[F.when(inside(*s), F.struct(F.lit(k).alias("k"), q(s[0]).alias("v"))) for k, s in enumerate(small)])
-            band = df.select(F.explode(F.array_compact(each)).alias("x")).groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("n"))
-            at: dict[int, list] = {}
-            for r in band.orderBy("k", "v").collect():
-                at.setdefault(r["k"], []).append((r["v"], r["n"]))
-            for (c, rank), (lo, hi, below, _) in list(todo.items()):
-                if (c, lo, hi) in small:
-                    for v, n in at[small.index((c, lo, hi))]:
-                        below += n
-                        if below > rank:
-                            found[c, rank] = v
-                            break
-                    del todo[c, rank]
-        if todo:
-            keys = list(todo)
-            near = []
-            for c, rank in keys:
-                lo, hi, below, n = todo[c, rank]
-                share = (rank - below) / max(1, n - 1)
-                near.append(F.percentile_approx(F.when(inside(c, lo, hi), q(c)), [max(0.0, share - 5e-4), min(1.0, share + 5e-4)], 20000))
-            got = df.agg(*[x.alias(f"b{k}") for k, x in enumerate(near)]).first()
-            cut = {k: tuple(got[f"b{i}"]) for i, k in enumerate(keys)}
-            seen = df.agg(*[x for i, (c, _) in enumerate(keys) for x in (
-                F.count_if(q(c) < F.lit(cut[keys[i]][0])).alias(f"l{i}"), F.count_if(inside(c, *cut[keys[i]])).alias(f"i{i}"))]).first()
-            for i, k in enumerate(keys):
-                lo, hi, below, n = todo[k]
-                a, b = cut[k]
-                if seen[f"l{i}"] > k[1]:  # the rank lies below the new bracket
-                    a, b, new = lo, a, (below, seen[f"l{i}"] + seen[f"i{i}"] - below)
-                elif seen[f"l{i}"] + seen[f"i{i}"] <= k[1]:  # above it
-                    a, b = b, hi
-                    new = tuple(df.agg(F.count_if(q(k[0]) < F.lit(a)), F.count_if(inside(k[0], a, b))).first())
-                else:
-                    new = (seen[f"l{i}"], seen[f"i{i}"])
-                if (a, b) == (lo, hi):  # the sketch can't narrow it: halve the values
-                    mid = lo + (hi - lo) / 2
-                    low = df.agg(F.count_if(q(k[0]) <= F.lit(mid))).first()[0]
-                    a, b, new = (lo, mid, (below, low - below)) if low > k[1] else (math.nextafter(mid, hi), hi, (low, n - (low - below)))
-                todo[k] = [a, b, *new]
-    out: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in wanted.items()}
+    margin = 2 / ACCURACY
+    near = lambda v, ps: F.percentile_approx(v, [x for p in ps for x in (max(0.0, p - margin), min(1.0, p + margin))], ACCURACY)
+    first = df.agg(*[F.struct(F.count(q(c)).alias("n"), F.min(q(c)).alias("lo"), F.max(q(c)).alias("hi"),
+                              near(q(c), wanted[c]).alias("near")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    bands = {}  # (column, number of the probability) -> [low, high, rows inside at most]
+    size = {}
     for i, c in enumerate(cols):
-        for j, p in enumerate(wanted[c]):
-            if sizes[f"n{i}"]:
-                x = p * (sizes[f"n{i}"] - 1)
-                a, b, frac = found[c, int(x)], found[c, min(int(x) + 1, sizes[f"n{i}"] - 1)], x - int(x)
-                out[c][j] = a if frac == 0 else a + (b - a) * frac
+        s = first[f"c{i}"]
+        size[c] = s["n"]
+        for j in range(len(wanted[c]) if s["n"] else 0):
+            small = s["n"] <= ACCURACY  # few rows: the whole column is a bracket
+            bands[c, j] = [s["lo"], s["hi"], s["n"]] if small else [s["near"][2 * j], s["near"][2 * j + 1], 4 * margin * s["n"]]
+    place = {k: wanted[k[0]][k[1]] * (size[k[0]] - 1) for k in bands}
+    while wide := [k for k, (lo, hi, rows) in bands.items() if rows > BAND_ROWS and lo < hi]:
+        inside = lambda k: q(k[0]).between(F.lit(bands[k][0]), F.lit(bands[k][1]))
+        r = df.agg(*[F.struct(F.count_if(q(k[0]) < F.lit(bands[k][0])).alias("below"), F.count_if(inside(k)).alias("n")).alias(f"b{i}")
+                     for i, k in enumerate(wide)]).first()
+        share = {k: (place[k] - r[f"b{i}"]["below"]) / max(1, r[f"b{i}"]["n"] - 1) for i, k in enumerate(wide)}
+        got = df.agg(*[near(F.when(inside(k), q(k[0])), [min(1.0, max(0.0, share[k]))]).alias(f"b{i}") for i, k in enumerate(wide)]).first()
+        for i, k in enumerate(wide):
+            (lo, hi), n = got[f"b{i}"], r[f"b{i}"]["n"]
+            # a bracket that no longer narrows has few distinct values
+            bands[k] = [lo, hi, 0 if [lo, hi] == bands[k][:2] else min(bands[k][2] / 2, 4 * margin * n)]
+    found: dict[tuple[str, int], tuple[float, float]] = {}
+    while todo := [k for k in bands if k not in found]:
+        held, exact = [], []
+        for i, k in enumerate(todo):
+            lo, hi, _ = bands[k]
+            held += [q(k[0]).alias(f"v{i}"), F.when(q(k[0]).isNotNull(), F.greatest(F.least(q(k[0]), F.lit(hi)), F.lit(lo))).alias(f"h{i}")]
+            ranks = [min(int(place[k]) + x, size[k[0]] - 1) for x in (0, 1)]
+            # the value of 0-based rank r: the first one whose share of rows reaches (r + 1/2) / n
+            disc = [F.expr(f"percentile_disc({(r + 0.5) / size[k[0]]!r}D) WITHIN GROUP (ORDER BY h{i})") for r in ranks]
+            exact.append(F.struct(F.count_if(F.col(f"v{i}") < F.lit(lo)).alias("below"), F.count_if(F.col(f"v{i}") <= F.lit(hi)).alias("upto"),
+                                  disc[0].alias("a"), disc[1].alias("b")).alias(f"e{i}"))
+        r = df.select(*held).agg(*exact).first()
+        for i, k in enumerate(todo):
+            e, c = r[f"e{i}"], k[0]
+            if e["below"] <= int(place[k]) and min(int(place[k]) + 1, size[c] - 1) < e["upto"]:
+                found[k] = (e["a"], e["b"])
+            else:
+                bands[k] = [first[f"c{cols.index(c)}"]["lo"], first[f"c{cols.index(c)}"]["hi"], size[c]]
+    for (c, j), (a, b) in found.items():
+        frac = place[c, j] - int(place[c, j])
+        out[c][j] = a if frac == 0 else a + (b - a) * frac
     return out
 
 

@@ -45,15 +45,70 @@ def test_metrics_leave_out_rows_without_a_prediction(spark):
     assert (m["n_test"], m["mae"]) == (2, 0.5)
 
 
-@pytest.mark.parametrize("few", [3, 20000])
-def test_quantiles_are_exact_whatever_the_bracket(spark, monkeypatch, few):
-    monkeypatch.setattr(E, "BAND_VALUES", few)
+@pytest.mark.parametrize(("accuracy", "band"), [(10_000, 10 ** 6), (100, 10 ** 6), (100, 5)])
+def test_quantiles_are_exact_whatever_the_bracket(spark, monkeypatch, accuracy, band):
+    """Small tables whole, sketch brackets, and brackets that are sketched again; ties, heavy values and NULLs."""
+    monkeypatch.setattr(E, "ACCURACY", accuracy)
+    monkeypatch.setattr(E, "BAND_ROWS", band)
     rnd = np.random.default_rng(3)
-    a, b = rnd.normal(size=2000), np.repeat([1.0, 2.0], 1000)
-    df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b, strict=True)], "a double, b double, c double")
-    probs = [0.0, 0.05, 0.5, 0.901, 1.0]
-    got = E.exact_quantile_table(df, {"a": probs, "b": probs, "c": [0.5]})
+    a, b, e = rnd.normal(size=3000), np.repeat([1.0, 2.0], 1500), np.where(rnd.random(3000) < .9, 0.0, rnd.normal(size=3000))
+    df = spark.createDataFrame([(float(x), float(y), None, float(z) if i % 3 else None) for i, (x, y, z) in enumerate(zip(a, b, e, strict=True))],
+                               "a double, b double, c double, e double").repartition(5)
+    probs = [0.0, 0.05, 0.4999, 0.5, 0.901, 1.0]
+    got = E.exact_quantile_table(df, {"a": probs, "b": probs, "c": [0.5], "e": probs})
     assert np.allclose(got["a"], np.quantile(a, probs), rtol=1e-12) and np.allclose(got["b"], np.quantile(b, probs)) and got["c"] == [None]
+    assert np.allclose(got["e"], np.quantile(e[np.arange(3000) % 3 > 0], probs), rtol=1e-12)
+
+
+def test_quantiles_take_two_scans(spark, monkeypatch):
+    """However many columns and probabilities are wanted."""
+    df = spark.range(30_000).select(*[F.rand(i).alias(f"c{i}") for i in range(6)])
+    scans = []
+    agg = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *x: (scans.append(1), agg(self, *x))[1])
+    E.exact_quantile_table(df, {f"c{i}": [0.05, 0.5, 0.95] for i in range(6)})
+    assert len(scans) == 2
+
+
+def test_a_missed_bracket_is_opened(spark, monkeypatch):
+    """Counts beside the bracket prove it: a sketch that is off costs a scan, not the result."""
+    monkeypatch.setattr(E, "ACCURACY", 100)
+    monkeypatch.setattr(E.F, "percentile_approx", lambda v, ps, n: F.array(*[F.lit(-5.0) for _ in ps]) if isinstance(ps, list) else None)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    monkeypatch.setattr(E.F, "percentile_approx", lambda v, ps, n: F.array(*[F.max(v) - 3 for _ in ps]))
+    assert E.exact_quantiles(df, "x", [0.25, 0.5]) == [249.75, 499.5]
+
+
+def test_profile_equals_the_separate_passes(spark):
+    """Parser, valid share and the deviation of the imputed column, from one scan, against parsing and imputing."""
+    rows = [("$1,000.5", "3%", "7", "1_0"), ("2", "–", "$8", "x"), (None, "250%", "9", "1e999"), ("-4e2", "0.5", "N/A", "inf"), ("$ 5", " 1 ", "9", "2.")]
+    df = spark.createDataFrame(rows, "`Total Debt` string, `YoY Growth%` string, Staff string, Rank string")
+    seen = X.profile(df, df.columns)
+    assert {c: p.kind for c, p in seen.items()} == X.parser_plan(df, df.columns) == {
+        "Total Debt": "money", "YoY Growth%": "percent", "Staff": "money", "Rank": "float"}
+    parsed = X.parse_columns(df, {c: p.kind for c, p in seen.items()}, [])
+    ratios = {r["feature"]: r["valid_ratio"] for r in X.valid_ratios(parsed, df.columns).collect()}
+    medians = X.fit_medians(parsed, df.columns)
+    stds = {r["feature"]: r["std"] for r in X.column_stddevs(X.impute(parsed, medians, df.columns), df.columns).collect()}
+    for c, p in seen.items():
+        assert p.valid_ratio == ratios[c] and abs(p.imputed_std(medians.first()[c]) - stds[c]) < 1e-9
+
+
+def test_split_ranks_only_the_cut_date(spark, monkeypatch):
+    """Equal to sorting everything, for every cut: rows that share a date, microseconds apart, repeat, or are no date."""
+    rnd = np.random.default_rng(6)
+    days = [f"2024-01-{1 + d:02d}" for d in rnd.integers(0, 6, 30)] + ["2024-01-03 10:00:00.000001", "2024-01-03 10:00:00.000002", "2024-01-03 10:00:01", "bad", "bad", "1969-12-31 23:59:59.5"]
+    rows = [(d, int(k)) for d, k in zip(days, rnd.integers(0, 9, len(days)))] + [(None, 1), ("2024-01-02", 4), ("2024-01-02", 4)]
+    df = spark.createDataFrame(rows, "d string, k int").repartition(3)
+    ranked = []
+    rank = X.global_rank
+    monkeypatch.setattr(X, "global_rank", lambda d, *a: (ranked.append(d.count()), rank(d, *a))[1])
+    present = sorted((r for r in rows if r[0]), key=lambda r: (r[0] == "bad", r[0] if r[0] != "bad" else "", r[1]))
+    for frac in (0.0, 0.1, 0.35, 0.5, 0.65, 0.97, 1.0):
+        cut = int(len(present) * (1 - frac))
+        got = sorted((r.d, r.k, r.split) for r in X.chronological_split(df, "d", ["k"], frac).collect())
+        assert got == sorted((*r, "train" if i < cut else "val") for i, r in enumerate(present)), frac
+    assert max(ranked) < 15
 
 
 def test_text_dates_are_parsed_and_bad_ones_sort_last(spark):
