@@ -446,7 +446,8 @@ def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leakage-safe numeric columns of the snapshot, median-imputed
     and standardised with population std (std 0 → 1)."""
     from ledgerline.operators import features as X
-    snap = _snapshot(spark, sf_dir)
+    from ledgerline.session import cut_lineage
+    snap = cut_lineage(_snapshot(spark, sf_dir), "snapshot")  # read by the medians, the scaler and the result
     cols = X.leakage_safe_columns(snap)
     med = X.fit_medians(snap, cols)
     scaler = X.fit_scaler(snap, cols, med)

@@ -11,63 +11,65 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import bound, strip
+from ledgerline.functions.scalars import STRIPPED, strip
 
 ColumnOrName = Column | str
 
 # Cell texts read as missing (the en dash is U+2013).
 MISSING_TOKENS = ["", "N/A", "NA", "na", "null", "None", "–", "-"]
 
-# Fixed value: the shape of a finite decimal number accepted by float().
-_NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Fixed value: the shape of a finite decimal number accepted by float(), single underscores between digits included.
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+#: A character class of what ``str.strip`` removes.
+_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in STRIPPED) + "]*"
 _NON_FINITE = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan"]
 
 
-def _missing(stripped: Column) -> Column:
-    return stripped.isNull() | stripped.isin(MISSING_TOKENS)
-
-
 def is_missing(c: ColumnOrName) -> Column:
     """NULL, or trimmed text in the missing-token list (F2)."""
-    return _missing(strip(c))
+    t = strip(c)
+    return t.isNull() | t.isin(MISSING_TOKENS)
 
 
-def _strip_digit_underscores(t: Column) -> Column:
-    return F.when(t.contains("_"), F.regexp_replace(t, r"(?<=\d)_(?=\d)", "")).otherwise(t)
+def _text(c: ColumnOrName) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
 def py_float_parsed(c: ColumnOrName) -> Column:
     """TRUE when Python's ``float()`` would accept the text (non-finite included)."""
-    t = _strip_digit_underscores(strip(c))
-    return F.coalesce(t.rlike(_NUMBER_RE) | F.lower(t).isin(_NON_FINITE), F.lit(False))
+    t = _text(c)
+    return F.coalesce(t.rlike(rf"^{_SPACE}{_NUMBER}{_SPACE}\z") | F.lower(strip(t)).isin(_NON_FINITE), F.lit(False))
+
 
+def _finite(text: Column) -> Column:
+    """An array of the number that the text is, empty if it is none or too large for a double.
 
-def _number(stripped: Column) -> Column:
-    """Finite number per the float rule, else NULL; a number too large for a double is NULL too."""
-    cast = bound(_strip_digit_underscores(stripped), lambda t: F.when(t.rlike(_NUMBER_RE), t).try_cast("double"))
-    return F.get(F.filter(F.array(cast), lambda v: F.abs(v) < F.lit(float("inf"))), F.lit(0))
+    One match strips, checks and cuts out the number, so that the text is read
+    once; no missing token has the shape of a number."""
+    number = F.regexp_extract(text, rf"^{_SPACE}({_NUMBER}){_SPACE}\z", 1)
+    return F.filter(F.array(F.translate(number, "_", "").try_cast("double")), lambda v: F.abs(v) < F.lit(float("inf")))
 
 
 def py_float(c: ColumnOrName) -> Column:
     """Finite number per Python's ``float()`` text rule, else NULL."""
-    return bound(strip(c), _number)
+    return F.get(_finite(_text(c)), F.lit(0))
 
 
 def parse_money(c: ColumnOrName) -> Column:
     """Money cell: strip ``$`` and ``,``, then the float rule."""
-    return bound(strip(c), lambda x: F.when(~_missing(x), py_float(F.translate(x, "$,", ""))))
+    return py_float(F.translate(_text(c), "$,", ""))
 
 
 def parse_percent(c: ColumnOrName) -> Column:
     """Percent cell → fraction: strip one trailing ``%`` and commas; |v| > 2 is read as percent."""
-    number = lambda x: py_float(F.translate(F.when(x.endswith("%"), F.left(x, F.length(x) - 1)).otherwise(x), ",", ""))
-    share = lambda x: bound(number(x), lambda v: F.when(F.abs(v) > 2, v / F.lit(100.0)).otherwise(v))
-    return bound(strip(c), lambda x: F.when(~_missing(x), share(x)))
+    t = F.translate(F.regexp_replace(_text(c), rf"%{_SPACE}\z", ""), ",", "")
+    return F.get(F.transform(_finite(t), lambda v: F.when(F.abs(v) > 2, v / F.lit(100.0)).otherwise(v)), F.lit(0))
 
 
 def to_float(c: ColumnOrName) -> Column:
     """Generic cell: trim + float rule; commas are not stripped."""
-    return bound(strip(c), lambda x: F.when(~_missing(x), _number(x)))
+    return py_float(c)
 
 
 # Name hints choosing the parser of a column.

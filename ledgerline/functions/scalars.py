@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,11 +46,6 @@ def finite_or_null(c: ColumnOrName) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, computed once however often ``body`` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def try_int(c: ColumnOrName) -> Column:
     """Integer or NULL; accepts integral text and integral numbers."""
     x = _c(c)
