@@ -7,6 +7,7 @@ matching DuckDB text for the oracle check is in ``ledgerline.oracles``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -141,6 +142,18 @@ def scale_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_entries(raw).select("l_orderkey", "l_linenumber", "val", "scale_applied")
 
 
+@query
+def facts_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company-facts documents, landed as text and read back, to the long fact frame."""
+    from ledgerline.session import scratch_table_path
+    from ledgerline.sources import facts as FA
+    path = scratch_table_path(spark, f"landed-{uuid.uuid4().hex}")
+    D.facts_documents(spark, sf_dir).write.text(path)
+    f = FA.entries_frame(FA.variant_entries(FA.read_fact_texts(spark, path)))
+    return f.select("cik", "namespace", "tag", "unit", F.col("end").alias("period_end"), "form", "fy", "fp", "qtrs",
+                    "val", "scale_applied")
+
+
 @query
 def report_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report date / fiscal year / period per company, with fallbacks."""

@@ -243,6 +243,14 @@ FROM facts f JOIN mm ON f.namespace = mm.namespace AND f.tag = mm.tag AND f.unit
 GROUP BY mm.metric, f.tag, f.unit
 """
 
+ORACLES["facts_scan"] = with_ctes(AF) + """
+SELECT cik, namespace, tag, unit, "end" AS period_end, form, fy, fp, qtrs,
+       CAST(val AS DOUBLE) * CASE WHEN fp = 'Q1' THEN 1000.0 ELSE 1.0 END AS val,
+       CASE WHEN fp = 'Q1' THEN 3 ELSE 0 END AS scale_applied
+FROM (SELECT * FROM facts
+      UNION ALL SELECT * REPLACE ('ifrs-full' AS namespace) FROM facts WHERE tag = 'NetIncomeLoss')
+"""
+
 ORACLES["scale_normalise"] = """
 WITH raw AS (
   SELECT l_orderkey, l_linenumber,

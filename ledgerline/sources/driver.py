@@ -125,6 +125,35 @@ def lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def facts_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem_facts`` as landed company-facts documents (``value``), one JSON text a company.
+
+    Besides the facts they hold what a scan must cope with: first quarters in
+    thousands (scale ``"3"``), second quarters with a twin of one segment, third
+    quarters with a twin marked dimensional, annual values with a twin that is
+    no number, an entry that is no object, units that are a text, the net
+    income once more under a namespace of its own, and a line that is no JSON.
+    """
+    f = lineitem_facts(spark, sf_dir)
+    text = lambda **more: F.to_json(F.struct(
+        *[c.alias(n) for n, c in {"val": F.col("val").cast("string"), "end": F.col("end").cast("string"), "form": F.col("form"),
+                                  "fy": F.col("fy"), "fp": F.col("fp"), "qtrs": F.col("qtrs"), **more}.items()]))
+    twin = (F.when(F.col("fp") == "Q2", text(segment=F.struct(F.lit("east").alias("region"))))
+            .when(F.col("fp") == "Q3", text(dimensional=F.lit(True)))
+            .when(F.col("fp") == "FY", text(val=F.lit("n/a"))).otherwise("17"))
+    own = F.when(F.col("fp") == "Q1", text(scale=F.lit("3"))).otherwise(text())
+    f = f.unionByName(f.where(F.col("tag") == S.NET_INCOME_TAGS[0]).withColumn("namespace", F.lit("ifrs-full")))
+    quoted = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('":'))  # noqa: E731 (names of tags and units need no escapes)
+    joined = lambda c: F.array_join(F.array_sort(F.collect_list(c)), ",")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", F.concat_ws(",", own, twin).alias("t"))))
+    units = f.groupBy("cik", "namespace", "tag", "unit").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), ",").alias("t"))
+    tags = units.groupBy("cik", "namespace", "tag").agg(joined(F.concat(quoted("unit"), F.lit("["), "t", F.lit("]"))).alias("t"))
+    spaces = tags.groupBy("cik", "namespace").agg(joined(F.concat(quoted("tag"), F.lit('{"label":null,"units":{'), "t", F.lit("}}"))).alias("t"))
+    docs = spaces.groupBy("cik").agg(joined(F.concat(quoted("namespace"), F.lit('{"Odd":{"units":"none"},'), "t", F.lit("}"))).alias("t"))
+    whole = F.concat(F.lit('{"cik":'), F.col("cik").cast("long").cast("string"), F.lit(',"entityName":"c","facts":{'), "t", F.lit("}}"))
+    return docs.select(F.explode(F.array(whole, F.lit("no document"))).alias("value"))
+
+
 def lineitem_raw_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw fact entries as landed text: value text and scale text per line item.
 

@@ -1,4 +1,4 @@
-"""Company-facts documents → the long fact frame.
+"""Company-facts documents → the long fact frame (S4, S5, P1, F8, F12), by a declared schema or by VARIANT.
 
 One JSON document per company::
 
@@ -72,6 +72,37 @@ def explode_entries(docs: DataFrame) -> DataFrame:
         "cik", "namespace", "tag", "unit", F.col("pos").cast("bigint").alias("pos"), "e.*")
 
 
+def read_fact_texts(spark: SparkSession, paths: str | list[str], whole: bool = False) -> DataFrame:
+    """Landed documents as text (column ``value``): one a line, or one a file with ``whole``."""
+    return spark.read.option("wholetext", whole).text(paths)
+
+
+def _members(df: DataFrame, variant: str, key: str, member: str) -> DataFrame:
+    """A row for each field (or element) of a VARIANT column; values of another shape have none."""
+    j = df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(variant).outer()))
+    own = {"key": key} if key != "pos" else {"pos": "pos"}
+    return j.select(*[c for c in df.columns if c != variant], *[F.col(a).alias(b) for a, b in own.items()], F.col("value").alias(member))
+
+
+def variant_entries(docs: DataFrame, text_col: str = "value") -> DataFrame:
+    """S4, S5 without a declared document schema: the rows of ``explode_entries`` from documents held as text.
+
+    The document is parsed to VARIANT and unfolded level by level, so that
+    any namespace, tag, unit and entry field is found where it stands, and an
+    odd part (units that are a text, an entry that is a number) drops out alone;
+    with a declared schema it voids what surrounds it. Text that is no JSON, and
+    documents without a cik or facts, have no rows. Only the namespaces, tags
+    and units on the way and the entry's own fields leave the parse.
+    """
+    d = docs.select(F.try_parse_json(F.col(text_col)).alias("doc"))
+    d = d.select(pad_cik(F.try_variant_get("doc", "$.cik", "string")).alias("cik"), F.try_variant_get("doc", "$.facts", "variant").alias("v"))
+    d = _members(_members(d.where("cik IS NOT NULL"), "v", "namespace", "v"), "v", "tag", "v")
+    d = d.where("namespace IS NOT NULL AND tag IS NOT NULL").withColumn("v", F.try_variant_get("v", "$.units", "variant"))
+    d = _members(_members(d, "v", "unit", "v"), "v", "pos", "v").where("unit IS NOT NULL AND v IS NOT NULL")
+    return d.select("cik", "namespace", "tag", "unit", F.col("pos").cast("bigint").alias("pos"),
+                    *[F.try_variant_get("v", f"$.{f}", "string").alias(f) for f in ENTRY_FIELDS])
+
+
 def normalise_entries(raw: DataFrame) -> DataFrame:
     """Text value × 10^scale (bad scale → 0); entries whose value does not parse drop out."""
     s = scale_int(F.col("scale"))
@@ -82,8 +113,12 @@ def normalise_entries(raw: DataFrame) -> DataFrame:
 
 def facts_frame(docs: DataFrame) -> DataFrame:
     """The long fact frame (``schemas.FACT_COLUMNS``) from parsed documents."""
-    e = explode_entries(docs).where(is_nondimensional(F.col("segment"), F.col("dimensional")))
-    e = normalise_entries(e)
+    return entries_frame(explode_entries(docs))
+
+
+def entries_frame(entries: DataFrame) -> DataFrame:
+    """The long fact frame from raw entries (``explode_entries`` or ``variant_entries``)."""
+    e = normalise_entries(entries.where(is_nondimensional(F.col("segment"), F.col("dimensional"))))
     return e.select(
         "cik", "namespace", "tag", "unit",
         F.col("end").try_cast("date").alias("end"),

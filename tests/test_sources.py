@@ -78,3 +78,23 @@ def test_tickers_list(spark):
     f = SY.read_tickers_file(spark, p)
     merged = arg.unionByName(f).groupBy("ticker").agg(F.min("pos").alias("pos"))
     assert [r.ticker for r in merged.orderBy("pos").collect()] == ["AAPL", "MSFT", "ADBE"]
+
+
+def test_variant_scan_equals_the_declared_schema_and_survives_odd_parts(spark):
+    from helpers import doc, entries
+
+    from ledgerline.sources import facts as FA
+    good = doc(7, {"Revenues": entries(("2023-03-31", "1.5", "10-Q", 2023, "Q1", 1), ("2023-06-30", 2e3, "10-Q", "2023", "Q2", 2))},
+               extra_ns={"dei": {"Shares": {"units": {"shares": [{"val": 5, "scale": 3, "end": "2023-03-31"}]}}},
+                         "own": {"X": {"units": {"EUR": [{"val": "1_0", "segment": {}}, {"val": 1, "segment": {"a": 1}}, {"val": 2, "dimensional": True},
+                                                         {"val": 3, "dimensional": "false"}, {"val": "n/a"}, {"val": None}]}}}})
+    texts = spark.createDataFrame([(json.dumps(good),)], "value string")
+    want = FA.facts_frame(FA.parse_company_facts(texts)).collect()
+    got = FA.entries_frame(FA.variant_entries(texts)).collect()
+    key = lambda r: (r.namespace, r.tag, r.unit, r.pos)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 5
+    odd = {"cik": 8, "facts": {"us-gaap": {"A": 5, "B": {"units": "none"}, "C": {"units": {"USD": 1}}, "D": {"units": {"USD": [7, None, [1], {"val": 4}]}},
+                                           "E": {"label": "x"}}, "dei": [], "bad": None}}
+    more = [json.dumps(odd), "no json", "", None, "{}", json.dumps({"facts": odd["facts"]}), json.dumps({"cik": "", "facts": 3}), "[1]"]
+    rows_ = FA.entries_frame(FA.variant_entries(spark.createDataFrame([(t,) for t in more], "value string"))).collect()
+    assert [(r.cik, r.tag, r.pos, r.val) for r in sorted(rows_, key=key)] == [("0000000008", "D", 3, 4.0)]
