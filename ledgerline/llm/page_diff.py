@@ -6,6 +6,9 @@ scripts, comments) go. Each page is then paired with its nearest pages by URL
 path within the host, the lines of the two are aligned by longest common
 subsequence, and lines that both have are template and deleted.
 
+A class or id names an element outside the article by any word in it; inside
+an article only if the whole name says so. A form that holds the article is none to drop.
+
 A page with an ``article`` (else ``main``) is reduced to it, and its lines are
 compared like those of any page. Two articles may quote the same passage, so
 there a line goes only if all of the nearest neighbours that aren't copies,
@@ -35,6 +38,7 @@ from __future__ import annotations
 import re
 import sys
 import zlib
+from bisect import bisect_left
 from collections.abc import Hashable, Iterator, Sequence
 from hashlib import blake2b
 from html import unescape
@@ -65,9 +69,16 @@ MARKS = frozenset("nav navbar navigation menu menus submenu breadcrumb breadcrum
                   "notices notification alert popup modal overlay newsletter subscribe subscription signup login search share sharing "
                   "social related recommended recommendations comment comments disqus reply replies respond pagination pager toolbar "
                   "widget copyright skip hidden topbar bottombar paywall tracking".split())
+#: Words for a box, which beside a mark don't change what a class of an article's part means.
+BOXES = frozenset("box block list section container wrapper wrap area links link bar item items unit slot button buttons form inner outer "
+                  "content posts articles stories panel row".split())
+#: An article or main element, or the end of a form.
+HELD = re.compile(r"<(?:article|main)\b|</form\b", re.I)
 CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "p": "p"}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
                  r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
+#: What may begin without an end and then takes the rest of the page.
+OPENER = re.compile(r"<[!?]")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: A neighbour that shares at least this part of the characters that no third page has is a copy.
@@ -82,6 +93,19 @@ BROADCAST_ROWS = 100_000
 STATE_BITS = 1 << 28
 
 
+def _marked(value: str, in_article: bool) -> set[str]:
+    """The words of class or id names that are marks. Inside an article a name counts as a whole: all its words
+    are marks or words for a box, so that ``ad-box`` is one and ``social-policy`` isn't."""
+    if not in_article:
+        return {w.lower() for w in WORDS.findall(value)} & MARKS
+    out: set[str] = set()
+    for name in value.split():
+        words = {w.lower() for w in WORDS.findall(name)}
+        if words <= MARKS | BOXES:
+            out |= words & MARKS
+    return out
+
+
 def _outside(tag: str, attributes: str, in_article: bool) -> bool:
     """Does the element stand outside the article?"""
     if tag in DROPPED or tag == "header" and not in_article:
@@ -95,10 +119,10 @@ def _outside(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "role" and v.lower() in ROLES:
             return True
         if name in ("class", "id"):
-            marks = {w.lower() for w in WORDS.findall(v)}
-            if marks & MARKS and not (tag == "article" and not marks & {"comment", "comments", "reply", "ad", "advert", "related", "promo"}):
+            marks = _marked(v, in_article)
+            if marks and not (tag == "article" and not marks & {"comment", "comments", "reply", "ad", "advert", "related", "promo"}):
                 return True
-            if "header" in marks and not in_article:
+            if not in_article and "header" in {w.lower() for w in WORDS.findall(v)}:
                 return True
     return False
 
@@ -111,25 +135,46 @@ def blocks(html: str) -> list[tuple[str, int]]:
 def placed_blocks(html: str) -> list[tuple[str, int, int]]:
     """The lines of ``blocks`` and the checksum of their path of tags."""
     out: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, outside, place
+    stack: list[tuple[str, bool, int, int]] = []  # tag, outside, place, checksum of the path
+    open_tags: dict[str, int] = {}
     text: list[str] = []
     at, outside, place = 0, False, 0
+    last = html.rfind(">") + 1  # no tag ends behind it, so none is looked for there
+    scan = html[:last] + html[last:].replace("<", " ")
+    held: list[tuple[int, bool]] | None = None  # what forms may hold, found when the first form comes
 
     def flush() -> None:
         line = " ".join(unescape("".join(text)).split())
         text.clear()
         if line:
-            out.append((line, place, zlib.crc32("/".join(s[0] for s in stack).encode())))
+            out.append((line, place, stack[-1][3] if stack else 0))
+
+    def push(tag: str, gone: bool, here: int) -> None:
+        nonlocal outside, place
+        path = zlib.crc32(f"/{tag}".encode(), stack[-1][3]) if stack else zlib.crc32(tag.encode())
+        stack.append((tag, gone, here, path))
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        outside, place = gone, here
 
     def pop_to(k: int) -> None:
         nonlocal outside, place
+        for s in stack[k:]:
+            open_tags[s[0]] -= 1
         del stack[k:]
         outside, place = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
 
+    def holds_article(start: int) -> bool:
+        nonlocal held
+        if held is None:
+            held = [(m.start(), m.group()[1] != "/") for m in HELD.finditer(html)]
+        k = bisect_left(held, (start, False))
+        return k < len(held) and held[k][1]
+
     while True:
-        m = TAG.search(html, at)
+        m = TAG.search(scan, at)
         if not outside:
-            text.append(html[at:m.start() if m else len(html)])
+            end = m or OPENER.search(html, max(at, last))  # a comment or declaration that never ends takes the rest
+            text.append(html[at:end.start() if end else len(html)])
         if m is None:
             break
         at = m.end()
@@ -137,13 +182,10 @@ def placed_blocks(html: str) -> list[tuple[str, int, int]]:
         if not tag:
             continue
         if m[1]:
-            if tag in INLINE and not any(s[0] == tag for s in stack):
-                continue
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag not in INLINE:
                 flush()
-            if k is not None:
-                pop_to(k)
+            if open_tags.get(tag):
+                pop_to(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
@@ -155,11 +197,10 @@ def placed_blocks(html: str) -> list[tuple[str, int, int]]:
             if not outside and tag == "br":
                 text.append(" ")
             continue
-        gone = _outside(tag, m[3], place == 2)
+        gone = _outside(tag, m[3], place == 2) and not (tag == "form" and place < 2 and holds_article(at))
         if tag in INLINE:
             if gone and not outside:
-                stack.append((tag, True, place))
-                outside = True
+                push(tag, True, place)
             continue
         flush()
         if tag in VOID or m[3].rstrip().endswith("/") and tag in ("svg", "path"):
@@ -168,8 +209,7 @@ def placed_blocks(html: str) -> list[tuple[str, int, int]]:
             if stack and stack[-1][0] == other:
                 pop_to(len(stack) - 1)
         here = max(place, 2 if tag == "article" else 1 if tag == "main" or 'role="main"' in m[3] else 0)
-        stack.append((tag, outside or gone, here))
-        outside, place = stack[-1][1], here
+        push(tag, outside or gone, here)
     flush()
     return out
 
