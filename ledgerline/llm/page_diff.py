@@ -22,7 +22,8 @@ it goes on in rounds, each twice as far as the one before, until it has them
 or its host has no more; without any the lines stay. A neighbour is seen with
 all its lines, in its article or not.
 
-Scale: pages are read once. Neighbours come from a distributed sort of (host,
+Scale: pages are read once. Only contents with a line that enough others of the
+host have look for partners; no other can lose a line. Neighbours come from a distributed sort of (host,
 path), so a host with a third of all pages splits like any other; pairs are
 joined with 64-bit hashes of their lines, not with the lines. A pair is
 aligned in one task: the memory is that of two pages. Rounds are a written
@@ -368,26 +369,50 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     return j.select("id", "url", F.array_join(left, "\n").alias("text"))
 
 
-def _own(contents: DataFrame) -> DataFrame:
-    """The candidate lines of each content, and which of its lines one (``one``) or two (``two``) contents of the host have."""
+def _supported(contents: DataFrame) -> DataFrame:
+    """Rows whose contents can lose a line: they have a candidate line that enough other contents of the host have.
+
+    A line of an article goes only if ``SEVERAL`` neighbours have it at its
+    place, one of an open page only if another page has it; so no other content
+    needs a partner. Lines are counted by a hash; a collision only looks for a partner in vain.
+    """
+    mine, is_open = F.col("mine"), F.col("open")
+    key = lambda x, at: F.xxhash64(F.col("host"), x, at)
+    anywhere = bool(contents.where("open").limit(1).count())
+    placed = F.zip_with("h", "at", key)
+    seen = F.concat(placed, F.transform("h", lambda x: key(x, F.lit(-1).cast("long")))) if anywhere else placed
+    counted = contents.select(F.explode(F.array_distinct(seen)).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own = F.when(is_open, F.transform("h", lambda x: key(x, F.lit(-1).cast("long")))).otherwise(placed)
+    wants = contents.select("row", "open", F.explode(F.filter(own, lambda x, i: F.get(mine, i))).alias("k")).join(counted, "k")
+    return wants.where(F.col("n") > F.when(is_open, 1).otherwise(SEVERAL)).select("row").distinct()
+
+
+def _own(contents: DataFrame, rows: DataFrame) -> DataFrame:
+    """The candidate lines of the contents ``rows``, and which of their lines one (``one``) or two (``two``) contents of the host have."""
     lines = contents.select("host", "row", F.explode(F.array_distinct("h")).alias("x"))
     held = lines.groupBy("host", "x").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("a"), F.max("row").alias("b")).where("n <= 2")
-    rare = held.select("n", "x", F.explode(F.array_distinct(F.array("a", "b"))).alias("row")).groupBy("row").agg(
+    held = held.select("n", "x", F.explode(F.array_distinct(F.array("a", "b"))).alias("row")).join(rows, "row", "left_semi")
+    rare = held.groupBy("row").agg(
         F.collect_list(F.when(F.col("n") == 1, F.col("x"))).alias("one"), F.collect_list(F.when(F.col("n") == 2, F.col("x"))).alias("two"))
     twos = contents.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("a"), F.max("row").alias("b")).where("n = 2")
     twos = twos.select(F.explode(F.array("a", "b")).alias("row"), F.lit(True).alias("two_only"))
     mine = lambda c: F.filter(c, lambda x, i: F.get(F.col("mine"), i)).alias(c)
     none = F.array().cast("array<long>")
-    return contents.select("row", "open", mine("h"), mine("at"), mine("chars")).join(rare, "row", "left").join(twos, "row", "left").select(
+    own = contents.join(rows, "row", "left_semi").select("row", "open", mine("h"), mine("at"), mine("chars"))
+    return own.join(rare, "row", "left").join(twos, "row", "left").select(
         "row", "open", "h", "at", "chars", F.coalesce("one", none).alias("one"), F.coalesce("two", none).alias("two"),
         F.coalesce("two_only", F.lit(False)).alias("two_only"))
 
 
 def _template(contents: DataFrame) -> DataFrame:
     """(host, key, drop): the lines to delete, as a flag for each candidate line, of contents that have any."""
-    own = stage_table(_own(contents), "own")
+    rows = stage_table(_supported(contents), "supported")
+    if not rows.limit(1).count():
+        return contents.select("host", "key", F.array(F.lit(True)).alias("drop")).limit(0)
+    contents = contents.join(contents.join(rows, "row", "left_semi").select("host").distinct(), "host", "left_semi")  # neighbours are of the host
+    own = stage_table(_own(contents, rows), "own")
     ranked = stage_table(global_rank(contents.select("row", "host", "path", "open"), [F.col("host"), F.col("path"), F.col("row")], "g"), "order")
-    todo, nearest, width, found = ranked, 1, REACH, None
+    todo, nearest, width, found = ranked.join(rows, "row", "left_semi"), 1, REACH, None
     while True:
         pairs = stage_table(_pairs(todo, ranked, own, contents, nearest, nearest + width - 1), "pairs")
         now = pairs.where("NOT copy").select("row", F.struct(F.lit(nearest).alias("from"), "rank").alias("rank"), "shared")

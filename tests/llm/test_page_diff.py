@@ -99,3 +99,87 @@ def test_a_heavy_template_is_no_copy(spark):
     assert all(got[i] == f"t{i}" for i in range(6)) and got[10] == "t0" and got[11] == "t1"
     for i in range(2):  # an edited copy of one page is none of its template
         assert got[20 + i].split("\n") == [f"sentence {k} of a copied text" for k in range(20)] + [f"edit {i}"]
+
+
+def test_a_form_or_a_telling_class_costs_no_article_text():
+    """A form around the page is no form; inside an article a class counts by its whole name."""
+    assert P.candidate_lines('<form id="aspnetForm"><input><article><p>The whole story.</p></article></form>')[0] == ["The whole story."]
+    assert P.candidate_lines("<form><p>mail</p></form><article><form><p>vote</p></form><p>x</p></article>")[0] == ["x"]
+    html = ('<article><div class="related-work"><p>a</p></div><p class="social-policy">b</p><div class="share-buttons">c</div>'
+            '<div class="ad-box lead">d</div><div id="commentList">e</div></article>')
+    assert P.candidate_lines(html)[0] == ["a", "b"]
+
+
+@pytest.mark.parametrize("html", ["<a " * 700_000, "<div>x" * 300_000, "<b>" * 300_000 + "</i>" * 300_000, ">" + "<a " * 600_000, "<form>" * 300_000,
+                                  "<p>" + "<span class='ad'>" * 100_000, "<li>x" * 400_000])
+def test_two_megabytes_of_tags_are_read_in_seconds(html):
+    from time import process_time
+    start = process_time()
+    P.placed_blocks(html)
+    assert process_time() - start < 15
+
+
+def plain(pages):
+    """``main_text`` by comparing every page with its nearest ones in order, without any pruning: {id: text}."""
+    from urllib.parse import urlsplit
+    seen = {}
+    for i, url, html in pages:
+        found = P.placed_blocks(html)
+        inner = max((p for _, p, _ in found), default=0)
+        seen[i] = (urlsplit(url).hostname, urlsplit(url).path, found, inner)
+    out = {}
+    for host in {h for h, *_ in seen.values()}:
+        first = {}
+        for i, (h, path, found, inner) in sorted(seen.items(), key=lambda x: (x[1][1], x[0])):
+            if h == host and any(p >= inner for _, p, _ in found):
+                first.setdefault((not inner, *[x for x, p, _ in found if p >= inner]), i)
+        order = sorted(first.values(), key=lambda i: (seen[i][1], i))
+        hold = {}
+        for i in order:
+            for x in {x for x, _, _ in seen[i][2]}:
+                hold.setdefault(x, set()).add(i)
+        drops = {}
+        for g, i in enumerate(order):
+            _, path, found, inner = seen[i]
+            mine = [(x, at) for x, p, at in found if p >= inner]
+            need, good, nearest, width = 1 if not inner else P.SEVERAL, [], 1, P.REACH
+            while len(good) < need:
+                near = [(k, order[k]) for d in range(nearest, nearest + width) for k in (g - d, g + d) if 0 <= k < len(order)]
+                if not near:
+                    break
+
+                def rank(k):
+                    a, b = path.split("/"), seen[order[k]][1].split("/")
+                    same = next((n for n, (u, v) in enumerate(zip(a, b)) if u != v), min(len(a), len(b)))
+                    return (nearest, -same, len(a) + len(b), k)
+
+                for k, other in sorted(near, key=lambda x: rank(x[0])):
+                    theirs = [(x, at) for x, _, at in seen[other][2]]
+                    shared = P._shared([x for x, _ in mine], [x for x, _ in theirs])
+                    one, two = ({x for x, s in hold.items() if len(s) == n} for n in (1, 2))
+                    if not P.is_copy([x for x, _ in mine], shared, [len(x) for x, _ in mine], one, two, len(order) == 2):
+                        good.append(P._shared(mine, theirs) if inner else shared)
+                nearest, width = nearest + width, 2 * width
+            good = good[:2 * P.REACH]
+            drops[i] = (good[0] if not inner else [all(v) for v in zip(*good)]) if len(good) >= need else [False] * len(mine)
+        for i, (h, _, found, inner) in seen.items():
+            if h == host:
+                lines = [x for x, p, _ in found if p >= inner]
+                own = first.get((not inner, *lines))
+                out[i] = "\n".join(x for x, d in zip(lines, drops[own], strict=True) if not d) if own is not None else ""
+    return out
+
+
+def test_equals_the_unpruned_search_on_small_hosts(spark):
+    rnd, rows = random.Random(5), []
+    for host in range(12):
+        style = rnd.choice(["<article>{}</article>", "<main>{}</main>", "{}"])
+        menu = [f"<div>menu {rnd.randrange(4)}</div>" for _ in range(rnd.randint(0, 3))]
+        for k in range(rnd.randint(1, 12)):
+            own = [rnd.choice([f"<p>text {host} {rnd.randrange(25)}</p>", f"<li>quote {rnd.randrange(3)}</li>", "<h2>more</h2>"]) for _ in range(rnd.randint(0, 5))]
+            body = style.format("".join((menu if rnd.random() < .8 else []) + own + ["<div>foot</div>"] * (rnd.random() < .7)))
+            rows.append((len(rows), f"http://h{host}.example.org/{rnd.choice('ab')}/{rnd.choice('xy')}/{k}", body))
+    got = texts(spark, rows)
+    want = plain(rows)
+    assert got == want
+    assert any(want[i] != "\n".join(P.candidate_lines(h)[0]) for i, _, h in rows)
