@@ -43,12 +43,15 @@ from ledgerline.operators.features import global_rank
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
 
+SURROGATE = re.compile("[\ud800-\udfff]")
 CALLS = "array<struct<id:string,name:string,arguments:string,after:array<string>>>"
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """Sorted keys, no spaces, text as it is; a lone surrogate, which no UTF-8 text holds, as its escape."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return SURROGATE.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
 
 
 def _is(value: object, kind: str) -> bool:
@@ -102,7 +105,7 @@ def _event(kind: str, cid: str | None, name: str | None, arguments: str | None,
         return canonical({"arguments": arguments, "id": cid, "name": name, "type": kind}), False, "$: not JSON"
     wrong = ["$: unknown tool"] if name not in schemas else ["$: type"] if not isinstance(value, dict) else faults(value, schemas[name])
     rest = canonical({"id": cid, "name": name, "type": kind})
-    return f'{{"arguments":{body},{rest[1:]}', not wrong, "; ".join(wrong) or None
+    return f'{{"arguments":{body},{rest[1:]}', not wrong, SURROGATE.sub("?", "; ".join(wrong)) or None
 
 
 def _serialised(schemas: dict[str, dict], *cols: Column) -> Column:

@@ -73,3 +73,12 @@ def test_empty_and_given_conversations(spark, sf_dir):
         if r["kind"] == "call":
             assert (r["status"] == "linked") == ((r["conv"], r["turn"] + 1, "assistant") in seen)
             assert json.loads(r["json"])["arguments"]["turn"] == r["turn"]
+
+
+def test_a_lone_surrogate_in_arguments_stays_an_escape():
+    """JSON may name half of a pair; no UTF-8 text can hold it."""
+    import json
+    for text in ('{"query":"\\ud800","turn":0}', '{"\\udfff":"x","query":"\\ud83d\\ude00"}'):
+        out, _, wrong = T._event("call", "1", "search", text, None, None, T.SCHEMAS)
+        out.encode(), (wrong or "").encode()
+        assert json.loads(out)["arguments"] == json.loads(text)
