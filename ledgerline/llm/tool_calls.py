@@ -17,7 +17,8 @@ Scale: linking is two partial aggregates (first call, first result of each
 identifier) and equality joins; a conversation with a third of all rows is
 never gathered, its events carry a dense ``order_no`` from a distributed sort.
 Dependencies are peeled level by level, a written table each: as many rounds
-as the longest chain of calls that wait for each other.
+as the longest chain of calls that wait for each other; a round joins only the
+level placed last and the calls still waiting, each of which adds up what it has met.
 
 Defined results: null conversations are one conversation of their own; null
 turns come first; null text is JSON null; rows that repeat are events of their
@@ -32,6 +33,7 @@ import json
 import math
 import re
 import sys
+from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -129,25 +131,25 @@ def _depths(calls: DataFrame) -> DataFrame:
     waits = edges.groupBy("conv", "id").agg(F.count(F.lit(1)).alias("deps"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     w = waits.select(F.col("conv").alias("c2"), F.col("id").alias("i2"), "deps")
-    todo = stage_table(left.join(w, same("conv", "c2") & (F.col("id") == F.col("i2")), "left").select("conv", "id", "turn", "answered", F.coalesce("deps", F.lit(0)).alias("deps")), "todo")
+    todo = stage_table(left.join(w, same("conv", "c2") & (F.col("id") == F.col("i2")), "left").select(
+        "conv", "id", "turn", "answered", F.coalesce("deps", F.lit(0)).alias("deps"),
+        F.lit(None).cast("int").alias("l"), F.lit(None).cast("long").alias("o")), "todo")
     done = stage_table(todo.where("deps = 0").select("conv", "id", F.lit(0).alias("level"), F.col("turn").alias("ready"), F.greatest("turn", "answered").alias("over")), "level")
     parts, todo = [done], todo.where("deps > 0")
-    while True:
-        placed = parts[0]
-        for p in parts[1:]:
-            placed = placed.unionByName(p)
-        d = placed.select(F.col("conv").alias("c3"), F.col("id").alias("dep3"), F.col("level").alias("l3"), "over")
+    while True:  # each round joins the level placed last with the edges into it, and adds up what every waiting call has met
+        d = done.select(F.col("conv").alias("c3"), F.col("id").alias("dep3"), F.col("level").alias("l3"), "over")
         met = edges.join(d, same("conv", "c3") & (F.col("dep") == F.col("dep3"))).groupBy("conv", "id").agg(
-            F.count(F.lit(1)).alias("met"), F.max("l3").alias("l3"), F.max("over").alias("o3"))
-        m = met.select(F.col("conv").alias("c4"), F.col("id").alias("i4"), "met", "l3", "o3")
-        now = todo.join(m, same("conv", "c4") & (F.col("id") == F.col("i4"))).where("met = deps")
-        before = placed.select(F.col("conv").alias("c5"), F.col("id").alias("i5"))
-        now = now.join(before, same("conv", "c5") & (F.col("id") == F.col("i5")), "left_anti")
-        now = stage_table(now.select("conv", "id", (F.col("l3") + 2).alias("level"), F.greatest("turn", "o3").alias("ready"),
-                                     F.greatest("turn", "o3", "answered").alias("over")), "level")
-        if not now.limit(1).count():
-            return placed
-        parts.append(now)
+            F.count(F.lit(1)).alias("n4"), F.max("l3").alias("l4"), F.max("over").alias("o4"))
+        m = met.select(F.col("conv").alias("c4"), F.col("id").alias("i4"), "n4", "l4", "o4")
+        todo = stage_table(todo.join(m, same("conv", "c4") & (F.col("id") == F.col("i4")), "left").select(
+            "conv", "id", "turn", "answered", (F.col("deps") - F.coalesce("n4", F.lit(0))).alias("deps"),
+            F.greatest("l", "l4").alias("l"), F.greatest("o", "o4").alias("o")), "todo")
+        done = stage_table(todo.where("deps = 0").select("conv", "id", (F.col("l") + 2).alias("level"), F.greatest("turn", "o").alias("ready"),
+                                                         F.greatest("turn", "o", "answered").alias("over")), "level")
+        if not done.limit(1).count():
+            return reduce(DataFrame.unionByName, parts)
+        parts.append(done)
+        todo = todo.where("deps > 0")
 
 
 def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:

@@ -47,6 +47,17 @@ def test_a_long_chain(spark):
     assert all(n["result", str(i + 1)] < n["call", str(i)] < n["result", str(i)] for i in range(k))
 
 
+def test_a_call_that_waits_for_several_levels(spark):
+    after = {"a": ["b", "d", "c"], "b": ["c", "c"], "c": ["d"], "d": [], "e": ["d", "a"], "f": ["f", "d"]}
+    rows = [(1, 0, "assistant", None, [call(i, after=x) for i, x in after.items()], None)]
+    rows += [(1, t + 1, "tool", "r", None, i) for t, i in enumerate(after)]
+    got = {(r["kind"], r["id"]): r for r in run(spark, rows)}
+    assert {i: got["call", i]["level"] for i in "abcde"} == {"d": 0, "c": 2, "b": 4, "a": 6, "e": 8}
+    assert got["call", "f"]["status"] == "cyclic"
+    for i in "abcde":
+        assert all(got["result", x]["order_no"] < got["call", i]["order_no"] for x in after[i])
+
+
 def test_arguments_and_canonical_json(spark):
     cases = {'{"n":3,"q":"ab c"}': None, '{"q": "é", "n": 2.0}': "$.q: pattern", '{"q":""}': "$.q: length; $.q: pattern", "{}": "$.q: required",
              '{"q":"a","n":10,"z":1}': "$.z: unknown; $.n: range", '{"q":"a","n":true}': "$.n: type", '{"q":"a","kinds":["a","c"]}': "$.kinds[1]: enum",
