@@ -11,9 +11,9 @@ an article only if the whole name says so. A form that holds the article is none
 
 A page with an ``article`` (else ``main``) is reduced to it, and its lines are
 compared like those of any page. Two articles may quote the same passage, so
-there a line goes only if all of the nearest neighbours that aren't copies,
-``SEVERAL`` at least, have it at the same place in the structure (path of
-tags). Elsewhere the nearest such neighbour decides. A neighbour is a copy, not
+there a line goes only if the ``SEVERAL`` nearest neighbours that aren't copies
+all have it at the same place in the structure (path of tags); an article with
+fewer such neighbours keeps its lines. Elsewhere the nearest such neighbour decides. A neighbour is a copy, not
 evidence of a template, if it leaves no line of the page or nearly none of
 those lines that no third page of the host has; then the next nearest is
 taken. However long the template is, it has no weight there. Pages of equal lines within a host are folded first, so
@@ -423,8 +423,8 @@ def _template(contents: DataFrame) -> DataFrame:
         if not todo.limit(1).count():
             break
         nearest, width = nearest + width, 2 * width
-    found = found.withColumn("k", F.row_number().over(Window.partitionBy("row").orderBy("rank"))).where(F.col("k") <= 2 * REACH)
-    masks = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "shared"))).alias("masks"))  # 2 x REACH at most
+    found = found.withColumn("k", F.row_number().over(Window.partitionBy("row").orderBy("rank"))).where(F.col("k") <= SEVERAL)
+    masks = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "shared"))).alias("masks"))  # SEVERAL at most
     both = lambda a, x: F.zip_with(a, x["shared"], lambda u, v: u & v)
     masks = contents.select("row", "host", "key", "open").join(masks, "row")
     drop = F.when(F.col("open"), F.get("masks", F.lit(0))["shared"]).when(

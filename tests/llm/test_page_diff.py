@@ -160,7 +160,7 @@ def plain(pages):
                     if not P.is_copy([x for x, _ in mine], shared, [len(x) for x, _ in mine], one, two, len(order) == 2):
                         good.append(P._shared(mine, theirs) if inner else shared)
                 nearest, width = nearest + width, 2 * width
-            good = good[:2 * P.REACH]
+            good = good[:P.SEVERAL]
             drops[i] = (good[0] if not inner else [all(v) for v in zip(*good)]) if len(good) >= need else [False] * len(mine)
         for i, (h, _, found, inner) in seen.items():
             if h == host:
