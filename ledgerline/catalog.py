@@ -359,6 +359,58 @@ def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins(target, links, S.FILINGS_KEY, required=["url"]).drop("id")
 
 
+def _stored(spark: SparkSession, rows: DataFrame, name: str, keys: list[str]) -> tuple[str, str]:
+    """A bucketed table of its own for one run of a query: (name, folder)."""
+    from ledgerline.operators import bucketed
+    from ledgerline.session import scratch_table_path
+    name = f"{name}_{uuid.uuid4().hex[:12]}"
+    path = scratch_table_path(spark, name)
+    bucketed.create(rows, name, keys, path=path)
+    return name, path
+
+
+@query
+def bucketed_upsert_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 on a catalog table in buckets of (cik, report_date): the stored rows are not shuffled."""
+    from ledgerline.operators import bucketed
+    f = D.order_fundamentals(spark, sf_dir)
+    name, path = _stored(spark, f.where(F.col("report_date") < "1999-01-01"), "fundamentals", S.FUNDAMENTALS_KEY)
+    batch = (f.where(F.col("report_date") >= "1998-01-01")
+             .withColumn("revenue_lq", F.col("revenue_lq") * F.lit(2.0)))
+    return spark.table(bucketed.upsert(spark, name, batch, path=path)).drop(bucketed.PART)
+
+
+def _raw_last4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = raw_facts_last4(spark, sf_dir)
+    return f.withColumn("fy", F.col("fy").cast("int"))
+
+
+@query
+def raw_facts_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: raw facts inserted on their unique key; the stored 10-K rows (other values) stay, a batch brought twice adds nothing."""
+    from ledgerline.operators import bucketed
+    from ledgerline.operators.upsert import new_rows
+    raw = _raw_last4(spark, sf_dir)
+    held = raw.where("form = '10-K'").withColumn("val", F.col("val") + F.lit(1.0))
+    name, _ = _stored(spark, new_rows(held.limit(0), held, S.FACTS_RAW_KEY), "facts_raw", S.FACTS_RAW_KEY)
+    for _ in range(2):
+        bucketed.insert(spark, name, raw)
+    return spark.table(name)
+
+
+@query
+def key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of the stored tables' keys; the raw facts repeat theirs, companies and fundamentals have planted repeats."""
+    from ledgerline.operators import upsert as U
+    target, source = _company_halves(spark, sf_dir)
+    f = D.order_fundamentals(spark, sf_dir)
+    planted = f.unionByName(f.where(F.col("fiscal_year") == 1997)).withColumn(
+        "report_date", F.when(F.col("fiscal_period") == "Q4", None).otherwise(F.col("report_date")))
+    return U.key_report({
+        "companies": (target.unionByName(source), S.COMPANIES_KEY), "fundamentals": (planted, S.FUNDAMENTALS_KEY),
+        "filings": (D.customer_filings(spark, sf_dir), S.FILINGS_KEY), "facts_raw": (_raw_last4(spark, sf_dir), S.FACTS_RAW_KEY)})
+
+
 # --------------------------------------------------------------------------
 # Phase 4: text cells, feature selection, imputation, scaling, splits
 # --------------------------------------------------------------------------

@@ -68,12 +68,17 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str], update
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], required: list[str] | None = None) -> DataFrame:
     """K4: the source rows to insert: key not present yet, the least row of each key
-    (by its columns in order); rows with an empty required field are skipped."""
+    (by its columns in order); rows with an empty required field are skipped. Rows
+    with a NULL in the key are all inserted: NULL never conflicts."""
     src = source
     for c in required or []:
         src = src.where(F.col(c).isNotNull() & (F.col(c) != ""))
     rest = [c for c in src.columns if c not in keys]
-    one = src.groupBy(*keys).agg(*([F.min(F.struct(*rest)).alias("__r")] if rest else [F.count(F.lit(1)).alias("__n")]))
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
+    src = src.withColumn("__own", F.when(has_null, F.monotonically_increasing_id()))  # a group of its own
+    one = src.groupBy(*keys, "__own").agg(*([F.min(F.struct(*rest)).alias("__r")] if rest else [F.count(F.lit(1)).alias("__n")]))
     one = one.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
     return one.join(target.select(*keys), keys, "left_anti").select(*target.columns)
 
@@ -92,6 +97,40 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """K10 at size: the rows of ``key_violations`` by way of 64-bit hashes.
+
+    First only hashes are shuffled and counted. Rows whose hash occurs once
+    cannot repeat a key and drop out by a semi-join, which adaptive execution
+    turns into a broadcast when few hashes repeat; so whole keys are shuffled
+    and counted exactly for suspects alone. Equal hashes of different keys cost
+    time, not correctness. A count-min sketch is no substitute: once there are
+    more keys than cells, every key is a suspect.
+    """
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    h = df.where(cond).select(*keys, F.xxhash64(*keys).alias("__h"))
+    suspects = h.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__h")
+    return key_violations(h.join(suspects, "__h", "left_semi"), keys)
+
+
+def key_report(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """A row a table: its rows, rows with a NULL in the key, keys that repeat, and rows beyond the first of their key."""
+    out = None
+    zero = F.lit(0).cast("bigint")
+    for name, (df, keys) in tables.items():
+        has_null = F.lit(False)
+        for k in keys:
+            has_null = has_null | F.col(k).isNull()
+        size = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(has_null, 1)).alias("null_keys"))
+        bad = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum(F.col("n") - 1), zero).alias("surplus_rows"))
+        both = size.select(F.lit(name).alias("table_name"), "n_rows", "null_keys", zero.alias("repeated_keys"), zero.alias("surplus_rows")).unionByName(
+            bad.select(F.lit(name).alias("table_name"), zero.alias("n_rows"), zero.alias("null_keys"), "repeated_keys", "surplus_rows"))
+        out = both if out is None else out.unionByName(both)
+    return out.groupBy("table_name").agg(*[F.sum(c).alias(c) for c in out.columns[1:]])
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> None:
     """Write a table version into its own folder (Parquet)."""
     w = df.write.mode(mode)

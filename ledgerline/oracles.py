@@ -551,6 +551,45 @@ WHERE url IS NOT NULL AND url <> ''
                   AND t.filing_type = l.filing_type AND t.url = l.url)
 """
 
+ORACLES["bucketed_upsert_period"] = ORACLES["upsert_period"]
+
+ORACLES["raw_facts_insert"] = with_ctes(AF) + """
+, raw AS (
+  SELECT cik, tag AS concept, unit, CAST("end" AS VARCHAR) AS "end", CAST(fy AS INTEGER) AS fy, fp, form,
+         CAST(val AS DOUBLE) AS val, 'null' AS dims
+  FROM facts WHERE namespace = 'us-gaap'
+  QUALIFY row_number() OVER (PARTITION BY cik, tag, unit ORDER BY pos DESC) <= 4),
+one AS (
+  SELECT * FROM raw
+  QUALIFY row_number() OVER (PARTITION BY cik, concept, unit, "end", form, dims
+                             ORDER BY fy NULLS FIRST, fp NULLS FIRST, val NULLS FIRST) = 1)
+SELECT * REPLACE (CASE WHEN form = '10-K' THEN val + 1.0 ELSE val END AS val) FROM one
+"""
+
+
+def _key_row(name: str, rel: str, keys: list[str]) -> str:
+    """One line of the key report in SQL."""
+    cols, no_null = ", ".join(keys), " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return f"""
+SELECT '{name}' AS table_name, (SELECT COUNT(*) FROM {rel}) AS n_rows,
+       (SELECT COUNT(*) FROM {rel} WHERE NOT ({no_null})) AS null_keys,
+       COUNT(*) AS repeated_keys, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows
+FROM (SELECT {cols}, COUNT(*) AS n FROM {rel} WHERE {no_null} GROUP BY {cols} HAVING COUNT(*) > 1)"""
+
+
+ORACLES["key_report"] = with_ctes(CUSTOMER_COMPANIES, HALVES, HISTORY, FILINGS, AF) + """
+, bothcomp AS (SELECT cik FROM tgt UNION ALL SELECT cik FROM src),
+fund0 AS (SELECT * FROM hist UNION ALL SELECT * FROM hist WHERE fiscal_year = 1997),
+fund AS (SELECT cik, CASE WHEN fiscal_period <> 'Q4' THEN report_date END AS report_date FROM fund0),
+rawf AS (
+  SELECT cik, tag AS concept, unit, CAST("end" AS VARCHAR) AS "end", form, 'null' AS dims
+  FROM facts WHERE namespace = 'us-gaap'
+  QUALIFY row_number() OVER (PARTITION BY cik, tag, unit ORDER BY pos DESC) <= 4)
+""" + "\nUNION ALL".join([
+    _key_row("companies", "bothcomp", ["cik"]), _key_row("fundamentals", "fund", ["cik", "report_date"]),
+    _key_row("filings", "links", ["cik", "filing_type", "url"]),
+    _key_row("facts_raw", "rawf", ["cik", "concept", "unit", '"end"', "form", "dims"])])
+
 
 SHEET = """
 sheet AS (
