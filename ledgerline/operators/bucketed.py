@@ -33,10 +33,18 @@ def _part(keys: list[str], parts: int):
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
 
+def _gathered(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """The rows of one part and bucket in one task, so that a write makes one file for each, whatever the number of tasks.
+
+    ``hash`` is the function by which Spark fills buckets.
+    """
+    return df.repartition(F.col(PART), F.pmod(F.hash(*keys), F.lit(buckets)))
+
+
 def save(df: DataFrame, table: str, keys: list[str], buckets: int = BUCKETS, parts: int = PARTS, path: str | None = None,
          append: bool = False) -> None:
     """Write ``df`` to the catalog table ``table`` (below ``path``, else in the warehouse), a file for each part and bucket."""
-    w = (df.withColumn(PART, _part(keys, parts)).repartition(buckets, *keys).write.format("parquet")
+    w = (_gathered(df.withColumn(PART, _part(keys, parts)), keys, buckets).write.format("parquet")
          .mode("append" if append else "errorifexists").partitionBy(PART).bucketBy(buckets, *keys).sortBy(*keys))
     (w.option("path", path) if path else w).saveAsTable(table)
 
@@ -76,21 +84,23 @@ def touched(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
 
 
 def upserted(spark: SparkSession, name: str, batch: DataFrame, order: str | None = None) -> DataFrame:
-    """K1, K3: all rows of ``name`` after the upsert; the plan has no exchange over the stored rows."""
-    keys, _, _ = _layout(spark, version(spark, name))
-    current = spark.table(name)
-    return U.upsert(current, batch.select(*current.columns), keys, order)
+    """K1, K3: all rows of ``name`` after the upsert, with ``key_part``; the plan has no exchange over the stored rows."""
+    table = version(spark, name)
+    keys, buckets, parts = _layout(spark, table)
+    current = spark.table(table)
+    new = U.latest_per_key(batch.select(*[c for c in current.columns if c != PART]), keys, order)
+    kept = current.join(new.select(*keys), keys, "left_anti")
+    return kept.unionByName(_gathered(new.withColumn(PART, _part(keys, parts)), keys, buckets))
 
 
 def upsert(spark: SparkSession, name: str, batch: DataFrame, order: str | None = None, path: str | None = None) -> str:
     """K1, K3: write the rows after the upsert as a new version; returns its table name.
 
-    The untouched and kept rows are already in buckets, so they are written task by task as they were read.
+    The kept rows are already in buckets and are written task by task as they were read; only the batch is gathered.
     """
-    table = version(spark, name)
-    keys, buckets, parts = _layout(spark, table)
+    keys, buckets, parts = _layout(spark, version(spark, name))
     new = f"{name}_{uuid.uuid4().hex}"
-    w = (upserted(spark, name, batch, order).withColumn(PART, _part(keys, parts)).write.format("parquet").mode("errorifexists")
+    w = (upserted(spark, name, batch, order).write.format("parquet").mode("errorifexists")
          .partitionBy(PART).bucketBy(buckets, *keys).sortBy(*keys))
     (w.option("path", f"{path}/{new}") if path else w).saveAsTable(new)
     _publish(spark, name, new, parts)

@@ -58,6 +58,8 @@ def test_upsert_equals_the_plain_one_and_does_not_shuffle_the_table(stored):
     want = _sorted(U.upsert(df, _batch(spark), KEYS))
     old = B.version(spark, name)
     B.upsert(spark, name, _batch(spark), path=path)
+    assert len(spark.table(old).inputFiles()) <= 4 * 8  # one file a part and bucket
+    assert len(spark.table(name).inputFiles()) <= 2 * 4 * 8  # and one more for what the batch brings
     assert _sorted(spark.table(name)) == want and B.version(spark, name) != old
     assert _sorted(spark.table(old).drop(B.PART)) == _sorted(df)  # readers of the old version keep it
     again = B.upserted(spark, name, _batch(spark))
