@@ -183,6 +183,82 @@ def fundamentals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fundamentals(spark, sf_dir).drop("id")
 
 
+# --------------------------------------------------------------------------
+# Customers as filers: every tier, guard and fallback; landed documents and files read back
+# --------------------------------------------------------------------------
+def _filers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(summary, fundamentals) of the customers, with prices and newest filing dates."""
+    from ledgerline.session import cut_lineage
+    from ledgerline.sources import filers as FL
+    from ledgerline.sources.submissions import newest_filing_date
+    # the summary feeds both results: computed once
+    summ = cut_lineage(M.facts_summary(FL.filer_facts(spark, sf_dir), S.metric_map(spark), S.map_kinds()), "filer-summary")
+    dates = newest_filing_date(D.order_filings(spark, sf_dir))
+    return summ, M.fundamentals_frame(D.customer_companies(spark, sf_dir), summ, dates, FL.prices(spark, sf_dir))
+
+
+@query
+def fundamentals_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fundamentals of companies that file by different tags and forms, or not at all."""
+    return _filers(spark, sf_dir)[1].drop("id")
+
+
+@query
+def audit_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tag each figure of ``fundamentals_tiers`` came from."""
+    return M.audit_frame(*_filers(spark, sf_dir)).drop("id")
+
+
+def _landed_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.session import scratch_table_path
+    from ledgerline.sources import filers as FL
+    from ledgerline.sources.submissions import read_submissions
+    path = scratch_table_path(spark, f"submissions-{uuid.uuid4().hex}")
+    FL.submission_documents(spark, sf_dir).write.text(path)
+    return read_submissions(spark, path, multi_line=False)
+
+
+@query
+def submissions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions documents, landed as text and read back: each filing with its company's metadata."""
+    from ledgerline.sources import submissions as SB
+    subs = _landed_submissions(spark, sf_dir)
+    return SB.company_metadata(subs).join(SB.recent_filings(subs), "cik", "left")
+
+
+@query
+def companies_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies with both documents, and those skipped for want of one."""
+    from ledgerline.sources import filers as FL
+    from ledgerline.sources import submissions as SB
+    subs = SB.company_metadata(_landed_submissions(spark, sf_dir))
+    both, skipped = SB.companies_with_both(FL.filer_facts(spark, sf_dir), subs)
+    return both.withColumn("loaded", F.lit(True)).unionByName(skipped.withColumn("loaded", F.lit(False)))
+
+
+def _landed_directory(df: DataFrame, name: str) -> DataFrame:
+    """A symbol directory written as pipe-delimited files with headers and a trailer line, and read back."""
+    from ledgerline.session import scratch_table_path
+    from ledgerline.sources import symbols as Y
+    spark = df.sparkSession
+    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
+    cols = [c for c in df.columns if c != "pos"]
+    rows = df.select(*[F.col(f"`{c}`").cast("string") for c in cols])
+    trailer = spark.range(1).select(F.lit(Y.TRAILER_PREFIX + ": 0101202521:30").alias(cols[0]),
+                                    *[F.lit(None).cast("string").alias(c) for c in cols[1:]])
+    rows.unionByName(trailer).write.option("sep", "|").option("header", True).csv(path)
+    return Y.read_symbol_directory(spark, path)
+
+
+@query
+def directory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both symbol directories landed as pipe-delimited files and read back into one directory."""
+    from ledgerline.sources import symbols as Y
+    both = Y.symbol_directory(_landed_directory(D.nasdaq_listed(spark, sf_dir), "nasdaqlisted"),
+                              _landed_directory(D.other_listed(spark, sf_dir), "otherlisted"))
+    return both.select("ticker", "exchange", "name", "etf", "test")
+
+
 # --------------------------------------------------------------------------
 # Phase 2: symbols, tickers, universe, filings
 # --------------------------------------------------------------------------

@@ -231,13 +231,35 @@ SELECT cik, tag, count(*) AS n_rows FROM rev_raw GROUP BY cik, tag
 """
 
 
-def _metric_map_values() -> str:
-    from ledgerline.schemas import metric_map_rows
-    rows = ",\n  ".join(f"('{r[0]}', '{r[3]}', '{r[4]}', '{r[5]}')" for r in metric_map_rows())
-    return f"mm(metric, namespace, tag, unit) AS (VALUES\n  {rows})"
-
+# The accepted (metric, namespace, tag, unit), stated here and not taken from the engine.
+ACCEPTED = """
+mm(metric, namespace, tag, unit) AS (VALUES
+  ('revenue', 'us-gaap', 'RevenueFromContractWithCustomerExcludingAssessedTax', 'USD'),
+  ('revenue', 'us-gaap', 'Revenues', 'USD'),
+  ('revenue', 'us-gaap', 'SalesRevenueNet', 'USD'),
+  ('revenue', 'us-gaap', 'SalesRevenueGoodsNet', 'USD'),
+  ('revenue', 'us-gaap', 'SalesRevenueServicesAndOtherNet', 'USD'),
+  ('ebitda', 'us-gaap', 'EarningsBeforeInterestTaxesDepreciationAndAmortization', 'USD'),
+  ('ebitda', 'us-gaap', 'OperatingIncomeLoss', 'USD'),
+  ('ebitda', 'us-gaap', 'DepreciationAndAmortization', 'USD'),
+  ('net_income', 'us-gaap', 'NetIncomeLoss', 'USD'),
+  ('operating_income', 'us-gaap', 'OperatingIncomeLoss', 'USD'),
+  ('cash', 'us-gaap', 'CashCashEquivalentsAndShortTermInvestments', 'USD'),
+  ('cash', 'us-gaap', 'CashAndCashEquivalentsAtCarryingValue', 'USD'),
+  ('cash', 'us-gaap', 'ShortTermInvestments', 'USD'),
+  ('debt', 'us-gaap', 'LongTermDebtNoncurrent', 'USD'),
+  ('debt', 'us-gaap', 'LongTermDebtCurrent', 'USD'),
+  ('debt', 'us-gaap', 'ShortTermBorrowings', 'USD'),
+  ('shares', 'us-gaap', 'CommonStockSharesOutstanding', 'shares'),
+  ('shares', 'dei', 'EntityCommonStockSharesOutstanding', 'shares'),
+  ('deferred_revenue', 'us-gaap', 'ContractWithCustomerLiabilityCurrent', 'USD'),
+  ('deferred_revenue', 'us-gaap', 'ContractWithCustomerLiabilityNoncurrent', 'USD'),
+  ('deferred_revenue', 'us-gaap', 'DeferredRevenueCurrent', 'USD'),
+  ('deferred_revenue', 'us-gaap', 'DeferredRevenueNoncurrent', 'USD'),
+  ('deferred_revenue', 'us-gaap', 'DeferredRevenue', 'USD'))
+"""
 
-ORACLES["unit_filter"] = with_ctes(AF, _metric_map_values()) + """
+ORACLES["unit_filter"] = with_ctes(AF, ACCEPTED) + """
 SELECT mm.metric, f.tag, f.unit, count(*) AS n_facts
 FROM facts f JOIN mm ON f.namespace = mm.namespace AND f.tag = mm.tag AND f.unit = mm.unit
 GROUP BY mm.metric, f.tag, f.unit
@@ -846,3 +868,165 @@ SELECT n.cik, n.metric, CAST(a.val AS DOUBLE) AS lq,
 FROM newest n JOIN quarters a ON a.cik = n.cik AND a.metric = n.metric AND a.qi = n.top
 LEFT JOIN quarters p ON p.cik = n.cik AND p.metric = n.metric AND p.qi = n.top - 4
 """
+
+# Customers as filers (``sources/filers.py``): what they file, and their figures by tier.
+FILERS = """
+cu AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, c_custkey AS k, c_nationkey AS n, c_mktsegment AS seg,
+              c_acctbal AS bal FROM customer),
+oq AS (
+  SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(quarter(o_orderdate) AS INTEGER) AS q,
+         SUM(CASE WHEN o_orderpriority = '5-LOW' THEN -p ELSE p END) AS rev,
+         SUM(CASE o_orderstatus WHEN 'F' THEN 2 * p WHEN 'O' THEN -p ELSE p END) AS oi,
+         SUM(CASE o_orderstatus WHEN 'F' THEN p WHEN 'O' THEN -p ELSE 3 * p END) AS ni,
+         SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN p END) AS urgent,
+         SUM(CASE WHEN o_orderpriority <> '1-URGENT' THEN p END) AS other,
+         SUM(p) AS total, CAST(COUNT(*) AS DECIMAL(18,2)) AS cnt
+  FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS p FROM orders) GROUP BY ALL),
+oy AS (
+  SELECT cu.cik, cu.n, cu.seg, o.yr, o.q, o.urgent, o.other, o.cnt,
+         SUM(o.rev) OVER w AS rev, SUM(o.oi) OVER w AS oi, SUM(o.ni) OVER w AS ni, SUM(o.total) OVER w AS total,
+         SUM(o.cnt) OVER w * 100 AS da
+  FROM oq o JOIN cu ON cu.k = o.k AND cu.bal >= 0
+  WINDOW w AS (PARTITION BY o.k, o.yr ORDER BY o.q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+filed AS (SELECT *, CASE WHEN q = 4 THEN 'FY' ELSE 'Q' || q END AS p FROM oy WHERE seg <> 'HOUSEHOLD' OR q = 4),
+ff AS (
+  SELECT *, 'RevenueFromContractWithCustomerExcludingAssessedTax' AS tag, rev AS v, q AS qtrs, p AS fp
+  FROM filed WHERE n % 8 = 0
+  UNION ALL SELECT *, 'Revenues', rev, q, p FROM filed WHERE n % 8 = 1 OR (n % 8 = 5 AND yr < 1997)
+  UNION ALL SELECT *, 'SalesRevenueNet', rev, q, p FROM filed WHERE n % 8 IN (2, 5)
+  UNION ALL SELECT *, 'SalesRevenueGoodsNet', rev, q, p FROM filed WHERE n % 8 = 3
+  UNION ALL SELECT *, 'SalesRevenueServicesAndOtherNet', rev, q, p FROM filed WHERE n % 8 = 4
+  UNION ALL SELECT *, 'EarningsBeforeInterestTaxesDepreciationAndAmortization', total, q, p FROM filed WHERE n % 3 = 0
+  UNION ALL SELECT *, 'OperatingIncomeLoss', oi, q, p FROM filed
+  UNION ALL SELECT *, 'DepreciationAndAmortization', da, q, p FROM filed WHERE n % 3 <> 2
+  UNION ALL SELECT *, 'NetIncomeLoss', ni, q, p FROM filed WHERE n % 8 <> 7
+  UNION ALL SELECT *, 'CashCashEquivalentsAndShortTermInvestments', total, NULL, p FROM filed WHERE n % 2 = 0
+  UNION ALL SELECT *, 'CashAndCashEquivalentsAtCarryingValue', urgent, NULL, p FROM filed WHERE n % 4 IN (1, 2)
+  UNION ALL SELECT *, 'ShortTermInvestments', other, NULL, p FROM filed WHERE n % 4 IN (1, 2)
+  UNION ALL SELECT *, 'LongTermDebtNoncurrent', other, NULL, p FROM filed WHERE n % 2 = 0
+  UNION ALL SELECT *, 'LongTermDebtCurrent', urgent, NULL, p FROM filed WHERE n % 2 = 1
+  UNION ALL SELECT *, 'ShortTermBorrowings', cnt * 7, NULL, p FROM filed WHERE n % 2 = 1
+  UNION ALL SELECT *, 'CommonStockSharesOutstanding', cnt * 1000, NULL, p FROM filed WHERE n % 3 <> 1
+  UNION ALL SELECT *, 'EntityCommonStockSharesOutstanding', cnt * 3000, NULL, p FROM filed WHERE n % 3 <> 0
+  UNION ALL SELECT *, 'ContractWithCustomerLiabilityCurrent', cnt * 11, NULL, CASE WHEN n <> 13 THEN p END
+            FROM filed WHERE n % 5 IN (0, 3) AND q IN (1, 3)
+  UNION ALL SELECT *, 'ContractWithCustomerLiabilityNoncurrent', cnt * 13, NULL, CASE WHEN n <> 13 THEN p END
+            FROM filed WHERE n % 5 IN (0, 3)
+  UNION ALL SELECT *, 'DeferredRevenueCurrent', cnt * 17, NULL, p FROM filed WHERE n % 5 IN (1, 3)
+  UNION ALL SELECT *, 'DeferredRevenueNoncurrent', cnt * 19, NULL, p FROM filed WHERE n % 5 IN (1, 3) AND q > 2
+  UNION ALL SELECT *, 'DeferredRevenue', cnt * 23, NULL, p FROM filed WHERE n % 5 IN (2, 3)),
+roles(metric, rnk, tag, kind, out_tag) AS (VALUES
+  ('revenue', 1, 'RevenueFromContractWithCustomerExcludingAssessedTax', 'flow', NULL), ('revenue', 2, 'Revenues', 'flow', NULL),
+  ('revenue', 3, 'SalesRevenueNet', 'flow', NULL), ('revenue', 4, 'SalesRevenueGoodsNet', 'flow', NULL),
+  ('revenue', 5, 'SalesRevenueServicesAndOtherNet', 'flow', NULL),
+  ('ebitda', 1, 'EarningsBeforeInterestTaxesDepreciationAndAmortization', 'flow', NULL),
+  ('ebitda', 2, 'OperatingIncomeLoss', 'left', NULL), ('ebitda', 2, 'DepreciationAndAmortization', 'right', NULL),
+  ('net_income', 1, 'NetIncomeLoss', 'flow', NULL), ('operating_income', 1, 'OperatingIncomeLoss', 'point', NULL),
+  ('cash', 1, 'CashCashEquivalentsAndShortTermInvestments', 'point', NULL),
+  ('cash', 2, 'CashAndCashEquivalentsAtCarryingValue', 'sum', 'CashAndCashEquivalentsAtCarryingValue(+ShortTermInvestments)'),
+  ('cash', 2, 'ShortTermInvestments', 'sum', 'CashAndCashEquivalentsAtCarryingValue(+ShortTermInvestments)'),
+  ('debt', 1, 'LongTermDebtNoncurrent', 'sum', 'LongTermDebtNoncurrent+LongTermDebtCurrent+ShortTermBorrowings'),
+  ('debt', 1, 'LongTermDebtCurrent', 'sum', 'LongTermDebtNoncurrent+LongTermDebtCurrent+ShortTermBorrowings'),
+  ('debt', 1, 'ShortTermBorrowings', 'sum', 'LongTermDebtNoncurrent+LongTermDebtCurrent+ShortTermBorrowings'),
+  ('shares', 1, 'CommonStockSharesOutstanding', 'point', NULL), ('shares', 2, 'EntityCommonStockSharesOutstanding', 'point', NULL),
+  ('deferred_revenue', 1, 'ContractWithCustomerLiabilityCurrent', 'sum', 'DeferredRevenue(Total)'),
+  ('deferred_revenue', 1, 'ContractWithCustomerLiabilityNoncurrent', 'sum', 'DeferredRevenue(Total)'),
+  ('deferred_revenue', 2, 'DeferredRevenueCurrent', 'sum', 'DeferredRevenue(Total)'),
+  ('deferred_revenue', 2, 'DeferredRevenueNoncurrent', 'sum', 'DeferredRevenue(Total)'),
+  ('deferred_revenue', 3, 'DeferredRevenue', 'point', NULL)),
+chosen AS (
+  SELECT f.cik, r.metric, r.kind, f.tag, r.out_tag, f.yr, f.q, f.fp, f.qtrs, CAST(f.v AS DECIMAL(30,4)) AS v,
+         CASE WHEN f.seg = 'MACHINERY' THEN '20-F' WHEN f.q = 4 THEN '10-K' ELSE '10-Q' END AS form
+  FROM ff f JOIN roles r USING (tag) WHERE f.v IS NOT NULL
+  QUALIFY r.rnk = min(r.rnk) OVER (PARTITION BY f.cik, r.metric)),
+single AS (
+  SELECT *, CASE WHEN kind IN ('flow', 'left', 'right') AND lag(qtrs) OVER w = qtrs - 1 THEN v - lag(v) OVER w ELSE v END AS val
+  FROM chosen WHERE kind <> 'sum'
+  WINDOW w AS (PARTITION BY cik, metric, tag, form, yr ORDER BY q)),
+rowset AS (
+  SELECT cik, metric, tag, form, yr, q, fp, val, kind FROM single WHERE kind IN ('flow', 'point')
+  UNION ALL
+  SELECT a.cik, a.metric, 'OperatingIncomeLoss+DepreciationAndAmortization', a.form, a.yr, a.q, a.fp, a.val + b.val, 'flow'
+  FROM single a JOIN single b USING (cik, metric, form, yr, q) WHERE a.kind = 'left' AND b.kind = 'right'
+  UNION ALL
+  SELECT cik, metric, out_tag, form, yr, q, fp, SUM(v), 'point' FROM chosen
+  WHERE kind = 'sum' AND fp IS NOT NULL GROUP BY ALL),
+best_form AS (
+  SELECT *, CASE form WHEN '10-Q' THEN 1 WHEN '10-K' THEN 2 ELSE 3 END AS ft FROM rowset
+  QUALIFY ft = min(ft) OVER (PARTITION BY cik, metric)),
+numbered AS (SELECT *, CAST(val AS DOUBLE) AS d, row_number() OVER (PARTITION BY cik, metric ORDER BY yr DESC, q DESC) AS rn
+             FROM best_form),
+fig AS (
+  SELECT cik, metric, max(d) FILTER (rn = 1) AS lq, max(d) FILTER (rn = 1) * 4.0 AS annualized,
+         CASE WHEN count(*) >= 4 THEN CAST(sum(val) FILTER (rn <= 4) AS DOUBLE) END AS ltm,
+         CASE WHEN max(d) FILTER (rn = 5) <> 0 THEN
+              (max(d) FILTER (rn = 1) - max(d) FILTER (rn = 5)) / max(d) FILTER (rn = 5) * 100.0 END AS yoy,
+         max(tag) FILTER (rn = 1) AS tag, max(form) FILTER (rn = 1) AS form, max(yr) FILTER (rn = 1) AS yr,
+         max(q) FILTER (rn = 1) AS q, max(fp) FILTER (rn = 1) AS fp
+  FROM numbered GROUP BY cik, metric),
+last_filed AS (SELECT o_custkey AS k, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS d FROM orders GROUP BY 1),
+wide AS (
+  SELECT cu.cik,
+         COALESCE(CAST(last_day(make_date(COALESCE(r.yr, ni.yr, oi.yr), COALESCE(r.q, ni.q, oi.q) * 3, 1)) AS VARCHAR), lf.d)
+           AS report_date,
+         COALESCE(r.yr, ni.yr, oi.yr) AS fiscal_year, COALESCE(r.fp, ni.fp, oi.fp) AS fiscal_period,
+         r.lq AS revenue_lq, r.annualized AS revenue_annualized, r.ltm AS revenue_ltm, r.yoy AS revenue_yoy,
+         e.lq AS ebitda_lq, e.annualized AS ebitda_annualized, e.ltm AS ebitda_ltm, e.yoy AS ebitda_yoy,
+         CASE WHEN (e.yr, e.q, e.form) = (r.yr, r.q, r.form) AND r.lq > 0 AND abs(e.lq / r.lq * 100.0) <= 100
+              THEN e.lq / r.lq * 100.0 END AS ebitda_margin,
+         ni.lq AS net_income_lq, ni.annualized AS net_income_annualized, ni.ltm AS net_income_ltm, ni.yoy AS net_income_yoy,
+         CASE WHEN (ni.yr, ni.q, ni.form) = (r.yr, r.q, r.form) AND r.lq > 0 AND abs(ni.lq / r.lq * 100.0) <= 100
+              THEN ni.lq / r.lq * 100.0 END AS net_income_margin,
+         CAST(NULL AS DOUBLE) AS gross_profit_lq, CAST(NULL AS DOUBLE) AS gross_margin,
+         CAST(NULL AS DOUBLE) AS operating_income_lq, CAST(NULL AS DOUBLE) AS operating_margin,
+         CAST(NULL AS DOUBLE) AS cfo_lq, CAST(NULL AS DOUBLE) AS capex_lq, CAST(NULL AS DOUBLE) AS fcf_lq,
+         ca.lq AS cash_sti, de.lq AS total_debt, sh.lq AS shares_outstanding,
+         CASE WHEN cu.bal > 1000 THEN cu.bal END AS stock_price,
+         CASE WHEN cu.bal > 1000 THEN cu.bal * sh.lq END AS market_cap, dr.lq AS deferred_revenue
+  FROM cu LEFT JOIN last_filed lf ON lf.k = cu.k
+  LEFT JOIN fig r ON r.cik = cu.cik AND r.metric = 'revenue' LEFT JOIN fig e ON e.cik = cu.cik AND e.metric = 'ebitda'
+  LEFT JOIN fig ni ON ni.cik = cu.cik AND ni.metric = 'net_income'
+  LEFT JOIN fig oi ON oi.cik = cu.cik AND oi.metric = 'operating_income'
+  LEFT JOIN fig ca ON ca.cik = cu.cik AND ca.metric = 'cash' LEFT JOIN fig de ON de.cik = cu.cik AND de.metric = 'debt'
+  LEFT JOIN fig sh ON sh.cik = cu.cik AND sh.metric = 'shares'
+  LEFT JOIN fig dr ON dr.cik = cu.cik AND dr.metric = 'deferred_revenue')
+"""
+
+ORACLES["fundamentals_tiers"] = with_ctes(FILERS) + "SELECT * FROM wide"
+
+ORACLES["audit_tiers"] = with_ctes(FILERS) + """
+SELECT f.cik, w.report_date, w.fiscal_year, w.fiscal_period,
+       CASE f.metric WHEN 'cash' THEN 'cash_sti' WHEN 'debt' THEN 'total_debt' WHEN 'shares' THEN 'shares_outstanding'
+                     WHEN 'deferred_revenue' THEN 'deferred_revenue' ELSE f.metric || '_lq' END AS metric,
+       f.lq AS value, f.tag AS source_tag, CASE WHEN f.metric = 'shares' THEN 'shares' ELSE 'USD' END AS unit,
+       CAST(0 AS INTEGER) AS scale_applied, f.form, f.yr AS fy, f.fp
+FROM fig f JOIN wide w USING (cik) WHERE f.metric <> 'operating_income'
+"""
+
+SUBMISSIONS = """
+filing AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) - 1 AS pos,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '10-K' WHEN '2-HIGH' THEN '10-Q' WHEN '3-MEDIUM' THEN 'S-1' ELSE '8-K' END AS form,
+         lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '-' || strftime(o_orderdate, '%y') || '-'
+           || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS accession,
+         'd' || o_orderkey || '.htm' AS document, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS filing_date
+  FROM orders)
+"""
+
+ORACLES["submissions_scan"] = with_ctes(SUBMISSIONS) + """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, CASE WHEN c_acctbal >= 0 THEN c_name ELSE 'operating' END AS name,
+       CASE WHEN c_nationkey > 0 THEN CAST(c_nationkey AS VARCHAR) END AS business_state, c_mktsegment AS state_incorp,
+       CAST(c_nationkey AS VARCHAR) AS sic, CAST(NULL AS VARCHAR) AS sic_description, '1231' AS fiscal_year_end,
+       f.pos, f.form, f.accession, f.document, f.filing_date
+FROM customer LEFT JOIN filing f ON f.cik = lpad(CAST(c_custkey AS VARCHAR), 10, '0')
+"""
+
+ORACLES["companies_both"] = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik,
+       c_acctbal >= 0 AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
+                                  AND (c_mktsegment <> 'HOUSEHOLD' OR quarter(o_orderdate) = 4)) AS loaded
+FROM customer
+"""
+
+ORACLES["directory_scan"] = ORACLES["symbol_filter"]
