@@ -13,18 +13,27 @@ more are generalised and those at ``REMOVE`` or more are removed. Besides the
 value itself, all values of a person (local part of an address) and of a
 domain are an entity each. Low counts are estimated low: half a text more has
 the term, and the part is discounted by n/(n + 1) for n shared texts, so a
-single text proves nothing and two may. Texts of equal words count once.
+single text proves nothing and two may. Texts of equal words count once, and
+so do edited copies among the texts that share an entity: a text is left out
+of all counts if an earlier one has at least ``NEAR`` of their common five-word
+shingles. Shingles are compared by the ``SKETCH`` least hashes (all of them, in
+a text of so few), pairs are found by eight bands of two hashes each, and each
+text meets the first one of its band, so a crowded band makes no pairs. Copies
+that are not counted are judged and cleaned like any other.
 
 Native: DataFrame functions only. Scale: base spans need no shuffle. Terms are
 counted over the documents once, and only if two different texts share an
 entity; documents with such entities are joined, on the row, with their terms
 that are rare enough to reach ``GENERALISE``, a row of many entities in parts
 of ``PART_ENTITIES``. Counts are partial aggregates. No row is dropped and no
-group is collected, but the terms of one document.
-
-Defined results: null text is empty; rows that repeat are judged alike and
-count as one document; null ids are kept; an empty table gives an empty result;
-extra columns are carried through.
+group is collected, but the terms of one document. Texts are shuffled only
+where they hold personal data and the other side is too large; a table is
+broadcast only if its measured bytes are within ``BROADCAST_BYTES``.
+
+Defined results: null text is empty; texts of any length are read whole; rows
+that repeat are judged alike and count as one document; of equal or near texts
+the first row counts; null ids are kept; an empty table gives an empty result;
+extra columns of any name are carried through.
 """
 
 from __future__ import annotations
@@ -32,7 +41,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, fresh, let, stage_table, words
+from ledgerline.llm.common import col, fresh, let, shingles, stage_table, words
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -47,8 +56,10 @@ GENERALISE, REMOVE = 0.5, 0.8
 PUNCTUATION = ".,;:!?()[]{}<>\"'`…«»„“”‘’*_|/\\-"
 #: Entities of one row that are joined together.
 PART_ENTITIES = 64
-#: Rows of a term table (about 60 bytes a row) up to which it is broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 100_000
+#: Measured size up to which a table is broadcast; larger ones are shuffled. A row counts ``ROW_BYTES`` and its texts.
+BROADCAST_BYTES, ROW_BYTES = 8 << 20, 60
+#: Edited copies: words of a shingle, least similarity, hashes kept of a text, bands of two hashes.
+SHINGLE_WORDS, NEAR, SKETCH, BANDS = 5, 0.8, 128, 8
 
 #: Matches whose places are summed together.
 CHUNK = 64
@@ -142,42 +153,80 @@ def _entities(spans: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(spans, names)))
 
 
-def _bounded(n: int):
-    return F.broadcast if n <= BROADCAST_ROWS else (lambda df: df)
+def _bounded(df: DataFrame, *texts: Column) -> DataFrame:
+    """``df``, a written table, to be broadcast if it is small by its measured bytes, else shuffled."""
+    size = df.agg(F.sum(sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(ROW_BYTES)).cast("long"))).first()[0]
+    return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df.hint("merge")
+
+
+def _sketch(text: Column) -> Column:
+    """The ``SKETCH`` least hashes of the text's shingles, ascending."""
+    h = F.array_distinct(shingles(words(F.lower(text)), SHINGLE_WORDS, lambda x: F.xxhash64(x)))
+    return F.slice(F.sort_array(h), 1, SKETCH)
+
+
+def _bands(sketch: Column) -> Column:
+    """Each band is the least hashes of two of the ``2 * BANDS`` classes that hashes fall in."""
+    least = F.transform(F.sequence(F.lit(0), F.lit(2 * BANDS - 1)), lambda b: F.array_min(F.filter(sketch, lambda x: F.pmod(x, F.lit(2 * BANDS)) == b)))
+    return let(least, lambda m: F.array(*[F.xxhash64(F.lit(i), F.coalesce(m[2 * i], F.lit(0)), F.coalesce(m[2 * i + 1], F.lit(0))) for i in range(BANDS)]))
+
+
+def _similarity(a: Column, b: Column) -> Column:
+    """Share of common shingles among the least ``SKETCH`` of both texts; exact where both together have no more."""
+    return let(F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH),
+               lambda u: F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u))
+
+
+def edited_copies(texts: DataFrame, near: float = NEAR) -> DataFrame:
+    """(row): the rows of ``texts`` (row, sketch) that are near an earlier one."""
+    keys = texts.select("row", F.explode(F.array_distinct(_bands(F.col("sketch")))).alias("band"))
+    firsts = keys.groupBy("band").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    pairs = stage_table(keys.join(firsts, "band").where("row <> first").select("row", "first").distinct(), "near_pairs")
+    known = texts.select(F.col("row").alias("first"), F.col("sketch").alias("earlier"))
+    both = pairs.join(texts, "row").join(known, "first")
+    return both.where(_similarity(F.col("sketch"), F.col("earlier")) >= near).select("row").distinct()
 
 
 def revealing_terms(d: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame | None:
-    """(entity, term, removed): terms that give away ``generalise`` of an entity or more; None if no two texts share an entity.
+    """(entity, term, removed, share): terms that give away ``generalise`` of an entity or more; None if no two texts share an entity.
 
     ``d`` has ``row``, ``t`` and the base ``spans`` of all documents.
     """
-    own = stage_table(d.select("row", F.md5(F.lower(F.array_join(words(F.col("t")), " "))).alias("text"), _entities(F.col("spans")).alias("names")), "texts")
+    some = F.size("spans") > 0
+    own = stage_table(d.select("row", F.md5(F.lower(F.array_join(words(F.col("t")), " "))).alias("text"), _entities(F.col("spans")).alias("names"),
+                               F.when(some, _sketch(F.col("t"))).alias("sketch")), "texts")
     again = stage_table(own.groupBy("text").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("text", "first"), "repeated")
-    copies = stage_table(own.join(_bounded(again.count())(again), "text").where("row <> first").select("row"), "copies")
-    n_copies = copies.count()
-    once = lambda df: df.join(_bounded(n_copies)(copies), "row", "left_anti")
-    n = own.count() - n_copies
-    mine = once(own).select("row", F.ceil(F.size("names") / PART_ENTITIES).cast("int").alias("parts"), F.explode("names").alias("entity"))
+    copies = stage_table(own.join(_bounded(again, F.col("text")), "text").where("row <> first").select("row"), "copies")
+    total = own.count()
+    held = own.where(F.size("names") > 0).join(_bounded(copies), "row", "left_anti")
+    name = held.select("row", F.explode("names").alias("entity"))
+    common = stage_table(name.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") > 1).select("entity"), "common")
+    sharing = name.join(_bounded(common, F.col("entity")), "entity").select("row").distinct()
+    near = edited_copies(stage_table(held.select("row", "sketch").join(sharing, "row", "left_semi"), "sketches"))
+    copies = stage_table(copies.unionByName(near), "copies")
+    small = _bounded(copies)
+    n = total - copies.count()
+    mine = held.join(small, "row", "left_anti").select("row", F.ceil(F.size("names") / PART_ENTITIES).cast("int").alias("parts"), F.explode("names").alias("entity"))
     n_e = stage_table(mine.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where((F.col("n_e") > 1) & (F.col("n_e") < n)), "entities")
-    n_entities, most = n_e.agg(F.count(F.lit(1)), F.max("n_e")).first()
-    if not n_entities:
+    most = n_e.agg(F.max("n_e")).first()[0]
+    if not most:
         return None
     # an entity of n_e texts needs a term of no more than this many
     reach = lambda e: F.pow(F.lit(float(n)), 1 - generalise) * F.pow(e.cast("double"), F.lit(generalise))
-    mine = stage_table(mine.join(_bounded(n_entities)(n_e), "entity"), "shared")
+    mine = stage_table(mine.join(_bounded(n_e, F.col("entity")), "entity"), "shared")
     rows = stage_table(mine.select("row", "parts").distinct(), "rows")
     # counted for all terms first: common words are in nearly every document, and a join before the count would make a row of each
-    n_t = once(d).select(F.explode(_terms(F.col("t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_t = n_t.where((F.col("n_t") > 1) & (F.col("n_t") <= reach(F.lit(most))) & F.col("term").rlike(r"^\p{L}[\p{L}'’-]*$"))
-    here = d.select("row", "t").join(_bounded(rows.count())(rows), "row").select("row", "parts", F.explode(_terms(F.col("t"))).alias("term"))
-    here = here.join(stage_table(n_t, "terms"), "term").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    n_t = d.join(small, "row", "left_anti").select(F.explode(_terms(F.col("t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n_t = stage_table(n_t.where((F.col("n_t") > 1) & (F.col("n_t") <= reach(F.lit(most))) & F.col("term").rlike(r"^\p{L}[\p{L}'’-]*$")), "terms")
+    here = d.where(some).select("row", "t").join(_bounded(rows), "row").select("row", "parts", F.explode(_terms(F.col("t"))).alias("term"))
+    here = here.join(_bounded(n_t, F.col("term")), "term").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     mine = mine.withColumn("part", F.pmod(F.xxhash64("entity"), F.col("parts").cast("long")).cast("int")).drop("parts")
     pairs = mine.join(here.drop("parts"), ["row", "part"]).where(F.col("n_t") + 0.5 <= reach(F.col("n_e")))
     p = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_te")).where("n_te > 1")
     told = F.log2(F.col("n_te") * F.lit(float(n)) / ((F.col("n_t") + 0.5) * F.col("n_e")))
     whole = F.log2(F.lit(float(n)) / F.col("n_e"))
     p = p.withColumn("share", told / whole * F.col("n_te") / (F.col("n_te") + 1)).where(F.col("share") >= generalise)
-    return stage_table(p.select("entity", "term", (F.col("share") >= remove).alias("removed")), "revealing")
+    return stage_table(p.select("entity", "term", (F.col("share") >= remove).alias("removed"), "share"), "revealing")
 
 
 def _quoted(terms: Column) -> Column:
@@ -199,10 +248,13 @@ def find(docs: DataFrame, carry: list[str] | None = None, text_col: str = "text"
         return d.select(*[col(c) for c in carry], F.struct(col(t).alias("text"), col(spans).alias("base"), none.alias("terms"),
                                                           F.array().cast("array<string>").alias("removed")).alias(name))
     mine = seen.select("row", F.explode(_entities(F.col("spans"))).alias("entity"))
-    hit = mine.join(_bounded(told.count())(told), "entity").groupBy("row").agg(
+    hit = mine.join(_bounded(told, F.col("entity"), F.col("term")), "entity").groupBy("row").agg(
         F.collect_set("term").alias("hit"), F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("gone"))
     hit = stage_table(hit.select(F.struct("row", "hit", "gone").alias(mark)), "hit_rows")
-    j = d.join(_bounded(hit.count())(hit), col(row) == col(mark)["row"], "left")
+    # terms are marked only where an entity is: the other texts need no join
+    some, size = F.size(col(spans)) > 0, [F.array_join(col(mark)[x], " " * 16) for x in ("hit", "gone")]
+    j = d.where(some).join(_bounded(hit, *size), col(row) == col(mark)["row"], "left").unionByName(
+        d.where(~some).withColumn(mark, F.lit(None).cast(hit.schema[mark].dataType)))
     hits = col(mark)["hit"]
     free = lambda x: ~F.exists(col(spans), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
     terms = F.when(hits.isNull(), none).otherwise(F.filter(located(col(t), _quoted(hits), TERM), free))

@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+from collections import Counter
 
 import brute
 from pyspark.sql import functions as F
@@ -87,3 +89,94 @@ def test_edges(make):
     assert D.find(docs).count() == 5 and D.find(docs.limit(0)).count() == 0
     r = D.find(docs, carry=["doc_id"]).where("doc_id = 4").select(F.sha2(D.written(F.col("private.base")), 256)).first()[0]
     assert r == hashlib.sha256(brute.spans("call +1 (017) 555-7713 or 4111 1111 1111 1111").encode()).hexdigest()
+
+
+def brute_shares(texts):
+    """{(entity, term): share} by plain counting; a text near an earlier one (five-word shingles, 0.8) counts nowhere."""
+    def shingled(t):
+        w = t.lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    def names(t):
+        out = set()
+        for m in brute.spans(t).split(","):
+            kind, s, e = m.split(":") if m else ("", 0, 0)
+            if kind == "email":
+                v = t[int(s):int(e)].lower()
+                out |= {f"email:{v}", "person:" + v.split("@")[0], "domain:" + v.split("@")[1]}
+        return out
+
+    def terms(t):
+        return {w for w in (x.lower().strip(D.PUNCTUATION) for x in t.split()) if len(w) >= 3}
+
+    kept = []
+    for i, t in enumerate(texts):
+        near = lambda u: len(shingled(t) & shingled(u)) / len(shingled(t) | shingled(u)) >= .8
+        if not any(near(u) and names(t) & names(u) for u in texts[:i]):
+            kept.append((names(t), terms(t)))
+    n, n_e, n_t, n_te = len(kept), Counter(), Counter(), Counter()
+    for es, ts in kept:
+        n_e.update(es), n_t.update(ts), n_te.update((e, t) for e in es for t in ts)
+    out = {}
+    for (e, t), k in n_te.items():
+        if k > 1 and 1 < n_e[e] < n and t.isalpha():
+            share = math.log2(k * n / ((n_t[t] + .5) * n_e[e])) / math.log2(n / n_e[e]) * k / (k + 1)
+            if share >= D.GENERALISE:
+                out[e, t] = share
+    return out
+
+
+def test_shares_match_brute_force(spark):
+    """Random texts about a few addresses, some of them edited copies of earlier ones."""
+    rnd = random.Random(7)
+    vocabulary = ["".join(rnd.choice("bcdfglmnrst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(400)]
+    people = {f"{p}@{d}.example.org": rnd.sample(vocabulary, 3) for p, d in (("ann", "one"), ("bob", "two"), ("cy", "two"), ("dee", "three"))}
+    texts = []
+    for i in range(160):
+        w = rnd.choices(vocabulary, k=60)
+        if i % 3 == 0:
+            a = rnd.choice(sorted(people))
+            w[5], w[20], w[40] = a, rnd.choice(people[a]), rnd.choice(people[a])
+        texts.append(" ".join(w))
+        if i % 6 == 0:  # two edited copies: a new last word each
+            texts += [" ".join([*w[:-1], x]) for x in ("copyfirst", "copysecond")]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "row long, t string").withColumn("spans", D.base_spans(F.col("t")))
+    got = {(r["entity"], r["term"]): r["share"] for r in D.revealing_terms(d).collect()}
+    want = brute_shares(texts)
+    assert want and got.keys() == want.keys()
+    assert all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+
+
+def test_edited_copies_prove_nothing(make):
+    """Copies with a word changed reveal no word of theirs; the same words in different texts do."""
+    body = " ".join(f"w{i}x" for i in range(80))
+    rows = [(i, f"zumbelgard wrote {body} from boss@firm.example.org edit{i}") for i in range(12)]
+    rows += [(50 + i, f"other text number {i}") for i in range(40)]
+    assert all(not r["private"]["terms"] for r in find(make(rows)).values())
+    rows += [(90, "entirely different words of zumbelgard and boss@firm.example.org here")]
+    got = find(make(rows))
+    assert [x["value"] for x in got[3]["private"]["terms"]] == ["zumbelgard"] == [x["value"] for x in got[90]["private"]["terms"]]
+
+
+def test_edited_copies_of_a_crowded_band(spark):
+    """Texts that share most hashes of a band but little else stay apart; every near one is found."""
+    rnd = random.Random(5)
+    word = lambda: f"v{rnd.randrange(10 ** 6)}"
+    common = " ".join(word() for _ in range(40))
+    apart = [common + " " + " ".join(word() for _ in range(200)) for _ in range(60)]
+    base = [word() for _ in range(300)]
+    near = [" ".join([*base[:k], word(), *base[k + 1:]]) for k in range(0, 300, 10)]
+    df = spark.createDataFrame(list(enumerate(apart + near)), "row long, t string").select("row", D._sketch(F.col("t")).alias("sketch"))
+    got = {r["row"] for r in D.edited_copies(df).collect()}
+    assert got == set(range(61, 90))
+
+
+def test_large_tables_are_shuffled(make):
+    rows, old = fixture(make), D.BROADCAST_BYTES
+    want = {i: r["clean"] for i, r in find(make(rows)).items()}
+    D.BROADCAST_BYTES = -1
+    try:
+        assert {i: r["clean"] for i, r in find(make(rows)).items()} == want
+    finally:
+        D.BROADCAST_BYTES = old
