@@ -161,8 +161,8 @@ def _bounded(df: DataFrame, *texts: Column) -> DataFrame:
 
 def _sketch(text: Column) -> Column:
     """The ``SKETCH`` least hashes of the text's shingles, ascending."""
-    h = F.array_distinct(shingles(words(F.lower(text)), SHINGLE_WORDS, lambda x: F.xxhash64(x)))
-    return F.slice(F.sort_array(h), 1, SKETCH)
+    h = let(words(F.lower(text)), lambda w: shingles(w, SHINGLE_WORDS, lambda x: F.xxhash64(x)))
+    return F.slice(F.sort_array(F.array_distinct(h)), 1, SKETCH)
 
 
 def _bands(sketch: Column) -> Column:
