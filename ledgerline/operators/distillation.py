@@ -11,22 +11,27 @@ loss at the current scores and adds the multiple of it, out of ``STEPS``, that
 makes the loss smallest; one aggregate scores all multiples. A round that can't
 lower the training loss ends the fit. So the loss falls every round.
 
-Scale: a round is a distributed tree fit plus one aggregate; only losses and
-trees reach the driver. The scores are written every ``CUT`` rounds, so the plan stays
-short and a lost executor costs no more than these rounds.
+Scale: a score depends on the bins of the features alone, so the rows of one
+cell (equal bins) share it. Rows are gathered once into pieces of a cell, each
+with its labels as an array of at most about ``PIECE`` and its teacher values as
+count, mean and squared deviation. A round fits a tree to the pieces (their mean
+gradient, weighted by their rows) and reads the labels once for the losses; only
+losses and trees reach the driver. The scores are written every ``CUT`` rounds,
+so the plan stays short and a lost executor costs no more than these rounds.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import finite_or_null
 from ledgerline.operators.evaluation import KD_ALPHA
+from ledgerline.operators.models import fit_bins, without_bins
 from ledgerline.session import cut_lineage
 
 #: Multiples of a tree that a round may add.
@@ -34,30 +39,36 @@ STEPS = tuple(2.0 ** -k for k in range(-2, 11))
 #: Rounds between two written score tables.
 CUT = 8
 ROUNDS, MAX_DEPTH, PATIENCE = 100, 3, 10
+#: Labels of a piece of a cell.
+PIECE = 4096
 
 
 @dataclass
 class Student:
-    """``start`` plus the weighted trees of ``model``; ``losses`` after 0, 1, .. rounds on the training and the validation rows."""
+    """``start`` plus the weighted trees of ``model`` over the vector that ``bins`` makes of the features; ``losses`` after 0, 1, .. rounds on the training and the validation rows."""
 
     model: GBTRegressionModel | None
     start: float
     features: list[str]
+    bins: PipelineModel
     losses: list[tuple[float, float | None]]
 
 
-def _assembled(df: DataFrame, features: list[str], names: list[str]) -> DataFrame:
-    a = VectorAssembler(inputCols=features, outputCol="__features", handleInvalid="keep")
-    return a.transform(df).select(*names, "__features")
-
-
 def _weights(alpha: float, has_y: bool, has_t: bool) -> tuple[float, float]:
     return (alpha, 1.0 - alpha) if has_y and has_t else (1.0 * has_y, 1.0 * has_t)
 
 
-def _loss(score: Column, a: float, b: float, rows: Column) -> Column:
-    term = lambda w, x: F.lit(w) * F.coalesce(F.avg(F.when(rows, x)), F.lit(0.0))
-    return term(a, F.abs(score - F.col("__y"))) + term(b, (score - F.col("__t")) * (score - F.col("__t")))
+def _pieces(d: DataFrame, bins: PipelineModel) -> DataFrame:
+    """The rows (``__y``, ``__t``, ``__v``) as pieces of cells: ``__n`` rows, labels ``__ys``, teacher values as ``__nt``, ``__mt``, ``__dt``."""
+    cell = [*bins.stages[-1].getInputCols(), "__v"]
+    # ids are dealt in turn, so that a cell's rows go evenly to its pieces, equal ones too
+    rows = bins.transform(d).select(*cell, "__y", "__t", F.monotonically_increasing_id().alias("__id"))
+    large = rows.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(PIECE)).alias("__k")).where("__k > 1")
+    rows = rows.join(large, cell, "left").withColumn("__piece", F.pmod("__id", F.coalesce("__k", F.lit(1).cast("bigint"))))
+    pieces = rows.groupBy(*cell, "__piece").agg(
+        F.count(F.lit(1)).cast("double").alias("__n"), F.collect_list("__y").alias("__ys"), F.count("__t").alias("__nt"),
+        F.coalesce(F.avg("__t"), F.lit(0.0)).alias("__mt"), (F.coalesce(F.var_pop("__t"), F.lit(0.0)) * F.count("__t")).alias("__dt"))
+    return cut_lineage(bins.stages[-1].transform(pieces).select("__features", "__v", "__n", "__ys", "__nt", "__mt", "__dt"), "student")
 
 
 def fit_student(df: DataFrame, features: list[str], y: str | None, teacher: str | None, indicator: str | None = None,
@@ -71,32 +82,49 @@ def fit_student(df: DataFrame, features: list[str], y: str | None, teacher: str
     names = ["__y", "__t", "__v"]
     d = df.withColumns({"__y": num(y), "__t": num(teacher), "__v": F.col(indicator) if indicator else F.lit(False)})
     d = d.where(F.col("__y").isNotNull() | F.col("__t").isNotNull())
-    d = cut_lineage(_assembled(d, features, names), "student")
-    train, val = ~F.col("__v"), F.col("__v")
-    n, n_y, n_t, mean_y, mean_t = d.where(train).agg(F.count(F.lit(1)), F.count("__y"), F.count("__t"), F.avg("__y"), F.avg("__t")).first()
-    if not n:
+    d = cut_lineage(d.select(*[F.col(f"`{c}`") for c in features], *names), "student-rows")
+    train = ~F.col("__v")
+    seen = {r["__v"]: r for r in d.groupBy("__v").agg(
+        F.count(F.lit(1)).alias("n"), F.count("__y").alias("y"), F.count("__t").alias("t"),
+        F.avg("__y").alias("mean_y"), F.avg("__t").alias("mean_t")).collect()}
+    if False not in seen:
         raise ValueError("no training row has a label or a teacher value")
+    n, n_y, n_t, mean_y, mean_t = (seen[False][c] for c in ("n", "y", "t", "mean_y", "mean_t"))
     a, b = _weights(alpha, n_y > 0, n_t > 0)
     start = a * (mean_y or 0.0) + b * (mean_t or 0.0)
-    # minus the gradient by the score, times the rows, so that its size does not depend on the table's
+    bins = fit_bins(d.where(train), features, max_bins, "__features")
+    d = _pieces(d, bins).withColumn("__s", F.lit(start))
+    # minus the gradient by the score, times the rows, so that its size does not depend on the table's; the mean of a piece
     pull = F.lit(0.0)
     if n_y:
-        pull += F.coalesce(F.signum(F.col("__y") - F.col("__s")) * F.lit(a * n / n_y), F.lit(0.0))
+        signs = F.aggregate("__ys", F.lit(0.0), lambda acc, x: acc + F.signum(x - F.col("__s")))
+        pull += signs * F.lit(a * n / n_y)
     if n_t:
-        pull += F.coalesce((F.col("__t") - F.col("__s")) * F.lit(2 * b * n / n_t), F.lit(0.0))
-    d = d.withColumn("__s", F.lit(start))
-    tree = DecisionTreeRegressor(featuresCol="__features", labelCol="__g", predictionCol="__p", maxDepth=max_depth, maxBins=max_bins, seed=seed)
+        pull += (F.col("__mt") - F.col("__s")) * F.col("__nt") * F.lit(2 * b * n / n_t)
+    pull /= F.col("__n")
+    tree = DecisionTreeRegressor(featuresCol="__features", labelCol="__g", predictionCol="__p", weightCol="__n", maxDepth=max_depth,
+                                 maxBins=max_bins + 1, seed=seed)
 
     def scored(d: DataFrame, steps: tuple[float, ...]) -> list[tuple[float, float | None]]:
         p = F.col("__p") if "__p" in d.columns else F.lit(0.0)
-        row = d.agg(*[c for k, s in enumerate(steps) for c in (
-            _loss(F.col("__s") + F.lit(s) * p, a, b, train).alias(f"t{k}"), _loss(F.col("__s") + F.lit(s) * p, a, b, val).alias(f"v{k}"))],
-            F.count_if(val).alias("n_val")).first()
-        return [(row[f"t{k}"], row[f"v{k}"] if row["n_val"] else None) for k in range(len(steps))]
+        at = [(F.col("__s") + F.lit(s) * p).alias(f"s{k}") for k, s in enumerate(steps)]
+        y = d.select("__v", "__s", p.alias("__p"), F.explode("__ys").alias("y"))
+        y = y.groupBy("__v").agg(*[F.sum(F.abs(F.col("__s") + F.lit(s) * F.col("__p") - F.col("y"))).alias(f"s{k}") for k, s in enumerate(steps)])
+        t = d.select("__v", "__nt", "__mt", "__dt", *at)
+        t = t.groupBy("__v").agg(*[F.sum(F.col("__dt") + F.col("__nt") * (F.col("__mt") - F.col(f"s{k}")) * (F.col("__mt") - F.col(f"s{k}"))).alias(f"s{k}")
+                                   for k in range(len(steps))])
+        sums = {(r["of"], r["__v"]): r for r in y.withColumn("of", F.lit("y")).unionByName(t.withColumn("of", F.lit("t"))).collect()}
+
+        def loss(v: bool, k: int) -> float | None:
+            if v not in seen:
+                return None
+            return sum(w * sums[of, v][f"s{k}"] / seen[v][of] for of, w in (("y", a), ("t", b)) if seen[v][of])
+
+        return [(loss(False, k), loss(True, k)) for k in range(len(steps))]
 
     losses, trees, weights = scored(d, (0.0,)), [], []
     while len(trees) < rounds:
-        fitted = tree.fit(d.where(train).withColumn("__g", pull).select("__features", "__g"))
+        fitted = tree.fit(d.where(train).withColumn("__g", pull).select("__features", "__g", "__n"))
         d2 = fitted.transform(d)
         after = scored(d2, STEPS)
         k = min(range(len(STEPS)), key=lambda i: after[i][0])
@@ -111,7 +139,7 @@ def fit_student(df: DataFrame, features: list[str], y: str | None, teacher: str
         if losses[0][1] is not None and len(trees) - min(range(len(losses)), key=lambda i: losses[i][1]) >= patience:
             break
     kept = len(trees) if losses[0][1] is None else min(range(len(losses)), key=lambda i: losses[i][1])
-    return Student(_ensemble(df, trees[:kept], weights[:kept]), start, features, losses)
+    return Student(_ensemble(df, trees[:kept], weights[:kept]), start, features, bins, losses)
 
 
 def _ensemble(df: DataFrame, trees: list, weights: list[float]) -> GBTRegressionModel | None:
@@ -131,6 +159,6 @@ def predict_student(fit: Student, df: DataFrame, name: str = "prediction") -> Da
     """``df`` with the student's prediction."""
     if fit.model is None:
         return df.withColumn(name, F.lit(fit.start))
-    a = VectorAssembler(inputCols=fit.features, outputCol="__features", handleInvalid="keep")
     model = fit.model.setFeaturesCol("__features").setPredictionCol(name)
-    return model.transform(a.transform(df)).withColumn(name, F.col(name) + F.lit(fit.start)).drop("__features")
+    scored = model.transform(fit.bins.transform(df)).withColumn(name, F.col(name) + F.lit(fit.start))
+    return without_bins(scored.drop("__features"), fit.features)

@@ -215,3 +215,55 @@ def test_student_stops_at_the_best_validation_round(spark, tmp_path):
     assert GBTRegressionModel.load(str(tmp_path / "m")).getNumTrees == best
     only = K.fit_student(df, ["x1", "x2"], None, "t", rounds=2)
     assert only.losses[-1][0] < only.losses[0][0]
+
+
+def _cell_rows(spark, n=3000):
+    rng = np.random.default_rng(5)
+    rows = [(i, float(rng.integers(0, 6)), float(rng.integers(0, 4)) if i % 11 else None, float(rng.integers(1, 4))) for i in range(n)]
+    return spark.createDataFrame([(i, a, b, w, 2 * a + (9 if b and b > 1 else 0) + float(rng.integers(0, 3))) for i, a, b, w in rows],
+                                 "k long, x1 double, x2 double, w double, label double")
+
+
+def test_boosting_reads_cells_and_equals_a_fit_on_rows(spark, monkeypatch):
+    """Rounds read a row a cell, not every row; trees and predictions are those of the rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from ledgerline.operators import models as ML
+    df, params, seen = _cell_rows(spark), {"n_estimators": 8, "max_depth": 3, "learning_rate": 0.3}, []
+    plain = df.fillna(99.0, ["x2"])
+    stages = [VectorAssembler(inputCols=["x1", "x2"], outputCol="features"), ML.gbt(params, 42, "label", "w")]
+    want = {r.k: r.prediction for r in Pipeline(stages=stages).fit(plain).transform(plain).collect()}
+    own = ML.GBTRegressor.fit
+    monkeypatch.setattr(ML.GBTRegressor, "fit", lambda self, d: (seen.append(d.count()), own(self, d))[1])
+    fit = ML.train_model(df, ["x1", "x2"], "label", params, 42, "w")
+    assert seen == [6 * 5]
+    got = {r.k: r.prediction for r in ML.predict(fit, df).collect()}
+    assert np.allclose([got[k] for k in want], list(want.values()))
+    assert " in {" not in fit.model.stages[-1].toDebugString  # bins are split in order
+    assert ML.predict(fit, df).columns == [*df.columns, "prediction"]
+    nan = df.withColumn("x2", F.coalesce("x2", F.lit(float("nan"))))
+    assert {r.k: r.prediction for r in ML.predict(fit, nan).collect()} == got
+
+
+def test_bins_of_a_feature_with_many_values_are_even(spark):
+    from ledgerline.operators import models as ML
+    df = spark.range(20_000).select((F.col("id") * F.col("id")).cast("double").alias("x"), F.lit(3.0).alias("c"))
+    binned = ML.fit_bins(df, ["x", "c"]).transform(df)
+    counts = [r["count"] for r in binned.groupBy("__bin0").count().collect()]
+    assert len(counts) == ML.BINS and max(counts) < 1.2 * min(counts)
+    assert binned.select("__bin1").distinct().count() == 1
+
+
+def test_student_reads_pieces_of_cells(spark, monkeypatch):
+    """A tree is fitted to a row a cell; a cell cut in pieces gives the same losses."""
+    from ledgerline.operators import distillation as K
+    df, seen = _cell_rows(spark, 1200).withColumn("t", F.when(F.col("k") % 3 != 0, F.col("label") + 1)), []
+    own = K.DecisionTreeRegressor.fit
+    monkeypatch.setattr(K.DecisionTreeRegressor, "fit", lambda self, d: (seen.append(d.count()), own(self, d))[1])
+    fit = lambda: K.fit_student(df, ["x1", "x2"], "label", "t", rounds=4)
+    whole = fit().losses
+    assert max(seen) == 6 * 5
+    seen.clear()
+    monkeypatch.setattr(K, "PIECE", 10)
+    assert np.allclose([a for a, _ in fit().losses], [a for a, _ in whole]) and min(seen) > 6 * 5
