@@ -17,6 +17,8 @@ spread over many tasks; the per-(cik, metric) top-n is computed map-side
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -253,6 +255,10 @@ def resolve_series(facts: DataFrame, mmap: DataFrame, kinds: set[tuple[str, bool
     return out
 
 
+#: Rows of a task that sorts facts.
+TASK_ROWS = 500_000
+
+
 def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
                   kinds: set[tuple[str, bool]] | None = None, ranged_lag: bool = False) -> DataFrame:
     """The newest ``n`` rows of every (company, metric) with the tag/tier choice
@@ -268,17 +274,28 @@ def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
     nothing), as in the reference. Same output as
     ``latest_rows(resolve_series(...), n)``. ``ranged_lag`` de-accumulates with
     ``to_quarterly_ranged`` (for inputs where one group may be huge).
+
+    The tagged facts are written once, as every branch reads them. They are
+    dealt by the de-accumulation's key over as many tasks as their number
+    asks for, so the memory of the sorts does not grow with the input.
     """
+    from ledgerline.session import cut_lineage
     kinds = kinds if kinds is not None else {("first", True), ("first", False), ("sum", False), ("join", True)}
     combines = {c for c, _ in kinds}
-    t = attach_metric_map(facts, mmap)
-    has_flow = any(qf for _, qf in kinds)
-    if has_flow and ranged_lag:
-        t = _ranged_w1(t)
-        val = F.col("val")
-    else:
-        val = F.when(F.col("quarterly"), to_quarterly_col()).otherwise(F.col("val")) if has_flow else F.col("val")
-    q = t.select(*[c for c in t.columns if c != "val"], val.alias("val"), _rank_key().alias("rank_key"))
+    t = cut_lineage(attach_metric_map(facts, mmap).withColumn("rank_key", _rank_key()), "tagged-facts")
+    tasks = -(-t.count() // TASK_ROWS) or 1
+
+    def branch(combine: str, quarterly: bool) -> DataFrame:
+        part = t.where((F.col("combine") == combine) & (F.col("quarterly") if quarterly else ~F.col("quarterly")))
+        if quarterly and ranged_lag:
+            return to_quarterly_ranged(part)
+        if quarterly or combine == "first":
+            part = part.repartition(tasks, *QUARTER_GROUP)
+        return to_quarterly(part) if quarterly else part
+
+    def rows_of(combine: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [branch(combine, q) for c, q in sorted(kinds) if c == combine])
+
     cols = SERIES_COLUMNS + ["rank_key", "valid"]
     parts: list[DataFrame] = []
 
@@ -288,22 +305,21 @@ def latest_series(facts: DataFrame, mmap: DataFrame, n: int,
         return df.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in cols])
 
     if "first" in combines:
-        first = q.where(F.col("combine") == "first")
         valid = {"valid": F.lit(True)}
         if ("first", True) in kinds:
-            parts.append(fin(first.where(F.col("quarterly")), "quarterly", order_keys("quarterly"), valid))
+            parts.append(fin(branch("first", True), "quarterly", order_keys("quarterly"), valid))
         if ("first", False) in kinds:
-            parts.append(fin(first.where(~F.col("quarterly")), "raw", order_keys("raw"), valid))
+            parts.append(fin(branch("first", False), "raw", order_keys("raw"), valid))
     if "sum" in combines:
         period = ["end", "form", "fy", "fp"]
         valid = F.col("end").isNotNull() & F.col("form").isNotNull() & F.col("fy").isNotNull() & F.col("fp").isNotNull()
-        summed = (q.where(F.col("combine") == "sum").withColumn("valid", valid)
+        summed = (rows_of("sum").withColumn("valid", valid)
                   .groupBy("cik", "metric", "rank_key", "valid", *period)
                   .agg(F.sum("val").alias("val"), F.max("out_tag").alias("tag"))
                   .withColumns({"unit": F.lit("USD"), "qtrs": F.lit(None).cast("int"), "scale_applied": F.lit(0)}))
         parts.append(fin(summed, "sum", order_keys("sum")))
     if "join" in combines:
-        jq = q.where(F.col("combine") == "join")
+        jq = rows_of("join")
         joined = join_on_period(jq.where(F.col("priority") == 1), jq.where(F.col("priority") == 2),
                                 extra_keys=["cik", "metric", "rank_key"])
         joined = joined.select(

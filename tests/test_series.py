@@ -276,3 +276,30 @@ def test_ranged_lag_option_in_series_paths(spark, sf_dir):
                   .select("cik", "metric", "val", "end").collect())
     full0 = sorted(tuple(r) for r in resolve_series(f, mm, checkpoint=False).select("cik", "metric", "val", "end").collect())
     assert full == full0
+
+
+def test_latest_series_reads_facts_once_and_bounds_its_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """Branches read the tagged facts, not the source; more rows make more tasks, with the same result."""
+    from ledgerline.operators import series as R
+    from ledgerline.sources.driver import lineitem_facts
+    path = str(tmp_path / "facts")
+    lineitem_facts(spark, sf_dir).write.parquet(path)
+    f, mm = spark.read.parquet(path), S.metric_map(spark)
+    cols = ["cik", "metric", "kind", "tag", "end", "form", "fy", "fp", "val", "rn"]
+    run = lambda: R.latest_series(f, mm, 8).select(*cols)
+    one_task = run()
+    assert one_task.inputFiles() and not any(path in x for x in one_task.inputFiles())
+    want = sorted(tuple(r) for r in one_task.collect())
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    many = run()
+    n = -(-R.attach_metric_map(f, mm).count() // 100)
+    assert f", {n}), REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in many.collect()) == want and want
+
+
+def test_filer_facts_divide_only_present_entries(spark, sf_dir):
+    """The entries of a customer's quarter carry cents; only those that are present become money."""
+    from ledgerline.sources.filers import filer_facts
+    plan = filer_facts(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    entries = next(x for x in plan.splitlines() if "Generate explode" in x)
+    assert "decimal" not in entries and " / " not in entries
