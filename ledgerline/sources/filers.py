@@ -60,9 +60,8 @@ def filer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def entry(tag: str, cents: Column, when: Column, flow: bool = False, fp: Column = period, ns: str = S.US_GAAP,
               unit: str = "USD") -> Column:
-        val = (cents.cast("decimal(20,0)") / F.lit(100)).cast(VAL)
         return F.struct(F.lit(ns).alias("namespace"), F.lit(tag).alias("tag"), F.lit(unit).alias("unit"),
-                        F.when(when, val).alias("val"), (q if flow else F.lit(None).cast("int")).alias("qtrs"), fp.alias("fp"))
+                        F.when(when, cents).alias("cents"), (q if flow else F.lit(None).cast("int")).alias("qtrs"), fp.alias("fp"))
 
     revenue, n, always = F.col("revenue"), F.col("n"), F.lit(True)
     no_period = F.when(nation != 13, period)
@@ -90,9 +89,11 @@ def filer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     form = F.when(foreign, FOREIGN_FORM).when(q == 4, S.ANNUAL_FORM).otherwise(S.QUARTERLY_FORM)
     e = x.select(pad_cik(F.col("c_custkey")).alias("cik"), "yr", "q", form.alias("form"), F.explode(entries).alias("e"))
-    return e.where(F.col("e.val").isNotNull()).select(
+    # cents become money on the rows that are left: a division of decimals costs more than the rest of an entry
+    money = (F.col("e.cents").cast("decimal(20,0)") / F.lit(100)).cast(VAL).alias("val")
+    return e.where(F.col("e.cents").isNotNull()).select(
         "cik", "e.namespace", "e.tag", "e.unit", quarter_end(F.col("yr"), F.col("q")).alias("end"), "form",
-        F.col("yr").alias("fy"), "e.fp", "e.qtrs", "e.val", F.lit(0).alias("scale_applied"),
+        F.col("yr").alias("fy"), "e.fp", "e.qtrs", money, F.lit(0).alias("scale_applied"),
         (F.col("yr") * 10 + F.col("q")).cast("bigint").alias("pos"))
 
 
