@@ -466,7 +466,8 @@ def raw_facts_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: raw facts inserted on their unique key; the stored 10-K rows (other values) stay, a batch brought twice adds nothing."""
     from ledgerline.operators import bucketed
     from ledgerline.operators.upsert import new_rows
-    raw = _raw_last4(spark, sf_dir)
+    from ledgerline.session import cut_lineage
+    raw = cut_lineage(_raw_last4(spark, sf_dir), "raw-facts")  # read by the held rows, and by each insert for its parts and its rows
     held = raw.where("form = '10-K'").withColumn("val", F.col("val") + F.lit(1.0))
     name, _ = _stored(spark, new_rows(held.limit(0), held, S.FACTS_RAW_KEY), "facts_raw", S.FACTS_RAW_KEY)
     for _ in range(2):

@@ -110,3 +110,13 @@ def test_duplicate_keys_equal_the_plain_count(spark):
     got = {x.table_name: tuple(x)[1:] for x in r}
     assert got["empty"] == (0, 0, 0, 0)
     assert got["t"] == (3000, 600, len(a), sum(x[-1] - 1 for x in a))
+
+
+def test_raw_facts_insert_computes_the_facts_once(spark, sf_dir, monkeypatch):
+    """The held rows and both inserts read the written facts; line items are not aggregated again."""
+    from ledgerline import catalog
+    from ledgerline.operators import bucketed
+    seen, own = [], bucketed.insert
+    monkeypatch.setattr(bucketed, "insert", lambda s, n, batch, *a: (seen.extend(batch.inputFiles()), own(s, n, batch, *a)))
+    assert catalog.raw_facts_insert(spark, sf_dir).count() > 0
+    assert seen and not any("lineitem" in f for f in seen)
