@@ -115,11 +115,11 @@ def recorded() -> Iterator[list[str]]:
         _RECORD.reset(token)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write once under ``spark.checkpoint.dir`` and read back; survives lost executors."""
+def stage_table(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write once under ``spark.checkpoint.dir`` (with Parquet ``options``) and read back; survives lost executors."""
     spark = df.sparkSession
     path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     if (paths := _RECORD.get()) is not None:
         paths.append(path)
     return spark.read.parquet(path)

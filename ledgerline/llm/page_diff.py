@@ -329,7 +329,7 @@ def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text): one row a row of ``pages``."""
     kind = pages.select(col(id_col)).schema[0].dataType.simpleString()
-    types = {"key": pa.string(), "lines": pa.list_(pa.string()), "open": pa.bool_(), "h": pa.list_(pa.int64()), "at": pa.list_(pa.int64()),
+    types = {"key": pa.binary(), "lines": pa.list_(pa.string()), "open": pa.bool_(), "h": pa.list_(pa.int64()), "at": pa.list_(pa.int64()),
              "mine": pa.list_(pa.bool_()), "chars": pa.list_(pa.int32())}
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +340,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 inner = _inner([p for _, p, _ in found])
                 out["lines"].append([line for line, p, _ in found if p >= inner])
                 out["open"].append(not inner)
-                out["key"].append(blake2b("\n".join([str(not inner), *out["lines"][-1]]).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest())
+                out["key"].append(blake2b("\n".join([str(not inner), *out["lines"][-1]]).encode("utf-8", "surrogatepass"), digest_size=16).digest())
                 out["h"].append([_hash(line) for line, _, _ in found])
                 out["at"].append([at for _, _, at in found])
                 out["mine"].append([p >= inner for _, p, _ in found])
@@ -349,11 +349,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                                              names=["id", "url", *types])
 
     p = pages.select(col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"))
-    p = p.mapInArrow(parsed, f"id {kind}, url string, key string, lines array<string>, open boolean, h array<long>, at array<long>, mine array<boolean>, chars array<int>")
+    p = p.mapInArrow(parsed, f"id {kind}, url string, key binary, lines array<string>, open boolean, h array<long>, at array<long>, mine array<boolean>, chars array<int>")
     url = F.coalesce("url", F.lit(""))
     p = stage_table(p.withColumn("row", F.monotonically_increasing_id())
                     .withColumn("host", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)))
-                    .withColumn("path", F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)), "lines")
+                    .withColumn("path", F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)), "lines", compression="zstd")  # the texts, the largest table
     known = p.where("host <> '' AND size(lines) > 0")
     firsts = known.groupBy("host", "key").agg(F.min(F.struct("path", "row")).alias("first")).select(F.col("first.row").alias("row"))
     contents = stage_table(known.join(firsts, "row").select("row", "host", "key", "path", "open", "h", "at", "mine", "chars"), "contents")

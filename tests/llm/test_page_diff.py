@@ -183,3 +183,13 @@ def test_equals_the_unpruned_search_on_small_hosts(spark):
     want = plain(rows)
     assert got == want
     assert any(want[i] != "\n".join(P.candidate_lines(h)[0]) for i, _, h in rows)
+
+
+def test_parsed_pages_are_staged_small(spark, monkeypatch):
+    """The table of all texts is written with zstd and has its content keys as 16 bytes."""
+    seen, own = {}, P.stage_table
+    monkeypatch.setattr(P, "stage_table", lambda df, name, **o: seen.setdefault(name, (df, o)) and own(df, name, **o))
+    df = spark.createDataFrame([(1, "http://a.com/x", "<p>one</p><p>two</p>")], "page_id long, url string, html string")
+    assert [r.text for r in P.main_text(df).collect()] == ["one\ntwo"]
+    lines, options = seen["lines"]
+    assert options == {"compression": "zstd"} and {len(r.key) for r in lines.select("key").collect()} == {16}
